@@ -35,14 +35,18 @@ def any_null(names: list[str]) -> Column:
     return reduce(or_, [column(c).isNull() for c in names])
 
 
-def match_flag(left: Column, right: Column, null_equal: bool, in_both: Column | None) -> Column:
-    """``match``/``unmatch``. A NULL test falls through to ``unmatch``.
+def agreement(left: Column, right: Column, null_equal: bool, in_both: Column | None) -> Column:
+    """True where two values agree; false or NULL where they do not.
 
     With ``null_equal`` two NULLs agree, so a row missing on one side has to be
     recognised by ``in_both`` and not by its NULLs.
     """
-    same = in_both & left.eqNullSafe(right) if null_equal else left == right
-    return F.when(same, F.lit(MATCH)).otherwise(F.lit(UNMATCH))
+    return in_both & left.eqNullSafe(right) if null_equal else left == right
+
+
+def match_label(agrees: Column) -> Column:
+    """``match`` or ``unmatch``; a NULL test falls through to ``unmatch``."""
+    return F.when(agrees, F.lit(MATCH)).otherwise(F.lit(UNMATCH))
 
 
 def is_unmatched(flag_name: str) -> Column:

@@ -8,9 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The table-key prefix and pattern, and the placeholder form {{ name }}.
-# (?U) gives \w and \b their Unicode meaning.
+# A key is a whole word that starts with the prefix. The literal stands first, and the word
+# boundary before it is looked up backwards, so the search skips through long texts. (?U)
+# gives \w and \b their Unicode meaning.
 TABLE_PREFIX = "tbl_"
-TABLE_KEY_PATTERN = r"(?U)\b(tbl_[\w\d_]+)\b"
+TABLE_KEY_PATTERN = r"(?U)tbl_(?<=\btbl_)\w+"
 PLACEHOLDER_PATTERN = r"(?U)\{\{\s*(\w+)\s*\}\}"
 INVALID_SQL = "Invalid SQL Expression"
 INVALID_TABLE_LIST = "Table list was not initialized."
@@ -18,7 +20,7 @@ INVALID_TABLE_LIST = "Table list was not initialized."
 
 def table_keys(template: Column) -> Column:
     """Distinct table keys of a template, prefix removed."""
-    found = F.array_distinct(F.regexp_extract_all(template, F.lit(TABLE_KEY_PATTERN), 1))
+    found = F.array_distinct(F.regexp_extract_all(template, F.lit(TABLE_KEY_PATTERN), 0))
     return F.transform(found, lambda key: F.substring(key, F.lit(len(TABLE_PREFIX) + 1), F.length(key)))
 
 

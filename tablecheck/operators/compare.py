@@ -16,13 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecheck.functions.flags import (
-    MATCH,
     REPORT_UNMATCHED,
-    UNMATCH,
+    agreement,
     any_null,
     any_unmatched,
     is_unmatched,
-    match_flag,
+    match_label,
     orderable,
 )
 from tablecheck.functions.names import (
@@ -46,6 +45,7 @@ _LANE_DIGITS = 4
 
 _IN_A, _IN_B = "__in_a", "__in_b"
 _KEY, _SIDE, _LANE, _RANK, _ORDER = "__key", "__side", "__lane", "__rank", "__order"
+_SHARE = "__share"
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -93,15 +93,13 @@ def compare_all_columns(a: DataFrame, b: DataFrame) -> DataFrame:
     folded = _fold_copies(a, b, compared)
     n_a, n_b = F.col(COPIES_A), F.col(COPIES_B)
     found = ~any_null(compared) & (n_a > 0) & (n_b > 0)
-    joined = _sides_of(
-        folded,
-        {c: column(c) for c in compared},
-        {c: column(c) for c in compared},
-        [
-            F.struct(F.when(found, n_a).alias("a"), F.when(found, n_b).alias("b")),
-            F.struct(F.when(~found, n_a).alias("a"), F.lit(0).cast("bigint").alias("b")),
-            F.struct(F.lit(0).cast("bigint").alias("a"), F.when(~found, n_b).alias("b")),
-        ],
+    zero = F.lit(0).cast("bigint")
+    same = {c: column(c) for c in compared}
+    joined = _opened(
+        folded, same, same,
+        together=(F.when(found, n_a).otherwise(zero), F.when(found, n_b).otherwise(zero)),
+        only_a=F.when(found, zero).otherwise(n_a),
+        only_b=F.when(found, zero).otherwise(n_b),
     )
     return _flagged(joined, a.select(*map(column, compared)), b.select(*map(column, compared)),
                     compared, null_equal=False)
@@ -143,13 +141,13 @@ def _flagged(
     types_a = {f.name: f.dataType for f in a.schema.fields}
     types_b = {f.name: f.dataType for f in b.schema.fields}
     in_both = F.col(_IN_A) & F.col(_IN_B) if null_equal else None
-    flags = [
-        match_flag(
+    agrees = [
+        agreement(
             orderable(column(c + SUFFIX_A), types_a[c]),
             orderable(column(c + SUFFIX_B), types_b[c]),
             null_equal,
             in_both,
-        ).alias(c + SUFFIX_RESULT)
+        )
         for c in compared
     ]
     values = [c + SUFFIX_A for c in a.columns] + [c + SUFFIX_B for c in b.columns]
@@ -157,9 +155,12 @@ def _flagged(
     names = values + [c + SUFFIX_RESULT for c in compared] + [VERDICT] + counts
     if len(set(names)) < len(names):
         raise ValueError("a column name clashes with a name of the comparison layout")
-    verdict = F.when(any_unmatched(compared), F.lit(UNMATCH)).otherwise(F.lit(MATCH))
-    with_flags = joined.select(*[column(c) for c in values + counts], *flags)
-    return with_flags.withColumn(VERDICT, verdict).select(*[column(c) for c in names])
+    return joined.select(
+        *[column(c) for c in values],
+        *[match_label(same).alias(c + SUFFIX_RESULT) for c, same in zip(compared, agrees)],
+        match_label(reduce(and_, agrees)).alias(VERDICT),
+        *counts,
+    )
 
 
 def _check_keys(a: DataFrame, b: DataFrame, keys: list[str], compared: list[str]) -> None:
@@ -188,8 +189,9 @@ def _same_columns(a: DataFrame, b: DataFrame) -> list[str]:
 def _join_unique(a: DataFrame, b: DataFrame, keys: list[str], null_equal: bool) -> DataFrame:
     left = suffixed(a, SUFFIX_A).withColumn(_IN_A, F.lit(True))
     right = suffixed(b, SUFFIX_B).withColumn(_IN_B, F.lit(True))
-    keys_a = [k + SUFFIX_A for k in keys]
-    keys_b = [k + SUFFIX_B for k in keys]
+    left, keys_a = _with_join_keys(left, a, b, keys, SUFFIX_A)
+    right, keys_b = _with_join_keys(right, a, b, keys, SUFFIX_B)
+    helpers = [c for c in keys_a + keys_b if c.startswith(_KEY)]
 
     if null_equal:
         # A struct is never NULL itself and compares NULL fields as equal, so one plain
@@ -198,7 +200,7 @@ def _join_unique(a: DataFrame, b: DataFrame, keys: list[str], null_equal: bool)
         right = right.withColumn(_KEY, _key_struct(keys_b))
         left = _fail_on_repeat(left, [_KEY], "A")
         right = _fail_on_repeat(right, [_KEY], "B")
-        return left.join(right, left[_KEY] == right[_KEY], "full_outer").drop(_KEY)
+        return left.join(right, left[_KEY] == right[_KEY], "full_outer").drop(_KEY, *helpers)
 
     # NULL keys join nothing but would all hash to one full-outer partition, which AQE
     # cannot split: they go round the join. The extra scan is an IS NULL filter, pushed
@@ -209,9 +211,27 @@ def _join_unique(a: DataFrame, b: DataFrame, keys: list[str], null_equal: bool)
     right = _fail_on_repeat(right.where(~any_null(keys_b)), keys_b, "B")
     same = reduce(and_, [column(x) == column(y) for x, y in zip(keys_a, keys_b)])
     joined = left.join(right, same, "full_outer")
-    return joined.unionByName(lone_a, allowMissingColumns=True).unionByName(
-        lone_b, allowMissingColumns=True
-    )
+    for lone in (lone_a, lone_b):
+        joined = joined.unionByName(lone, allowMissingColumns=True)
+    return joined.drop(*helpers)
+
+
+def _with_join_keys(
+    df: DataFrame, a: DataFrame, b: DataFrame, keys: list[str], suffix: str
+) -> tuple[DataFrame, list[str]]:
+    """The names to join on. A key of different type in A and B gets a widened copy, so
+    that the duplicate check and the join partition by the same expression."""
+    names = []
+    for i, key in enumerate(keys):
+        sides = [side.select(column(key).alias("k")) for side in (a, b)]
+        types = [side.schema["k"].dataType for side in sides]
+        if types[0] == types[1]:
+            names.append(key + suffix)
+            continue
+        wide = sides[0].unionAll(sides[1]).schema["k"].dataType
+        names.append(f"{_KEY}{i}{suffix}")
+        df = df.withColumn(names[-1], column(key + suffix).cast(wide))
+    return df, names
 
 
 def _key_struct(names: list[str]) -> Column:
@@ -247,19 +267,29 @@ def _fold_copies(a: DataFrame, b: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def _sides_of(
-    df: DataFrame, values_a: dict[str, Column], values_b: dict[str, Column], counts: list[Column]
+def _opened(
+    df: DataFrame,
+    values_a: dict[str, Column],
+    values_b: dict[str, Column],
+    together: tuple[Column, Column],
+    only_a: Column,
+    only_b: Column,
 ) -> DataFrame:
-    """One output row per non-empty ``(copies in A, copies in B)`` entry of ``counts``."""
-    share = "__share"
-    has = lambda s: (F.coalesce(s["a"], F.lit(0)) > 0) | (F.coalesce(s["b"], F.lit(0)) > 0)
-    opened = df.withColumn(share, F.explode(F.filter(F.array(*counts), has)))
-    in_a, in_b = F.col(share)["a"] > 0, F.col(share)["b"] > 0
+    """Open one row into its shares: copies on both sides, only in A, only in B.
+
+    Each non-empty share becomes one output row. The shares are numbered by a plain
+    integer array, which keeps the expansion inside generated code.
+    """
+    zero = F.lit(0).cast("bigint")
+    copies = [together, (only_a, zero), (zero, only_b)]
+    filled = [F.when((n_a > 0) | (n_b > 0), i).otherwise(-1) for i, (n_a, n_b) in enumerate(copies)]
+    opened = df.withColumn(_SHARE, F.explode(F.array_remove(F.array(*filled), -1)))
+    in_a, in_b = F.col(_SHARE) != 2, F.col(_SHARE) != 1
     return opened.select(
         *[F.when(in_a, v).alias(c + SUFFIX_A) for c, v in values_a.items()],
         *[F.when(in_b, v).alias(c + SUFFIX_B) for c, v in values_b.items()],
-        F.coalesce(F.col(share)["a"], F.lit(0)).alias(COPIES_A),
-        F.coalesce(F.col(share)["b"], F.lit(0)).alias(COPIES_B),
+        F.get(F.array(*[n_a for n_a, _ in copies]), _SHARE).alias(COPIES_A),
+        F.get(F.array(*[n_b for _, n_b in copies]), _SHARE).alias(COPIES_B),
         in_a.alias(_IN_A),
         in_b.alias(_IN_B),
     )
@@ -276,15 +306,11 @@ def _pair_copies(
     zero = F.lit(0).cast("bigint")
     same = {c: column(c) for c in names}
 
-    settled = _sides_of(
-        folded,
-        same,
-        same,
-        [
-            F.struct(equal.alias("a"), equal.alias("b")),
-            F.struct(F.when(joins, zero).otherwise(n_a).alias("a"), zero.alias("b")),
-            F.struct(zero.alias("a"), F.when(joins, zero).otherwise(n_b).alias("b")),
-        ],
+    settled = _opened(
+        folded, same, same,
+        together=(equal, equal),
+        only_a=F.when(joins, zero).otherwise(n_a),
+        only_b=F.when(joins, zero).otherwise(n_b),
     )
 
     open_a, open_b = "__open_a", "__open_b"
@@ -303,15 +329,13 @@ def _pair_copies(
         F.sum(open_b).alias(open_b),
     )
     both = F.least(open_a, open_b)
-    paired = _sides_of(
+    paired = _opened(
         met,
         {c: F.col("__row_a")[c] for c in names},
         {c: F.col("__row_b")[c] for c in names},
-        [
-            F.struct(both.alias("a"), both.alias("b")),
-            F.struct((F.col(open_a) - both).alias("a"), zero.alias("b")),
-            F.struct(zero.alias("a"), (F.col(open_b) - both).alias("b")),
-        ],
+        together=(both, both),
+        only_a=F.col(open_a) - both,
+        only_b=F.col(open_b) - both,
     )
     return settled.unionByName(paired)
 

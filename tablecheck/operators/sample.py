@@ -6,15 +6,15 @@ from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.functions.flags import any_null
 from tablecheck.functions.names import column, trimmed_names
 from tablecheck.sources.scratch import staged
 
-# Keys are broadcast up to this many rows; a larger sample is joined like any table.
-BROADCAST_KEYS = 100_000
+# Up to this many keys the smallest are kept in a heap per task; beyond it they are sorted.
+HEAP_KEYS = 100_000
 
 
 class SampledPair(NamedTuple):
@@ -31,15 +31,42 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 def sample_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
     """The first ``limit`` distinct keys in key order. NULL keys match nothing: left out."""
     by_key = [column(k) for k in keys]
-    return df.where(~any_null(keys)).select(*by_key).distinct().orderBy(*by_key).limit(limit)
+    distinct = df.where(~any_null(keys)).select(*by_key).distinct()
+    if limit <= HEAP_KEYS:
+        return distinct.orderBy(*by_key).limit(limit)
+    return _first_of_many(distinct, by_key, limit)
 
 
-def rows_of_keys(df: DataFrame, sample: DataFrame, limit: int) -> DataFrame:
-    """Rows of ``df`` whose key is in ``sample`` (at most ``limit`` keys)."""
+def _first_of_many(distinct: DataFrame, by_key: list[Column], limit: int) -> DataFrame:
+    """The first ``limit`` rows in order, without bringing them to one task.
+
+    The keys are range-partitioned and written once. Whole ranges are taken as they are;
+    only the one range that holds the last key is cut. What reaches the driver is one
+    count per range.
+    """
+    part = "__range"
+    ranged = staged(
+        distinct.repartitionByRange(*by_key).withColumn(part, F.spark_partition_id()), "sorted-keys"
+    )
+    sizes = dict(ranged.groupBy(part).count().collect())
+    last, left = -1, limit
+    for last in sorted(sizes):
+        if sizes[last] >= left:
+            break
+        left -= sizes[last]
+    whole = ranged.where(F.col(part) < last)
+    cut = ranged.where(F.col(part) == last).orderBy(*by_key).limit(max(left, 0))
+    return whole.unionByName(cut).drop(part)
+
+
+def rows_of_keys(df: DataFrame, sample: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key is in ``sample``.
+
+    ``sample`` is a written table, so Spark knows its size and broadcasts it when it is
+    under the session's threshold; a larger one is joined by shuffle.
+    """
     names = sample.columns
     wanted = sample.toDF(*[f"__key{i}" for i in range(len(names))])
-    if limit <= BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
     same = reduce(and_, [column(c) == F.col(f"__key{i}") for i, c in enumerate(names)])
     return df.join(wanted, same, "left_semi")
 
@@ -54,7 +81,7 @@ def sample_pair(
     """
     a, b = normalize_columns(a), normalize_columns(b)
     sample = staged(sample_keys(a, keys, limit), "sample-keys")
-    cuts = [rows_of_keys(side, sample, limit) for side in (a, b)]
+    cuts = [rows_of_keys(side, sample) for side in (a, b)]
     if row_limit is not None:
         rest = [[c for c in cut.columns if c not in keys] for cut in cuts]
         cuts = [cut.orderBy(*map(column, keys + r)).limit(row_limit) for cut, r in zip(cuts, rest)]

@@ -55,7 +55,7 @@ def prepare_pair(
     replace_table(sample_keys(normalize_columns(spark.table(main)), list(keys), limit), key_table, fmt)
     sample = spark.table(key_table)
     for table in (main, clone):
-        cut = rows_of_keys(normalize_columns(spark.table(table)), sample, limit)
+        cut = rows_of_keys(normalize_columns(spark.table(table)), sample)
         if row_limit is not None:
             rest = [c for c in cut.columns if c not in keys]
             cut = cut.orderBy(*keys, *rest).limit(row_limit)
