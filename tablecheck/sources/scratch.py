@@ -7,6 +7,7 @@ re-read and never a lost block.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -15,16 +16,20 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+@functools.cache
+def _local_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="tablecheck-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local session without one gets a fresh folder."""
+    """The folder the session names; only a local session may do without one."""
     configured = spark.conf.get(SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tablecheck-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return _local_folder(context.applicationId)
 
 
 def fresh_path(spark: SparkSession, purpose: str) -> str:

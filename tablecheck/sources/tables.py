@@ -67,6 +67,8 @@ def replace_table(
         writer.saveAsTable(staging)
         drop_table(spark, table)
         spark.sql(f"ALTER TABLE {sql_name(staging)} RENAME TO {sql_name(table)}")
+        if partition_by:  # a catalog may still list the partitions under the staging name
+            spark.sql(f"MSCK REPAIR TABLE {sql_name(table)} SYNC PARTITIONS")
     return int(rows.get["n"])
 
 

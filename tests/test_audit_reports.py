@@ -46,8 +46,9 @@ def test_summary_record(spark):
     assert (row["data_mismatch"], row["mismatch_count"]) == (False, 0)
 
 
-@pytest.mark.parametrize("run_date", [RUN, "2024-01-01 12:00:00", F.lit("2024-01-01 12:00:00"), None])
-def test_run_date_forms(spark, run_date):
+@pytest.mark.parametrize("form", [lambda: RUN, lambda: "2024-01-01 12:00:00", lambda: F.lit("2024-01-01 12:00:00"), lambda: None])
+def test_run_date_forms(spark, form):
+    run_date = form()
     [row] = dicts(tc.audit_records(five_mismatches(spark), "a", "b", run_date, per_column=False))
     assert isinstance(row["run_date"], datetime)
     assert run_date is None or row["run_date"] == RUN
@@ -120,6 +121,13 @@ def test_run_by_key(spark, schema):
     assert spark.table(f"{schema}.audit").count() == 12
 
 
+def test_counts_read_only_the_flags_of_the_written_result(spark, schema):
+    written = tc.result_overwrite(tc.compare_by_key(*fx.orders_pair(spark, SF_DIR), ["o_orderkey"]), f"{schema}.r")
+    plan = tc.column_mismatch_audit(written, "a", "b", RUN)._jdf.queryExecution().executedPlan().toString()
+    schema_read = plan.split("ReadSchema: ")[1].splitlines()[0]
+    assert "_result" in schema_read and "_a:" not in schema_read and "_b:" not in schema_read
+
+
 def test_run_on_all_columns(spark, schema):
     a, b = fx.orders_pair(spark, SF_DIR)
     a.write.saveAsTable(f"{schema}.x")

@@ -16,7 +16,7 @@ from workload import fixtures as fx
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_DATE = "2024-01-01 12:00:00"
-LABEL = "story-1"
+LABEL = "run-1"
 KEY = ["o_orderkey"]
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 SAMPLE_KEYS = 100
