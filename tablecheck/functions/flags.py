@@ -46,7 +46,7 @@ def agreement(left: Column, right: Column, null_equal: bool, in_both: Column | N
 
 def match_label(agrees: Column) -> Column:
     """``match`` or ``unmatch``; a NULL test falls through to ``unmatch``."""
-    return F.when(agrees, F.lit(MATCH)).otherwise(F.lit(UNMATCH))
+    return F.when(agrees, MATCH).otherwise(UNMATCH)
 
 
 def is_unmatched(flag_name: str) -> Column:

@@ -30,7 +30,7 @@ def column(name: str) -> Column:
 
 def suffixed(df: DataFrame, suffix: str) -> DataFrame:
     """Append ``suffix`` to every column name in one projection."""
-    return df.select(*[column(c).alias(c + suffix) for c in df.columns])
+    return df.toDF(*[c + suffix for c in df.columns])
 
 
 def trimmed_names(names: list[str]) -> list[str]:

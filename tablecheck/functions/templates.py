@@ -20,8 +20,30 @@ INVALID_TABLE_LIST = "Table list was not initialized."
 
 def table_keys(template: Column) -> Column:
     """Distinct table keys of a template, prefix removed."""
-    found = F.array_distinct(F.regexp_extract_all(template, F.lit(TABLE_KEY_PATTERN), 0))
-    return F.transform(found, lambda key: F.substring(key, F.lit(len(TABLE_PREFIX) + 1), F.length(key)))
+    return F.array_distinct(_keys(F.regexp_extract_all(template, F.lit(TABLE_KEY_PATTERN), 0)))
+
+
+def placeholders(template: Column) -> Column:
+    """The placeholders of a template, braces included, in order."""
+    return F.regexp_extract_all(template, F.lit(PLACEHOLDER_PATTERN), 0)
+
+
+def placeholder_keys(marks: Column) -> Column:
+    """Distinct table keys among placeholders, sorted: what rendering has to look up."""
+    tables = F.filter(_names(marks), lambda name: name.startswith(TABLE_PREFIX))
+    return F.array_sort(F.array_distinct(_keys(tables)))
+
+
+def _names(marks: Column) -> Column:
+    return F.transform(marks, lambda mark: F.regexp_extract(mark, PLACEHOLDER_PATTERN, 1))
+
+
+def _key(name: Column) -> Column:
+    return F.substring(name, F.lit(len(TABLE_PREFIX) + 1), F.length(name))
+
+
+def _keys(names: Column) -> Column:
+    return F.transform(names, _key)
 
 
 def checked_template(template: Column) -> Column:
@@ -30,25 +52,24 @@ def checked_template(template: Column) -> Column:
     return F.when(empty, F.raise_error(F.lit(INVALID_SQL))).otherwise(template)
 
 
-def rendered(template: Column, paths: Column, variables: Mapping[str, str] | None = None) -> Column:
+def rendered(
+    template: Column, marks: Column, paths: Column, variables: Mapping[str, str] | None = None
+) -> Column:
     """Replace ``{{ tbl_key }}`` from the map ``paths`` and ``{{ name }}`` from ``variables``.
 
-    The template is cut once at its placeholders and put together again, so replaced text
-    is never scanned a second time. Placeholders without a value stay as they are.
+    The template is cut once at its placeholders ``marks`` and put together again, so
+    replaced text is never scanned a second time. Placeholders without a value stay.
     """
     texts = F.split(template, PLACEHOLDER_PATTERN, -1)
-    whole = F.regexp_extract_all(template, F.lit(PLACEHOLDER_PATTERN), 0)
-    names = F.regexp_extract_all(template, F.lit(PLACEHOLDER_PATTERN), 1)
     filled = F.zip_with(
-        whole, names, lambda mark, name: F.coalesce(_value(name, paths, variables), mark)
+        marks, _names(marks), lambda mark, name: F.coalesce(_value(name, paths, variables), mark)
     )
     pieces = F.zip_with(texts, filled, lambda text, value: F.concat(text, F.coalesce(value, F.lit(""))))
     return F.array_join(pieces, "")
 
 
 def _value(name: Column, paths: Column, variables: Mapping[str, str] | None) -> Column:
-    key = F.substring(name, F.lit(len(TABLE_PREFIX) + 1), F.length(name))
-    table = F.when(name.startswith(TABLE_PREFIX), F.try_element_at(paths, key))
+    table = F.when(name.startswith(TABLE_PREFIX), F.try_element_at(paths, _key(name)))
     if not variables:
         return table
     entries = [part for k, v in variables.items() for part in (F.lit(k), F.lit(v))]

@@ -141,24 +141,23 @@ def _flagged(
     types_a = {f.name: f.dataType for f in a.schema.fields}
     types_b = {f.name: f.dataType for f in b.schema.fields}
     in_both = F.col(_IN_A) & F.col(_IN_B) if null_equal else None
-    agrees = [
-        agreement(
-            orderable(column(c + SUFFIX_A), types_a[c]),
-            orderable(column(c + SUFFIX_B), types_b[c]),
+    values = {c: column(c) for c in [*[c + SUFFIX_A for c in a.columns], *[c + SUFFIX_B for c in b.columns]]}
+    agrees = {
+        c + SUFFIX_RESULT: agreement(
+            orderable(values[c + SUFFIX_A], types_a[c]),
+            orderable(values[c + SUFFIX_B], types_b[c]),
             null_equal,
             in_both,
         )
         for c in compared
-    ]
-    values = [c + SUFFIX_A for c in a.columns] + [c + SUFFIX_B for c in b.columns]
+    }
     counts = [COPIES_A, COPIES_B] if has_copies(joined) else []
-    names = values + [c + SUFFIX_RESULT for c in compared] + [VERDICT] + counts
-    if len(set(names)) < len(names):
+    if len({*values, *agrees, VERDICT, *counts}) < len(values) + len(agrees) + 1 + len(counts):
         raise ValueError("a column name clashes with a name of the comparison layout")
     return joined.select(
-        *[column(c) for c in values],
-        *[match_label(same).alias(c + SUFFIX_RESULT) for c, same in zip(compared, agrees)],
-        match_label(reduce(and_, agrees)).alias(VERDICT),
+        *values.values(),
+        *[match_label(same).alias(flag) for flag, same in agrees.items()],
+        match_label(reduce(and_, agrees.values())).alias(VERDICT),
         *counts,
     )
 
@@ -223,14 +222,12 @@ def _with_join_keys(
     that the duplicate check and the join partition by the same expression."""
     names = []
     for i, key in enumerate(keys):
-        sides = [side.select(column(key).alias("k")) for side in (a, b)]
-        types = [side.schema["k"].dataType for side in sides]
-        if types[0] == types[1]:
+        if a.schema[key].dataType == b.schema[key].dataType:
             names.append(key + suffix)
             continue
-        wide = sides[0].unionAll(sides[1]).schema["k"].dataType
+        both = a.select(column(key).alias("k")).unionAll(b.select(column(key).alias("k")))
         names.append(f"{_KEY}{i}{suffix}")
-        df = df.withColumn(names[-1], column(key + suffix).cast(wide))
+        df = df.withColumn(names[-1], column(key + suffix).cast(both.schema["k"].dataType))
     return df, names
 
 

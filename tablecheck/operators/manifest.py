@@ -29,11 +29,14 @@ def manifest_live(log: DataFrame) -> DataFrame:
 
 def manifest_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """File paths found in one manifest only, with the ``side`` that has them."""
-    marked = a.select("file_path", F.lit("a").alias("side")).unionByName(
-        b.select("file_path", F.lit("b").alias("side"))
+    marked = a.select("file_path", F.lit(True).alias("in_a")).unionByName(
+        b.select("file_path", F.lit(False).alias("in_a"))
     )
-    sides = marked.groupBy("file_path").agg(F.min("side").alias("side"), F.max("side").alias("other"))
-    return sides.where("side = other").select("file_path", "side")
+    sides = marked.groupBy("file_path").agg(
+        F.bool_or("in_a").alias("in_a"), F.bool_or(~F.col("in_a")).alias("in_b")
+    )
+    side = F.when(F.col("in_a"), F.lit("a")).otherwise(F.lit("b"))
+    return sides.where("in_a <> in_b").select("file_path", side.alias("side"))
 
 
 def file_stats(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablecheck.functions.flags import unmatched_weight
 from tablecheck.functions.names import SUFFIX_RESULT, compared_columns
+from tablecheck.sources.scratch import staged
 
 # Workspace patterns in order of precedence, and the clean-run message.
 WORKSPACES = (("%dev%", "Dev"), ("%test%", "Test"), ("%prod%", "Prod"))
@@ -123,6 +124,7 @@ def audit_summary(
         (F.count_if(wanted) > 0).alias("explained"),
     )
     known = expected_columns.select(F.col("column_name").alias("known")).distinct()
+    known = staged(known, "expected-columns")  # its size is known to the join
     when = F.current_date() if run_date is None else F.lit(run_date).cast("date")
     return (
         groups.join(known, F.col("column_name") == F.col("known"), "left")

@@ -2,6 +2,10 @@
 
 ``templates`` has ``domain_cd, domain_value``; ``table_reference`` has ``table_cd,
 table_path, stage_table_path``. All keys of all templates are resolved in one join.
+
+The looked-up side of each join is written to scratch space first. Its size is then known:
+Spark broadcasts it while it is small, and beyond that joins it by shuffle, where adaptive
+execution can split a key that most templates name.
 """
 
 from __future__ import annotations
@@ -15,9 +19,12 @@ from tablecheck.functions.templates import (
     INVALID_SQL,
     INVALID_TABLE_LIST,
     checked_template,
+    placeholder_keys,
+    placeholders,
     rendered,
     table_keys,
 )
+from tablecheck.sources.scratch import staged
 
 _PATHS = "map<string,string>"
 
@@ -36,7 +43,7 @@ def resolve_table_keys(
         raise ValueError(INVALID_TABLE_LIST)
     chosen = "stage_table_path" if use_stage else "table_path"
     first = F.min(F.struct("table_path", "stage_table_path")).alias("found")
-    reference = table_reference.groupBy("table_cd").agg(first)
+    reference = staged(table_reference.groupBy("table_cd").agg(first), "table-reference")
     return keys.join(reference, "table_cd", "left").select(
         *keys.columns, F.col("found")[chosen].alias("table_path")
     )
@@ -56,18 +63,27 @@ def render_templates(
     use_stage: bool = False,
     variables: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """``domain_cd, rendered_sql`` for a whole table of templates."""
-    resolved = resolve_table_keys(template_table_keys(templates), table_reference, use_stage)
-    # One entry per distinct key a template names, so a group is never larger than that.
-    paths = (
-        resolved.where("table_path IS NOT NULL")
-        .groupBy(F.col("domain_cd").alias("__cd"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("table_cd", "table_path"))).alias("__paths"))
+    """``domain_cd, rendered_sql`` for a whole table of templates.
+
+    Paths are looked up once per distinct set of keys, however many templates name that
+    set, and then joined to the templates by it.
+    """
+    marks = placeholders(F.col("domain_value"))
+    sets = templates.where("domain_value <> ''").select(placeholder_keys(marks).alias("__set")).distinct()
+    named = sets.select("__set", F.explode("__set").alias("table_cd"))
+    resolved = resolve_table_keys(named, table_reference, use_stage).where("table_path IS NOT NULL")
+    found = F.map_from_entries(F.collect_list(F.struct("table_cd", "table_path")))
+    paths = staged(
+        resolved.groupBy(F.col("__set").alias("__named")).agg(found.alias("__paths")), "table-paths"
     )
     known = F.coalesce("__paths", F.create_map().cast(_PATHS))
-    text = rendered(checked_template(F.col("domain_value")), known, variables)
-    joined = templates.join(paths, F.col("domain_cd").eqNullSafe(F.col("__cd")), "left")
-    return joined.select("domain_cd", text.alias("rendered_sql"))
+    checked = templates.select(
+        "domain_cd", checked_template(F.col("domain_value")).alias("__text"), marks.alias("__marks")
+    )
+    keyed = checked.withColumn("__set", placeholder_keys(F.col("__marks")))
+    return keyed.join(paths, F.col("__set") == F.col("__named"), "left").select(
+        "domain_cd", rendered(F.col("__text"), F.col("__marks"), known, variables).alias("rendered_sql")
+    )
 
 
 def rendered_query(
