@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+from collections.abc import Callable, Iterable
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from tablecheck.functions.names import (
     VERDICT,
     column,
     has_copies,
+    quoted,
 )
 
 # Flag labels, and the labels of the unmatched-rows report.
@@ -31,8 +32,25 @@ def orderable(value: Column, dtype: T.DataType) -> Column:
     return value
 
 
+def _balanced(columns: Iterable[Column], combine: Callable[[Column, Column], Column]) -> Column:
+    """Combine pairwise, so that a thousand columns nest ten deep and not a thousand."""
+    level = list(columns)
+    while len(level) > 1:
+        paired = [combine(x, y) for x, y in zip(level[::2], level[1::2])]
+        level = paired + level[len(paired) * 2:]
+    return level[0]
+
+
+def all_of(columns: Iterable[Column]) -> Column:
+    return _balanced(columns, and_)
+
+
+def any_of(columns: Iterable[Column]) -> Column:
+    return _balanced(columns, or_)
+
+
 def any_null(names: list[str]) -> Column:
-    return reduce(or_, [column(c).isNull() for c in names])
+    return any_of(column(c).isNull() for c in names)
 
 
 def agreement(left: Column, right: Column, null_equal: bool, in_both: Column | None) -> Column:
@@ -54,7 +72,7 @@ def is_unmatched(flag_name: str) -> Column:
 
 
 def any_unmatched(names: list[str]) -> Column:
-    return reduce(or_, [is_unmatched(c + SUFFIX_RESULT) for c in names])
+    return any_of(is_unmatched(c + SUFFIX_RESULT) for c in names)
 
 
 def row_weight(comparison: DataFrame) -> Column:
@@ -64,6 +82,15 @@ def row_weight(comparison: DataFrame) -> Column:
     return F.lit(1).cast("bigint")
 
 
-def unmatched_weight(comparison: DataFrame, flag_name: str = VERDICT) -> Column:
-    hit = F.when(is_unmatched(flag_name), row_weight(comparison)).otherwise(F.lit(0))
-    return F.coalesce(F.sum(hit), F.lit(0)).cast("bigint")
+def unmatched_totals(comparison: DataFrame, flags: dict[str, str]) -> DataFrame:
+    """``column_name, mismatch_count`` for every ``name: flag column`` given.
+
+    One aggregate for all flags, turned on its side afterwards.
+    """
+    weight, none = row_weight(comparison), F.lit(0).cast("bigint")
+    totals = comparison.agg(*[
+        F.sum(F.when(is_unmatched(flag), weight).otherwise(none)).alias(name)
+        for name, flag in flags.items()
+    ])
+    listed = totals.unpivot([], [quoted(name) for name in flags], "column_name", "mismatch_count")
+    return listed.withColumn("mismatch_count", F.coalesce("mismatch_count", none))

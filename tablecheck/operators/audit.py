@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablecheck.functions.flags import unmatched_weight
+from tablecheck.functions.flags import unmatched_totals
 from tablecheck.functions.names import SUFFIX_RESULT, VERDICT, compared_columns
 from tablecheck.sources.sinks import write_jdbc
 from tablecheck.sources.tables import append_table, ensure_table
@@ -36,6 +36,8 @@ OLD_NAMES = {
     "branch_name": "run_label",
 }
 
+_COUNTED = "column_name string, schema_mismatch boolean, mismatch_count bigint, validation_errors string"
+
 
 def column_mismatch_audit(
     comparison: DataFrame,
@@ -53,19 +55,18 @@ def column_mismatch_audit(
     """
     differences = dict(schema_differences or {})
     compared = compared_columns(comparison)
-    totals = comparison.agg(
-        *[unmatched_weight(comparison, c + SUFFIX_RESULT).alias(f"n{i}") for i, c in enumerate(compared)]
+    totals = unmatched_totals(comparison, {c: c + SUFFIX_RESULT for c in compared})
+    differs = F.col("column_name").isin(list(differences)) if differences else F.lit(False)
+    counted = totals.select(
+        "column_name", differs.alias("schema_mismatch"), "mismatch_count",
+        F.lit(None).cast("string").alias("validation_errors"),
     )
-    rows = [
-        _entry(c, c in differences, F.col(f"n{i}"), F.lit(None))
-        for i, c in enumerate(compared)
-    ]
-    rows += [
-        _entry(c, True, F.lit(None), F.lit(f"column not compared: {why}"))
-        for c, why in differences.items()
-        if c not in compared
+    skipped = [
+        (c, True, None, f"column not compared: {why}") for c, why in differences.items() if c not in compared
     ]
-    return _audit_rows(totals, rows, name_a, name_b, run_date, run_label, test_name)
+    if skipped:
+        counted = counted.unionAll(comparison.sparkSession.createDataFrame(skipped, _COUNTED))
+    return _audit_rows(counted, name_a, name_b, run_date, run_label, test_name)
 
 
 def table_mismatch_audit(
@@ -78,9 +79,12 @@ def table_mismatch_audit(
     test_name: str = TEST_NAME,
 ) -> DataFrame:
     """One ``ALL`` audit row: how many compared rows differ in any column."""
-    totals = comparison.agg(unmatched_weight(comparison, VERDICT).alias("n"))
-    rows = [_entry(ALL_COLUMNS, bool(schema_differences), F.col("n"), F.lit(None))]
-    return _audit_rows(totals, rows, name_a, name_b, run_date, run_label, test_name)
+    totals = unmatched_totals(comparison, {ALL_COLUMNS: VERDICT})
+    counted = totals.select(
+        "column_name", F.lit(bool(schema_differences)).alias("schema_mismatch"), "mismatch_count",
+        F.lit(None).cast("string").alias("validation_errors"),
+    )
+    return _audit_rows(counted, name_a, name_b, run_date, run_label, test_name)
 
 
 def audit_records(
@@ -133,17 +137,6 @@ def empty_audit(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], AUDIT_SCHEMA)
 
 
-def _entry(name: str, schema_mismatch: bool, count: Column, errors: Column) -> Column:
-    count = count.cast("bigint")
-    return F.struct(
-        F.lit(name).alias("column_name"),
-        F.lit(schema_mismatch).alias("schema_mismatch"),
-        (count > 0).alias("data_mismatch"),
-        count.alias("mismatch_count"),
-        errors.cast("string").alias("validation_errors"),
-    )
-
-
 def run_date_column(run_date: datetime | str | Column | None) -> Column:
     if run_date is None:
         return F.current_timestamp()
@@ -154,13 +147,13 @@ def run_date_column(run_date: datetime | str | Column | None) -> Column:
     return F.lit(run_date).cast("timestamp")
 
 
-def _audit_rows(totals, rows, name_a, name_b, run_date, run_label, test_name) -> DataFrame:
-    constants = {
-        "test_name": F.lit(test_name),
-        "table_a": F.lit(name_a),
-        "table_b": F.lit(name_b),
-        "run_date": run_date_column(run_date),
-        "run_label": F.lit(run_label),
-    }
-    opened = totals.select(F.explode(F.array(*rows)).alias("entry")).select("entry.*")
-    return as_audit(opened.select("*", *[v.alias(k) for k, v in constants.items()]))
+def _audit_rows(counted, name_a, name_b, run_date, run_label, test_name) -> DataFrame:
+    return as_audit(counted.select(
+        "*",
+        (F.col("mismatch_count") > 0).alias("data_mismatch"),
+        F.lit(test_name).alias("test_name"),
+        F.lit(name_a).alias("table_a"),
+        F.lit(name_b).alias("table_b"),
+        run_date_column(run_date).alias("run_date"),
+        F.lit(run_label).alias("run_label"),
+    ))

@@ -9,15 +9,13 @@ times is one row through the shuffle instead of one task full of copies.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecheck.functions.flags import (
     REPORT_UNMATCHED,
     agreement,
+    all_of,
     any_null,
     any_unmatched,
     is_unmatched,
@@ -157,7 +155,7 @@ def _flagged(
     return joined.select(
         *values.values(),
         *[match_label(same).alias(flag) for flag, same in agrees.items()],
-        match_label(reduce(and_, agrees.values())).alias(VERDICT),
+        match_label(all_of(agrees.values())).alias(VERDICT),
         *counts,
     )
 
@@ -208,7 +206,7 @@ def _join_unique(a: DataFrame, b: DataFrame, keys: list[str], null_equal: bool)
     lone_b = right.where(any_null(keys_b))
     left = _fail_on_repeat(left.where(~any_null(keys_a)), keys_a, "A")
     right = _fail_on_repeat(right.where(~any_null(keys_b)), keys_b, "B")
-    same = reduce(and_, [column(x) == column(y) for x, y in zip(keys_a, keys_b)])
+    same = all_of(column(x) == column(y) for x, y in zip(keys_a, keys_b))
     joined = left.join(right, same, "full_outer")
     for lone in (lone_a, lone_b):
         joined = joined.unionByName(lone, allowMissingColumns=True)

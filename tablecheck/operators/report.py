@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.functions.flags import unmatched_weight
+from tablecheck.functions.flags import unmatched_totals
 from tablecheck.functions.names import SUFFIX_RESULT, compared_columns
 from tablecheck.sources.scratch import staged
 
@@ -22,16 +22,9 @@ _GROUP = ["test_name", "table_a", "table_b", "column_name"]
 
 def unmatched_counts(comparison: DataFrame) -> DataFrame:
     """``column_name, unmatched_count`` for every compared column, largest first."""
-    names = compared_columns(comparison)
-    totals = comparison.agg(
-        *[unmatched_weight(comparison, c + SUFFIX_RESULT).alias(f"n{i}") for i, c in enumerate(names)]
-    )
-    entries = [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("unmatched_count"))
-        for i, c in enumerate(names)
-    ]
-    opened = totals.select(F.explode(F.array(*entries)).alias("entry")).select("entry.*")
-    return opened.orderBy(F.desc("unmatched_count"), "column_name")
+    totals = unmatched_totals(comparison, {c: c + SUFFIX_RESULT for c in compared_columns(comparison)})
+    counts = totals.withColumnRenamed("mismatch_count", "unmatched_count")
+    return counts.orderBy(F.desc("unmatched_count"), "column_name")
 
 
 def audit_dashboard(audit: DataFrame) -> DataFrame:

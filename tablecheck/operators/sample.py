@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.functions.flags import any_null
+from tablecheck.functions.flags import all_of, any_null
 from tablecheck.functions.names import column, trimmed_names
 from tablecheck.sources.scratch import staged
 
@@ -67,7 +65,7 @@ def rows_of_keys(df: DataFrame, sample: DataFrame) -> DataFrame:
     """
     names = sample.columns
     wanted = sample.toDF(*[f"__key{i}" for i in range(len(names))])
-    same = reduce(and_, [column(c) == F.col(f"__key{i}") for i, c in enumerate(names)])
+    same = all_of(column(c) == F.col(f"__key{i}") for i, c in enumerate(names))
     return df.join(wanted, same, "left_semi")
 
 

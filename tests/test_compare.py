@@ -147,6 +147,15 @@ def test_odd_column_names(spark):
     assert counts(tc.compare_all_columns(a, a)) == {"the key": 0, "a.b": 0}
 
 
+def test_a_wide_table(spark):
+    """A few hundred columns: expressions stay shallow and one aggregate counts them all."""
+    wide = spark.range(20).select("id", *[(F.col("id") * i).alias(f"c{i}") for i in range(300)])
+    other = wide.withColumn("c7", F.lit(-1).cast("bigint"))
+    for comparison in (tc.compare_by_key(wide, other, ["id"]), tc.compare_by_key(wide, other, ["id"], True)):
+        assert {c: n for c, n in counts(comparison).items() if n} == {"c7": 20}
+    assert tc.compare_all_columns(wide, other).count() == 40
+
+
 def test_columns_of_one_side_are_carried_not_compared(spark):
     a = frame(spark, [(1, "p", "q")], "key_column1 int, key_column2 string, column_a string")
     b = frame(spark, [(1, "p", "r")], "key_column1 int, key_column2 string, column_b string")
