@@ -13,7 +13,6 @@ from tablecheck.functions.names import (
     COPIES_A,
     COPIES_B,
     SUFFIX_RESULT,
-    VERDICT,
     column,
     has_copies,
     quoted,

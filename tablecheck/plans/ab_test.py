@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from tablecheck.operators.audit import audit_append, audit_records
+from tablecheck.operators.audit import TEST_NAME, audit_append, audit_records
 from tablecheck.operators.compare import compare_all_columns, compare_by_key
 from tablecheck.operators.schema import differing_columns
 from tablecheck.sources.tables import replace_table
@@ -32,6 +32,7 @@ class ABTest:
     on_duplicate: str = "error"
     per_column: bool = True
     run_label: str | None = None
+    test_name: str = TEST_NAME
     fmt: str = "parquet"
 
     @property
@@ -62,7 +63,7 @@ def run_ab_test(
     written = result_overwrite(comparison, test.result_table, test.fmt)
     records = audit_records(
         written, test.table_a, test.other_table, run_date, test.run_label,
-        test.per_column, differences,
+        test.per_column, differences, test.test_name,
     )
     # A handful of rows: fixed on the driver so that the appended and returned rows agree.
     records = spark.createDataFrame(records.collect(), records.schema)

@@ -137,6 +137,18 @@ def test_run_on_all_columns(spark, schema):
     assert (row["table_b"], row["column_name"], row["mismatch_count"]) == (f"{schema}.y", "ALL", 1651)
 
 
+def test_run_with_repeated_keys_in_pairs(spark, schema):
+    spark.createDataFrame([(1, "x")] * 3 + [(2, None)], "k int, v string").write.saveAsTable(f"{schema}.t")
+    spark.createDataFrame([(1, "x")] * 2 + [(1, "y"), (2, None)], "k int, v string").write.saveAsTable(f"{schema}.t_b")
+    for null_equal, expected in ((False, {"k": 0, "v": 2}), (True, {"k": 0, "v": 1})):
+        test = tc.ABTest(f"{schema}.t", f"{schema}.result", f"{schema}.audit", keys=["k"], null_equal=null_equal,
+                         on_duplicate="pair", test_name="dev_pairs")
+        rows = dicts(tc.run_ab_test(spark, test, RUN))
+        assert {r["column_name"]: r["mismatch_count"] for r in rows} == expected
+    shown = tc.audit_dashboard(spark.table(f"{schema}.audit"))
+    assert {r["Workspace"] for r in dicts(shown)} == {"Dev"}
+
+
 def test_run_on_a_missing_table_raises(spark, schema):
     with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
         tc.run_ab_test(spark, tc.ABTest(f"{schema}.no", f"{schema}.r", f"{schema}.a"))
