@@ -395,3 +395,18 @@ def test_jdbc_writer_options():
     sinks.write_jdbc(frame, "jdbc:x", "audit", {"user": "u"}, max_connections=2)
     assert frame.calls["coalesce"] == [((2,), {})]
     assert frame.calls["jdbc"] == [(("jdbc:x", "audit"), {"mode": "append", "properties": {"user": "u"}})]
+
+
+def test_odd_key_names_survive_sampling(spark):
+    rows = spark.createDataFrame([(1, "x", 5), (2, "y", 6)], "`the key` int, `a.b` string, v int")
+    pair = tc.sample_pair(rows, rows, ["the key", "a.b"], 1)
+    assert [tuple(r) for r in pair.b.collect()] == [(1, "x", 5)]
+
+
+def test_nothing_staged_is_still_a_table(spark):
+    none = scratch.staged(spark.createDataFrame([], "x int, y array<string>"), "nothing")
+    assert none.columns == ["x", "y"] and none.count() == 0
+    templates = spark.createDataFrame([("q", "{{ tbl_a }}")], "domain_cd string, domain_value string")
+    reference = spark.createDataFrame([], "table_cd string, table_path string, stage_table_path string")
+    assert tc.render_templates(templates, reference).first()["rendered_sql"] == "{{ tbl_a }}"
+    assert tc.render_templates(templates.limit(0), reference).count() == 0
