@@ -219,10 +219,13 @@ def checksum_equal(spark, sf_dir):
 
 
 def file_stats(spark, sf_dir):
-    """File statistics of a copy of orders laid out by status."""
+    """File statistics of a copy of orders laid out by status.
+
+    Rebalanced, so that a status is one file while it is small and split when it is not.
+    """
     path = fresh_path(spark, "orders-by-status")
-    orders = fx.table(spark, sf_dir, "orders")
-    orders.repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    orders = fx.table(spark, sf_dir, "orders").hint("rebalance", F.col("o_orderstatus"))
+    orders.write.partitionBy("o_orderstatus").parquet(path)
     return tc.file_stats(spark, path).select(
         "num_files", (F.col("size_in_bytes") > 0).alias("has_bytes"),
         F.array_join("partition_columns", ",").alias("partition_columns"),
