@@ -352,17 +352,15 @@ def test_scratch_space_is_the_configured_folder(spark):
 class Session:
     """As much of a session as the scratch folder looks at."""
 
-    def __init__(self, master, configured=None):
-        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})()
-        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
+    def __init__(self, **conf):
+        self.conf = conf
 
 
 def test_scratch_folder_choice():
-    assert scratch.shared_dir(Session("yarn", "hdfs://x/shared/")) == "hdfs://x/shared"
-    local = scratch.shared_dir(Session("local[2]"))
-    assert local == scratch.shared_dir(Session("local[2]")) and os.path.isdir(local)
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch.shared_dir(Session("spark://host:7077"))
+    warehouse = {"spark.sql.warehouse.dir": "hdfs://x/warehouse/"}
+    chosen = {"spark.checkpoint.dir": "hdfs://x/shared/"}
+    assert scratch.shared_dir(Session(**warehouse, **chosen)) == "hdfs://x/shared"
+    assert scratch.shared_dir(Session(**warehouse)) == "hdfs://x/warehouse/_scratch"
 
 
 class Recorder:
