@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import chat, quality
+from tablecheck.llm import chat, language, licenses, packing, pages, quality
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -47,6 +47,32 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id"""
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices and identifier tags of every document."""
+    found = licenses.license_scan(_table(spark, sf_dir, "documents"))
+    words = F.transform("places", lambda p: p["word"])
+    base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"), F.array_max(words).alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 4096 tokens."""
+    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 _OP6_COLUMNS = [
     "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines",
     "n_letters", "n_capitals", "n_exclamations", "n_stop_words", "n_distinct_words",
@@ -100,5 +126,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   n_distinct_words
 FROM judged"""
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op6_quality_rules": op6_quality_rules}
+def _held_out() -> Column:
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language.fit_language_model(docs.where(~_held_out()))
+    labelled = language.identify_language(model, docs)
+    return labelled.select("doc_id", _held_out().alias("held_out"), F.col("language").alias("lang_pred"), "score")
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = pages.extract_main_text(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+QUERIES = {
+    "op1_chat_formatting": op1_chat_formatting,
+    "op3_license_scan": op3_license_scan,
+    "op4_packing": op4_packing,
+    "op6_quality_rules": op6_quality_rules,
+    "op8_language_id": op8_language_id,
+    "op9_html_extraction": op9_html_extraction,
+}
 ORACLES = {"op1_chat_formatting": _OP1, "op6_quality_rules": _OP6}
