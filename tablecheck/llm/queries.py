@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import chat, language, licenses, packing, pages, quality
+from tablecheck.llm import chat, language, licenses, neardup, packing, pages, quality
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -144,12 +144,19 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of 85 percent or more."""
+    found = neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_license_scan": op3_license_scan,
     "op4_packing": op4_packing,
     "op6_quality_rules": op6_quality_rules,
     "op8_language_id": op8_language_id,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op9_html_extraction": op9_html_extraction,
 }
 ORACLES = {"op1_chat_formatting": _OP1, "op6_quality_rules": _OP6}
