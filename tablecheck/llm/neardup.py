@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.llm.components import connected_components
-from tablecheck.llm.shingles import mixed, shingle_hashes
+from tablecheck.llm.shingles import list_array, mixed, shingle_hashes
 from tablecheck.sources.scratch import staged
 
 SHINGLE_WORDS = 5
@@ -98,7 +98,7 @@ def _signed(text: Column, size: int, bands: int, rows: int) -> Column:
                     same.append(None)
                     keys.append(None)
             yield pa.StructArray.from_arrays(
-                [pa.array(counts, pa.int64()), pa.array(same, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                [pa.array(counts, pa.int64()), pa.array(same, pa.binary()), list_array(keys, pa.int64())],
                 fields=list(_SIGNED),
             )
 
@@ -112,7 +112,7 @@ def _sets(text: Column, size: int, bands: int, rows: int) -> Column:
             sets = [shingle_hashes(_words(x.as_py()), size) for x in batch]
             sketches = [signature(s, bands * rows).astype(np.uint8).tobytes() if len(s) else b"" for s in sets]
             yield pa.StructArray.from_arrays(
-                [pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                [list_array([s.view(np.int64) for s in sets], pa.int64()), pa.array(sketches, pa.binary())],
                 names=["shingles", "sketch"],
             )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import chat, language, licenses, neardup, packing, pages, quality
+from tablecheck.llm import chat, language, licenses, neardup, packing, pages, quality, substring
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -73,6 +73,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of 35 words that occur elsewhere."""
+    found = substring.substring_dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 _OP6_COLUMNS = [
     "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines",
     "n_letters", "n_capitals", "n_exclamations", "n_stop_words", "n_distinct_words",
@@ -154,6 +160,7 @@ QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_license_scan": op3_license_scan,
     "op4_packing": op4_packing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_language_id": op8_language_id,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -30,3 +31,29 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     for i in range(size):
         value = mixed(value * _BASE + hashes[i: i + n])
     return np.unique(value)
+
+
+def window_hashes(hashes: np.ndarray, size: int, starts: np.ndarray, base: int = 0xD6E8FEB86659FD93) -> np.ndarray:
+    """Hashes of the runs of ``size`` words at ``starts``, from running sums over the words.
+
+    Sums and powers wrap at 64 bits; ``base`` is odd, so its powers can be divided out.
+    """
+    odd = np.uint64(base | 1)
+    inverse = np.uint64(pow(base | 1, -1, 1 << 64))
+    powers = np.full(len(hashes) + 1, odd)
+    powers[0] = 1
+    powers = np.cumprod(powers, dtype=np.uint64)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[:-1], dtype=np.uint64)])
+    back = np.full(len(hashes) + 1, inverse)
+    back[0] = 1
+    back = np.cumprod(back, dtype=np.uint64)
+    return mixed((sums[starts + size] - sums[starts]) * back[starts])
+
+
+def list_array(arrays: list[np.ndarray | None], kind: pa.DataType) -> pa.ListArray:
+    """One list a row; None becomes an empty list."""
+    sizes = [0 if a is None else len(a) for a in arrays]
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+    filled = [a for a in arrays if a is not None and len(a)]
+    values = np.concatenate(filled) if filled else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
