@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import chat, language, licenses, neardup, packing, pages, quality, substring
+from tablecheck.llm import chat, decontaminate, language, licenses, neardup, packing, pages, quality, substring
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -132,6 +132,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   n_distinct_words
 FROM judged"""
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a passage of a document gives away."""
+    return decontaminate.benchmark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def _held_out() -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
@@ -162,6 +167,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_language_id": op8_language_id,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op9_html_extraction": op9_html_extraction,

@@ -20,8 +20,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
-    """Sorted distinct hashes of all runs of ``size`` words; of all words if there are fewer."""
+def shingle_sequence(words: list[bytes], size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words in order; of all words if there are fewer."""
     hashes = word_hashes(words)
     size = min(size, len(words))
     if not size:
@@ -30,7 +30,12 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     value = np.full(n, size, np.uint64)
     for i in range(size):
         value = mixed(value * _BASE + hashes[i: i + n])
-    return np.unique(value)
+    return value
+
+
+def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
+    """The distinct ones of ``shingle_sequence``, sorted."""
+    return np.unique(shingle_sequence(words, size))
 
 
 def window_hashes(hashes: np.ndarray, size: int, starts: np.ndarray, base: int = 0xD6E8FEB86659FD93) -> np.ndarray:
@@ -57,3 +62,17 @@ def list_array(arrays: list[np.ndarray | None], kind: pa.DataType) -> pa.ListArr
     filled = [a for a in arrays if a is not None and len(a)]
     values = np.concatenate(filled) if filled else np.zeros(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+_PLAIN = bytes(
+    b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
+)
+
+
+def plain_words(text: bytes | None) -> list[bytes]:
+    """Letters and digits in lower case, cut at ASCII punctuation and white space."""
+    if not text:
+        return []
+    if not text.isascii():
+        text = text.decode("utf-8", "replace").lower().encode()
+    return text.translate(_PLAIN).split()
