@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import chat, decontaminate, language, licenses, neardup, packing, pages, quality, substring
+from tablecheck.llm import chat, decontaminate, language, licenses, neardup, packing, pages, quality, sharding, substring
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -47,6 +47,15 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id"""
 
 
+def op2_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards of near equal bytes, equal texts together."""
+    placed = sharding.balanced_shards(_table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notices and identifier tags of every document."""
     found = licenses.license_scan(_table(spark, sf_dir, "documents"))
@@ -59,7 +68,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _tokenizer() -> str:
+def tokenizer_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
@@ -67,7 +76,7 @@ def _tokenizer() -> str:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 4096 tokens."""
-    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer())
+    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
@@ -137,16 +146,16 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.benchmark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-def _held_out() -> Column:
+def held_out() -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     docs = _table(spark, sf_dir, "documents")
-    model = language.fit_language_model(docs.where(~_held_out()))
+    model = language.fit_language_model(docs.where(~held_out()))
     labelled = language.identify_language(model, docs)
-    return labelled.select("doc_id", _held_out().alias("held_out"), F.col("language").alias("lang_pred"), "score")
+    return labelled.select("doc_id", held_out().alias("held_out"), F.col("language").alias("lang_pred"), "score")
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,6 +172,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_balanced_sharding": op2_balanced_sharding,
     "op3_license_scan": op3_license_scan,
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
