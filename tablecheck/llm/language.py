@@ -245,6 +245,8 @@ class Labeller:
     def shares(self, texts: Sequence[str | None]) -> np.ndarray:
         """(text, label): mean probability over the words; zeros for texts without a letter."""
         result = np.zeros((len(texts), len(self.model.labels)))
+        if not self.model.labels:
+            return result
         held: list[tuple[int, list[str]]] = []
         n_held = 0
         for i, text in enumerate(texts):

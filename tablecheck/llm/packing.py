@@ -84,10 +84,14 @@ class WordTokens(dict):
     def __missing__(self, chunk: bytes) -> bytes:
         text = chunk.decode("utf-8", "replace")
         letters = text.rstrip(string.punctuation)
-        simple = letters.isalpha() and "Σ" not in letters and unicodedata.is_normalized("NFC", letters)
+        lowered = letters.lower()
+        # letters that stay letters; a sigma's lower case depends on its place in Python alone
+        simple = (
+            letters.isalpha() and lowered.isalpha() and "Σ" not in letters and unicodedata.is_normalized("NFC", letters)
+        )
         if simple:
             tail = text[len(letters):]
-            ids = self._word(letters.lower()) + (self[tail.encode()] if tail else b"")
+            ids = self._word(lowered) + (self[tail.encode()] if tail else b"")
         else:
             ids = self._encoded(text)
         if len(chunk) <= 64:

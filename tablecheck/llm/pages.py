@@ -120,6 +120,12 @@ LABELLED_BLOCKS = (
     (3, 0.00, 48, 0.00, 61, 0.00, 0, 0, 1, 1),
     (26, 0.25, 44, 0.00, 12, 0.00, 0, 0, 0, 1),
     (15, 0.00, 19, 0.00, 2, 1.00, 0, 0, 0, 1),
+    (12, 0.00, 12, 0.00, 2, 1.00, 0, 0, 0, 1),
+    (10, 0.00, 25, 0.00, 4, 1.00, 0, 0, 0, 1),
+    (13, 0.00, 30, 0.00, 0, 0.00, 0, 0, 0, 1),
+    (11, 0.00, 18, 0.00, 5, 0.00, 0, 0, 0, 1),
+    (28, 0.00, 35, 0.00, 3, 1.00, 0, 0, 0, 1),
+    (34, 0.05, 41, 0.00, 0, 0.00, 0, 0, 0, 1),
     (5, 0.00, 38, 0.00, 42, 0.00, 0, 0, 0, 1),
     (6, 0.00, 22, 0.00, 31, 0.00, 0, 0, 0, 1),
     (2, 1.00, 3, 1.00, 2, 1.00, 0, 0, 0, 0),

@@ -1,0 +1,500 @@
+"""Defined results on odd rows: nulls, blanks, long texts, ties, repeats, clashing columns."""
+
+import random
+import zlib
+
+import numpy as np
+import plain
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tablecheck.llm import (
+    chat,
+    components,
+    decontaminate,
+    language,
+    licenses,
+    neardup,
+    packing,
+    pages,
+    quality,
+    sharding,
+    substring,
+)
+from tablecheck.llm.shingles import plain_words
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+# names the operators use inside; a table may have columns of these names
+CLASHING = [
+    "row", "id", "t", "k", "k0", "n", "same", "bands", "bucket", "size", "shard", "slot", "group", "words", "kept",
+    "component_id", "score", "labels", "ids", "start", "order", "n_words", "leak", "node",
+]
+
+
+def prose(seed, n, vocabulary=400):
+    rng = random.Random(seed)
+    return " ".join(f"w{int(rng.paretovariate(0.6)) % vocabulary}" for _ in range(n))
+
+
+LONG = prose(1, 30_000, 5_000)
+COPY = prose(2, 120)
+NEAR = " ".join([*COPY.split()[:-1], "changed"])
+ODD = [
+    (1, None), (2, ""), (3, " \n\t "), (4, "one two"), (5, LONG), (6, COPY), (7, COPY.upper()), (8, NEAR),
+    (9, COPY), (9, COPY), (None, COPY), (None, "a text without an id"), (10, "one two"), (11, "... 123 !!"),
+]
+
+
+def frame(spark, rows, schema="doc_id long, text string"):
+    df = spark.createDataFrame(rows, schema)
+    return df.withColumns({c: F.lit(f"own {c}") for c in CLASHING})
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return frame(spark, ODD).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return frame(spark, [])
+
+
+def listed(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+
+
+# -- quality ------------------------------------------------------------------------------
+
+
+def test_quality_rules_on_odd_rows(odd, empty):
+    rows = {r["doc_id"]: r for r in quality.quality_rules(odd).collect() if r["doc_id"] not in (None, 9)}
+    assert [rows[i]["n_words"] for i in (1, 2, 3, 4, 5, 6)] == [0, 0, 0, 2, 30_000, 120]
+    assert not rows[1]["kept"] and rows[1]["broken_rules"] == ["too_short"]
+    assert quality.quality_rules(empty).count() == 0
+    assert len(quality.quality_rules(odd, rules=()).where("kept").collect()) == len(ODD)
+
+
+def test_repeated_words_against_counting(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abc", k=rng.randint(0, 25))) for _ in range(150)]
+    rows = quality.quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in rows:
+        w = texts[r["doc_id"]].split()
+        windows = [tuple(w[i: i + 3]) for i in range(len(w) - 2)]
+        hit = {i + d for i, x in enumerate(windows) if windows.count(x) > 1 for d in range(3)}
+        assert r["n_repeat_words"] == len(hit)
+
+
+def test_quality_rules_use_no_python(spark, odd):
+    plan = quality.quality_rules(odd)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# -- chat -----------------------------------------------------------------------------------
+
+EVENTS = "conv long, seq long, kind string, message long, role string, text string"
+
+
+def test_events_fold_into_messages(spark):
+    log = spark.createDataFrame([
+        (1, 1, "open", 0, "user", "Hel"), (1, 2, "delta", 0, "user", "lo"),
+        (1, 3, "open", 1, "assistant", ""), (1, 4, "delta", 1, "assistant", "bad"),
+        (1, 5, "open", 2, "user", "and?"), (1, 6, "regenerate", 1, "assistant", "go"),
+        (1, 7, "delta", 1, "assistant", "od"), (1, 8, "edit", 0, "user", "Hi"), (1, 9, "delta", 0, "user", "!"),
+        (2, 1, "delta", 0, "user", "never opened"), (2, 2, "open", 1, None, None), (None, 1, "open", 0, "user", "x"),
+    ], EVENTS)
+    assert listed(chat.fold_events(log), "conv", "message", "role", "text") == sorted([
+        (1, 0, "user", "Hi!"), (1, 1, "assistant", "good"), (2, 0, "user", "never opened"), (2, 1, "", ""),
+        (None, 0, "user", "x"),
+    ], key=repr)
+    assert chat.render(chat.fold_events(log.limit(0))).count() == 0
+
+
+def test_long_conversations_fold_like_a_loop(spark):
+    rng = random.Random(3)
+    events, messages = [], {}
+    for seq in range(400):
+        m = rng.randint(0, max(messages, default=-1) + 1)
+        kind = "open" if m not in messages else rng.choice(["delta", "delta", "delta", "edit", "regenerate"])
+        text = rng.choice(["a", "<|im_end|>\n", "&lt;|", "é", ""])
+        role = rng.choice(["user", "assistant"])
+        events.append((7, seq, kind, m, role, text))
+        if kind == "open":
+            messages[m] = [role, text]
+        elif kind == "delta":
+            messages[m][1] += text
+        else:
+            messages[m][1] = text
+            if kind == "regenerate":
+                messages = {k: v for k, v in messages.items() if k <= m}
+    rng.shuffle(events)
+    folded = chat.fold_events(spark.createDataFrame(events, EVENTS))
+    back = chat.read_back(chat.render(folded)).first()
+    assert [(t["role"], t["text"]) for t in back["turns"]] == [tuple(messages[m]) for m in sorted(messages)]
+    assert list(back["loss"]) == [t for r, t in (messages[m] for m in sorted(messages)) if r == "assistant"]
+
+
+def test_control_strings_come_back(spark):
+    texts = ["<|im_end|>\n<|im_start|>assistant\nx", "&amp;lt;|", "<", "|", "<<||", "&", "", "\n", "<|im_end|>", None, "a&lt;|b"]
+    rows = [(i, 0, "role\n<|im_end|>\n&", t) for i, t in enumerate(texts)] + [(i, 1, "assistant", t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("message", F.lit(1))
+    back = chat.read_back(chat.render(chat.fold_events(chat.events_of_turns(df)))).collect()
+    assert len(back) == len(texts)
+    for r in back:
+        said = texts[r["conv"]] or ""
+        assert [(t["role"], t["text"]) for t in r["turns"]] == [("role\n<|im_end|>\n&", said), ("assistant", said)]
+        assert list(r["loss"]) == [said]
+
+
+# -- licences -------------------------------------------------------------------------------
+
+
+def test_license_scan_on_odd_rows(spark, odd, empty):
+    rows = [r for r in licenses.license_scan(odd).collect() if r["doc_id"] == 1]
+    assert (rows[0]["n_words"], list(rows[0]["places"]), rows[0]["score"]) == (0, [], 1.0)
+    assert licenses.license_scan(empty).count() == 0
+    text = "Ä CC-BY and CC BY cc; by\nSPDX-License-Identifier: (MIT OR GPL-2.0-only WITH Classpath-exception-2.0) AND CC-BY-NC-4.0 */"
+    row = licenses.license_scan(spark.createDataFrame([(1, text), (2, "SPDX-License-Identifier: MIT AND")], "doc_id long, text string")).collect()
+    assert [(p["phrase"], p["word"]) for p in row[0]["places"]] == [("cc by", 1), ("cc by", 4), ("cc by", 6), ("cc by", 23)]
+    assert set(row[0]["labels"]) == {"cc-by", "cc-by-nc", "mit", "gpl-2.0-only", "cc-by-nc-4.0"} and row[0]["score"] == 0.2
+    assert list(row[1]["labels"]) == ["spdx-invalid"]
+
+
+@pytest.mark.parametrize(("expression", "value"), [
+    ("MIT", 0.95), ("MIT OR GPL-3.0", 0.95), ("MIT AND GPL-3.0", 0.4), ("GPL-3.0 AND MIT OR Apache-2.0", 0.95),
+    ("GPL-3.0 AND (MIT OR Apache-2.0)", 0.4), ("gpl-2.0 with Classpath-exception-2.0", 0.6),
+    ("Odd-1.0", 0.25), ("(MIT", None), ("MIT OR", None), ("", None), ("AND MIT", None), ("MIT) and more", 0.95),
+])
+def test_license_expressions(expression, value):
+    found = licenses.evaluate(expression)
+    assert (found[0] if found else None) == value
+
+
+# -- packing --------------------------------------------------------------------------------
+
+
+def checked_pieces(rows, expected, window):
+    """Every id once, in place; sequences without gaps, full or a power of two."""
+    got, sequences = {}, {}
+    for r in rows:
+        got.setdefault((r["doc_id"], r["doc_tokens"]), []).append((r["start"], bytes(r["ids"])))
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        assert 4 * r["length"] == len(r["ids"]) > 0
+    for held in sequences.values():
+        end = 0
+        for offset, length in sorted(held):
+            assert offset == end
+            end += length
+        assert end <= window and (end == window or end & (end - 1) == 0)
+    for (doc, total), pieces in got.items():
+        assert sum(len(p) for _, p in pieces) % (4 * total) == 0
+        assert b"".join(p for _, p in sorted(pieces)) in expected[doc] or doc in (None, 9)
+    assert {d for d, _ in got} == set(expected)
+
+
+def test_packing_on_odd_rows(odd, empty):
+    from tokenizers import Tokenizer
+
+    plainly = Tokenizer.from_file(TOKENIZER)
+    expected = {}
+    for d, t in ODD:
+        ids = plainly.encode(t or "", add_special_tokens=False).ids + [2]
+        expected.setdefault(d, []).append(np.array(ids, "<u4").tobytes())
+    checked_pieces(packing.pack_documents(odd, TOKENIZER).collect(), expected, packing.WINDOW)
+    checked_pieces(packing.pack_documents(odd, TOKENIZER, window=64, max_open=2).collect(), expected, 64)
+    assert packing.pack_documents(empty, TOKENIZER).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 300), max_size=60), st.integers(1, 20))
+def test_packer_places_every_token_once(sizes, max_open):
+    packer = packing.SumOfSquares(window=64, max_open=max_open)
+    for i, n in enumerate(sizes):
+        packer.add(i, np.arange(n, dtype="<u4").tobytes())
+        assert packer.n_open <= max_open and packer.counts.sum() == packer.n_open
+    packer.finish()
+    seen = {i: [] for i in range(len(sizes))}
+    for pieces in packer.closed:
+        total = sum(len(p[2]) // 4 for p in pieces)
+        assert total == 64 or total & (total - 1) == 0
+        for doc, start, ids, _ in pieces:
+            assert np.frombuffer(ids, "<u4").tolist() == list(range(start, start + len(ids) // 4))
+            seen[doc] += np.frombuffer(ids, "<u4").tolist()
+    assert all(sorted(seen[i]) == list(range(n)) for i, n in enumerate(sizes))
+
+
+def test_packer_takes_the_level_of_least_squares():
+    rng = random.Random(4)
+    packer = packing.SumOfSquares(window=20, max_open=10_000)
+    for _ in range(300):
+        size = rng.randint(1, 19)
+        counts = packer.counts.copy()
+
+        def squares(level):
+            after = counts.copy()
+            after[level] -= level > 0
+            after[level + size] += level + size < 20
+            return int((after[:20] ** 2).sum())
+
+        open_levels = [0, *(h for h in range(1, 21 - size) if counts[h])]
+        assert squares(packer._level_for(size)) == min(map(squares, open_levels))
+        packer.add(0, b"\0" * 4 * size)
+
+
+TOKEN_TEXTS = st.text(alphabet=st.sampled_from("aZé É ΣσçİßǺÅ'st.,!<|>0²½\t\x0b  漢🙂"), max_size=40)
+
+
+@settings(max_examples=150, deadline=None)
+@given(TOKEN_TEXTS)
+def test_stored_words_give_the_tokenizers_ids(text):
+    tokens = getattr(test_stored_words_give_the_tokenizers_ids, "tokens", None)
+    if tokens is None:
+        tokens = test_stored_words_give_the_tokenizers_ids.tokens = packing.WordTokens(TOKENIZER, max_stored=20)
+    expected = tokens.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(tokens.ids(text.encode()), "<u4").tolist() == expected
+
+
+# -- substrings and near duplicates -----------------------------------------------------------
+
+
+def test_cover_gives_every_difference():
+    cover = substring.COVER
+    assert {(a - b) % substring.PERIOD for a in cover for b in cover} == set(range(substring.PERIOD))
+
+
+def test_substring_dedup_against_brute_force(spark, odd, empty):
+    passage = prose(11, 60)
+    rows = [*ODD, *[(100 + i, f"{prose(50 + i, 7 * i)} {passage} {prose(80 + i, 20)}") for i in range(12)]]
+    rows += [(200, f"{prose(90, 40)} {prose(90, 40)}"), (201, prose(90, 36) + " end"), (202, " ".join(["x"] * 80))]
+    found = substring.substring_dedup(frame(spark, rows))
+    split, kept = plain.without_repeats([t for _, t in rows])
+    expected = [(d, len(w), len(w) - len(k), plain.sha256(k)) for (d, _), w, k in zip(rows, split, kept, strict=True)]
+    assert listed(found, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(expected, key=repr)
+    texts = {r["doc_id"]: r["kept"] for r in found.collect()}
+    assert texts[100] == b" ".join(kept[len(ODD)]).decode() and texts[4] is None
+    assert substring.substring_dedup(empty).count() == 0
+
+
+def test_near_duplicates_on_odd_rows(odd, empty):
+    found = neardup.near_duplicates(odd)
+    by_id = {}
+    for r in found.collect():
+        by_id.setdefault(r["doc_id"], []).append((r["n_shingles"], r["component_id"]))
+    assert by_id[1] == [(0, 1)] and by_id[2] == [(0, 2)] and by_id[3] == [(0, 3)]
+    assert by_id[4] == [(1, 4)] and by_id[10] == [(1, 4)]
+    size = len(plain.shingles(COPY))
+    assert by_id[6] == by_id[7] == [(size, 6)] and by_id[9] == [(size, 6)] * 2 and by_id[8][0][1] == 6
+    assert sorted(by_id[None], key=repr) == [(1, None), (size, 6)]
+    assert neardup.near_duplicates(empty).count() == 0
+
+
+def test_near_duplicates_against_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for family in range(10):
+        base = prose(1_000 + family, 150).split()
+        for member in range(30 if family == 0 else 6):
+            own = list(base)
+            for _ in range(rng.randint(0, 5)):
+                own[rng.randrange(len(own))] = f"x{rng.random()}"
+            rows.append((family * 100 + member, " ".join(own)))
+    rng.shuffle(rows)
+    found = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(frame(spark, rows)).collect()}
+    assert found == {d: c for (d, _), c in zip(rows, plain.components(rows), strict=True)}
+
+
+def test_blocks_find_what_leaders_miss(spark, monkeypatch):
+    """With one bucket for all, leaders alone would link little; blocks must find the rest."""
+    monkeypatch.setattr(neardup, "BLOCK_NODES", 4)
+    rng = random.Random(9)
+    rows, own = [], prose(3_000, 200).split()
+    for i in range(40):  # a chain: each one near the one before, far from the first
+        for _ in range(2):
+            own[rng.randrange(len(own))] = f"x{rng.random()}"
+        rows.append((i, " ".join(own)))
+    found = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(frame(spark, rows)).collect()}
+    assert found == {d: c for (d, _), c in zip(rows, plain.components(rows), strict=True)}
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(300)] + [(1_000, 1_000 + i) for i in range(1, 200)] + [(5_000, 5_000)]
+    found = components.connected_components(spark.createDataFrame(links, "a long, b long"))
+    labels = {r["node"]: r["component"] for r in found.collect()}
+    assert all(labels[i] == 0 for i in range(301)) and all(labels[1_000 + i] == 1_000 for i in range(200))
+
+
+# -- decontamination --------------------------------------------------------------------------
+
+
+def test_leaks_on_odd_rows(spark, odd, empty):
+    item = prose(21, 40)
+    items = frame(spark, [(1, item), (2, None), (3, ""), (4, "only three words"), (5, item)], "item_id long, text string")
+    words = item.split()
+    rows = [*ODD, (50, f"{prose(22, 500)} {item.upper().replace(' ', ', ')} {prose(23, 300)}"), (51, item), (51, item),
+            (52, " ".join(words[:20])), (53, "x Only three, words! y"), (54, " ".join(reversed(words)))]
+    found = decontaminate.benchmark_leaks(frame(spark, rows), items)
+    assert listed(found, "doc_id", "item_id") == [(50, 1), (50, 5), (51, 1), (51, 1), (51, 5), (51, 5), (53, 4)]
+    clean = decontaminate.without_leaks(frame(spark, rows), items)
+    assert clean.columns == frame(spark, rows).columns and clean.count() == len(rows) - 4
+    assert decontaminate.benchmark_leaks(empty, items).count() == 0
+    assert decontaminate.benchmark_leaks(odd, items.limit(0)).count() == 0
+
+
+def test_leaks_do_not_depend_on_index_parts(spark):
+    items = [(i, prose(300 + i, 30 + i)) for i in range(30)]
+    docs = [(i, f"{prose(400 + i, 50 * i)} {items[i][1]} {prose(500 + i, 90)}") for i in range(30)]
+    df, held = frame(spark, docs), frame(spark, items, "item_id long, text string")
+    assert listed(decontaminate.benchmark_leaks(df, held), "doc_id", "item_id") == sorted(plain.leaks(docs, items), key=repr)
+    indexes = list(decontaminate.leak_indexes(held, part_bytes=4_000))
+    assert len(indexes) > 2 and sorted(i for x in indexes for i in x.ids) == list(range(30))
+    pairs = [(d, leak["item_id"]) for x in indexes
+             for (d, _), found in zip(docs, decontaminate.find_leaks(x, [plain_words(t.encode()) for _, t in docs], 0.6, 0.8, 0.5), strict=True)
+             for leak in found]
+    assert sorted(pairs) == sorted(plain.leaks(docs, items))
+
+
+def test_block_max_wand_returns_all_above_the_threshold(monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK", 4)
+    rng = random.Random(6)
+    for _ in range(200):
+        lists = []
+        for _ in range(rng.randint(1, 8)):
+            items = sorted(rng.sample(range(80), rng.randint(1, 60)))
+            lists.append(decontaminate.Postings(items, [rng.random() ** 4 for _ in items]))
+        scores = {}
+        for postings in lists:
+            for i, s in zip(postings.items, postings.shares, strict=True):
+                scores[i] = scores.get(i, 0) + s
+        for threshold in (0.3, 0.9, 2.0):
+            found = decontaminate.block_max_wand(lists, threshold)
+            assert [i for i, _ in found] == sorted(i for i, s in scores.items() if s >= threshold - 1e-9)
+            assert all(abs(s - scores[i]) < 1e-9 for i, s in found)
+
+
+# -- language ---------------------------------------------------------------------------------
+
+
+def brute_marginals(scores, moves):
+    from itertools import product
+
+    n, labels = scores.shape
+    weights = {p: np.exp(sum(scores[t, p[t]] for t in range(n)) + sum(moves[p[t], p[t + 1]] for t in range(n - 1)))
+               for p in product(range(labels), repeat=n)}
+    total = sum(weights.values())
+    return np.array([[sum(w for p, w in weights.items() if p[t] == k) / total for k in range(labels)] for t in range(n)])
+
+
+def test_forward_backward_against_all_paths():
+    rng = np.random.default_rng(2)
+    moves = rng.normal(size=(3, 3))
+    lengths = [5, 5, 3, 1]
+    scores = rng.normal(size=(5, 4, 3))
+    active = np.array([sum(n > t for n in lengths) for t in range(5)])
+    found, expected, _ = language.forward_backward(scores, moves, active)
+    for s, n in enumerate(lengths):
+        assert np.allclose(found[:n, s], brute_marginals(scores[:n, s], moves))
+    assert np.isclose(expected.sum(), sum(n - 1 for n in lengths))
+
+
+@pytest.fixture(scope="module")
+def two_languages():
+    rng = random.Random(1)
+
+    def text(parts, n):
+        return " ".join("".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(n))
+
+    one, two = ["ba", "lo", "mi", "the"], ["kr", "zu", "sch", "der"]
+    model = language.train([(text(one, 80), "xx") for _ in range(40)] + [(text(two, 80), "yy") for _ in range(40)], steps=40)
+    return model, lambda n: text(one, n), lambda n: text(two, n)
+
+
+def test_code_switched_text_is_labelled_by_parts(two_languages):
+    model, one, two = two_languages
+    mixed = one(300) + " " + two(100)
+    shares = language.Labeller(model).shares([mixed, one(5_000), None, "", "123 !", two(3)])
+    assert abs(shares[0][0] - 0.75) < 0.03 and shares[1][0] > 0.97 and shares[5][1] > 0.8
+    assert not shares[2:5].any()
+
+
+def test_language_on_odd_rows(spark, odd, empty, two_languages):
+    model, _, _ = two_languages
+    rows = {r["doc_id"]: (r["language"], r["score"]) for r in language.identify_language(model, odd).collect()}
+    assert rows[1] == rows[2] == rows[3] == rows[11] == ("und", 0.0)
+    assert rows[5][0] in ("xx", "yy") and 0 < rows[5][1] <= 1
+    assert language.identify_language(model, empty).count() == 0
+    unlearned = language.fit_language_model(frame(spark, [(1, "abc", None), (2, None, "en")], "doc_id long, text string, lang string"))
+    assert {r["language"] for r in language.identify_language(unlearned, odd).collect()} == {"und"}
+
+
+def test_long_runs_of_letters_are_read_whole():
+    assert "".join(language.words_of("x" * 100 + " " + "漢" * 50)) == "x" * 100 + "漢" * 50
+
+
+# -- pages --------------------------------------------------------------------------------------
+
+
+def test_tree_fits_its_table():
+    tree = pages.grow_tree(pages.LABELLED_BLOCKS)
+    assert all(pages.decide(tree, r[:-1]) == bool(r[-1]) for r in pages.LABELLED_BLOCKS)
+
+
+ARTICLE = "one two three four five six seven eight nine ten eleven twelve"
+PAGES = [
+    (f"<html><head><title>T</title><script>x='</p>'</script></head><body><nav><a href=/a>A</a></nav><article><h1>Head</h1>"
+     f"<p>{ARTICLE} <b>bold<p>second &amp; &lt;last&gt;<br>line</article><footer>&copy; all the words of a footer</footer>",
+     f"Head\n{ARTICLE} bold\nsecond & <last> line"),
+    (f"<div class='sidebar'><p>{ARTICLE}</p></div><main><p>{ARTICLE}</p><form><p>{ARTICLE}</p></form>"
+     f"<section id=comments><p>{ARTICLE}</p></section><aside>{ARTICLE}</aside><p>End.</p></main>", f"{ARTICLE}\nEnd."),
+    (f"<ul><li><a href=x>Home</a><li><a href=y>News</a></ul><h2>Title of it</h2><p>{ARTICLE}</p><p>{ARTICLE}</p>"
+     "<p><a href=z>More</a> <a href=w>links</a></p>", f"Title of it\n{ARTICLE}\n{ARTICLE}"),
+    ("", ""), (None, ""), ("<!-- never closed <p>text</p>", ""), ("<script>never closed", ""),
+    (f"<article><p hidden>secret words</p><style>p{{}}</style><p>{ARTICLE}\t\n x</p><div class=\"ad\">Buy</div></article>", f"{ARTICLE} x"),
+]
+
+
+def test_pages_on_odd_rows(spark):
+    rows = [(i, None if i == 3 else f"u{i}", source) for i, (source, _) in enumerate(PAGES)]
+    df = frame(spark, rows, "page_id long, url string, html string").withColumn("text", F.lit("own"))
+    found = {r["page_id"]: r["text"] for r in pages.extract_main_text(df).collect()}
+    assert found == {i: text for i, (_, text) in enumerate(PAGES)}
+    assert pages.extract_main_text(df.limit(0)).count() == 0
+
+
+# -- sharding -----------------------------------------------------------------------------------
+
+
+def check_shards(rows, shards):
+    slots = {}
+    for r in rows:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(0 <= s < shards for s in slots) and all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_shards_on_odd_rows(odd, empty):
+    rows = sharding.balanced_shards(odd).collect()
+    assert len(rows) == len(ODD)
+    check_shards(rows, 24)
+    sizes = {r["doc_id"]: (r["size"], r["text_crc32"]) for r in rows}
+    assert sizes[1] == (8, 0) and sizes[2] == (8, 0) and sizes[5] == (len(LONG) + 8, zlib.crc32(LONG.encode()))
+    assert sharding.balanced_shards(empty).count() == 0
+
+
+def test_groups_stay_together_and_sizes_even(spark):
+    rng = random.Random(12)
+    texts = [prose(i, rng.randint(5, 120)) for i in range(1_500)]
+    rows = [(i, texts[i]) for i in range(1_500)] + [(2_000 + i, texts[i % 150]) for i in range(600)]
+    rows += [(10_000 + i, "the same text again") for i in range(1_200)]  # more than one shard holds
+    placed = sharding.balanced_shards(frame(spark, rows), shards=6).collect()
+    check_shards(placed, 6)
+    loads, groups = {}, {}
+    for r in placed:
+        loads[r["shard"]] = loads.get(r["shard"], 0) + r["size"]
+        groups.setdefault(r["group"], []).append(r["shard"])
+    assert len(loads) == 6 and max(loads.values()) < 1.02 * sum(loads.values()) / 6
+    repeated = [set(s) for s in groups.values() if 1 < len(s) < 100]
+    assert sum(len(s) > 1 for s in repeated) <= 0.02 * len(repeated)
