@@ -37,28 +37,41 @@ def _same_text() -> Column:
     return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
 
 
+def _unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until ``docs`` has no column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    longer = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        longer.append(name)
+    return longer
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near copies."""
+    own, same = _unused(docs, "kept_id", "same_text")
     found = neardup.near_duplicates(docs.select("doc_id", "text"))
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    stays = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return stays.withColumn("_same", _same_text()).dropDuplicates(["doc_id", "_same"]).drop("_same")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(own)).distinct()
+    stays = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")
+    return stays.withColumn(same, _same_text()).dropDuplicates(["doc_id", same]).drop(same)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the runs of words that occur elsewhere."""
+    cut_id, cut_same, left_text, same = _unused(docs, "cut_id", "cut_same", "left_text", "same_text")
     found = substring.substring_dedup(docs.select("doc_id", "text"))
     cut = found.where("kept IS NOT NULL").select(
-        F.col("doc_id").alias("_cut"), F.col("same").alias("_cut_same"), F.col("kept").alias("_kept")
-    ).dropDuplicates(["_cut", "_cut_same"])
-    joined = docs.withColumn("_same", _same_text()).join(
-        cut, F.col("doc_id").eqNullSafe(F.col("_cut")) & (F.col("_same") == F.col("_cut_same")), "left"
+        F.col("doc_id").alias(cut_id), F.col("same").alias(cut_same), F.col("kept").alias(left_text)
+    ).dropDuplicates([cut_id, cut_same])
+    joined = docs.withColumn(same, _same_text()).join(
+        cut, F.col("doc_id").eqNullSafe(F.col(cut_id)) & (F.col(same) == F.col(cut_same)), "left"
     )
-    text = F.coalesce("_kept", "text")
-    changed = {"text": text}
+    text = F.col(left_text)
+    changed = {"text": F.coalesce(text, F.col("text"))}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.char_length("_kept"))
-    left = joined.where(F.col("_kept").isNull() | (F.col("_kept") != ""))
+        changed["n_chars"] = F.when(text.isNull(), F.col("n_chars")).otherwise(F.char_length(text))
+    left = joined.where(text.isNull() | (text != ""))
     return left.withColumns(changed).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
