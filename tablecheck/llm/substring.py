@@ -36,7 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.llm.shingles import list_array, mixed, window_hashes, word_hashes
-from tablecheck.sources.scratch import staged
+from tablecheck.llm.upkeep import discard, release, write_and_read
+from tablecheck.sources.scratch import fresh_path, staged
 
 WINDOW = 35
 #: Any two numbers differ, modulo the period, by the difference of two members of the cover.
@@ -143,16 +144,19 @@ def substring_dedup(
     picked = docs.select(
         F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("t")
     )
+    spark = docs.sparkSession
     # one row a document, with anchors; rows get numbers that stay as they are written
-    rows = staged(
+    anchors_path = fresh_path(spark, "anchors")
+    read = write_and_read(
         picked.select("id", F.md5("t").alias("same"), _read(F.col("t"), window).alias("r"))
         .select(F.monotonically_increasing_id().alias("row"), "id", "same", "r.n_words", "r.sha256", "r.anchors"),
-        "anchors",
+        anchors_path,
     )
+    rows = staged(read.drop("anchors"), "rows")
     classes = staged(
         rows.groupBy("same").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("first")), "classes"
     )
-    anchored = rows.select("row", F.posexplode("anchors").alias("ordinal", "anchor"))
+    anchored = read.select("row", F.posexplode("anchors").alias("ordinal", "anchor"))
     shared = anchored.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     flagged = anchored.join(shared, "anchor").groupBy("row").agg(F.collect_list("ordinal").alias("ordinals"))
     # one row stands for all copies of a text
@@ -160,24 +164,30 @@ def substring_dedup(
         rows.select("row", "id", "same").join(flagged, "row")
         .join(classes.select(F.col("first").alias("row"), "copies"), "row"), "concerned",
     )
-    texts = picked.withColumn("same", F.md5("t")).alias("d")
+    discard(spark, anchors_path)
+    release(spark)
+    texts = picked.withColumn("same", F.md5("t"))
     chosen = concerned.withColumnRenamed("id", "chosen_id").withColumnRenamed("same", "chosen")
     held = staged(
         chosen.join(texts, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("same") == F.col("chosen")))
         .select("row", "copies", "ordinals", "t"), "texts",
     )
+    release(spark)
+    # hashed once to be counted and once to be found again: cheaper than keeping them all.
+    # Rows that repeat id and text come twice here, but those texts are decided by their count.
     windows = held.select("row", F.explode(_extended(F.col("t"), F.col("ordinals"), window)).alias("w")).select(
         "row", "w.start", "w.h", "w.g"
     )
-    windows = staged(windows, "windows")
-    place = F.xxhash64("row", "start")
-    repeated = windows.groupBy("h", "g").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high")
-    starts = windows.join(repeated, ["h", "g"]).groupBy("row").agg(F.collect_set("start").alias("starts"))
-    cut = held.where("copies = 1").dropDuplicates(["row"]).join(starts, "row").select(
+    repeated = windows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "g")
+    starts = staged(
+        windows.join(repeated, ["h", "g"]).groupBy("row").agg(F.collect_set("start").alias("starts")), "starts"
+    )
+    release(spark)
+    cut = held.where("copies = 1").join(starts, "row").select(
         "row", _cut(F.col("t"), F.col("starts"), window).alias("c")
     ).select("row", "c.n_removed", "c.kept", F.sha2(F.col("c.kept").cast("binary"), 256).alias("kept_sha256"))
     cut = staged(cut, "cut")
-    decided = rows.drop("anchors").join(classes.select("same", "copies"), "same").join(cut, "row", "left")
+    decided = rows.join(classes.select("same", "copies"), "same").join(cut, "row", "left")
     gone = (F.col("copies") > 1) & (F.col("n_words") >= window)
     return decided.select(
         F.col("id").alias(key), "same", "n_words",
