@@ -123,7 +123,12 @@ def audit_jdbc_append(
 
 def as_audit(records: DataFrame) -> DataFrame:
     """Bring audit rows, older column names included, to the audit schema."""
-    present = {OLD_NAMES.get(c, c): c for c in records.columns}
+    present: dict[str, str] = {}
+    for c in records.columns:
+        name = OLD_NAMES.get(c, c)
+        if name in present:
+            raise ValueError(f"{present[name]} and {c} are both audit column {name}")
+        present[name] = c
     unknown = sorted(set(present) - set(AUDIT_SCHEMA.names))
     if unknown:
         raise ValueError(f"not audit columns: {', '.join(unknown)}")

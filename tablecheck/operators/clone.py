@@ -63,10 +63,12 @@ def clone_tables(
 def read_clone_spec(spark: SparkSession, path: str) -> dict:
     """Read a YAML or JSON spec file from any storage Spark can reach."""
     text = spark.read.text(path, wholetext=True).first()[0]
+    if text.lstrip().startswith("{"):
+        return json.loads(text)
     try:
         import yaml
-    except ImportError:
-        return json.loads(text)
+    except ImportError as missing:
+        raise ImportError(f"{path} is no JSON; reading YAML needs the yaml library (PyYAML)") from missing
     return yaml.safe_load(text)
 
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecheck.functions.flags import all_of, any_null
 from tablecheck.functions.names import column, trimmed_names
 from tablecheck.sources.scratch import staged
 
-# Up to this many keys the smallest are kept in a heap per task; beyond it they are sorted.
-HEAP_KEYS = 100_000
+# A range that has to be cut in two is first split until it holds about this many rows.
+RANGE_ROWS = 1_000_000
+_SPLITS = 4
 
 
 class SampledPair(NamedTuple):
@@ -29,32 +31,42 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 def sample_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
     """The first ``limit`` distinct keys in key order. NULL keys match nothing: left out."""
     by_key = [column(k) for k in keys]
-    distinct = df.where(~any_null(keys)).select(*by_key).distinct()
-    if limit <= HEAP_KEYS:
-        return distinct.orderBy(*by_key).limit(limit)
-    return _first_of_many(distinct, by_key, limit)
+    return first_rows(df.where(~any_null(keys)).select(*by_key).distinct(), by_key, limit)
 
 
-def _first_of_many(distinct: DataFrame, by_key: list[Column], limit: int) -> DataFrame:
+def first_rows(df: DataFrame, by: list[Column], limit: int) -> DataFrame:
     """The first ``limit`` rows in order, without bringing them to one task.
 
-    The keys are range-partitioned and written once. Whole ranges are taken as they are;
-    only the one range that holds the last key is cut. What reaches the driver is one
-    count per range.
+    The rows are range-partitioned and written once. Whole ranges are taken as they are;
+    only the one range that holds the last row is cut, after being split further while it
+    is large. What reaches the driver is one count per range.
     """
-    part = "__range"
-    ranged = staged(
-        distinct.repartitionByRange(*by_key).withColumn(part, F.spark_partition_id()), "sorted-keys"
-    )
-    sizes = dict(ranged.groupBy(part).count().collect())
-    last, left = -1, limit
-    for last in sorted(sizes):
-        if sizes[last] >= left:
+    part, place = "__range", "__place"
+    taken: list[DataFrame] = []
+    rest, left = df, limit
+    for _ in range(_SPLITS):
+        ranged = staged(rest.repartitionByRange(*by).withColumn(part, F.spark_partition_id()), "ranges")
+        sizes = dict(ranged.groupBy(part).count().collect())
+        if sum(sizes.values()) <= left:
+            taken.append(ranged.drop(part))
+            return reduce(DataFrame.unionByName, taken)
+        for last in sorted(sizes):
+            if sizes[last] > left:
+                break
+            left -= sizes[last]
+        taken.append(ranged.where(F.col(part) < last).drop(part))
+        rest = ranged.where(F.col(part) == last)
+        if sizes[last] <= RANGE_ROWS:
             break
-        left -= sizes[last]
-    whole = ranged.where(F.col(part) < last)
-    cut = ranged.where(F.col(part) == last).orderBy(*by_key).limit(max(left, 0))
-    return whole.unionByName(cut).drop(part)
+    numbered = rest.withColumn(place, F.row_number().over(Window.partitionBy(part).orderBy(*by)))
+    taken.append(numbered.where(F.col(place) <= left).drop(part, place))
+    return reduce(DataFrame.unionByName, taken)
+
+
+def lowest_rows(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """The first ``limit`` rows by key and then by the other columns."""
+    rest = [c for c in df.columns if c not in keys]
+    return first_rows(df, [column(c) for c in [*keys, *rest]], limit)
 
 
 def rows_of_keys(df: DataFrame, sample: DataFrame) -> DataFrame:
@@ -81,6 +93,5 @@ def sample_pair(
     sample = staged(sample_keys(a, keys, limit), "sample-keys")
     cuts = [rows_of_keys(side, sample) for side in (a, b)]
     if row_limit is not None:
-        rest = [[c for c in cut.columns if c not in keys] for cut in cuts]
-        cuts = [cut.orderBy(*map(column, keys + r)).limit(row_limit) for cut, r in zip(cuts, rest)]
+        cuts = [lowest_rows(cut, keys, row_limit) for cut in cuts]
     return SampledPair(sample, *cuts)

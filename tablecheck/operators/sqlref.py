@@ -38,15 +38,20 @@ def template_table_keys(templates: DataFrame) -> DataFrame:
 def resolve_table_keys(
     keys: DataFrame | None, table_reference: DataFrame, use_stage: bool = False
 ) -> DataFrame:
-    """Add ``table_path`` to every key; NULL where the reference has no such key."""
+    """Add ``table_path`` to every key; NULL where the reference has no such key.
+
+    Rows of one key may leave the path NULL; two different paths are an error.
+    """
     if keys is None:
         raise ValueError(INVALID_TABLE_LIST)
     chosen = "stage_table_path" if use_stage else "table_path"
-    first = F.min(F.struct("table_path", "stage_table_path")).alias("found")
-    reference = staged(table_reference.groupBy("table_cd").agg(first), "table-reference")
-    return keys.join(reference, "table_cd", "left").select(
-        *keys.columns, F.col("found")[chosen].alias("table_path")
+    least, most = F.min(chosen), F.max(chosen)
+    clash = F.concat(F.lit(f"more than one {chosen} for table key "), F.col("table_cd"))
+    path = F.when(least != most, F.raise_error(clash).cast("string")).otherwise(least)
+    reference = staged(
+        table_reference.groupBy("table_cd").agg(path.alias("__path")), "table-reference"
     )
+    return keys.join(reference, "table_cd", "left").select(*keys.columns, F.col("__path").alias("table_path"))
 
 
 def unresolved_keys(
@@ -94,13 +99,15 @@ def rendered_query(
     variables: Mapping[str, str] | None = None,
 ) -> str:
     """The one rendered statement stored under ``domain_cd``."""
-    chosen = templates.where(F.col("domain_cd") == domain_cd).limit(1)
-    row = chosen.select("domain_value").first()
-    if row is None:
+    stored = templates.where(F.col("domain_cd") == domain_cd).select("domain_value").take(2)
+    if not stored:
         raise ValueError(f"no template stored under {domain_cd!r}")
-    if not row[0]:
+    if len(stored) > 1:
+        raise ValueError(f"more than one template stored under {domain_cd!r}")
+    statement = stored[0][0]
+    if not statement:
         raise ValueError(INVALID_SQL)
-    fixed = chosen.sparkSession.createDataFrame([(domain_cd, row[0])], "domain_cd string, domain_value string")
+    fixed = templates.sparkSession.createDataFrame([(domain_cd, statement)], "domain_cd string, domain_value string")
     missing = [r[0] for r in unresolved_keys(fixed, table_reference, use_stage).select("table_cd").collect()]
     if missing:
         raise ValueError(f"unresolved table keys in {domain_cd!r}: {', '.join(sorted(missing))}")

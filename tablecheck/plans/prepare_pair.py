@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from tablecheck.functions.names import last_part
 from tablecheck.operators.clone import clone_full
 from tablecheck.operators.manifest import files_equal
-from tablecheck.operators.sample import normalize_columns, rows_of_keys, sample_keys
+from tablecheck.operators.sample import lowest_rows, normalize_columns, rows_of_keys, sample_keys
 from tablecheck.sources.tables import drop_table, replace_table, table_location
 
 # Postfix of the sampled tables and prefix of the key table.
@@ -57,8 +57,7 @@ def prepare_pair(
     for table in (main, clone):
         cut = rows_of_keys(normalize_columns(spark.table(table)), sample)
         if row_limit is not None:
-            rest = [c for c in cut.columns if c not in keys]
-            cut = cut.orderBy(*keys, *rest).limit(row_limit)
+            cut = lowest_rows(cut, list(keys), row_limit)
         replace_table(cut, table + SAMPLE_POSTFIX, fmt, bucket_by=bucket_by)
     drop_table(spark, key_table)
     return PreparedPair(main + SAMPLE_POSTFIX, clone + SAMPLE_POSTFIX, recreated)

@@ -14,8 +14,11 @@ def write_jdbc(
     df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
     max_connections: int = 8,
 ) -> None:
-    """Append to a relational table with at most ``max_connections`` writers."""
-    df.coalesce(max_connections).write.jdbc(url, table, mode="append", properties=dict(properties or {}))
+    """Append to a relational table with ``max_connections`` writers.
+
+    The rows are dealt out anew, so the work before the write keeps its own width.
+    """
+    df.repartition(max_connections).write.jdbc(url, table, mode="append", properties=dict(properties or {}))
 
 
 def write_graph_nodes(

@@ -65,13 +65,32 @@ def replace_table(
         prefix, name = last_part(table)
         staging = f"{prefix}{name}_new_{uuid.uuid4().hex[:12]}"
         writer.saveAsTable(staging)
-        drop_table(spark, table)
-        spark.sql(f"ALTER TABLE {sql_name(staging)} RENAME TO {sql_name(table)}")
+        _swap(spark, staging, table)
         if partition_by:  # a catalog may still list the partitions under the staging name
             spark.sql(f"MSCK REPAIR TABLE {sql_name(table)} SYNC PARTITIONS")
     return int(rows.get["n"])
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {sql_name(old)} RENAME TO {sql_name(new)}")
+
+
+def _swap(spark: SparkSession, staging: str, table: str) -> None:
+    """Give ``staging`` the name of ``table``; the old table goes only once that is done."""
+    if not spark.catalog.tableExists(table):
+        _rename(spark, staging, table)
+        return
+    prefix, name = last_part(table)
+    aside = f"{prefix}{name}_old_{uuid.uuid4().hex[:12]}"
+    _rename(spark, table, aside)
+    try:
+        _rename(spark, staging, table)
+    except Exception:
+        _rename(spark, aside, table)
+        raise
+    drop_table(spark, aside)
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 

@@ -17,10 +17,15 @@ ACTION_SCHEMA = T.StructType([
     ])),
     T.StructField("remove", T.StructType([T.StructField("path", T.StringType())])),
 ])
+CHECKPOINT_SCHEMA = T.StructType([
+    *ACTION_SCHEMA.fields, T.StructField("sidecar", T.StructType([T.StructField("path", T.StringType())])),
+])
 LOG_FOLDER = "_delta_log"
-COMMIT_FILES = "*.json"
-CHECKPOINT_FILES = "*.checkpoint*.parquet"
+SIDE_FOLDER = "_sidecars"
+COMMIT_FILES = "[0-9]*[0-9].json"
+CHECKPOINT_FILES = "*.checkpoint*"
 _VERSION = r"(\d{20})\.[^/]*$"
+_PART = r"\.checkpoint\.(\d{10})\.(\d{10})\.parquet$"
 
 
 def file_actions(actions: DataFrame) -> DataFrame:
@@ -38,19 +43,19 @@ def read_log(spark: SparkSession, table_path: str) -> DataFrame:
     """File actions of the latest checkpoint and of every JSON commit still there.
 
     The log keeps JSON commits for a while after a checkpoint, so a commit may repeat
-    what the checkpoint holds; replay by version takes care of that.
+    what the checkpoint holds; replay by version takes care of that. A checkpoint may be
+    one file, several numbered parts, or name side files that hold its actions.
     """
     folder = f"{table_path.rstrip('/')}/{LOG_FOLDER}"
-    commits = _versioned(_reader(spark, COMMIT_FILES).json(folder))
+    commits = _versioned(_reader(spark, COMMIT_FILES, ACTION_SCHEMA).json(folder))
     latest = _latest_checkpoint(spark, folder)
     if latest is None:
         return file_actions(commits)
-    kept = _versioned(_reader(spark, f"{latest:020d}.checkpoint*.parquet").parquet(folder))
-    return file_actions(commits.unionByName(kept))
+    return file_actions(commits.unionByName(_checkpoint(spark, folder, *latest)))
 
 
-def _reader(spark: SparkSession, pattern: str):
-    return spark.read.schema(ACTION_SCHEMA).option("pathGlobFilter", pattern)
+def _reader(spark: SparkSession, pattern: str, schema: T.StructType):
+    return spark.read.schema(schema).option("pathGlobFilter", pattern)
 
 
 def _version_of(path: Column) -> Column:
@@ -61,6 +66,36 @@ def _versioned(records: DataFrame) -> DataFrame:
     return records.select(_version_of(F.col("_metadata.file_path")).alias("version"), "add", "remove")
 
 
-def _latest_checkpoint(spark: SparkSession, folder: str) -> int | None:
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", CHECKPOINT_FILES).load(folder)
-    return listed.select(F.max(_version_of(F.col("path")))).first()[0]
+def _latest_checkpoint(spark: SparkSession, folder: str) -> tuple[int, str] | None:
+    """Version and name pattern of the newest whole checkpoint.
+
+    One row per checkpoint file reaches the driver, of the newest version only.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", CHECKPOINT_FILES).load(folder).select(
+        F.element_at(F.split("path", "/"), -1).alias("name"), _version_of(F.col("path")).alias("version"),
+        F.regexp_extract("path", _PART, 1).alias("part"), F.regexp_extract("path", _PART, 2).alias("parts"),
+    )
+    newest = listed.agg(F.max("version")).first()[0]
+    if newest is None:
+        return None
+    files = listed.where(F.col("version") == newest).collect()
+    single = [f["name"] for f in files if f["name"].endswith(".parquet") and not f["part"]]
+    if single:
+        return newest, max(single)
+    for parts in sorted({f["parts"] for f in files if f["part"]}):
+        held = {f["part"] for f in files if f["parts"] == parts}
+        if len(held) == int(parts):
+            return newest, f"{newest:020d}.checkpoint.*.{parts}.parquet"
+    raise ValueError(f"checkpoint {newest} of {folder} lacks parts or is in a form that cannot be read")
+
+
+def _checkpoint(spark: SparkSession, folder: str, version: int, pattern: str) -> DataFrame:
+    kept = _reader(spark, pattern, CHECKPOINT_SCHEMA).parquet(folder)
+    own = kept.select(F.lit(version).cast("bigint").alias("version"), "add", "remove")
+    sides = [r[0] for r in kept.where("sidecar IS NOT NULL").select("sidecar.path").distinct().collect()]
+    if not sides:
+        return own
+    # a path may be the file's name alone or spelled out
+    paths = [p if "/" in p else f"{folder}/{SIDE_FOLDER}/{p}" for p in sides]
+    held = spark.read.schema(ACTION_SCHEMA).parquet(*paths)
+    return own.unionByName(held.select(F.lit(version).cast("bigint").alias("version"), "add", "remove"))

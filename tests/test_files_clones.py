@@ -120,6 +120,36 @@ def test_log_replay(spark, tmp_path, log_folder):
     assert {r["file_path"]: r["size"] for r in dicts(tc.manifest_live(log))} == {"f2": 1, "f3": 9}
 
 
+def put_parquet(spark, tmp_path, target, rows, ddl):
+    staging = tmp_path / f"staging-{len(os.listdir(tmp_path))}"
+    spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(str(staging))
+    [part] = [n for n in os.listdir(staging) if n.endswith(".parquet")]
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    with open(staging / part, "rb") as data, open(target, "wb") as out:
+        out.write(data.read())
+
+
+ACTIONS = "add struct<path:string,size:bigint>, remove struct<path:string>"
+
+
+def test_log_with_side_files(spark, tmp_path, log_folder):
+    put_parquet(spark, tmp_path, f"{log_folder}/_sidecars/one.parquet", [(("f1", 1), None), (("f9", 2), None)], ACTIONS)
+    put_parquet(spark, tmp_path, f"{log_folder}/{1:020d}.checkpoint.0f-a.parquet", [(None, None, ("one.parquet",)), (("f7", 3), None, None)],
+                f"{ACTIONS}, sidecar struct<path:string>")
+    write_commit(log_folder, 2, add("f2", 5), remove("f9"))
+    log = tc.read_log(spark, str(tmp_path))
+    assert {r["file_path"]: r["size"] for r in dicts(tc.manifest_live(log))} == {"f1": 1, "f2": 5, "f7": 3}
+
+
+def test_log_with_parts(spark, tmp_path, log_folder):
+    write_commit(log_folder, 4, add("f4", 4))
+    put_parquet(spark, tmp_path, f"{log_folder}/{3:020d}.checkpoint.{1:010d}.{2:010d}.parquet", [(("f1", 1), None)], ACTIONS)
+    with pytest.raises(ValueError, match="checkpoint 3 .* lacks parts"):
+        tc.read_log(spark, str(tmp_path))
+    put_parquet(spark, tmp_path, f"{log_folder}/{3:020d}.checkpoint.{2:010d}.{2:010d}.parquet", [(("f2", 2), None)], ACTIONS)
+    assert paths(tc.manifest_live(tc.read_log(spark, str(tmp_path)))) == ["f1", "f2", "f4"]
+
+
 def test_log_replay_with_a_checkpoint(spark, tmp_path, log_folder):
     """Commits 0 and 1 were cleaned up; the checkpoint holds their outcome."""
     checkpoint = spark.createDataFrame(
@@ -182,12 +212,25 @@ def test_sampled_sides_hold_the_same_keys(spark):
 
 @pytest.mark.parametrize("limit", [1, 37, 500, 100_000])
 def test_a_large_sample_is_cut_without_one_big_task(spark, monkeypatch, limit):
-    monkeypatch.setattr(sample_module, "HEAP_KEYS", 0)
+    monkeypatch.setattr(sample_module, "RANGE_ROWS", 20)
     lines = fx.table(spark, SF_DIR, "lineitem")
     keys = ["l_suppkey", "l_linenumber"]
     expected = sorted(map(tuple, lines.select(*keys).distinct().collect()))[:limit]
-    got = sorted(map(tuple, sample_module.sample_keys(lines, keys, limit).collect()))
-    assert got == expected
+    cut = sample_module.sample_keys(lines, keys, limit)
+    assert sorted(map(tuple, cut.collect())) == expected
+    assert "TakeOrdered" not in cut._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_row_limit_is_no_top_k_of_one_task(spark):
+    """Repeated rows and NULLs sort like any other; equal rows may stand in for each other."""
+    rows = [(1, None), (2, "x"), (2, "x"), (2, None), (1, "b"), (3, "c")] * 20
+    a = spark.createDataFrame(rows, "k int, v string")
+    for limit in (1, 45, 80, 120, 500):
+        cut = tc.sample_pair(a, a, ["k"], 3, row_limit=limit).a
+        plan = cut._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" not in plan and "GlobalLimit" not in plan
+        expected = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or ""))[:limit]
+        assert sorted(map(tuple, cut.collect()), key=repr) == sorted(expected, key=repr)
 
 
 def test_sample_skips_null_keys(spark):
@@ -286,18 +329,48 @@ def test_a_failed_replacement_leaves_the_table(spark, schema):
 
 
 def test_assert_tables_equal(spark):
-    ddl = "key_column1 string, key_column2 string"
-    good = spark.createDataFrame([("value1", "value2")], ddl)
-    assert tc.assert_tables_equal(good, good) is True
-    cases = {
-        "Dataframe cannot be None": (None, good),
-        "Dataframe is empty": (good.limit(0), good),
-        "Missing expected column: key_column2": (good.drop("key_column2"), good),
-        "Data in dataframe and after_table are different.": (good, good.replace("value1", "value3")),
-    }
-    for message, (a, b) in cases.items():
-        with pytest.raises(ValueError, match=message):
-            tc.assert_tables_equal(a, b)
+    region = fx.table(spark, SF_DIR, "region")
+    backwards = region.orderBy(F.desc("r_regionkey"))
+    assert tc.assert_tables_equal(region, backwards)
+    renamed = region.withColumn("r_name", F.when(F.col("r_regionkey") == 3, "MOON").otherwise(F.col("r_name")))
+    one_row_twice = region.unionAll(region.where("r_regionkey = 0"))
+    for other in (renamed, one_row_twice, region.where("r_regionkey <> 1"), region.limit(0)):
+        with pytest.raises(ValueError, match="Data in dataframe and after_table are different."):
+            tc.assert_tables_equal(region, other)
+    with pytest.raises(ValueError, match="Missing expected column: r_name"):
+        tc.assert_tables_equal(region, region.drop("r_name"))
+    with pytest.raises(ValueError, match="Dataframe is empty"):
+        tc.assert_tables_equal(region.limit(0), region)
+    for pair in ((region, None), (None, region)):
+        with pytest.raises(ValueError, match="Dataframe cannot be None"):
+            tc.assert_tables_equal(*pair)
+
+
+def test_a_failed_rename_brings_the_old_table_back(spark, schema, monkeypatch):
+    from tablecheck.sources import tables
+
+    name = f"{schema}.kept"
+    replace_table(spark.range(4), name)
+    rename = tables._rename
+
+    def failing(session, old, new):
+        if new == name and "_new_" in old:
+            raise RuntimeError("no rename today")
+        rename(session, old, new)
+
+    monkeypatch.setattr(tables, "_rename", failing)
+    with pytest.raises(RuntimeError, match="no rename today"):
+        replace_table(spark.range(9), name)
+    assert spark.table(name).count() == 4
+
+
+def test_a_spec_that_is_no_json_names_the_missing_library(spark, tmp_path):
+    (tmp_path / "spec.yml").write_text("tables:\n- table: t\n")
+    try:
+        import yaml  # noqa: F401
+    except ImportError:
+        with pytest.raises(ImportError, match="yaml"):
+            tc.read_clone_spec(spark, str(tmp_path / "spec.yml"))
 
 
 def test_equality_counts_copies(spark):
@@ -391,7 +464,7 @@ def test_graph_writer_options():
 def test_jdbc_writer_options():
     frame = Recorder()
     sinks.write_jdbc(frame, "jdbc:x", "audit", {"user": "u"}, max_connections=2)
-    assert frame.calls["coalesce"] == [((2,), {})]
+    assert frame.calls["repartition"] == [((2,), {})]
     assert frame.calls["jdbc"] == [(("jdbc:x", "audit"), {"mode": "append", "properties": {"user": "u"}})]
 
 

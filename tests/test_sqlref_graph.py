@@ -71,10 +71,21 @@ def test_unresolved_keys_are_reported(spark, reference):
 
 
 def test_a_key_listed_twice_resolves_once(spark):
-    reference = spark.createDataFrame([("a", "p2", "s2"), ("a", "p1", "s1")], REFERENCE)
+    """A NULL beside a path is no path; two different paths are an error."""
     keys = spark.createDataFrame([("q", "a")], "domain_cd string, table_cd string")
-    assert [tuple(r) for r in tc.resolve_table_keys(keys, reference).collect()] == [("q", "a", "p1")]
-    assert [tuple(r) for r in tc.resolve_table_keys(keys, reference, True).collect()] == [("q", "a", "s1")]
+    split = spark.createDataFrame([("a", None, "s"), ("a", "p", None), ("a", "p", "s")], REFERENCE)
+    assert [tuple(r) for r in tc.resolve_table_keys(keys, split).collect()] == [("q", "a", "p")]
+    assert [tuple(r) for r in tc.resolve_table_keys(keys, split, True).collect()] == [("q", "a", "s")]
+    unlike = spark.createDataFrame([("a", "p2", "s"), ("a", "p1", "s")], REFERENCE)
+    with pytest.raises(Exception, match="more than one table_path for table key a"):
+        tc.resolve_table_keys(keys, unlike).collect()
+    assert [tuple(r) for r in tc.resolve_table_keys(keys, unlike, True).collect()] == [("q", "a", "s")]
+
+
+def test_two_statements_under_one_name_are_an_error(spark):
+    stored = spark.createDataFrame([("q", "SELECT 1"), ("q", "SELECT 2")], "domain_cd string, domain_value string")
+    with pytest.raises(ValueError, match="more than one template stored under 'q'"):
+        tc.run_reference_query(spark, stored, spark.createDataFrame([], REFERENCE), "q")
 
 
 def test_a_template_every_row_shares(spark, reference):
