@@ -15,20 +15,53 @@ from tablecheck.functions.names import (
     SUFFIX_RESULT,
     column,
     has_copies,
+    holds,
     quoted,
 )
 
 # Flag labels, and the labels of the unmatched-rows report.
 MATCH = "match"
 UNMATCH = "unmatch"
+UNCOMPARED = "uncompared"
 REPORT_UNMATCHED = "unmatched"
 
 
 def orderable(value: Column, dtype: T.DataType) -> Column:
-    """Maps support neither ``=`` nor ordering; compare them as sorted entry lists."""
-    if isinstance(dtype, T.MapType):
-        return F.array_sort(F.map_entries(value))
-    return value
+    """Maps support neither ``=`` nor ordering; compare them, at any depth, as sorted entry
+    lists."""
+    if not holds(dtype, T.MapType):
+        return value
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda v: orderable(v, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        fields = [orderable(value.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(dtype.fields)]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    entries = F.map_entries(value)
+    if holds(dtype.valueType, T.MapType):
+        entries = F.transform(entries, lambda e: F.struct(
+            e["key"].alias("key"), orderable(e["value"], dtype.valueType).alias("value")
+        ))
+    return F.array_sort(entries)
+
+
+def exactly_paired(left: Column, right: Column, type_a: T.DataType, type_b: T.DataType) -> tuple[Column, Column]:
+    """A whole number against a floating one: the floating one as the whole number it is,
+    NULL if it is none, so that nothing is rounded before it is compared."""
+    if isinstance(type_a, T.IntegralType) and isinstance(type_b, T.FractionalType):
+        return left.cast("bigint"), _whole_number(right, type_b)
+    if isinstance(type_b, T.IntegralType) and isinstance(type_a, T.FractionalType):
+        return _whole_number(left, type_a), right.cast("bigint")
+    return left, right
+
+
+def _whole_number(value: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.DecimalType):
+        return value
+    # what is no whole number must differ from every one, NULL included
+    whole = value.try_cast("bigint")
+    return F.when(value.isNull(), F.lit(None)).when(
+        (value < F.lit(2.0**63)) & (whole.cast(dtype) == value), whole.cast("decimal(20,0)")
+    ).otherwise(F.lit("99999999999999999999").cast("decimal(20,0)"))
 
 
 def _balanced(columns: Iterable[Column], combine: Callable[[Column, Column], Column]) -> Column:

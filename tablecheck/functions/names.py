@@ -13,6 +13,7 @@ SUFFIX_A = "_a"
 SUFFIX_B = "_b"
 SUFFIX_RESULT = "_result"
 VERDICT = "validation_result"
+NOT_COMPARED = "not_compared"
 COPIES_A = "copies_a"
 COPIES_B = "copies_b"
 
@@ -42,8 +43,30 @@ def trimmed_names(names: list[str]) -> list[str]:
     return cleaned
 
 
+def holds(dtype: T.DataType, kind: type[T.DataType]) -> bool:
+    """Whether a type is of ``kind`` or has it anywhere inside."""
+    if isinstance(dtype, kind):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return holds(dtype.elementType, kind)
+    if isinstance(dtype, T.MapType):
+        return holds(dtype.keyType, kind) or holds(dtype.valueType, kind)
+    return isinstance(dtype, T.StructType) and any(holds(f.dataType, kind) for f in dtype.fields)
+
+
+def aligned(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``b`` with its columns spelled as in ``a``, where the session ignores case."""
+    if b.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
+        return b
+    spelled = {c.lower(): c for c in a.columns}
+    names = [c if c in a.columns else spelled.get(c.lower(), c) for c in b.columns]
+    return b if names == b.columns or len(set(names)) < len(names) else b.toDF(*names)
+
+
 def same_kind(left: T.DataType, right: T.DataType) -> bool:
     """True when ``=`` between the two types is well defined without parsing text."""
+    if holds(left, T.VariantType) or holds(right, T.VariantType):
+        return False
     if left.simpleString() == right.simpleString():
         return True
     if isinstance(left, T.NumericType) and isinstance(right, T.NumericType):
@@ -61,13 +84,20 @@ def comparable_columns(a: DataFrame, b: DataFrame) -> list[str]:
     ]
 
 
+def uncompared_columns(a: DataFrame, b: DataFrame) -> list[str]:
+    """Columns both tables have, of types that cannot be compared."""
+    compared = comparable_columns(a, b)
+    return [c for c in a.columns if c in b.columns and c not in compared]
+
+
 def compared_columns(comparison: DataFrame) -> list[str]:
-    """Base names of the columns flagged in a comparison result, in order."""
+    """Base names of the columns flagged in a comparison result, in order; those that were
+    not compared are marked in the metadata of their flag."""
     present = set(comparison.columns)
     bases = [
-        c[: -len(SUFFIX_RESULT)]
-        for c in comparison.columns
-        if c.endswith(SUFFIX_RESULT) and c != VERDICT
+        f.name[: -len(SUFFIX_RESULT)]
+        for f in comparison.schema.fields
+        if f.name.endswith(SUFFIX_RESULT) and f.name != VERDICT and not f.metadata.get(NOT_COMPARED)
     ]
     return [c for c in bases if c + SUFFIX_A in present and c + SUFFIX_B in present]
 

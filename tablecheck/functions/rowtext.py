@@ -1,4 +1,4 @@
-"""One text per row, and 32-bit digests of it.
+"""One text per row, and digests of it.
 
 Two forms. ``plain`` joins the values with commas and drops NULLs, so different rows
 can share a text (``('a,b','c')`` and ``('a','b,c')``). ``canonical`` escapes the
@@ -21,15 +21,7 @@ NULL_MARK = "\\N"
 _NESTED = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
 
 
-def _json_ready(value: Column, dtype: T.DataType) -> Column:
-    return F.array_sort(F.map_entries(value)) if isinstance(dtype, T.MapType) else value
-
-
-def value_text(value: Column, dtype: T.DataType) -> Column:
-    """Text of one value, equal for values that ``=`` calls equal; NULL stays NULL."""
-    if isinstance(dtype, _NESTED):
-        body = F.struct(_json_ready(value, dtype).alias("v"))
-        return F.when(value.isNotNull(), F.to_json(body, {"ignoreNullFields": "false"}))
+def _scalar_text(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return (value + F.lit(0.0).cast(dtype)).cast("string")  # -0.0 becomes 0.0
     if isinstance(dtype, T.BinaryType):
@@ -39,6 +31,31 @@ def value_text(value: Column, dtype: T.DataType) -> Column:
     return value.cast("string")
 
 
+def _spelled(value: Column, dtype: T.DataType) -> Column:
+    """The value with the text of its scalars at every depth, map entries sorted."""
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda v: _spelled(v, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        fields = [_spelled(value.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(dtype.fields)]
+        return F.when(value.isNotNull(), F.struct(*fields)) if fields else value
+    if isinstance(dtype, T.MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.struct(
+            _spelled(e["key"], dtype.keyType).alias("k"), _spelled(e["value"], dtype.valueType).alias("v")
+        ))
+        return F.array_sort(entries)
+    if isinstance(dtype, T.VariantType):
+        return F.to_json(value)
+    return _scalar_text(value, dtype)
+
+
+def value_text(value: Column, dtype: T.DataType) -> Column:
+    """Text of one value, equal for values that ``=`` calls equal; NULL stays NULL."""
+    if isinstance(dtype, _NESTED):
+        body = F.struct(_spelled(value, dtype).alias("v"))
+        return F.when(value.isNotNull(), F.to_json(body, {"ignoreNullFields": "false"}))
+    return _scalar_text(value, dtype)
+
+
 def plain_text(df: DataFrame, names: list[str] | None = None) -> Column:
     names = df.columns if names is None else names
     return F.concat_ws(SEPARATOR, *[column(c).cast("string") for c in names])
@@ -74,8 +91,9 @@ def digest(text: Column, algo: str) -> Column:
     raise ValueError(f"unknown checksum algorithm: {algo}")
 
 
-def digest_number(text: Column, algo: str) -> Column:
-    """A value in [0, 2^32) to add up over a table: crc32, or the first 8 md5 digits."""
+def digest_words(text: Column, algo: str) -> list[Column]:
+    """The whole digest as numbers in [0, 2^32) to add up over a table: one for crc32, four
+    for md5."""
     if algo == "md5":
-        return F.conv(F.substring(digest(text, algo), 1, 8), 16, 10).cast("bigint")
-    return digest(text, algo)
+        return [F.conv(F.substring(digest(text, algo), at, 8), 16, 10).cast("bigint") for at in (1, 9, 17, 25)]
+    return [digest(text, algo)]

@@ -11,13 +11,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablecheck.functions.flags import (
+    MATCH,
     REPORT_UNMATCHED,
+    UNCOMPARED,
+    UNMATCH,
     agreement,
     all_of,
     any_null,
     any_unmatched,
+    exactly_paired,
     is_unmatched,
     match_label,
     orderable,
@@ -25,20 +30,26 @@ from tablecheck.functions.flags import (
 from tablecheck.functions.names import (
     COPIES_A,
     COPIES_B,
+    NOT_COMPARED,
     SUFFIX_A,
     SUFFIX_B,
     SUFFIX_RESULT,
     VERDICT,
+    aligned,
     column,
     comparable_columns,
     compared_columns,
     has_copies,
     suffixed,
+    uncompared_columns,
 )
 from tablecheck.functions.rowtext import canonical_text
+from tablecheck.sources.scratch import staged
 
-# One key's differing rows are numbered in this many independent lanes, so the largest
-# unit of work for a key holding a third of a table is a 65536th of it.
+# The differing rows of a key with more than ``LANE_ROWS`` rows are numbered in 65,536
+# independent lanes, so the largest unit of work for a key holding a third of a table is a
+# 65,536th of it.
+LANE_ROWS = 50_000
 _LANE_DIGITS = 4
 
 _IN_A, _IN_B = "__in_a", "__in_b"
@@ -65,8 +76,12 @@ def compare_by_key(
     ``null_equal=True``: NULL equals NULL, in keys and in values.
     ``on_duplicate="error"``: a repeated key fails the query when it runs.
     ``on_duplicate="pair"``: rows of one key are paired one to one, equal rows first,
-    the rest in a fixed order; rows left over stay one-sided.
+    the rest in a fixed order; rows left over stay one-sided. Keys with very many rows are
+    counted first, by a job that reads the key columns.
+
+    Columns of types that cannot be compared are carried, flagged ``uncompared``.
     """
+    b = aligned(a, b)
     compared = comparable_columns(a, b)
     _check_keys(a, b, keys, compared)
     if on_duplicate == "error":
@@ -85,6 +100,7 @@ def compare_all_columns(a: DataFrame, b: DataFrame) -> DataFrame:
     once, with ``copies_a = m`` and ``copies_b = n``. Rows found on one side only have
     the other count 0. One aggregation, no join, nothing multiplied out.
     """
+    b = aligned(a, b)
     compared = comparable_columns(a, b)
     if not compared:
         raise ValueError("the tables have no comparable column in common")
@@ -109,13 +125,21 @@ def compare_multiset(a: DataFrame, b: DataFrame) -> DataFrame:
     NULL-safe and order-free; empty when the tables hold the same rows. One shuffle,
     copies are combined before it.
     """
+    b = aligned(a, b)
     compared = _same_columns(a, b)
     return _fold_copies(a, b, compared).where(F.col(COPIES_A) != F.col(COPIES_B))
 
 
 def unmatched_rows(comparison: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Rows where any of ``columns`` (default: all) differs, labelled ``unmatched``."""
-    condition = is_unmatched(VERDICT) if columns is None else any_unmatched(columns)
+    """Rows where any of ``columns`` (default: all) differs, labelled ``unmatched``.
+
+    By default rows that only hold columns that were not compared are kept too, with the
+    verdict they have: nothing says that they match.
+    """
+    if columns is None:
+        label = F.when(is_unmatched(VERDICT), F.lit(REPORT_UNMATCHED)).otherwise(column(VERDICT))
+        return comparison.where(column(VERDICT) != MATCH).withColumn(VERDICT, label)
+    condition = any_unmatched(columns)
     return comparison.where(condition).withColumn(VERDICT, F.lit(REPORT_UNMATCHED))
 
 
@@ -140,22 +164,24 @@ def _flagged(
     types_b = {f.name: f.dataType for f in b.schema.fields}
     in_both = F.col(_IN_A) & F.col(_IN_B) if null_equal else None
     values = {c: column(c) for c in [*[c + SUFFIX_A for c in a.columns], *[c + SUFFIX_B for c in b.columns]]}
-    agrees = {
-        c + SUFFIX_RESULT: agreement(
-            orderable(values[c + SUFFIX_A], types_a[c]),
-            orderable(values[c + SUFFIX_B], types_b[c]),
-            null_equal,
-            in_both,
-        )
-        for c in compared
-    }
+    agrees = {}
+    for c in compared:
+        pair = exactly_paired(values[c + SUFFIX_A], values[c + SUFFIX_B], types_a[c], types_b[c])
+        sides = [orderable(v, t) for v, t in zip(pair, (types_a[c], types_b[c]))]
+        agrees[c + SUFFIX_RESULT] = agreement(*sides, null_equal, in_both)
+    carried = [c + SUFFIX_RESULT for c in uncompared_columns(a, b)]
+    verdict = match_label(all_of(agrees.values()))
+    if carried:
+        verdict = F.when(verdict == UNMATCH, verdict).otherwise(F.lit(UNCOMPARED))
     counts = [COPIES_A, COPIES_B] if has_copies(joined) else []
-    if len({*values, *agrees, VERDICT, *counts}) < len(values) + len(agrees) + 1 + len(counts):
+    names = [*values, *agrees, *carried, VERDICT, *counts]
+    if len(set(names)) < len(names):
         raise ValueError("a column name clashes with a name of the comparison layout")
     return joined.select(
         *values.values(),
         *[match_label(same).alias(flag) for flag, same in agrees.items()],
-        match_label(all_of(agrees.values())).alias(VERDICT),
+        *[F.lit(UNCOMPARED).alias(flag, metadata={NOT_COMPARED: True}) for flag in carried],
+        verdict.alias(VERDICT),
         *counts,
     )
 
@@ -167,11 +193,17 @@ def _check_keys(a: DataFrame, b: DataFrame, keys: list[str], compared: list[str]
         missing = [k for k in keys if k not in df.columns]
         if missing:
             raise ValueError(f"key columns missing in {side}: {', '.join(missing)}")
-    unlike = [k for k in keys if k not in compared]
+    unlike = [k for k in keys if k not in compared or _rounds(a.schema[k].dataType, b.schema[k].dataType)]
     if unlike:
         raise ValueError(f"key columns of incomparable type: {', '.join(unlike)}")
 
 
+def _rounds(left: T.DataType, right: T.DataType) -> bool:
+    """Whether joining the two would round whole numbers to floating ones."""
+    floating = (T.FloatType, T.DoubleType)
+    return isinstance(left, floating) != isinstance(right, floating)
+
+
 def _same_columns(a: DataFrame, b: DataFrame) -> list[str]:
     compared = comparable_columns(a, b)
     uncommon = sorted((set(a.columns) | set(b.columns)) - set(compared))
@@ -190,26 +222,26 @@ def _join_unique(a: DataFrame, b: DataFrame, keys: list[str], null_equal: bool)
     right, keys_b = _with_join_keys(right, a, b, keys, SUFFIX_B)
     helpers = [c for c in keys_a + keys_b if c.startswith(_KEY)]
 
-    if null_equal:
-        # A struct is never NULL itself and compares NULL fields as equal, so one plain
-        # equi-key does the NULL-safe join and keeps the sort-merge partitioning.
-        left = left.withColumn(_KEY, _key_struct(keys_a))
-        right = right.withColumn(_KEY, _key_struct(keys_b))
-        left = _fail_on_repeat(left, [_KEY], "A")
-        right = _fail_on_repeat(right, [_KEY], "B")
-        return left.join(right, left[_KEY] == right[_KEY], "full_outer").drop(_KEY, *helpers)
-
-    # NULL keys join nothing but would all hash to one full-outer partition, which AQE
-    # cannot split: they go round the join. The extra scan is an IS NULL filter, pushed
-    # to the row-group statistics.
-    lone_a = left.where(any_null(keys_a))
-    lone_b = right.where(any_null(keys_b))
-    left = _fail_on_repeat(left.where(~any_null(keys_a)), keys_a, "A")
-    right = _fail_on_repeat(right.where(~any_null(keys_b)), keys_b, "B")
+    # NULL keys go round the join of the others: with NULL unequal they join nothing but
+    # would all hash to one full-outer partition, which AQE cannot split; with NULL equal
+    # they need a key that compares NULLs, which would cost bucketed tables their layout.
+    # The extra scan is an IS NULL filter, pushed to the row-group statistics.
+    lone_a, lone_b = left.where(any_null(keys_a)), right.where(any_null(keys_b))
+    left, right = left.where(~any_null(keys_a)), right.where(~any_null(keys_b))
     same = all_of(column(x) == column(y) for x, y in zip(keys_a, keys_b))
-    joined = left.join(right, same, "full_outer")
-    for lone in (lone_a, lone_b):
-        joined = joined.unionByName(lone, allowMissingColumns=True)
+    parts = [left.join(right, same, "full_outer")]
+    guards = [_repeats(left, keys_a, "A"), _repeats(right, keys_b, "B")]
+    if null_equal:
+        # a struct is never NULL itself and compares NULL fields as equal
+        lone_a = lone_a.withColumn(_KEY, _key_struct(keys_a))
+        lone_b = lone_b.withColumn(_KEY, _key_struct(keys_b))
+        parts.append(lone_a.join(lone_b, lone_a[_KEY] == lone_b[_KEY], "full_outer").drop(_KEY))
+        guards += [_repeats(lone_a, keys_a, "A"), _repeats(lone_b, keys_b, "B")]
+    else:
+        parts += [lone_a, lone_b]
+    joined = parts[0]
+    for part in [*parts[1:], *guards]:
+        joined = joined.unionByName(part, allowMissingColumns=True)
     return joined.drop(*helpers)
 
 
@@ -233,16 +265,18 @@ def _key_struct(names: list[str]) -> Column:
     return F.struct(*[column(c).alias(f"k{i}") for i, c in enumerate(names)])
 
 
-def _fail_on_repeat(df: DataFrame, keys: list[str], side: str) -> DataFrame:
-    """Fail on a repeated key, reusing the shuffle and sort the join needs anyway."""
-    by_key = [column(k) for k in keys]
-    number = F.row_number().over(Window.partitionBy(*by_key).orderBy(*by_key))
-    shown = F.to_json(F.struct(*by_key))
+def _repeats(df: DataFrame, keys: list[str], side: str) -> DataFrame:
+    """No rows; a repeated key fails the query.
+
+    Keys are counted with a combined aggregate beside the join, so a key held by very many
+    rows is found without any task holding them.
+    """
+    shown = F.to_json(F.struct(*[column(k) for k in keys]))
     message = F.concat(F.lit(f"duplicate key in {side}: "), shown)
-    checked = F.when(F.col(_RANK) > 1, F.raise_error(message).cast("boolean")).otherwise(
-        F.lit(True)
-    )
-    return df.withColumn(_RANK, number).where(checked).drop(_RANK)
+    counted = df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("row_count"))
+    # the condition hangs on the count, so it stays above the aggregate
+    failing = F.when(F.col("row_count") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(False))
+    return counted.where(failing).select(column(keys[0]))
 
 
 # -- repeated rows: fold copies, then pair what differs -----------------------------
@@ -314,7 +348,7 @@ def _pair_copies(
         .withColumn(open_b, F.when(joins, n_b - equal).otherwise(zero))
         .where((F.col(open_a) > 0) | (F.col(open_b) > 0))
     )
-    ranked = _ranked_in_key(differing, keys, names, F.col(open_a) > 0)
+    ranked = _ranked_in_key(differing, keys, names, F.col(open_a) > 0, _crowded_keys(a, b, keys))
     row = F.struct(*map(column, names))
     # At most one row per key, rank and side, so ``first`` has nothing to choose from.
     met = ranked.groupBy(_KEY, _RANK).agg(
@@ -335,25 +369,36 @@ def _pair_copies(
     return settled.unionByName(paired)
 
 
-def _ranked_in_key(df: DataFrame, keys: list[str], names: list[str], side: Column) -> DataFrame:
+def _crowded_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame | None:
+    """Keys with more than ``LANE_ROWS`` rows, written so that their number is known."""
+    by_key = [column(k) for k in keys]
+    counted = a.select(*by_key).unionAll(b.select(*by_key)).groupBy(*by_key).agg(F.count(F.lit(1)).alias("__n"))
+    crowded = staged(counted.where(F.col("__n") > LANE_ROWS).select(_key_struct(keys).alias("__crowded")), "crowded")
+    return None if crowded.isEmpty() else crowded
+
+
+def _ranked_in_key(
+    df: DataFrame, keys: list[str], names: list[str], side: Column, crowded: DataFrame | None
+) -> DataFrame:
     """Number the distinct rows of each key and side in the order of their md5.
 
-    The order is cut into lanes by its leading digits. A row's number is the size of the
-    lanes before its own plus its place inside the lane, so no task ever sorts a whole
-    key.
+    For crowded keys the order is cut into lanes by its leading digits. A row's number is
+    the size of the lanes before its own plus its place inside the lane, so no task ever
+    sorts a whole key of that kind. All other keys are one lane and need no sizes.
     """
-    laned = df.select(
-        "*",
-        _key_struct(keys).alias(_KEY),
-        side.alias(_SIDE),
-        F.md5(canonical_text(df, names)).alias(_ORDER),
-    ).withColumn(_LANE, F.substring(_ORDER, 1, _LANE_DIGITS))
+    ordered = df.select(
+        "*", _key_struct(keys).alias(_KEY), side.alias(_SIDE), F.md5(canonical_text(df, names)).alias(_ORDER)
+    )
+    in_lane = F.row_number().over(Window.partitionBy(_KEY, _SIDE, _LANE).orderBy(_ORDER))
+    if crowded is None:
+        return ordered.withColumn(_LANE, F.lit("")).withColumn(_RANK, in_lane)
+    marked = ordered.join(crowded, F.col(_KEY) == F.col("__crowded"), "left")
+    lane = F.when(F.col("__crowded").isNotNull(), F.substring(_ORDER, 1, _LANE_DIGITS)).otherwise(F.lit(""))
+    laned = marked.withColumn(_LANE, lane).drop("__crowded")
     before = Window.partitionBy(_KEY, _SIDE).orderBy(_LANE).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    sizes = laned.groupBy(_KEY, _SIDE, _LANE).agg(F.count(F.lit(1)).alias("__size"))
-    offsets = sizes.select(
-        _KEY, _SIDE, _LANE, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset")
-    )
-    place = F.row_number().over(Window.partitionBy(_KEY, _SIDE, _LANE).orderBy(_ORDER))
-    return laned.join(offsets, [_KEY, _SIDE, _LANE]).withColumn(_RANK, F.col("__offset") + place)
+    sizes = laned.where(F.col(_LANE) != "").groupBy(_KEY, _SIDE, _LANE).agg(F.count(F.lit(1)).alias("__size"))
+    offsets = sizes.select(_KEY, _SIDE, _LANE, F.sum("__size").over(before).alias("__offset"))
+    placed = laned.join(offsets, [_KEY, _SIDE, _LANE], "left")
+    return placed.withColumn(_RANK, F.coalesce("__offset", F.lit(0)) + in_lane)

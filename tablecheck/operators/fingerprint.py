@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.functions.names import column
-from tablecheck.functions.rowtext import digest, digest_number, row_text
+from tablecheck.functions.rowtext import digest, digest_words, row_text
 
 CHECKSUM_TYPE = "decimal(38,0)"
+# Between the sums of an md5 checksum's four words.
+WORD_MARK = "-"
 
 
 def row_checksum(
@@ -34,12 +36,34 @@ def _whole(high: str, low: str) -> Column:
     return (parts[0] * F.lit(65536) + parts[1]).cast(CHECKSUM_TYPE)
 
 
+def _word_sums(n_words: int, mark: str, side: Column | None = None) -> list[Column]:
+    """The aggregates behind one checksum, named after ``mark``."""
+    sums = []
+    for i in range(n_words):
+        high, low = _halves(F.col(f"v{i}"), side)
+        sums += [high.alias(f"{mark}h{i}"), low.alias(f"{mark}l{i}")]
+    return sums
+
+
+def _checksum(n_words: int, mark: str) -> Column:
+    """One number for a digest of one word, the sums joined by a mark for one of several."""
+    wholes = [_whole(f"{mark}h{i}", f"{mark}l{i}") for i in range(n_words)]
+    return wholes[0] if n_words == 1 else F.concat_ws(WORD_MARK, *[w.cast("string") for w in wholes])
+
+
+def _words_of(df: DataFrame, algo: str, form: str) -> list[Column]:
+    return [word.alias(f"v{i}") for i, word in enumerate(digest_words(row_text(df, form), algo))]
+
+
 def table_checksum(df: DataFrame, algo: str = "crc32", form: str = "canonical") -> DataFrame:
-    """One row: ``algo``, ``row_count`` and the sum of the row checksums."""
-    numbers = df.select(digest_number(row_text(df, form), algo).alias("v"))
-    high, low = _halves(F.col("v"))
-    totals = numbers.agg(F.count(F.lit(1)).alias("row_count"), high.alias("h"), low.alias("l"))
-    return totals.select(F.lit(algo).alias("algo"), "row_count", _whole("h", "l").alias("checksum"))
+    """One row: ``algo``, ``row_count`` and the sum of the row checksums.
+
+    Every bit of the digest counts: ``checksum`` is a number for crc32, and the sums of the
+    four 32-bit words, joined by ``-``, for md5.
+    """
+    words = _words_of(df, algo, form)
+    totals = df.select(*words).agg(F.count(F.lit(1)).alias("row_count"), *_word_sums(len(words), "t"))
+    return totals.select(F.lit(algo).alias("algo"), "row_count", _checksum(len(words), "t").alias("checksum"))
 
 
 def checksum_equal(
@@ -49,17 +73,15 @@ def checksum_equal(
 
     Agreement is strong evidence, not proof; ``compare_multiset`` is the proof.
     """
-    numbers = a.select(F.lit(True).alias("in_a"), digest_number(row_text(a, form), algo).alias("v"))
-    numbers = numbers.unionAll(
-        b.select(F.lit(False).alias("in_a"), digest_number(row_text(b, form), algo).alias("v"))
+    words = _words_of(a, algo, form)
+    numbers = a.select(F.lit(True).alias("in_a"), *words).unionAll(
+        b.select(F.lit(False).alias("in_a"), *_words_of(b, algo, form))
     )
-    in_a = F.col("in_a")
-    high_a, low_a = _halves(F.col("v"), in_a)
-    high_b, low_b = _halves(F.col("v"), ~in_a)
+    in_a, n = F.col("in_a"), len(words)
     totals = numbers.agg(
         F.count_if(in_a).alias("rows_a"),
         F.count_if(~in_a).alias("rows_b"),
-        high_a.alias("ha"), low_a.alias("la"), high_b.alias("hb"), low_b.alias("lb"),
-    ).select("rows_a", "rows_b", _whole("ha", "la").alias("checksum_a"), _whole("hb", "lb").alias("checksum_b"))
+        *_word_sums(n, "a", in_a), *_word_sums(n, "b", ~in_a),
+    ).select("rows_a", "rows_b", _checksum(n, "a").alias("checksum_a"), _checksum(n, "b").alias("checksum_b"))
     agree = (F.col("rows_a") == F.col("rows_b")) & (F.col("checksum_a") == F.col("checksum_b"))
     return totals.withColumn("checksums_equal", agree)

@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from tablecheck.functions.names import aligned
 from tablecheck.operators.audit import TEST_NAME, audit_append, audit_records
 from tablecheck.operators.compare import compare_all_columns, compare_by_key
 from tablecheck.operators.schema import differing_columns
@@ -54,7 +55,8 @@ def run_ab_test(
     The join runs once, while the result table is written; all counts come from one
     aggregate over the flag columns of the written table.
     """
-    a, b = spark.table(test.table_a), spark.table(test.other_table)
+    a = spark.table(test.table_a)
+    b = aligned(a, spark.table(test.other_table))
     differences = differing_columns(a.schema, b.schema)
     if test.keys:
         comparison = compare_by_key(a, b, list(test.keys), test.null_equal, test.on_duplicate)

@@ -2,11 +2,13 @@
 
 import random
 from collections import Counter, defaultdict
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 import tablecheck as tc
+from tablecheck.functions.names import compared_columns
 from tablecheck.operators import compare
 from workload import fixtures as fx
 
@@ -169,13 +171,69 @@ def test_type_rules(spark):
     b = frame(spark, [(1, 5.0, 7)], "k bigint, n double, t int")
     comparison = tc.compare_by_key(a, b, ["k"])
     [row] = dicts(comparison)
-    assert row["n_result"] == "match" and "t_result" not in row
+    assert row["n_result"] == "match" and row["t_result"] == row["validation_result"] == "uncompared"
+    assert compared_columns(comparison) == ["k", "n"] and tc.unmatched_rows(comparison).count() == 1
     with pytest.raises(ValueError, match="incomparable"):
         tc.compare_by_key(a, b, ["t"])
+    with pytest.raises(ValueError, match="incomparable"):
+        tc.compare_by_key(a, b, ["n"])
     with pytest.raises(ValueError, match="different type"):
         tc.compare_multiset(a, b)
 
 
+def test_whole_numbers_are_not_rounded_to_compare(spark):
+    a = frame(spark, [(i, n) for i, n in enumerate([9007199254740993, 9007199254740992, 2, None, 2**63 - 1, 0])], "k int, n bigint")
+    b = frame(spark, [(i, n) for i, n in enumerate([9007199254740992.0, 9007199254740992.0, 2.5, None, 2.0**63, float("nan")])],
+              "k int, n double")
+    for x, y in ((a, b), (b, a)):
+        flags = [r["n_result"] for r in sorted(tc.compare_by_key(x, y, ["k"], null_equal=True).collect(), key=lambda r: r["k_a"])]
+        assert flags == ["unmatch", "match", "unmatch", "match", "unmatch", "unmatch"]
+
+
+def test_names_that_differ_in_case_follow_the_session(spark):
+    a = frame(spark, [(1, 5)], "k int, Amt int")
+    b = frame(spark, [(1, 6)], "K int, amt int")
+    comparison = tc.compare_by_key(a, b, ["k"])
+    assert comparison.columns[:4] == ["k_a", "Amt_a", "k_b", "Amt_b"] and counts(comparison) == {"k": 0, "Amt": 1}
+    assert tc.compare_multiset(a, b).count() == 2
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(ValueError, match="missing in B: k"):
+            tc.compare_by_key(a, b, ["k"])
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_nested_values_by_type(spark):
+    """Maps at any depth, microseconds, signed zeros; the checksum agrees with the flags."""
+    ddl = "k int, v struct<m:map<string,double>,t:timestamp,l:array<struct<d:double>>>"
+    one = [(1, ({"a": 1.0, "b": 0.0}, datetime(2024, 1, 1, 0, 0, 0, 1), [(0.0,)]))]
+    same = [(1, ({"b": -0.0, "a": 1.0}, datetime(2024, 1, 1, 0, 0, 0, 1), [(-0.0,)]))]
+    later = [(1, ({"a": 1.0, "b": 0.0}, datetime(2024, 1, 1, 0, 0, 0, 2), [(0.0,)]))]
+    for rows, verdict in ((same, "match"), (later, "unmatch")):
+        x, y = frame(spark, one, ddl), frame(spark, rows, ddl)
+        assert dicts(tc.compare_by_key(x, y, ["k"]))[0]["v_result"] == verdict
+        assert dicts(tc.checksum_equal(x, y, algo="md5"))[0]["checksums_equal"] == (verdict == "match")
+
+
+def test_variants_are_carried(spark):
+    rows = spark.range(3).select("id", F.parse_json(F.format_string('{"a": %d}', "id")).alias("v"))
+    row = tc.compare_by_key(rows, rows, ["id"]).select("v_result", "validation_result").first()
+    assert tuple(row) == ("uncompared", "uncompared")
+    with pytest.raises(ValueError, match="different type"):
+        tc.compare_multiset(rows, rows)
+
+
+def test_lanes_give_the_order_of_one_sort(spark, monkeypatch):
+    """A key numbered in lanes is paired as if it had been sorted in one piece."""
+    rng = random.Random(11)
+    a = frame(spark, [(rng.choice([1, 1, 1, 2]), rng.randrange(400)) for _ in range(600)], "k int, v int")
+    b = frame(spark, [(rng.choice([1, 1, 1, 2]), rng.randrange(400)) for _ in range(600)], "k int, v int")
+    plain = sorted(map(repr, tc.compare_by_key(a, b, ["k"], on_duplicate="pair").collect()))
+    monkeypatch.setattr("tablecheck.operators.compare.LANE_ROWS", 300)
+    assert sorted(map(repr, tc.compare_by_key(a, b, ["k"], on_duplicate="pair").collect())) == plain
+
+
 def test_wrong_arguments(spark):
     a = frame(spark, [(1, 1)], "k int, v int")
     with pytest.raises(ValueError, match="key columns missing in A: z"):
@@ -306,12 +364,23 @@ def ops(frame, name):
 def test_keyed_plan_is_one_join_with_one_shuffle_per_side(spark, options, scans):
     orders = fx.table(spark, SF_DIR, "orders")
     comparison = tc.compare_by_key(orders, orders, ["o_orderkey"], **options)
-    assert len(ops(comparison, "SortMergeJoin")) == 1
-    assert len(ops(comparison, "Exchange")) == 2  # the duplicate check adds none
-    assert len(ops(comparison, "Sort [")) == 2
-    assert len(ops(comparison, "FileScan")) == scans
-    if scans == 4:  # the NULL keys that go round the join are found by row-group statistics
-        assert sum("PushedFilters: [IsNull(o_orderkey)]" in line for line in initial(comparison)) == 2
+    # with NULL equal, the NULL keys have a join of their own
+    joins = 2 if options.get("null_equal") else 1
+    assert len(ops(comparison, "SortMergeJoin")) == joins and len(ops(comparison, "Sort [")) == 2 * joins
+    # each side is shuffled once for the join and its keys, combined, once for the check
+    assert len(ops(comparison, "Exchange")) == 4 * joins
+    assert len(ops(comparison, "HashAggregate")) == 4 * joins and not ops(comparison, "Window")
+    # the NULL keys that go round the join are found by row-group statistics
+    assert sum("PushedFilters: [IsNull(o_orderkey)]" in line for line in initial(comparison)) >= 2
+
+
+def test_bucketed_tables_with_null_equal_shuffle_null_keys_alone(spark, schema):
+    orders = fx.table(spark, SF_DIR, "orders")
+    for name in "ab":
+        orders.write.bucketBy(8, "o_orderkey").sortBy("o_orderkey").saveAsTable(f"{schema}.{name}")
+    comparison = tc.compare_by_key(spark.table(f"{schema}.a"), spark.table(f"{schema}.b"), ["o_orderkey"], null_equal=True)
+    assert len(ops(comparison, "Exchange")) == 2  # of the struct join of rows with a NULL key
+    assert counts(comparison) == by_columns([0] * 6)
 
 
 @pytest.mark.parametrize("null_equal", [False, True])
@@ -319,7 +388,7 @@ def test_a_widened_key_adds_no_shuffle(spark, null_equal):
     orders = fx.table(spark, SF_DIR, "orders")
     narrow = orders.withColumn("o_orderkey", F.col("o_orderkey").cast("int"))
     comparison = tc.compare_by_key(narrow, orders, ["o_orderkey"], null_equal)
-    assert len(ops(comparison, "Exchange")) == 2
+    assert len(ops(comparison, "Exchange")) == (8 if null_equal else 4)
     assert not [c for c in comparison.columns if c.startswith("__")]
     assert counts(comparison) == by_columns([0] * 6)
 
@@ -336,7 +405,7 @@ def test_audit_plan_is_one_join_and_one_aggregate(spark):
     comparison = tc.compare_by_key(*fx.orders_pair(spark, SF_DIR), ["o_orderkey"])
     audit = tc.column_mismatch_audit(comparison, "a", "b", "2024-01-01")
     assert len(ops(audit, "SortMergeJoin")) == 1
-    assert len(ops(audit, "HashAggregate")) == 2  # partial and final
+    assert len(ops(audit, "HashAggregate")) == 6  # partial and final; the other four check the keys
 
 
 def test_multiset_plan_is_one_combined_shuffle(spark):
