@@ -62,6 +62,7 @@ LINEITEM = [
     "CAST(l_quantity AS DECIMAL(12,2)) AS l_quantity",
     "CAST(l_extendedprice AS DECIMAL(12,2)) AS l_extendedprice",
     "l_returnflag", "l_linestatus", "CAST(l_shipdate AS DATE) AS l_shipdate",
+    "CAST(l_discount AS DECIMAL(12,2)) AS l_discount", "CAST(l_tax AS DECIMAL(12,2)) AS l_tax",
 ]
 LINEITEM_NAMES = [e.split(" AS ")[-1] for e in LINEITEM]
 LINEITEM_B = [
@@ -69,7 +70,8 @@ LINEITEM_B = [
     "CAST(CASE WHEN l_partkey % 31 = 0 THEN l_quantity + 1 ELSE l_quantity END AS DECIMAL(12,2)) AS l_quantity",
     LINEITEM[5],
     "CASE WHEN l_suppkey % 13 = 0 THEN 'X' ELSE l_returnflag END AS l_returnflag",
-    *LINEITEM[7:],
+    *LINEITEM[7:10],
+    "CAST(CASE WHEN l_partkey % 37 = 0 THEN l_tax + 0.01 ELSE l_tax END AS DECIMAL(12,2)) AS l_tax",
 ]
 LINE_KEPT, LINE_COPIED = "l_orderkey % 97 <> 0", "l_suppkey % 50 = 7"
 
@@ -153,6 +155,39 @@ def log_records(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFr
     )
 
 
+def _renamed(spark: SparkSession, folder: str, name: str, target: str) -> None:
+    """Give the one data file of a written folder its name in the log."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    [part] = [f.getPath() for f in files.listStatus(path(folder)) if f.getPath().getName().startswith("part-")]
+    files.mkdirs(path(target))
+    if not files.rename(part, path(f"{target}/{name}")):
+        raise OSError(f"{part.toString()} cannot be renamed")
+
+
+def written_log(spark: SparkSession, sf_dir: str, where: str = "true") -> str:
+    """A table folder with the same records as commit files, and a checkpoint half way.
+
+    The checkpoint holds what its version's replay leaves; the commits before it are kept.
+    """
+    table_path = fresh_path(spark, "logged-table")
+    log, records = f"{table_path}/_delta_log", log_records(spark, sf_dir, where)
+    lines = records.select("version", F.to_json(F.struct("add", "remove")).alias("value"))
+    staging = fresh_path(spark, "commits")
+    # a version's records are one file, as in any such log
+    lines.repartition("version").write.partitionBy("version").text(staging)
+    versions = [r[0] for r in records.select("version").distinct().orderBy("version").collect()]
+    for version in versions:
+        _renamed(spark, f"{staging}/version={version}", f"{version:020d}.json", log)
+    half = versions[len(versions) // 2]
+    last = F.max_by(F.struct("add", "remove"), F.struct("version", F.col("add").isNotNull(), "add.size"))
+    state = records.where(F.col("version") <= half).groupBy(F.coalesce("add.path", "remove.path")).agg(last.alias("r"))
+    checkpoint = fresh_path(spark, "checkpoint")
+    state.select("r.add", "r.remove").coalesce(1).write.parquet(checkpoint)
+    _renamed(spark, checkpoint, f"{half:020d}.checkpoint.parquet", log)
+    return table_path
+
+
 # -- SQL templates, one per document; the whole text is part of the template -------------
 
 TEMPLATES = [
@@ -191,6 +226,10 @@ def table_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- documents as text rows, orders as rounded rows: equal text in any engine -------------
 
 DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
+CUSTOMER_TEXT = [
+    "c_custkey", "c_name", "CASE WHEN c_custkey % 5 <> 0 THEN c_nationkey END AS c_nationkey",
+    "CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal", "c_mktsegment",
+]
 ORDERS_TEXT = [
     "o_orderkey", "o_custkey", "o_orderstatus",
     "CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice",

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from workload import fixtures as fx
-from workload.queries import LABEL, LINE_KEY, RUN_DATE, SAMPLE_KEYS
+from workload.queries import LABEL, LINE_KEY, ROW_LIMIT, RUN_DATE, SAMPLE_KEYS
 
 _ORDER_TEXT_COLUMNS = {"o_orderdate"}
-_LINE_TEXT_COLUMNS = {"l_quantity", "l_extendedprice", "l_shipdate"}
+_LINE_TEXT_COLUMNS = {"l_quantity", "l_extendedprice", "l_shipdate", "l_discount", "l_tax"}
 
 
 def _shown(expression: str, name: str, text: bool) -> str:
@@ -156,17 +156,17 @@ def _rollup() -> str:
     return f"{_with(fx.AUDIT_SQL)} SELECT *, table_a || ' / ' || table_b AS tables FROM ({union}) r"
 
 
-_GROUP = "test_name, table_a, table_b, column_name"
-_SUMMARY = f"""{_with(fx.AUDIT_SQL, fx.EXPECTED_SQL)}, s AS (
-SELECT {_GROUP}, count(*) AS mismatch_count, sum(CASE WHEN data_mismatch THEN 1 ELSE 0 END) > 0 AS data_mismatch
-FROM audit GROUP BY {_GROUP}),
-d AS (SELECT DISTINCT {_GROUP}, 'SELECT * FROM ' || table_a || ' WHERE ' || column_name || ' IS NULL OR '
-|| column_name || ' IN (SELECT ' || column_name || ' FROM ' || table_b || ' WHERE ' || column_name || ' IS NULL)'
-AS drill_down_query FROM audit WHERE schema_mismatch OR data_mismatch)
-SELECT s.test_name, s.table_a, s.table_b, s.column_name, s.column_name NOT IN (SELECT column_name FROM expected)
-AS schema_mismatch, s.data_mismatch, CAST(s.mismatch_count AS BIGINT) AS mismatch_count, '2024-01-01' AS run_date,
-d.drill_down_query FROM s LEFT JOIN d ON s.test_name = d.test_name AND s.table_a = d.table_a
-AND s.table_b = d.table_b AND s.column_name = d.column_name"""
+def _summary() -> str:
+    """One grouped pass: rows counted, and whether any of them calls for the drill-down."""
+    keys = ["test_name", "table_a", "table_b", "column_name"]
+    text = ("'SELECT * FROM ' || table_a || ' WHERE ' || column_name || ' IS NULL OR ' || column_name || ' IN (SELECT ' "
+            "|| column_name || ' FROM ' || table_b || ' WHERE ' || column_name || ' IS NULL)'")
+    listed, complete = ", ".join(keys), " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    return f"""{_with(fx.AUDIT_SQL, fx.EXPECTED_SQL)} SELECT {listed},
+    column_name NOT IN (SELECT column_name FROM expected) AS schema_mismatch,
+    bool_or(coalesce(data_mismatch, false)) AS data_mismatch, count(*) AS mismatch_count, '2024-01-01' AS run_date,
+    CASE WHEN {complete} AND bool_or(coalesce(schema_mismatch, false) OR coalesce(data_mismatch, false))
+    THEN {text} END AS drill_down_query FROM audit GROUP BY {listed}"""
 
 
 # -- experiment ----------------------------------------------------------------------------------
@@ -182,6 +182,20 @@ _OVERALL = _rates("total", "avg_time_on_site", "conversion_rate")
 _DAILY = _rates("daily", "daily_avg_time_on_site", "daily_conversion_rate")
 
 
+def _report() -> str:
+    """Days first; the totals of a variation are added up from its days."""
+    whole = "OVER (PARTITION BY experiment_id, variation)"
+    users, conversions = f"sum(n) {whole}", f"sum(hits) {whole}"
+    return f"""{_with(fx.EXPOSURES_SQL)} SELECT experiment_id, variation, CAST({users} AS BIGINT) AS total_users,
+    CAST({conversions} AS BIGINT) AS total_conversions,
+    round(sum(seconds) {whole} / nullif(sum(timed) {whole}, 0), 4) AS avg_time_on_site,
+    round(CAST({conversions} AS DOUBLE) / nullif({users}, 0), 4) AS conversion_rate, CAST(date AS VARCHAR) AS date,
+    n AS daily_users, hits AS daily_conversions, round(seconds / nullif(timed, 0), 4) AS daily_avg_time_on_site,
+    round(CAST(hits AS DOUBLE) / nullif(n, 0), 4) AS daily_conversion_rate
+    FROM (SELECT experiment_id, variation, date, count(user_id) AS n, CAST(sum(conversion) AS BIGINT) AS hits,
+    sum(time_on_site) AS seconds, count(time_on_site) AS timed FROM exposures GROUP BY ALL) days"""
+
+
 # -- fingerprints ----------------------------------------------------------------------------------
 
 
@@ -198,7 +212,32 @@ def _canonical(columns: list[str], escaped: set[str]) -> str:
 _DOCUMENT_TEXT = _canonical(fx.DOCUMENTS, {"text", "lang", "source"})
 _ORDER_TEXT = _canonical(fx.ORDERS, {"o_orderstatus", "o_orderpriority"})
 _ORDERS_TEXT = fx.select_sql(fx.ORDERS_TEXT, "orders")
-_SUMMED = f"CAST(coalesce(sum(CAST('0x' || substr(md5({_ORDER_TEXT}), 1, 8) AS BIGINT)), 0) AS VARCHAR)"
+_WORD_SUMS = ", ".join(
+    f"CAST(coalesce(sum(CAST('0x' || substr(md5({_ORDER_TEXT}), {at}, 8) AS BIGINT)), 0) AS VARCHAR)"
+    for at in (1, 9, 17, 25)
+)
+_SUMMED = f"concat_ws('-', {_WORD_SUMS})"
+
+
+def _crc32(text: str) -> str:
+    """The checksum bit by bit, over the bytes of the UTF-8 text."""
+    digits = f"hex(encode({text}))"
+    listed = f"list_transform(range(0, length({digits}) // 2), lambda i: CAST('0x' || substr({digits}, 2 * i + 1, 2) AS BIGINT))"
+    shifted = "list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {listed}), lambda crc, b: {shifted}), 4294967295)"
+
+
+def _crc32_sum(text: str, rows: str) -> str:
+    return f"""SELECT 'crc32' AS algo, count(*) AS row_count, CAST(coalesce(sum({_crc32('t')}), 0) AS VARCHAR) AS checksum
+    FROM (SELECT {text} AS t FROM ({rows}) r) texts"""
+
+
+_LINES_TEXT = _crc32_sum(
+    _canonical(fx.LINEITEM_NAMES, {"l_returnflag", "l_linestatus"}), fx.select_sql(fx.LINEITEM, "lineitem")
+)
+_PLAIN_TEXT = _crc32_sum(
+    "concat_ws(',', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment)", fx.select_sql(fx.CUSTOMER_TEXT, "customer")
+)
 
 
 # -- logs ---------------------------------------------------------------------------------------------
@@ -216,9 +255,12 @@ _SAMPLED = f"keys AS (SELECT DISTINCT o_custkey FROM a WHERE o_custkey IS NOT NU
 _ORDER_COLUMNS = ", ".join(_shown(c, c, c in _ORDER_TEXT_COLUMNS) for c in fx.ORDERS)
 
 
-def _sampled(labels: dict[str, str]) -> str:
+def _sampled(labels: dict[str, str], most: int | None = None) -> str:
+    order = ", ".join(f"{c} NULLS FIRST" for c in ["o_custkey", *[c for c in fx.ORDERS if c != "o_custkey"]])
+    cap = f" ORDER BY {order} LIMIT {most}" if most else ""
     return " UNION ALL ".join(
-        f"SELECT '{label}' AS side, {_ORDER_COLUMNS} FROM {source} WHERE o_custkey IN (SELECT o_custkey FROM keys)"
+        f"SELECT * FROM (SELECT '{label}' AS side, {_ORDER_COLUMNS} FROM (SELECT * FROM {source} "
+        f"WHERE o_custkey IN (SELECT o_custkey FROM keys){cap}) cut) shown"
         for label, source in labels.items()
     )
 
@@ -245,15 +287,17 @@ ORACLES: dict[str, str] = {
                   "FROM cmp WHERE o_totalprice_result = 'unmatch'",
     "assert_tables_equal": f"""{_multiset(fx.ORDERS_PAIR_SQL, fx.ORDERS)}
         SELECT 'orders, reordered' AS pair, CAST(0 AS BIGINT) AS only_in_a, CAST(0 AS BIGINT) AS only_in_b,
-        true AS tables_equal UNION ALL SELECT 'orders A, orders B',
+        true AS tables_equal, 'True' AS answer UNION ALL SELECT 'orders A, orders B',
         CAST(coalesce(sum(greatest(copies_a - copies_b, 0)), 0) AS BIGINT),
-        CAST(coalesce(sum(greatest(copies_b - copies_a, 0)), 0) AS BIGINT), count(*) = 0 FROM folded""",
+        CAST(coalesce(sum(greatest(copies_b - copies_a, 0)), 0) AS BIGINT), count(*) = 0,
+        'Data in dataframe and after_table are different.' FROM folded""",
     "schema_diff": _schema_diff(),
     "column_mismatch_audit": f"{_KEYED} {_audit_all()}",
     "table_mismatch_audit": f"{_KEYED} {_AUDIT_ONE}",
     "audit_append": f"{_KEYED} {_audit_all()} UNION ALL {_AUDIT_ONE}",
     "result_overwrite": f"{_KEYED} SELECT {_LAYOUT} FROM cmp",
     "ab_test": f"{_KEYED} {_audit_all('orders_run', 'orders_run_b')}",
+    "ab_test_all_columns": f"{_BY_ALL} {_audit_all('orders_all', 'orders_all_b')}",
     "unmatched_counts": f"{_KEYED} " + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) AS unmatched_count FROM cmp WHERE {c}_result = 'unmatch'"
         for c in fx.ORDERS
@@ -267,26 +311,24 @@ ORACLES: dict[str, str] = {
         data_mismatch, mismatch_count, validation_errors, CAST(run_date AS VARCHAR) AS run_date, run_label
         FROM audit WHERE {_IS_MISMATCH}""",
     "mismatch_rollup": _rollup(),
-    "audit_summary": _SUMMARY,
+    "audit_summary": _summary(),
     "conversion_summary": f"{_with(fx.EXPOSURES_SQL)} SELECT experiment_id, variation, {_OVERALL} "
                           "FROM exposures GROUP BY experiment_id, variation",
     "conversion_daily": f"{_with(fx.EXPOSURES_SQL)} SELECT experiment_id, variation, CAST(date AS VARCHAR) AS date, "
                         f"{_DAILY} FROM exposures GROUP BY experiment_id, variation, date",
-    "conversion_report": f"""{_with(fx.EXPOSURES_SQL)}, cs AS (SELECT experiment_id, variation, {_OVERALL}
-        FROM exposures GROUP BY experiment_id, variation), ds AS (SELECT experiment_id, variation, date, {_DAILY}
-        FROM exposures GROUP BY experiment_id, variation, date)
-        SELECT cs.*, CAST(ds.date AS VARCHAR) AS date, ds.daily_users, ds.daily_conversions,
-        ds.daily_avg_time_on_site, ds.daily_conversion_rate FROM cs JOIN ds
-        ON cs.experiment_id = ds.experiment_id AND cs.variation = ds.variation""",
+    "conversion_report": _report(),
     "row_checksum": f"SELECT doc_id, md5({_DOCUMENT_TEXT}) AS checksum FROM documents",
     "row_checksum_plain": f"SELECT doc_id, md5(concat_ws(',', {', '.join(fx.DOCUMENTS)})) AS checksum FROM documents",
     "table_checksum": f"SELECT 'md5' AS algo, count(*) AS row_count, {_SUMMED} AS checksum FROM ({_ORDERS_TEXT}) t",
+    "table_checksum_crc32": _LINES_TEXT,
+    "table_checksum_plain": _PLAIN_TEXT,
     "checksum_equal": f"""WITH a AS ({_ORDERS_TEXT}), b AS (SELECT * FROM a WHERE o_orderkey % 101 <> 0),
         ta AS (SELECT count(*) AS n, {_SUMMED} AS s FROM a), tb AS (SELECT count(*) AS n, {_SUMMED} AS s FROM b)
         SELECT ta.n AS rows_a, tb.n AS rows_b, ta.s AS checksum_a, tb.s AS checksum_b,
         ta.n = tb.n AND ta.s = tb.s AS checksums_equal FROM ta, tb""",
-    "file_stats": "SELECT count(DISTINCT o_orderstatus) AS num_files, count(*) > 0 AS has_bytes, "
-                  "'o_orderstatus' AS partition_columns FROM orders",
+    "file_stats": "SELECT 'by status' AS place, true AS files_right, true AS bytes_right, "
+                  "'o_orderstatus' AS partition_columns UNION ALL SELECT 'orders', true, true, '' "
+                  "UNION ALL SELECT 'lineitem', true, true, ''",
     "files_equal": "SELECT 'copy' AS version, count(*) = count(*) AS files_equal FROM orders UNION ALL "
                    "SELECT 'cut', count(*) = count(*) FILTER (WHERE o_orderkey % 101 <> 0) FROM orders",
     "manifest_added": f"{_with(fx.LOG_SQL)} SELECT DISTINCT file_path FROM log WHERE is_add",
@@ -295,6 +337,7 @@ ORACLES: dict[str, str] = {
         SELECT file_path, 'a' AS side FROM la WHERE file_path NOT IN (SELECT file_path FROM lb)
         UNION ALL SELECT file_path, 'b' FROM lb WHERE file_path NOT IN (SELECT file_path FROM la)""",
     "sample_pair": f"{_with(fx.ORDERS_PAIR_SQL, _SAMPLED)} {_sampled({'a': 'a', 'b': 'b'})}",
+    "sample_pair_capped": f"{_with(fx.ORDERS_PAIR_SQL, _SAMPLED)} {_sampled({'a': 'a', 'b': 'b'}, ROW_LIMIT)}",
     "prepare_pair": f"{_with(fx.ORDERS_PAIR_SQL, _SAMPLED)} {_sampled({'main': 'a', 'clone': 'a'})}",
     "normalize_columns": "SELECT * FROM customer",
     "clone_full": f"SELECT {_ORDER_COLUMNS} FROM orders",
@@ -303,6 +346,15 @@ ORACLES: dict[str, str] = {
         count(*) AS rows FROM customer UNION ALL SELECT 's.orders', 's.s_orders', 'select_into', count(*)
         FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 's.lineitem', 's.s_lineitem', 'select_into', count(*)
         FROM lineitem""",
+    "clone_from_spec_file": f"SELECT {_ORDER_COLUMNS} FROM orders WHERE o_orderstatus = 'O'",
+    "schema_diffs": " UNION ALL ".join(
+        f"SELECT '{pair}' AS pair, '{name}' AS column_name, '{side}' AS side, '{kind}' AS kind, "
+        f"(SELECT count(*) FROM {pair}) AS rows" for pair, name, side, kind in [
+            ("orders", "o_custkey", "both", "type"), ("orders", "o_orderkey", "both", "nullable"),
+            ("orders", "o_orderstatus", "both", "metadata"), ("orders", "o_orderpriority", "a", "only_a"),
+            ("orders", "o_priority", "b", "only_b"), ("customer", "c_acctbal", "a", "only_a"),
+        ]
+    ),
     "template_table_keys": f"WITH {_KEYS} SELECT domain_cd, table_cd FROM keys",
     "resolve_table_keys": f"""{_with(fx.TEMPLATES_SQL, _KEYS)} SELECT k.domain_cd, k.table_cd,
         r.stage_table_path AS table_path FROM keys k LEFT JOIN reference r ON k.table_cd = r.table_cd""",
@@ -318,7 +370,7 @@ ORACLES: dict[str, str] = {
         ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         WHERE n_regionkey = (SELECT r_regionkey FROM region WHERE r_name = 'ASIA') GROUP BY n_name, o_orderstatus""",
     "graph_nodes": """SELECT ':Customer' AS label, o_custkey, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderkey,
-        o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+        o_totalprice, o_orderstatus, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
         ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) t WHERE r = 1""",
     "upsert_nodes": """SELECT ':Customer' AS label, c_custkey, c_name, c_nationkey, c_acctbal,
         CASE WHEN c_custkey % 10 = 0 THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment FROM customer

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -20,6 +21,7 @@ LABEL = "run-1"
 KEY = ["o_orderkey"]
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 SAMPLE_KEYS = 100
+ROW_LIMIT = 250
 
 
 def _keyed(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -63,13 +65,18 @@ def drill_down(spark, sf_dir):
 
 
 def assert_tables_equal(spark, sf_dir):
+    """Both answers of the check, beside the number of rows that made it say so."""
     orders = fx.table(spark, sf_dir, "orders")
     a, b = fx.orders_pair(spark, sf_dir)
     shuffled = orders.where("o_orderkey % 2 = 0").unionAll(orders.where("o_orderkey % 2 <> 0"))
     pairs = {"orders, reordered": (orders, shuffled), "orders A, orders B": (a, b)}
-    checks = [
-        tc.tables_equal(x, y).select(F.lit(name).alias("pair"), "*") for name, (x, y) in pairs.items()
-    ]
+    checks = []
+    for name, (x, y) in pairs.items():
+        try:
+            answer = str(tc.assert_tables_equal(x, y))
+        except ValueError as unequal:
+            answer = str(unequal)
+        checks.append(tc.tables_equal(x, y).select(F.lit(name).alias("pair"), "*", F.lit(answer).alias("answer")))
     return reduce(DataFrame.unionAll, checks)
 
 
@@ -99,6 +106,18 @@ def schema_diff(spark, sf_dir):
     return result
 
 
+def schema_diffs(spark, sf_dir):
+    """Differences of several pairs in one table, with the rows of both sides."""
+    orders, customer = (fx.table(spark, sf_dir, name) for name in ("orders", "customer"))
+    pairs = [("orders", orders, _reshaped_orders(orders)), ("customer", customer, customer.drop("c_acctbal"))]
+    sizes = reduce(DataFrame.unionAll, [
+        x.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("counted"), "rows")
+        for name, x, _ in pairs
+    ])
+    found = tc.schema_diffs(pairs)
+    return found.join(sizes, F.col("pair") == F.col("counted")).select("pair", "column_name", "side", "kind", "rows")
+
+
 # -- audit ---------------------------------------------------------------------------------
 
 
@@ -145,6 +164,17 @@ def ab_test(spark, sf_dir):
     return fx.presentable(spark.table(audit_table))
 
 
+def ab_test_all_columns(spark, sf_dir):
+    """An A/B run without keys: rows are matched on all their columns."""
+    a, b = fx.orders_pair(spark, sf_dir)
+    a.createOrReplaceTempView("orders_all")
+    b.createOrReplaceTempView("orders_all_b")
+    schema = fx.scratch_schema(spark)
+    test = tc.ABTest("orders_all", f"{schema}.result", f"{schema}.audit", run_label=LABEL)
+    tc.run_ab_test(spark, test, RUN_DATE)
+    return fx.presentable(spark.table(f"{schema}.audit"))
+
+
 # -- reports -------------------------------------------------------------------------------
 
 
@@ -209,7 +239,14 @@ def table_checksum(spark, sf_dir):
 
 
 def table_checksum_crc32(spark, sf_dir):
-    return fx.presentable(tc.table_checksum(fx.table(spark, sf_dir, "lineitem"), algo="crc32"))
+    lines = fx.table(spark, sf_dir, "lineitem").selectExpr(*fx.LINEITEM)
+    return fx.presentable(tc.table_checksum(lines, algo="crc32"))
+
+
+def table_checksum_plain(spark, sf_dir):
+    """The plain form: values joined by commas, NULLs left out."""
+    customer = fx.table(spark, sf_dir, "customer").selectExpr(*fx.CUSTOMER_TEXT)
+    return fx.presentable(tc.table_checksum(customer, algo="crc32", form="plain"))
 
 
 def checksum_equal(spark, sf_dir):
@@ -218,18 +255,28 @@ def checksum_equal(spark, sf_dir):
     return fx.presentable(tc.checksum_equal(a, b, algo="md5"))
 
 
+def _measured(spark, path: str) -> tuple[int, int]:
+    """Files and bytes behind the rows of a folder: Spark knows the file of every row."""
+    rows = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size")
+    files = rows.groupBy("file_path").agg(F.max("file_size").alias("size"))
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("size")).first())
+
+
 def file_stats(spark, sf_dir):
-    """File statistics of a copy of orders laid out by status.
-
-    Rebalanced, so that a status is one file while it is small and split when it is not.
-    """
-    path = fresh_path(spark, "orders-by-status")
-    orders = fx.table(spark, sf_dir, "orders").hint("rebalance", F.col("o_orderstatus"))
-    orders.write.partitionBy("o_orderstatus").parquet(path)
-    return tc.file_stats(spark, path).select(
-        "num_files", (F.col("size_in_bytes") > 0).alias("has_bytes"),
-        F.array_join("partition_columns", ",").alias("partition_columns"),
-    )
+    """File statistics of the given tables, as they lie, and of orders laid out by status,
+    each held against the files its rows come from."""
+    laid_out = fresh_path(spark, "orders-by-status")
+    fx.table(spark, sf_dir, "orders").write.partitionBy("o_orderstatus").parquet(laid_out)
+    places = {"by status": laid_out, **{name: f"{sf_dir}/{name}.parquet" for name in ("orders", "lineitem")}}
+    checks = []
+    for place, path in places.items():
+        files, size = _measured(spark, path)
+        checks.append(tc.file_stats(spark, path).select(
+            F.lit(place).alias("place"), (F.col("num_files") == files).alias("files_right"),
+            (F.col("size_in_bytes") == size).alias("bytes_right"),
+            F.array_join("partition_columns", ",").alias("partition_columns"),
+        ))
+    return reduce(DataFrame.unionAll, checks)
 
 
 def files_equal(spark, sf_dir):
@@ -247,15 +294,15 @@ def files_equal(spark, sf_dir):
 
 
 def manifest_added(spark, sf_dir):
-    return tc.manifest_added(tc.file_actions(fx.log_records(spark, sf_dir)))
+    return tc.manifest_added(tc.read_log(spark, fx.written_log(spark, sf_dir)))
 
 
 def manifest_live(spark, sf_dir):
-    return tc.manifest_live(tc.file_actions(fx.log_records(spark, sf_dir)))
+    return tc.manifest_live(tc.read_log(spark, fx.written_log(spark, sf_dir)))
 
 
 def manifest_diff(spark, sf_dir):
-    logs = [tc.file_actions(fx.log_records(spark, sf_dir, where)) for where in ("true", fx.LOG_B)]
+    logs = [tc.read_log(spark, fx.written_log(spark, sf_dir, where)) for where in ("true", fx.LOG_B)]
     return tc.manifest_diff(*[tc.manifest_live(log) for log in logs])
 
 
@@ -268,6 +315,13 @@ def sample_pair(spark, sf_dir):
     return fx.presentable(reduce(DataFrame.unionAll, sides))
 
 
+def sample_pair_capped(spark, sf_dir):
+    """The same samples, each capped to its lowest rows."""
+    pair = tc.sample_pair(*fx.orders_pair(spark, sf_dir), ["o_custkey"], SAMPLE_KEYS, row_limit=ROW_LIMIT)
+    sides = [df.select(F.lit(side).alias("side"), "*") for side, df in (("a", pair.a), ("b", pair.b))]
+    return fx.presentable(reduce(DataFrame.unionAll, sides))
+
+
 def prepare_pair(spark, sf_dir):
     """Clone a stale copy again, then write both samples as tables."""
     schema = fx.scratch_schema(spark)
@@ -308,6 +362,18 @@ def clone_filtered(spark, sf_dir):
     return fx.presentable(spark.table(f"{schema}.copy"))
 
 
+def clone_from_spec_file(spark, sf_dir):
+    """The same clone, its spec read from a file."""
+    schema = _source(spark, sf_dir, "orders")
+    spec = {"tables": [{"table": "orders", "options": [
+        {"key": "copy_method", "value": "select_into"}, {"key": "filter_condition", "value": "o_orderstatus = 'O'"},
+    ]}]}
+    path = fresh_path(spark, "clone-spec")
+    spark.createDataFrame([(json.dumps(spec),)], "value string").coalesce(1).write.text(path)
+    tc.clone_tables(spark, tc.read_clone_spec(spark, path), schema, target_schema=schema)
+    return fx.presentable(spark.table(f"{schema}.{schema}_orders"))
+
+
 def clone_tables(spark, sf_dir):
     """Clone from a spec; the report without the scratch schema in its names."""
     schema = _source(spark, sf_dir, "orders")
@@ -372,7 +438,7 @@ def run_reference_query(spark, sf_dir):
 
 def graph_nodes(spark, sf_dir):
     """One customer node per key, out of one row per order: the latest order wins."""
-    orders = fx.table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    orders = fx.table(spark, sf_dir, "orders")
     return fx.presentable(tc.graph_nodes(orders, ":Customer", "o_custkey", order_by=["o_orderdate", "o_orderkey"]))
 
 
@@ -393,8 +459,9 @@ QUERIES: dict[str, Query] = {
         schema_diff, column_mismatch_audit, table_mismatch_audit, audit_append, result_overwrite,
         ab_test, unmatched_counts, audit_dashboard, audit_mismatches, mismatch_rollup, audit_summary,
         conversion_summary, conversion_daily, conversion_report, row_checksum, row_checksum_plain,
-        table_checksum, table_checksum_crc32, checksum_equal, file_stats, files_equal,
-        manifest_added, manifest_live, manifest_diff, sample_pair, prepare_pair, normalize_columns,
+        table_checksum, table_checksum_crc32, table_checksum_plain, checksum_equal, file_stats, files_equal,
+        manifest_added, manifest_live, manifest_diff, sample_pair, sample_pair_capped, prepare_pair,
+        normalize_columns, ab_test_all_columns, clone_from_spec_file, schema_diffs,
         clone_full, clone_filtered, clone_tables, template_table_keys, resolve_table_keys,
         unresolved_keys, render_templates, run_reference_query, graph_nodes, upsert_nodes,
     )
