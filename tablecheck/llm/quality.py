@@ -49,7 +49,7 @@ RULES = (
     Rule("word_length_low", "word_chars * 10 - n_words * 20", least=0),
     Rule("word_length_high", "CASE WHEN latin THEN n_words * 150 - word_chars * 10 ELSE 0 END", least=0),
     Rule("symbols", "n_words * 10 - n_symbols * 100", least=0),
-    Rule("repeated_lines", "n_lines * 30 - n_dup_lines * 100", least=0),
+    Rule("repeated_lines", "CASE WHEN n_lines >= 10 THEN n_lines * 30 - n_dup_lines * 100 ELSE 0 END", least=0),
     Rule("repeated_words", "n_words * 50 - n_repeat_words * 100", least=0),
     Rule("shouting", "n_letters * 50 - n_capitals * 100", least=0),
     Rule("exclamations", "n_words * 20 - n_exclamations * 100", least=0),
