@@ -47,6 +47,7 @@ from tablecheck.operators.sqlref import (
 )
 from tablecheck.plans.ab_test import ABTest, result_overwrite, run_ab_test
 from tablecheck.plans.prepare_pair import data_files_equal, prepare_pair
+from tablecheck.sources.scratch import clear_scratch
 from tablecheck.sources.sinks import write_graph_nodes
 from tablecheck.sources.txlog import file_actions, read_log
 

@@ -88,6 +88,35 @@ a AS ({select_sql(LINEITEM, "lineitem")}),
 b AS ({select_sql(LINEITEM_B, "lineitem", LINE_KEPT)} UNION ALL {select_sql(LINEITEM, "lineitem", LINE_COPIED)})"""
 
 
+# -- orders with a nested column: a struct of a map, a time and a list ---------------------
+
+NESTED_B = {
+    "status": "CASE WHEN o_orderkey % 89 = 0 THEN 'X' ELSE o_orderstatus END",
+    "moment": "CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END",
+    "price": "CASE WHEN o_orderkey % 83 = 0 THEN o_totalprice + 1 ELSE o_totalprice END",
+}
+
+
+def nested_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders twice; B lists map entries the other way round and differs as ``NESTED_B`` says,
+    in one case by a microsecond."""
+    orders = table(spark, sf_dir, "orders")
+
+    def nested(status: str, extra_micros: str, price: str, backwards: bool) -> DataFrame:
+        entries = ["'status'", status, "'priority'", "o_orderpriority"]
+        if backwards:
+            entries = entries[2:] + entries[:2]
+        return orders.selectExpr("o_orderkey", f"""named_struct('m', map({', '.join(entries)}),
+            't', timestamp_micros(unix_micros(CAST(o_orderdate AS TIMESTAMP)) + {extra_micros}),
+            'l', array(named_struct('p', {price}, 'z', CASE WHEN {'true' if backwards else 'false'} THEN -0.0D ELSE 0.0D END)))
+            AS detail""")
+
+    return (
+        nested("o_orderstatus", "0", "o_totalprice", False),
+        nested(NESTED_B["status"], NESTED_B["moment"], NESTED_B["price"], True),
+    )
+
+
 # -- audit rows, one per order ---------------------------------------------------------
 
 AUDIT = [

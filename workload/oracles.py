@@ -281,6 +281,11 @@ ORACLES: dict[str, str] = {
                            "CAST(copies_b AS BIGINT) AS copies_b FROM cmp",
     "compare_multiset": f"{_multiset(fx.LINEITEM_PAIR_SQL, fx.LINEITEM_NAMES)} "
                         f"SELECT {_LINE_COLUMNS}, copies_a, copies_b FROM folded",
+    "nested_values": f"""WITH b AS (SELECT *, {fx.NESTED_B['status']} AS status, {fx.NESTED_B['moment']} AS moment,
+        {fx.NESTED_B['price']} AS price FROM orders), compared AS (SELECT o_orderkey,
+        status = o_orderstatus AND moment = 0 AND price = o_totalprice AS same FROM b)
+        SELECT o_orderkey, CASE WHEN same THEN 'match' ELSE 'unmatch' END AS detail_result, same AS checksums_equal
+        FROM compared""",
     "unmatched_rows": f"{_KEYED} SELECT {', '.join([*_VALUES, *_FLAGS])}, 'unmatched' AS validation_result "
                       "FROM cmp WHERE validation_result = 'unmatch'",
     "drill_down": f"{_KEYED} SELECT {', '.join(_VALUES)}, o_totalprice_result "

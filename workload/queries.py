@@ -118,6 +118,15 @@ def schema_diffs(spark, sf_dir):
     return found.join(sizes, F.col("pair") == F.col("counted")).select("pair", "column_name", "side", "kind", "rows")
 
 
+def nested_values(spark, sf_dir):
+    """A nested column compared by key, and whether its row checksums agree, per order."""
+    a, b = fx.nested_pair(spark, sf_dir)
+    flags = tc.compare_by_key(a, b, KEY).select(F.col("o_orderkey_a").alias("o_orderkey"), "detail_result")
+    sums = [tc.row_checksum(side, keep=KEY).withColumnRenamed("checksum", name) for side, name in ((a, "x"), (b, "y"))]
+    checked = sums[0].join(sums[1], KEY).select(*KEY, (F.col("x") == F.col("y")).alias("checksums_equal"))
+    return flags.join(checked, KEY)
+
+
 # -- audit ---------------------------------------------------------------------------------
 
 
@@ -455,7 +464,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         compare_by_key, compare_by_key_nullsafe, compare_by_key_pair, duplicate_keys,
-        compare_all_columns, compare_multiset, unmatched_rows, drill_down, assert_tables_equal,
+        compare_all_columns, compare_multiset, nested_values, unmatched_rows, drill_down, assert_tables_equal,
         schema_diff, column_mismatch_audit, table_mismatch_audit, audit_append, result_overwrite,
         ab_test, unmatched_counts, audit_dashboard, audit_mismatches, mismatch_rollup, audit_summary,
         conversion_summary, conversion_daily, conversion_report, row_checksum, row_checksum_plain,
