@@ -370,11 +370,14 @@ def _pair_copies(
 
 
 def _crowded_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame | None:
-    """Keys with more than ``LANE_ROWS`` rows, written so that their number is known."""
+    """Keys with more than ``LANE_ROWS`` rows, written so that their number is known; None if
+    there are none."""
     by_key = [column(k) for k in keys]
     counted = a.select(*by_key).unionAll(b.select(*by_key)).groupBy(*by_key).agg(F.count(F.lit(1)).alias("__n"))
-    crowded = staged(counted.where(F.col("__n") > LANE_ROWS).select(_key_struct(keys).alias("__crowded")), "crowded")
-    return None if crowded.isEmpty() else crowded
+    most = counted.agg(F.max("__n")).first()[0] or 0
+    if most <= LANE_ROWS:
+        return None
+    return staged(counted.where(F.col("__n") > LANE_ROWS).select(_key_struct(keys).alias("__crowded")), "crowded")
 
 
 def _ranked_in_key(
@@ -391,7 +394,9 @@ def _ranked_in_key(
     )
     in_lane = F.row_number().over(Window.partitionBy(_KEY, _SIDE, _LANE).orderBy(_ORDER))
     if crowded is None:
-        return ordered.withColumn(_LANE, F.lit("")).withColumn(_RANK, in_lane)
+        # dealt out by key once: numbering and pairing both find a key's few rows together
+        whole = F.row_number().over(Window.partitionBy(_KEY, _SIDE).orderBy(_ORDER))
+        return ordered.repartition(F.col(_KEY)).withColumn(_RANK, whole)
     marked = ordered.join(crowded, F.col(_KEY) == F.col("__crowded"), "left")
     lane = F.when(F.col("__crowded").isNotNull(), F.substring(_ORDER, 1, _LANE_DIGITS)).otherwise(F.lit(""))
     laned = marked.withColumn(_LANE, lane).drop("__crowded")

@@ -194,11 +194,22 @@ def _renamed(spark: SparkSession, folder: str, name: str, target: str) -> None:
         raise OSError(f"{part.toString()} cannot be renamed")
 
 
+_LOGS: dict[tuple[str, str, str], str] = {}
+
+
 def written_log(spark: SparkSession, sf_dir: str, where: str = "true") -> str:
     """A table folder with the same records as commit files, and a checkpoint half way.
 
     The checkpoint holds what its version's replay leaves; the commits before it are kept.
+    A session writes each log once.
     """
+    known = (spark.sparkContext.applicationId, sf_dir, where)
+    if known not in _LOGS:
+        _LOGS[known] = _write_log(spark, sf_dir, where)
+    return _LOGS[known]
+
+
+def _write_log(spark: SparkSession, sf_dir: str, where: str) -> str:
     table_path = fresh_path(spark, "logged-table")
     log, records = f"{table_path}/_delta_log", log_records(spark, sf_dir, where)
     lines = records.select("version", F.to_json(F.struct("add", "remove")).alias("value"))
