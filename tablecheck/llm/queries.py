@@ -170,6 +170,40 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+_OP5 = f"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(
+    regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents),
+places AS (SELECT r, words, unnest(range(1, len(words) - {substring.WINDOW - 2})) AS i FROM split),
+windows AS (SELECT r, i, md5(array_to_string(words[i: i + {substring.WINDOW - 1}], ' ')) AS h FROM places),
+repeated AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY h) > 1),
+removed AS (SELECT DISTINCT r, i + d AS i FROM repeated, range(0, {substring.WINDOW}) AS x(d)),
+single AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM single ANTI JOIN removed USING (r, i) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (r)"""
+
+_OP10 = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+    lambda w: w <> '') AS words FROM documents),
+listed AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) BETWEEN 1 AND 4 THEN [array_to_string(words, ' ')] ELSE
+    list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i: i + 4], ' ')) END) AS shingles FROM split),
+sizes AS (SELECT doc_id, len(shingles) AS n FROM listed),
+single AS (SELECT doc_id, md5(unnest(shingles)) AS s FROM listed),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM single a JOIN single b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+linked AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= {neardup.PERCENT} * (x.n + y.n - shared)),
+links AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a)
+SELECT doc_id, n AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM sizes JOIN (SELECT a, min(b) AS c FROM reached GROUP BY a) least ON least.a = doc_id"""
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_balanced_sharding": op2_balanced_sharding,
@@ -182,4 +216,9 @@ QUERIES = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op9_html_extraction": op9_html_extraction,
 }
-ORACLES = {"op1_chat_formatting": _OP1, "op6_quality_rules": _OP6}
+ORACLES = {
+    "op1_chat_formatting": _OP1,
+    "op5_substring_dedup": _OP5,
+    "op6_quality_rules": _OP6,
+    "op10_minhash_near_dedup": _OP10,
+}
