@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablecheck.functions.names import column
+from tablecheck.functions.flags import orderable
+from tablecheck.functions.names import column, holds
 
 
 def _required(key: str) -> Column:
@@ -16,19 +18,29 @@ def _required(key: str) -> Column:
     return F.when(column(key).isNull(), kind).otherwise(column(key)).alias(key)
 
 
+def _ranking(value: Column, dtype: T.DataType) -> Column:
+    if not holds(dtype, T.VariantType):
+        return orderable(value, dtype)
+    return F.to_json(value if isinstance(dtype, T.VariantType) else F.struct(value.alias("v")))
+
+
 def graph_nodes(df: DataFrame, label: str, key: str, order_by: Sequence[str] = ()) -> DataFrame:
     """``label``, the key and the property columns, one row per key.
 
     Rows of one key collapse to the greatest by ``order_by`` (e.g. an update time), then
     by value; the collapse combines before the shuffle, so a hot key costs no more than
-    any other. A NULL key fails the query.
+    any other. Maps rank by their sorted entries, variants by their JSON text. A NULL key
+    fails the query.
     """
+    types = {f.name: f.dataType for f in df.schema.fields}
     properties = [c for c in df.columns if c != key]
     rank = [*order_by, *[c for c in properties if c not in order_by]]
     keyed = df.select(_required(key), *[column(c) for c in properties])
     if not properties:
         return keyed.distinct().select(F.lit(label).alias("label"), column(key))
-    best = keyed.groupBy(column(key)).agg(F.max(F.struct(*[column(c) for c in rank])).alias("__best"))
+    ranked = F.struct(*[_ranking(column(c), types[c]).alias(f"r{i}") for i, c in enumerate(rank)])
+    values = F.struct(*[column(c) for c in properties])
+    best = keyed.groupBy(column(key)).agg(F.max_by(values, ranked).alias("__best"))
     return best.select(
         F.lit(label).alias("label"),
         column(key),

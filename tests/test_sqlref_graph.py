@@ -138,3 +138,12 @@ def test_upsert_replaces_by_key(spark):
     existing = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([("B", 2), ("c", 3)], "v string, k int")
     assert sorted(map(tuple, tc.upsert_nodes(existing, new, "k").collect())) == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_nodes_with_maps_and_variants(spark):
+    rows = spark.range(6).select(
+        (F.col("id") % 2).alias("k"), F.create_map(F.lit("n"), "id").alias("m"),
+        F.parse_json(F.format_string('{"n": %d}', "id")).alias("v"), F.struct(F.create_map("id", F.lit(1)).alias("x")).alias("s"),
+    )
+    nodes = tc.graph_nodes(rows, "N", "k").select("k", F.col("m")["n"].alias("n"), F.to_json("v").alias("v")).collect()
+    assert sorted(map(tuple, nodes)) == [(0, 4, '{"n":4}'), (1, 5, '{"n":5}')]
