@@ -194,7 +194,9 @@ def _share(part: np.ndarray, there: np.ndarray) -> float:
     return float(np.isin(part, there, assume_unique=True).mean()) if len(part) else 1.0
 
 
-def find_leaks(index: ItemIndex, texts: list[list[bytes]], threshold: float, overlap: float, part_overlap: float) -> list[list[dict]]:
+def find_leaks(
+    index: ItemIndex, texts: list[list[bytes]], threshold: float, overlap: float, part_overlap: float
+) -> list[list[dict]]:
     """For every text the items it leaks, each once, where it scores highest."""
     best: list[dict[int, dict]] = [{} for _ in texts]
     for text, window in _candidate_windows(index, texts, threshold):

@@ -133,7 +133,9 @@ class LanguageModel:
         return scores
 
 
-def train(texts: Sequence[tuple[str, str]], steps: int = 240, sequences: int = 160, length: int = 48, seed: int = 7) -> LanguageModel:
+def train(
+    texts: Sequence[tuple[str, str]], steps: int = 240, sequences: int = 160, length: int = 48, seed: int = 7
+) -> LanguageModel:
     """A model of ``(text, label)`` pairs, by gradient steps on the chain's likelihood."""
     labels = tuple(sorted({label for _, label in texts}))
     number = {label: i for i, label in enumerate(labels)}
