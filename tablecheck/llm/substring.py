@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,10 @@ WINDOW = 35
 #: Any two numbers differ, modulo the period, by the difference of two members of the cover.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 
+#: Anchors and windows are counted in this many rounds, each a share of the hashes, so that
+#: only a share of them lies on the disks at once.
+ROUNDS = 2
+
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
 
 
@@ -133,6 +138,23 @@ def _cut(text: Column, starts: Column, window: int) -> Column:
     return cut(text, starts)
 
 
+def _in_rounds(places: DataFrame, hashes: list[str], place: str, listed: str) -> DataFrame:
+    """``row, listed``: the places of every row whose hashes occur more than once.
+
+    Equal hashes meet in the same round. Counts are combined before the shuffle, and the
+    join back is one that adaptive execution may split where a hash is frequent.
+    """
+    spark = places.sparkSession
+    found = []
+    for turn in range(ROUNDS):
+        own = places.where(F.pmod(F.col(hashes[0]), F.lit(ROUNDS)) == turn)
+        shared = own.groupBy(*hashes).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*hashes)
+        held = own.join(shared, hashes).groupBy("row").agg(F.collect_set(place).alias(listed))
+        found.append(staged(held, listed))
+        release(spark)
+    return reduce(DataFrame.unionAll, found).groupBy("row").agg(F.flatten(F.collect_list(listed)).alias(listed))
+
+
 def substring_dedup(
     docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW
 ) -> DataFrame:
@@ -157,8 +179,7 @@ def substring_dedup(
         rows.groupBy("same").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("first")), "classes"
     )
     anchored = read.select("row", F.posexplode("anchors").alias("ordinal", "anchor"))
-    shared = anchored.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    flagged = anchored.join(shared, "anchor").groupBy("row").agg(F.collect_list("ordinal").alias("ordinals"))
+    flagged = _in_rounds(anchored, ["anchor"], "ordinal", "ordinals")
     # one row stands for all copies of a text
     concerned = staged(
         rows.select("row", "id", "same").join(flagged, "row")
@@ -173,16 +194,12 @@ def substring_dedup(
         .select("row", "copies", "ordinals", "t"), "texts",
     )
     release(spark)
-    # hashed once to be counted and once to be found again: cheaper than keeping them all.
+    # hashed again whenever they are read: cheaper than keeping them all.
     # Rows that repeat id and text come twice here, but those texts are decided by their count.
     windows = held.select("row", F.explode(_extended(F.col("t"), F.col("ordinals"), window)).alias("w")).select(
         "row", "w.start", "w.h", "w.g"
     )
-    repeated = windows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "g")
-    starts = staged(
-        windows.join(repeated, ["h", "g"]).groupBy("row").agg(F.collect_set("start").alias("starts")), "starts"
-    )
-    release(spark)
+    starts = _in_rounds(windows, ["h", "g"], "start", "starts")
     cut = held.where("copies = 1").join(starts, "row").select(
         "row", _cut(F.col("t"), F.col("starts"), window).alias("c")
     ).select("row", "c.n_removed", "c.kept", F.sha2(F.col("c.kept").cast("binary"), 256).alias("kept_sha256"))

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: How long Spark's cleaner, which works beside the jobs, is given.
+CLEANING_S = 1.0
+
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of jobs that are over.
@@ -15,6 +19,7 @@ def release(spark: SparkSession) -> None:
     """
     gc.collect()
     spark._jvm.System.gc()
+    time.sleep(CLEANING_S)
 
 
 def write_and_read(df: DataFrame, path: str) -> DataFrame:
