@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.sources.scratch import staged
+from tablecheck.llm.upkeep import Workspace
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, space: Workspace | None = None) -> DataFrame:
     """``node, component`` for every node of ``links`` (``a, b``, any direction, may repeat).
 
     The component is its smallest node. Each round gives every node the smallest label among
@@ -16,6 +16,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     than one row a task) and then follows labels to the labels of their labels, which halves
     distances. Rounds are written to the shared folder; they end when no label changes.
     """
+    staged = (space or Workspace(links.sparkSession, "components")).staged
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b")
     edges = staged(both.distinct(), "edges")
     labels = staged(edges.groupBy("a").agg(F.min("b").alias("b")).select(

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tablecheck.llm.components import connected_components
 from tablecheck.llm.shingles import list_array, mixed, shingle_hashes
-from tablecheck.sources.scratch import staged
+from tablecheck.llm.upkeep import Workspace
 
 SHINGLE_WORDS = 5
 PERCENT = 85
@@ -184,9 +184,11 @@ def _leader_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return compared.where(100 * both >= percent * union).select(F.col("leader").alias("a"), F.col("node").alias("b"))
 
 
-def _rest_links(members: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _rest_links(
+    members: DataFrame, components: DataFrame, sets: DataFrame, percent: int, space: Workspace
+) -> DataFrame:
     """Links inside buckets whose nodes are still in several components."""
-    placed = staged(members.join(components, "node", "left").select(
+    placed = space.staged(members.join(components, "node", "left").select(
         "bucket", "node", "n", F.coalesce("component", "node").alias("component")
     ), "placed")
     parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("shingles"))
@@ -207,7 +209,7 @@ def _rest_links(members: DataFrame, components: DataFrame, sets: DataFrame, perc
     dealt = placed.join(split, "bucket").select(
         "bucket", F.when(in_main, -1 - slot).otherwise(slot).alias("block"), "node", "component"
     )
-    blocks = staged(dealt.join(sets, "node").groupBy("bucket", "block").agg(
+    blocks = space.staged(dealt.join(sets, "node").groupBy("bucket", "block").agg(
         F.collect_list(F.struct("node", "component", "shingles", "sketch")).alias("held")
     ), "blocks")
     rest = blocks.where("block >= 0").select("bucket", F.col("block").alias("own_block"), F.col("held").alias("own"))
@@ -222,10 +224,11 @@ def near_duplicates(
     shingle_words: int = SHINGLE_WORDS, bands: int = BANDS, rows_per_band: int = ROWS_PER_BAND,
 ) -> DataFrame:
     """``key, n_shingles, component_id`` for every row of ``docs``."""
+    space = Workspace(docs.sparkSession, "near-duplicates")
     picked = docs.select(
         F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("t")
     )
-    signs = staged(
+    signs = space.staged(
         picked.select("id", _signed(F.col("t"), shingle_words, bands, rows_per_band).alias("s"))
         .select("id", "s.n", "s.same", "s.bands"), "signed",
     )
@@ -236,23 +239,23 @@ def near_duplicates(
     leaders = keyed.groupBy("bucket").agg(
         F.min(F.struct("node", "n")).alias("first"), F.max("node").alias("last")
     ).where("first.node <> last")
-    members = staged(keyed.join(leaders, "bucket").select(
+    members = space.staged(keyed.join(leaders, "bucket").select(
         "bucket", "node", "n", F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n")
     ), "members")
     wanted = members.select("node").distinct()
-    sets = staged(
+    sets = space.staged(
         picked.join(wanted, F.col("id") == F.col("node"), "left_semi").dropDuplicates(["id"])
         .select(F.col("id").alias("node"), _sets(F.col("t"), shingle_words, bands, rows_per_band).alias("s"))
         .select("node", "s.shingles", "s.sketch"), "sets",
     )
-    links = staged(_leader_links(members, sets, percent), "links")
-    components = connected_components(links)
-    rest = staged(_rest_links(members, components, sets, percent), "links")
+    links = space.staged(_leader_links(members, sets, percent), "links")
+    components = connected_components(links, space)
+    rest = space.staged(_rest_links(members, components, sets, percent, space), "links")
     if not rest.isEmpty():
-        components = connected_components(links.unionAll(rest))
+        components = connected_components(links.unionAll(rest), space)
     reached = nodes.select("same", "node").join(components, "node", "left").select(
         "same", F.coalesce("component", "node").alias("reached")
     )
-    return signs.join(reached, "same", "left").select(
+    return space.finished(signs.join(reached, "same", "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("reached", "id").alias("component_id")
-    )
+    ))

@@ -37,8 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.llm.shingles import list_array, mixed, window_hashes, word_hashes
-from tablecheck.llm.upkeep import discard, release, write_and_read
-from tablecheck.sources.scratch import fresh_path, staged
+from tablecheck.llm.upkeep import Workspace, release
 
 WINDOW = 35
 #: Any two numbers differ, modulo the period, by the difference of two members of the cover.
@@ -138,7 +137,9 @@ def _cut(text: Column, starts: Column, window: int) -> Column:
     return cut(text, starts)
 
 
-def _in_rounds(places: DataFrame, hashes: list[str], place: str, listed: str) -> DataFrame:
+def _in_rounds(
+    places: DataFrame, hashes: list[str], place: str, listed: str, space: Workspace
+) -> DataFrame:
     """``row, listed``: the places of every row whose hashes occur more than once.
 
     Equal hashes meet in the same round. Counts are combined before the shuffle, and the
@@ -150,7 +151,7 @@ def _in_rounds(places: DataFrame, hashes: list[str], place: str, listed: str) ->
         own = places.where(F.pmod(F.col(hashes[0]), F.lit(ROUNDS)) == turn)
         shared = own.groupBy(*hashes).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*hashes)
         held = own.join(shared, hashes).groupBy("row").agg(F.collect_set(place).alias(listed))
-        found.append(staged(held, listed))
+        found.append(space.staged(held, listed))
         release(spark)
     return reduce(DataFrame.unionAll, found).groupBy("row").agg(F.flatten(F.collect_list(listed)).alias(listed))
 
@@ -167,29 +168,29 @@ def substring_dedup(
         F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("t")
     )
     spark = docs.sparkSession
+    space = Workspace(spark, "substrings")
     # one row a document, with anchors; rows get numbers that stay as they are written
-    anchors_path = fresh_path(spark, "anchors")
-    read = write_and_read(
+    read = space.staged(
         picked.select("id", F.md5("t").alias("same"), _read(F.col("t"), window).alias("r"))
         .select(F.monotonically_increasing_id().alias("row"), "id", "same", "r.n_words", "r.sha256", "r.anchors"),
-        anchors_path,
+        "anchors",
     )
-    rows = staged(read.drop("anchors"), "rows")
-    classes = staged(
+    rows = space.staged(read.drop("anchors"), "rows")
+    classes = space.staged(
         rows.groupBy("same").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("first")), "classes"
     )
     anchored = read.select("row", F.posexplode("anchors").alias("ordinal", "anchor"))
-    flagged = _in_rounds(anchored, ["anchor"], "ordinal", "ordinals")
+    flagged = _in_rounds(anchored, ["anchor"], "ordinal", "ordinals", space)
     # one row stands for all copies of a text
-    concerned = staged(
+    concerned = space.staged(
         rows.select("row", "id", "same").join(flagged, "row")
         .join(classes.select(F.col("first").alias("row"), "copies"), "row"), "concerned",
     )
-    discard(spark, anchors_path)
+    space.drop("anchors")
     release(spark)
     texts = picked.withColumn("same", F.md5("t"))
     chosen = concerned.withColumnRenamed("id", "chosen_id").withColumnRenamed("same", "chosen")
-    held = staged(
+    held = space.staged(
         chosen.join(texts, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("same") == F.col("chosen")))
         .select("row", "copies", "ordinals", "t"), "texts",
     )
@@ -199,16 +200,16 @@ def substring_dedup(
     windows = held.select("row", F.explode(_extended(F.col("t"), F.col("ordinals"), window)).alias("w")).select(
         "row", "w.start", "w.h", "w.g"
     )
-    starts = _in_rounds(windows, ["h", "g"], "start", "starts")
+    starts = _in_rounds(windows, ["h", "g"], "start", "starts", space)
     cut = held.where("copies = 1").join(starts, "row").select(
         "row", _cut(F.col("t"), F.col("starts"), window).alias("c")
     ).select("row", "c.n_removed", "c.kept", F.sha2(F.col("c.kept").cast("binary"), 256).alias("kept_sha256"))
-    cut = staged(cut, "cut")
+    cut = space.staged(cut, "cut")
     decided = rows.join(classes.select("same", "copies"), "same").join(cut, "row", "left")
     gone = (F.col("copies") > 1) & (F.col("n_words") >= window)
-    return decided.select(
+    return space.finished(decided.select(
         F.col("id").alias(key), "same", "n_words",
         F.when(gone, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(gone, F.lit(EMPTY_SHA256)).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
         F.when(gone, F.lit("")).otherwise(F.col("kept")).alias("kept"),
-    )
+    ))

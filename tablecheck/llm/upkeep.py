@@ -7,6 +7,8 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablecheck.sources.scratch import fresh_path, staged
+
 #: How long Spark's cleaner, which works beside the jobs, is given.
 CLEANING_S = 1.0
 
@@ -22,12 +24,36 @@ def release(spark: SparkSession) -> None:
     time.sleep(CLEANING_S)
 
 
-def write_and_read(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Workspace:
+    """A folder in the shared scratch space for what one call of an operator writes.
 
+    ``finished`` writes the result beside it and deletes the folder: whatever reads the
+    result later needs none of the steps.
+    """
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete written rows that no later job reads: all that follows is written itself."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.purpose = spark, purpose
+        self.path = fresh_path(spark, purpose)
+        self._written: list[str] = []
+
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{len(self._written):04d}-{name}"
+        self._written.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str) -> None:
+        """Delete the steps of a name that all later steps have done with."""
+        for path in self._written:
+            if path.endswith(f"-{name}"):
+                self._delete(path)
+
+    def finished(self, df: DataFrame) -> DataFrame:
+        result = staged(df, f"{self.purpose}-result")
+        self._delete(self.path)
+        release(self.spark)
+        return result
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)

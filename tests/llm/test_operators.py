@@ -321,6 +321,19 @@ def test_blocks_find_what_leaders_miss(spark, monkeypatch):
     assert found == {d: c for (d, _), c in zip(rows, plain.components(rows), strict=True)}
 
 
+def test_only_results_are_left_behind(spark):
+    """The steps of an operator are deleted, its result can still be read."""
+    import os
+
+    from tablecheck.sources.scratch import session_dir
+
+    df = frame(spark, [(i, prose(i % 3, 60)) for i in range(6)])
+    found = [neardup.near_duplicates(df), substring.substring_dedup(df)]
+    left = os.listdir(session_dir(spark))
+    assert not [d for d in left if d.startswith(("near-duplicates-", "substrings-")) and "-result-" not in d]
+    assert [f.count() for f in found] == [6, 6]
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(300)] + [(1_000, 1_000 + i) for i in range(1, 200)] + [(5_000, 5_000)]
     found = components.connected_components(spark.createDataFrame(links, "a long, b long"))
