@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,9 +46,9 @@ BANDS, ROWS_PER_BAND = 32, 7
 CIRCLE = 1 << 21
 #: Blocks of a bucket hold about this many nodes and shingles at most.
 BLOCK_NODES, BLOCK_SHINGLES = 256, 200_000
-#: Pairs whose sketches agree in less than this share (five deviations below the threshold)
-#: are not compared in full.
-SKETCH_MARGIN = 0.12
+#: Pairs whose sketches agree in a share so many deviations below the threshold are not
+#: compared in full.
+SKETCH_DEVIATIONS = 5
 
 
 @functools.cache
@@ -129,6 +130,12 @@ def _node_sets(block: pa.Scalar) -> tuple[list[int], list[int], list[np.ndarray]
     return entries.field("node").to_pylist(), entries.field("component").to_pylist(), sets, sketches
 
 
+def least_agreement(percent: int, length: int) -> float:
+    """Coordinates in which the sketches of two texts at the threshold agree at least."""
+    expected, spread = length * percent / 100, math.sqrt(length * percent * (100 - percent)) / 100
+    return max(0.0, expected - SKETCH_DEVIATIONS * spread)
+
+
 def links_between(one: tuple, other: tuple, percent: int) -> list[dict[str, int]]:
     """Links that join different components of two blocks; one link joins two components."""
     nodes, components, sets, sketches = one
@@ -142,7 +149,7 @@ def links_between(one: tuple, other: tuple, percent: int) -> list[dict[str, int]
         return c
 
     sizes_b = np.array([len(s) for s in sets_b])
-    least = max(0.0, percent / 100 - SKETCH_MARGIN) * sketches.shape[1]
+    least = least_agreement(percent, sketches.shape[1])
     found = []
     for i, own in enumerate(sets):
         agree = (sketches_b == sketches[i]).sum(axis=1)

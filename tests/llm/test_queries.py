@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from tablecheck.llm import language, queries
+from tablecheck.llm import language, neardup, queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -182,3 +182,18 @@ def test_stages_keep_columns_and_odd_rows(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF_DIR).count() == 0
+
+
+def test_near_dedup_stage_links_at_80_percent(spark):
+    """Families whose members differ from the first by 80 to 85 percent, and by less than 80."""
+    rows = []
+    for family in range(20):
+        own = [f"w{family}x{i}" for i in range(120)]
+        rows.append((family * 10, " ".join(own)))
+        for member, changed in enumerate((2, 12, 30), 1):  # 0.97, 0.82 and 0.59 of the union
+            rows.append((family * 10 + member, " ".join([*own[:-changed], *(f"y{family}z{member}z{i}" for i in range(changed))])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = {d for (d, _), c in zip(rows, plain.components(rows, percent=80), strict=True) if c == d}
+    assert expected != {d for (d, _), c in zip(rows, plain.components(rows), strict=True) if c == d}
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect()} == expected
+    assert neardup.least_agreement(80, 240) <= 240 * 0.8 - 5 * (240 * 0.16) ** 0.5 + 1e-9
