@@ -1,20 +1,26 @@
 """Sharding by balanced label propagation: linked documents gather, sizes stay even.
 
 Links are groups (here: equal texts); a group is a hub its documents are linked to, so a
-group of n costs n links and not n * n. Labels are shards.
+group of n costs n links and not n * n. Labels are shards. A shard takes ``1 / FINE`` more
+than its even share at most; documents larger than that are the exception.
 
-1. Linked documents start on a shard chosen by hash. Each round counts every group's bytes
-   by shard (combined before the shuffle), sends to every group the shards that hold most of
-   it and have room, as many as its bytes need, and moves its other documents there.
-2. Moves obey quotas: a shard takes no more than its capacity leaves. Where more want in,
-   a hash decides, by whole groups, from sums over a fixed number of hash buckets. Rounds
-   are written to the shared folder and end when nothing moves.
-3. Documents without links fill what is left. Those larger than ``1 / FINE`` of a shard, of
-   which there cannot be more than ``FINE`` times the number of shards, are dealt out
-   largest first; the others by running sums of their bytes, summed by hash bucket first.
+1. Groups larger than ``1 / FINE`` of a shard, of which there cannot be more than ``FINE``
+   times the number of shards, come first, largest first: each goes whole to the fullest
+   shard that has the room, or, where no shard has it, to as few shards as its bytes need.
+2. Documents of the other groups start on a shard chosen by hash. Each round counts every
+   group's bytes by shard (combined before the shuffle) and asks to move its documents to
+   the shard that holds most of it and has room.
+3. Moves obey quotas: what a shard holds and takes, less what leaves it, stays within its
+   capacity. Moves are decided by hash buckets of whole groups, other ones each round; a
+   bucket that does not fit is skipped. Rounds are written to the shared folder and end when
+   nothing moves, or after ``ROUNDS``.
+4. Groups that are cut even then go whole where room is left, and so do documents without
+   links. Those larger than ``1 / FINE`` of a shard are dealt out largest first; the others
+   by running sums of their bytes, summed by hash bucket first.
 
-No window or list holds more than a hash bucket of a shard or the shards of one group. The
-driver sees sums by shard and bucket, and the few large documents of step 3.
+No window or list holds more than a hash bucket of a shard or of a group, or the shards of
+one group. The driver sees sums by shard and bucket, the few large groups of step 1 and the
+few large documents of step 4.
 
 Defined cases: a null text has no bytes and no links; empty texts are equal to each other; a
 null id is carried; rows that repeat are linked like other equal texts; an empty table gives
@@ -26,6 +32,7 @@ from __future__ import annotations
 import heapq
 from itertools import accumulate
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -36,10 +43,12 @@ SHARDS = 24
 ROUNDS = 8
 FINE = 64
 BUCKETS = 1024
+#: Hash buckets of the groups that want to one shard.
+TURNS = 128
 
 
-def _bucket(value: Column, salt: str) -> Column:
-    return F.pmod(F.xxhash64(F.lit(salt), value), F.lit(BUCKETS)).cast("int")
+def _bucket(value: Column, salt: str, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(F.lit(salt), value), F.lit(buckets)).cast("int")
 
 
 def _looked_up(values: dict[int, int] | list[int], key: Column) -> Column:
@@ -48,52 +57,136 @@ def _looked_up(values: dict[int, int] | list[int], key: Column) -> Column:
     return F.element_at(F.lit(listed), key + 1) if listed else F.lit(None)
 
 
-def _propagated(linked: DataFrame, shards: int, capacity: float, rounds: int) -> DataFrame:
-    """``linked`` (``row, group, size, shard, ...``) after propagation."""
+def homes(groups: list[tuple[str, int, int]], shards: int, capacity: float) -> dict[str, list[tuple[int, int]]]:
+    """``group: [(shard, rows), ...]`` for ``(group, rows, bytes of a row)``."""
+    room, found = [capacity] * shards, {}
+    for group, n, size in sorted(groups, key=lambda g: (-g[1] * g[2], g[0])):
+        fitting = [s for s in range(shards) if room[s] >= n * size]
+        pieces = [(min(fitting, key=lambda s: (room[s], s)), n)] if fitting else []
+        left = 0 if fitting else n
+        while left:
+            own = min(range(shards), key=lambda s: (-room[s] + sum(k * size for t, k in pieces if t == s), s))
+            held = sum(k * size for t, k in pieces if t == own)
+            took = min(left, max(1, int((room[own] - held) // size)))
+            pieces.append((own, took))
+            left -= took
+        for s, k in pieces:
+            room[s] -= k * size
+        found[group] = pieces
+    return found
+
+
+def _placed_groups(hot: DataFrame, found: dict[str, list[tuple[int, int]]]) -> DataFrame:
+    """Documents of large groups on the shards that ``homes`` gave them."""
+    spark = hot.sparkSession
+    whole = spark.createDataFrame([(g, p[0][0]) for g, p in found.items() if len(p) == 1], "group string, shard int")
+    placed = hot.join(F.broadcast(whole), "group")
+    split = {g: p for g, p in found.items() if len(p) > 1}
+    if not split:
+        return placed
+    names = spark.createDataFrame([(g,) for g in split], "group string")
+    cut = staged(
+        hot.join(F.broadcast(names), "group").withColumn("bucket", _bucket(F.col("row"), "piece")), "split"
+    )
+    counts = {(r["group"], r["bucket"]): r["n"] for r in
+              cut.groupBy("group", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+    offsets = []
+    for g, pieces in split.items():
+        before = [0, *accumulate(counts.get((g, b), 0) for b in range(BUCKETS))][:-1]
+        ends, targets = list(accumulate(k for _, k in pieces)), [s for s, _ in pieces]
+        offsets += [(g, b, n, ends, targets) for b, n in enumerate(before) if (g, b) in counts]
+    # a hash bucket of a group that no shard can hold; there are few such groups
+    held = spark.createDataFrame(offsets, "group string, bucket int, before long, ends array<long>, targets array<int>")
+    order = W.partitionBy("group", "bucket").orderBy("order", "row")
+    numbered = cut.withColumn("place", F.row_number().over(order)).join(F.broadcast(held), ["group", "bucket"])
+    passed = F.size(F.filter("ends", lambda end: end < F.col("before") + F.col("place")))
+    return placed.unionByName(
+        numbered.withColumn("shard", F.element_at("targets", passed + 1))
+        .drop("bucket", "before", "ends", "targets", "place")
+    )
+
+
+def admitted(wishes: np.ndarray, loads: np.ndarray, capacity: float) -> np.ndarray:
+    """Which hash buckets may move: ``wishes[to, bucket, from]`` are bytes.
+
+    All that want to move do at first; a shard that would end above its capacity then skips
+    buckets that do not fit, until no shard has to.
+    """
+    taken = wishes.any(axis=2)
+    while True:
+        moved = wishes * taken[:, :, None]
+        after = loads + moved.sum(axis=(1, 2)) - moved.sum(axis=(0, 1))
+        over = np.flatnonzero((after > capacity) & taken.any(axis=1))
+        if not len(over):
+            return taken
+        for s in over:
+            sizes = moved[s].sum(axis=1)
+            room = capacity - (after[s] - sizes.sum())
+            for turn in np.flatnonzero(taken[s]):
+                taken[s, turn] = sizes[turn] <= room
+                room -= sizes[turn] * taken[s, turn]
+
+
+def _propagated(linked: DataFrame, shards: int, capacity: float, rounds: int, fixed: list[int]) -> DataFrame:
+    """``linked`` (``row, group, size, shard, ...``) after propagation; ``fixed`` bytes are there before."""
     linked = staged(linked, "linked")
-    for _ in range(rounds):
+    for number in range(rounds):
         cells = staged(linked.groupBy("group", "shard").agg(F.sum("size").alias("held")), "cells")
-        loads = {r["shard"]: r["held"] for r in cells.groupBy("shard").agg(F.sum("held").alias("held")).collect()}
-        room = [max(0, int(capacity - loads.get(s, 0))) for s in range(shards)]
+        loads = np.array(fixed, np.int64)
+        for r in cells.groupBy("shard").agg(F.sum("held").alias("held")).collect():
+            loads[r["shard"]] += r["held"]
+        room = [max(0, int(capacity - load)) for load in loads]
         totals = cells.groupBy("group").agg(
             F.sum("held").alias("whole"),
             F.collect_list(F.struct("held", F.xxhash64("group", "shard").alias("tie"), "shard")).alias("cells"),
         ).where(F.size("cells") > 1)
-        needed = F.greatest(F.lit(1), F.ceil(F.col("whole") / F.lit(capacity))).cast("int")
-        ranked = F.sort_array(
-            F.transform("cells", lambda c: F.struct(
-                (_looked_up(room, c["shard"]) >= F.least(F.col("whole") - c["held"], F.lit(capacity / 8))).alias("fits"),
-                c["held"], c["tie"], c["shard"],
-            )), asc=False,
-        )
-        targets = totals.select("group", needed.alias("needed"), F.slice(
-            F.transform(ranked, lambda c: c["shard"]), 1, needed
-        ).alias("targets"))
+        best = F.array_max(F.transform("cells", lambda c: F.struct(
+            (_looked_up(room, c["shard"]) >= F.col("whole") - c["held"]).alias("fits"), c["held"], c["tie"], c["shard"],
+        )))
+        targets = totals.select("group", best["shard"].alias("target"))
         asked = staged(linked.join(targets, "group", "left").withColumn(
-            "wanted", F.when(
-                F.col("targets").isNotNull() & ~F.array_contains("targets", F.col("shard")),
-                F.element_at("targets", (F.pmod(F.xxhash64("row"), F.size("targets")) + 1).cast("int")),
-            ),
-        ).withColumn(
-            "turn", F.when(F.col("needed") > 1, _bucket(F.col("row"), "turn")).otherwise(_bucket(F.col("group"), "turn"))
-        ).drop("targets", "needed"), "asked")
-        wishes: dict[int, list[int]] = {s: [0] * BUCKETS for s in range(shards)}
-        for r in asked.where("wanted IS NOT NULL").groupBy("wanted", "turn").agg(F.sum("size").alias("n")).collect():
-            wishes[r["wanted"]][r["turn"]] = r["n"]
-        # a shard takes buckets in order as long as they fit
-        taken = [sum(total <= room[s] for total in accumulate(wishes[s])) for s in range(shards)]
-        moves = F.col("wanted").isNotNull() & (F.col("turn") < _looked_up(taken, F.col("wanted")))
-        if asked.where(moves).isEmpty():
+            "wanted", F.when(F.col("target") != F.col("shard"), F.col("target"))
+        ).withColumn("turn", _bucket(F.col("group"), f"turn {number}", TURNS)).drop("target"), "asked")
+        wishes = np.zeros((shards, TURNS, shards), np.int64)
+        wanting = asked.where("wanted IS NOT NULL").groupBy("wanted", "turn", "shard")
+        for r in wanting.agg(F.sum("size").alias("n")).collect():
+            wishes[r["wanted"], r["turn"], r["shard"]] = r["n"]
+        taken = [(int(s), int(t), True) for s, t in zip(*np.nonzero(admitted(wishes, loads, capacity)), strict=True)]
+        if not taken:
             break
+        # shards times turns rows at most, whatever the input
+        moves = F.broadcast(linked.sparkSession.createDataFrame(taken, "wanted int, turn int, moves boolean"))
         linked = staged(
-            asked.withColumn("shard", F.when(moves, F.col("wanted")).otherwise(F.col("shard"))).drop("wanted", "turn"),
-            "linked",
+            asked.join(moves, ["wanted", "turn"], "left")
+            .withColumn("shard", F.when(F.col("moves"), F.col("wanted")).otherwise(F.col("shard")))
+            .drop("wanted", "turn", "moves"), "linked",
         )
     return linked
 
 
+def _loads(placed: DataFrame, shards: int) -> list[int]:
+    held = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.sum("size").alias("n")).collect()}
+    return [held.get(s, 0) for s in range(shards)]
+
+
+def _gathered(linked: DataFrame, fixed: list[int], total: int) -> DataFrame:
+    """``linked`` with every group that is still cut placed whole where room is left."""
+    cut = staged(linked.groupBy("group").agg(
+        F.min("shard").alias("first"), F.max("shard").alias("last"), F.sum("size").alias("size"),
+        F.min("row").alias("row"), F.min("order").alias("order"),
+    ).where("first <> last").drop("first", "last"), "cut")
+    if cut.isEmpty():
+        return linked
+    whole = _loads(linked.join(cut.select("group"), "group", "left_anti"), len(fixed))
+    settled = _filled(cut, [a + b for a, b in zip(fixed, whole, strict=True)], total)
+    return staged(
+        linked.join(settled.select("group", F.col("shard").alias("settled")), "group", "left")
+        .withColumn("shard", F.coalesce("settled", "shard")).drop("settled"), "linked",
+    )
+
+
 def _filled(singles: DataFrame, loads: list[int], total: int) -> DataFrame:
-    """Documents without links, placed so that all shards come out even."""
+    """Documents without links (or whole groups), placed so that all shards come out even."""
     shards = len(loads)
     level = total / shards
     heap = [(load, s) for s, load in enumerate(loads)]
@@ -160,11 +253,18 @@ def balanced_shards(
     total = nodes.agg(F.sum("size")).first()[0] or 0
     groups = nodes.where("group IS NOT NULL").groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     marked = staged(nodes.join(groups, "group", "left"), "marked")
-    linked = marked.where("n > 1").drop("n").withColumn(
+    level = max(1.0, total / shards)
+    capacity = level * (1 + 1 / FINE)
+    large = F.col("n") * F.col("size") > level / FINE
+    hot = marked.where("n > 1").where(large)
+    found = homes([tuple(r) for r in hot.groupBy("group").agg(F.first("n"), F.first("size")).collect()], shards, capacity)
+    placed = staged(_placed_groups(hot, found).drop("n"), "placed-groups")
+    fixed = _loads(placed, shards)
+    linked = marked.where("n > 1").where(~large).drop("n").withColumn(
         "shard", F.pmod(F.xxhash64(F.lit("start"), "row"), F.lit(shards)).cast("int")
     )
-    linked = _propagated(linked, shards, max(1.0, total / shards), rounds)
-    loads = {r["shard"]: r["n"] for r in linked.groupBy("shard").agg(F.sum("size").alias("n")).collect()}
+    linked = _gathered(_propagated(linked, shards, capacity, rounds, fixed), fixed, total)
+    loads = [a + b for a, b in zip(fixed, _loads(linked, shards), strict=True)]
     singles = marked.where("n IS NULL").drop("n")
-    placed = linked.unionByName(_filled(singles, [loads.get(s, 0) for s in range(shards)], total))
+    placed = placed.unionByName(linked).unionByName(_filled(singles, loads, total))
     return _slots(placed, shards).select(F.col("id").alias(key), "size", "text_crc32", "group", "shard", "slot")

@@ -511,3 +511,36 @@ def test_groups_stay_together_and_sizes_even(spark):
     assert len(loads) == 6 and max(loads.values()) < 1.02 * sum(loads.values()) / 6
     repeated = [set(s) for s in groups.values() if 1 < len(s) < 100]
     assert sum(len(s) > 1 for s in repeated) <= 0.02 * len(repeated)
+
+
+@pytest.mark.parametrize("single", [2_400, 0])
+def test_groups_that_fit_a_shard_are_never_cut(spark, single):
+    """A group of 0.9 of a shard, pairs, and single documents; then pairs only."""
+    hot = 180 if single else 0
+    pairs = (4_800 - hot - single) // 2
+    texts = ["one hot text"] * hot + [f"pair {i % pairs:07d}" for i in range(2 * pairs)] + [f"text {i:07d}" for i in range(single)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    placed = sharding.balanced_shards(df).collect()
+    check_shards(placed, 24)
+    loads, groups = {}, {}
+    for r in placed:
+        loads[r["shard"]] = loads.get(r["shard"], 0) + r["size"]
+        groups.setdefault(r["group"], set()).add(r["shard"])
+    assert len(placed) == 4_800 and all(len(s) == 1 for s in groups.values())
+    assert len(loads) == 24 and max(loads.values()) <= 1.05 * sum(loads.values()) / 24
+
+
+def test_large_groups_on_as_few_shards_as_they_need():
+    found = sharding.homes([("a", 90, 1), ("b", 250, 1), ("c", 3, 60), ("d", 10, 1), ("e", 5, 2)], 8, 100)
+    assert sum(len(p) for p in found.values()) == 1 + 3 + 3 + 1 + 1
+    loads = [sum(k * size for g, size in zip("abcde", (1, 1, 60, 1, 2)) for t, k in found[g] if t == s) for s in range(8)]
+    assert sum(loads) == 90 + 250 + 180 + 10 + 10 and max(loads) <= 100
+
+
+def test_quotas_count_what_leaves_and_skip_what_does_not_fit():
+    swap = np.zeros((2, 2, 2), np.int64)
+    swap[0, 0, 1], swap[1, 1, 0] = 10, 10
+    assert sharding.admitted(swap, np.array([100, 100]), 100).tolist() == [[True, False], [False, True]]
+    wishes = np.zeros((2, 3, 2), np.int64)
+    wishes[0, :, 1] = [50, 5, 60]
+    assert sharding.admitted(wishes, np.array([90, 200]), 100).tolist()[0] == [False, True, False]
