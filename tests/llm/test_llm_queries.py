@@ -158,7 +158,7 @@ def test_pipeline(spark, docs):
     shares = language.Labeller(model).shares([t for _, t in docs])
     left = [d for d, s in zip(docs, shares, strict=True) if s.any() and s.max() >= corpus_pipeline.LEAST_LANGUAGE_SCORE]
     assert len(left) >= 0.97 * len(docs)
-    left = [d for d, c in zip(left, plain.components(left), strict=True) if c == d[0]]
+    left = [d for d, c in zip(left, plain.components(left, percent=corpus_pipeline.NEAR_PERCENT), strict=True) if c == d[0]]
     split, kept = plain.without_repeats([t for _, t in left])
     cut = [(d, t if len(w) == len(k) else b" ".join(k).decode())
            for (d, t), w, k in zip(left, split, kept, strict=True) if k or not w]
