@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import chat, decontaminate, language, licenses, neardup, packing, pages, quality, sharding, substring
+from tablecheck.llm import (
+    alignment,
+    chat,
+    decontaminate,
+    language,
+    licenses,
+    neardup,
+    packing,
+    pages,
+    quality,
+    sharding,
+    simhash,
+    spelling,
+    substring,
+)
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -170,6 +184,24 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups and links of every document between two tokenizers."""
+    return alignment.align_tokenizers(_table(spark, sf_dir, "documents"))
+
+
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and its component under links of 4 bits."""
+    found = simhash.simhash_duplicates(_table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated word of seven letters and more, its form and its root."""
+    found = spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 _OP5 = f"""
 WITH split AS (
   SELECT row_number() OVER () AS r, doc_id, list_filter(
@@ -215,6 +247,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op9_html_extraction": op9_html_extraction,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_simhash_near_dedup": op12_simhash_near_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLES = {
     "op1_chat_formatting": _OP1,

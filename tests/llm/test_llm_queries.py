@@ -29,7 +29,7 @@ def rows_of(spark, name):
 
 def test_all_are_registered():
     assert queries.QUERIES.items() <= entry.queries().items() and "pipeline" in entry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
