@@ -74,7 +74,7 @@ def compare_by_key(
 
     ``null_equal=False``: NULL differs from everything, NULL keys included.
     ``null_equal=True``: NULL equals NULL, in keys and in values.
-    ``on_duplicate="error"``: a repeated key fails the query when it runs.
+    ``on_duplicate="error"``: a repeated key raises, after a job that counts the key columns.
     ``on_duplicate="pair"``: rows of one key are paired one to one, equal rows first,
     the rest in a fixed order; rows left over stay one-sided. Keys with very many rows are
     counted first, by a job that reads the key columns.
@@ -221,6 +221,9 @@ def _join_unique(a: DataFrame, b: DataFrame, keys: list[str], null_equal: bool)
     left, keys_a = _with_join_keys(left, a, b, keys, SUFFIX_A)
     right, keys_b = _with_join_keys(right, a, b, keys, SUFFIX_B)
     helpers = [c for c in keys_a + keys_b if c.startswith(_KEY)]
+    same = all_of(column(x) == column(y) for x, y in zip(keys_a, keys_b))
+    if not _checked_keys({"A": (left, keys_a), "B": (right, keys_b)}, null_equal):
+        return left.join(right, same, "full_outer").drop(*helpers)
 
     # NULL keys go round the join of the others: with NULL unequal they join nothing but
     # would all hash to one full-outer partition, which AQE cannot split; with NULL equal
@@ -228,19 +231,15 @@ def _join_unique(a: DataFrame, b: DataFrame, keys: list[str], null_equal: bool)
     # The extra scan is an IS NULL filter, pushed to the row-group statistics.
     lone_a, lone_b = left.where(any_null(keys_a)), right.where(any_null(keys_b))
     left, right = left.where(~any_null(keys_a)), right.where(~any_null(keys_b))
-    same = all_of(column(x) == column(y) for x, y in zip(keys_a, keys_b))
-    parts = [left.join(right, same, "full_outer")]
-    guards = [_repeats(left, keys_a, "A"), _repeats(right, keys_b, "B")]
+    joined = left.join(right, same, "full_outer")
     if null_equal:
         # a struct is never NULL itself and compares NULL fields as equal
         lone_a = lone_a.withColumn(_KEY, _key_struct(keys_a))
         lone_b = lone_b.withColumn(_KEY, _key_struct(keys_b))
-        parts.append(lone_a.join(lone_b, lone_a[_KEY] == lone_b[_KEY], "full_outer").drop(_KEY))
-        guards += [_repeats(lone_a, keys_a, "A"), _repeats(lone_b, keys_b, "B")]
+        lone = [lone_a.join(lone_b, lone_a[_KEY] == lone_b[_KEY], "full_outer").drop(_KEY)]
     else:
-        parts += [lone_a, lone_b]
-    joined = parts[0]
-    for part in [*parts[1:], *guards]:
+        lone = [lone_a, lone_b]
+    for part in lone:
         joined = joined.unionByName(part, allowMissingColumns=True)
     return joined.drop(*helpers)
 
@@ -265,18 +264,28 @@ def _key_struct(names: list[str]) -> Column:
     return F.struct(*[column(c).alias(f"k{i}") for i, c in enumerate(names)])
 
 
-def _repeats(df: DataFrame, keys: list[str], side: str) -> DataFrame:
-    """No rows; a repeated key fails the query.
+def _checked_keys(sides: dict[str, tuple[DataFrame, list[str]]], null_equal: bool) -> bool:
+    """Whether any key is NULL; a repeated key raises.
 
-    Keys are counted with a combined aggregate beside the join, so a key held by very many
-    rows is found without any task holding them.
+    A job of its own, over the key columns alone, that ends before the join is planned: a
+    key held by very many rows of both sides never gets to be joined. Keys are counted with
+    a combined aggregate, one a side, so no task holds the rows of a key; a bucketed table
+    is counted where it lies. NULL keys may repeat unless NULL equals NULL.
     """
-    shown = F.to_json(F.struct(*[column(k) for k in keys]))
-    message = F.concat(F.lit(f"duplicate key in {side}: "), shown)
-    counted = df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("row_count"))
-    # the condition hangs on the count, so it stays above the aggregate
-    failing = F.when(F.col("row_count") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(False))
-    return counted.where(failing).select(column(keys[0]))
+    facts = []
+    for side, (df, keys) in sides.items():
+        counted = df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("row_count"))
+        missing = any_null(keys)
+        repeated = F.col("row_count") > 1 if null_equal else (F.col("row_count") > 1) & ~missing
+        shown = F.to_json(F.struct(*[column(k) for k in keys]))
+        facts.append(counted.agg(
+            F.lit(side).alias("side"), F.max(F.when(repeated, shown)).alias("repeated"), F.bool_or(missing).alias("nulls")
+        ))
+    found = facts[0].unionAll(facts[1]).collect()
+    for row in sorted(found):
+        if row["repeated"] is not None:
+            raise ValueError(f"duplicate key in {row['side']}: {row['repeated']}")
+    return any(row["nulls"] for row in found)
 
 
 # -- repeated rows: fold copies, then pair what differs -----------------------------

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import tablecheck as tc
 from tablecheck.functions.names import compared_columns
 from tablecheck.operators import compare
+from tablecheck.sources.scratch import shared_dir
 from workload import fixtures as fx
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -360,26 +361,51 @@ def ops(frame, name):
     return [line for line in initial(frame) if line.startswith(name)]
 
 
-@pytest.mark.parametrize("options, scans", [({}, 4), ({"null_equal": True}, 2)])
-def test_keyed_plan_is_one_join_with_one_shuffle_per_side(spark, options, scans):
+@pytest.mark.parametrize("null_equal", [False, True])
+def test_keyed_plan_is_one_join_with_one_shuffle_per_side(spark, null_equal):
+    orders = fx.table(spark, SF_DIR, "orders")
+    comparison = tc.compare_by_key(orders, orders, ["o_orderkey"], null_equal)
+    assert len(ops(comparison, "SortMergeJoin")) == 1 and len(ops(comparison, "Sort [")) == 2
+    # the keys were counted before, so the plan is the join alone
+    assert len(ops(comparison, "Exchange")) == 2
+    assert not ops(comparison, "HashAggregate") and not ops(comparison, "Window")
+
+
+@pytest.mark.parametrize("null_equal", [False, True])
+def test_null_keys_go_round_the_join(spark, null_equal):
     orders = fx.table(spark, SF_DIR, "orders")
-    comparison = tc.compare_by_key(orders, orders, ["o_orderkey"], **options)
-    # with NULL equal, the NULL keys have a join of their own
-    joins = 2 if options.get("null_equal") else 1
-    assert len(ops(comparison, "SortMergeJoin")) == joins and len(ops(comparison, "Sort [")) == 2 * joins
-    # each side is shuffled once for the join and its keys, combined, once for the check
-    assert len(ops(comparison, "Exchange")) == 4 * joins
-    assert len(ops(comparison, "HashAggregate")) == 4 * joins and not ops(comparison, "Window")
-    # the NULL keys that go round the join are found by row-group statistics
+    path = f"{shared_dir(spark)}/orders-with-a-null-key"
+    without = orders.limit(1).withColumn("o_orderkey", F.lit(None).cast("bigint"))
+    orders.limit(100).unionByName(without).write.mode("overwrite").parquet(path)
+    lone = spark.read.parquet(path)
+    comparison = tc.compare_by_key(lone, lone, ["o_orderkey"], null_equal)
+    # with NULL equal, the NULL keys have a join of their own, found by row-group statistics
+    assert len(ops(comparison, "SortMergeJoin")) == (2 if null_equal else 1)
     assert sum("PushedFilters: [IsNull(o_orderkey)]" in line for line in initial(comparison)) >= 2
+    assert comparison.count() == (101 if null_equal else 102)
 
 
-def test_bucketed_tables_with_null_equal_shuffle_null_keys_alone(spark, schema):
+def test_a_hot_repeated_key_fails_before_any_join(spark):
+    """A key on a third of both sides: the job that counts keys ends the comparison."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    hot = spark.range(0, 30_000, 1, 4).select(key.alias("k"), "id")
+    planned = []
+    join = type(hot).join
+    try:
+        type(hot).join = lambda self, *args, **options: planned.append(args) or join(self, *args, **options)
+        with pytest.raises(ValueError, match="duplicate key in A: {\"k_a\":0}"):
+            tc.compare_by_key(hot, hot, ["k"])
+    finally:
+        type(hot).join = join
+    assert not planned
+
+
+def test_bucketed_tables_with_null_equal_compare_without_a_shuffle(spark, schema):
     orders = fx.table(spark, SF_DIR, "orders")
     for name in "ab":
         orders.write.bucketBy(8, "o_orderkey").sortBy("o_orderkey").saveAsTable(f"{schema}.{name}")
     comparison = tc.compare_by_key(spark.table(f"{schema}.a"), spark.table(f"{schema}.b"), ["o_orderkey"], null_equal=True)
-    assert len(ops(comparison, "Exchange")) == 2  # of the struct join of rows with a NULL key
+    assert not ops(comparison, "Exchange")
     assert counts(comparison) == by_columns([0] * 6)
 
 
@@ -388,7 +414,7 @@ def test_a_widened_key_adds_no_shuffle(spark, null_equal):
     orders = fx.table(spark, SF_DIR, "orders")
     narrow = orders.withColumn("o_orderkey", F.col("o_orderkey").cast("int"))
     comparison = tc.compare_by_key(narrow, orders, ["o_orderkey"], null_equal)
-    assert len(ops(comparison, "Exchange")) == (8 if null_equal else 4)
+    assert len(ops(comparison, "Exchange")) == 2
     assert not [c for c in comparison.columns if c.startswith("__")]
     assert counts(comparison) == by_columns([0] * 6)
 
@@ -405,7 +431,7 @@ def test_audit_plan_is_one_join_and_one_aggregate(spark):
     comparison = tc.compare_by_key(*fx.orders_pair(spark, SF_DIR), ["o_orderkey"])
     audit = tc.column_mismatch_audit(comparison, "a", "b", "2024-01-01")
     assert len(ops(audit, "SortMergeJoin")) == 1
-    assert len(ops(audit, "HashAggregate")) == 6  # partial and final; the other four check the keys
+    assert len(ops(audit, "HashAggregate")) == 2  # partial and final
 
 
 def test_multiset_plan_is_one_combined_shuffle(spark):
