@@ -32,26 +32,31 @@ def graph_nodes(df: DataFrame, label: str, key: str, order_by: Sequence[str] = (
     any other. Maps rank by their sorted entries, variants by their JSON text. A NULL key
     fails the query.
     """
+    nodes, properties = _collapsed(df, key, order_by), [c for c in df.columns if c != key]
+    return nodes.select(F.lit(label).alias("label"), column(key), *map(column, properties))
+
+
+def _collapsed(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the greatest by ``order_by`` and then by value."""
     types = {f.name: f.dataType for f in df.schema.fields}
     properties = [c for c in df.columns if c != key]
     rank = [*order_by, *[c for c in properties if c not in order_by]]
     keyed = df.select(_required(key), *[column(c) for c in properties])
     if not properties:
-        return keyed.distinct().select(F.lit(label).alias("label"), column(key))
+        return keyed.distinct()
     ranked = F.struct(*[_ranking(column(c), types[c]).alias(f"r{i}") for i, c in enumerate(rank)])
     values = F.struct(*[column(c) for c in properties])
     best = keyed.groupBy(column(key)).agg(F.max_by(values, ranked).alias("__best"))
-    return best.select(
-        F.lit(label).alias("label"),
-        column(key),
-        *[F.col("__best")[c].alias(c) for c in properties],
-    )
+    return best.select(column(key), *[F.col("__best")[c].alias(c) for c in properties])
 
 
-def upsert_nodes(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Existing nodes with the new ones put in, replacing those of equal key."""
-    columns = [column(c) for c in new.columns if c != key]
-    checked = new.select(_required(key), *columns).select(*[column(c) for c in existing.columns])
+def upsert_nodes(existing: DataFrame, new: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
+    """Existing nodes with the new ones put in, replacing those of equal key.
+
+    New rows of one key collapse as in ``graph_nodes``. A property that only one side has is
+    kept, NULL on the nodes of the other.
+    """
+    arriving = _collapsed(new, key, order_by)
     replaced = new.select(column(key).alias("__new_key"))
     kept = existing.join(replaced, column(key) == F.col("__new_key"), "left_anti")
-    return kept.unionByName(checked)
+    return kept.unionByName(arriving, allowMissingColumns=True)

@@ -147,3 +147,10 @@ def test_nodes_with_maps_and_variants(spark):
     )
     nodes = tc.graph_nodes(rows, "N", "k").select("k", F.col("m")["n"].alias("n"), F.to_json("v").alias("v")).collect()
     assert sorted(map(tuple, nodes)) == [(0, 4, '{"n":4}'), (1, 5, '{"n":5}')]
+
+
+def test_upsert_carries_properties_and_collapses_keys(spark):
+    existing = spark.createDataFrame([("N", 1, "a"), ("N", 2, "b")], "label string, k int, old string")
+    new = spark.createDataFrame([("N", 2, "x", 1), ("N", 2, "y", 3), ("N", 3, "z", 2)], "label string, k int, old string, added int")
+    found = tc.upsert_nodes(existing, new, "k", order_by=["added"])
+    assert sorted(map(tuple, found.collect())) == [("N", 1, "a", None), ("N", 2, "y", 3), ("N", 3, "z", 2)]
