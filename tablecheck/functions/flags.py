@@ -114,15 +114,17 @@ def row_weight(comparison: DataFrame) -> Column:
     return F.lit(1).cast("bigint")
 
 
+def unmatched_counters(comparison: DataFrame, flags: Iterable[str]) -> list[Column]:
+    """For each flag column the aggregate that counts the rows it calls unmatched."""
+    weight, none = row_weight(comparison), F.lit(0).cast("bigint")
+    return [F.coalesce(F.sum(F.when(is_unmatched(flag), weight).otherwise(none)), none) for flag in flags]
+
+
 def unmatched_totals(comparison: DataFrame, flags: dict[str, str]) -> DataFrame:
     """``column_name, mismatch_count`` for every ``name: flag column`` given.
 
     One aggregate for all flags, turned on its side afterwards.
     """
-    weight, none = row_weight(comparison), F.lit(0).cast("bigint")
-    totals = comparison.agg(*[
-        F.sum(F.when(is_unmatched(flag), weight).otherwise(none)).alias(name)
-        for name, flag in flags.items()
-    ])
-    listed = totals.unpivot([], [quoted(name) for name in flags], "column_name", "mismatch_count")
-    return listed.withColumn("mismatch_count", F.coalesce("mismatch_count", none))
+    counters = unmatched_counters(comparison, flags.values())
+    totals = comparison.agg(*[count.alias(name) for name, count in zip(flags, counters)])
+    return totals.unpivot([], [quoted(name) for name in flags], "column_name", "mismatch_count")

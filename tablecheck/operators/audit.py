@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablecheck.functions.flags import unmatched_totals
+from tablecheck.functions.flags import unmatched_counters, unmatched_totals
 from tablecheck.functions.names import SUFFIX_RESULT, VERDICT, compared_columns
 from tablecheck.sources.sinks import write_jdbc
 from tablecheck.sources.tables import append_table, ensure_table
@@ -47,15 +47,18 @@ def column_mismatch_audit(
     run_label: str | None = None,
     schema_differences: Mapping[str, str] | None = None,
     test_name: str = TEST_NAME,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
-    """One audit row per column, from a single aggregate over the comparison.
+    """One audit row per column, from a single aggregate over the comparison, or from
+    ``totals`` that were counted before.
 
     Columns named in ``schema_differences`` are marked; those that could not be compared
     get a row without a count that says why.
     """
     differences = dict(schema_differences or {})
     compared = compared_columns(comparison)
-    totals = unmatched_totals(comparison, {c: c + SUFFIX_RESULT for c in compared})
+    if totals is None:
+        totals = unmatched_totals(comparison, flags_counted(comparison))
     differs = F.col("column_name").isin(list(differences)) if differences else F.lit(False)
     counted = totals.select(
         "column_name", differs.alias("schema_mismatch"), "mismatch_count",
@@ -77,9 +80,11 @@ def table_mismatch_audit(
     run_label: str | None = None,
     schema_differences: Mapping[str, str] | None = None,
     test_name: str = TEST_NAME,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """One ``ALL`` audit row: how many compared rows differ in any column."""
-    totals = unmatched_totals(comparison, {ALL_COLUMNS: VERDICT})
+    if totals is None:
+        totals = unmatched_totals(comparison, flags_counted(comparison, per_column=False))
     counted = totals.select(
         "column_name", F.lit(bool(schema_differences)).alias("schema_mismatch"), "mismatch_count",
         F.lit(None).cast("string").alias("validation_errors"),
@@ -96,9 +101,35 @@ def audit_records(
     per_column: bool = True,
     schema_differences: Mapping[str, str] | None = None,
     test_name: str = TEST_NAME,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     make = column_mismatch_audit if per_column else table_mismatch_audit
-    return make(comparison, name_a, name_b, run_date, run_label, schema_differences, test_name)
+    return make(comparison, name_a, name_b, run_date, run_label, schema_differences, test_name, totals)
+
+
+def flags_counted(comparison: DataFrame, per_column: bool = True) -> dict[str, str]:
+    """The flag columns behind the audit rows, by the name each row has."""
+    return {c: c + SUFFIX_RESULT for c in compared_columns(comparison)} if per_column else {ALL_COLUMNS: VERDICT}
+
+
+class WatchedComparison:
+    """Counts mismatches while something else reads the comparison.
+
+    ``rows`` is the comparison; once an action has read it to the end, ``totals`` has the
+    counts, and the rows need not be read again for them.
+    """
+
+    def __init__(self, comparison: DataFrame, per_column: bool = True):
+        self._spark = comparison.sparkSession
+        self._flags = flags_counted(comparison, per_column)
+        self._seen = Observation()
+        counts = unmatched_counters(comparison, self._flags.values())
+        self.rows = comparison.observe(self._seen, *[n.alias(f"n{i}") for i, n in enumerate(counts)])
+
+    def totals(self) -> DataFrame:
+        seen = self._seen.get
+        counted = [(name, seen[f"n{i}"]) for i, name in enumerate(self._flags)]
+        return self._spark.createDataFrame(counted, "column_name string, mismatch_count bigint")
 
 
 def audit_append(records: DataFrame, table: str, run_label: str | None = None, fmt: str = "parquet") -> None:

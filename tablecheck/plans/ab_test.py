@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from tablecheck.functions.names import aligned
-from tablecheck.operators.audit import TEST_NAME, audit_append, audit_records
+from tablecheck.operators.audit import TEST_NAME, WatchedComparison, audit_append, audit_records
 from tablecheck.operators.compare import compare_all_columns, compare_by_key
 from tablecheck.operators.schema import differing_columns
 from tablecheck.sources.tables import replace_table
@@ -52,8 +52,8 @@ def run_ab_test(
 ) -> DataFrame:
     """Run one test and return the audit rows it appended.
 
-    The join runs once, while the result table is written; all counts come from one
-    aggregate over the flag columns of the written table.
+    The join runs once, while the result table is written; the counts are observed on the
+    way, so the written table is not read.
     """
     a = spark.table(test.table_a)
     b = aligned(a, spark.table(test.other_table))
@@ -62,10 +62,11 @@ def run_ab_test(
         comparison = compare_by_key(a, b, list(test.keys), test.null_equal, test.on_duplicate)
     else:
         comparison = compare_all_columns(a, b)
-    written = result_overwrite(comparison, test.result_table, test.fmt)
+    watched = WatchedComparison(comparison, test.per_column)
+    replace_table(watched.rows, test.result_table, test.fmt)
     records = audit_records(
-        written, test.table_a, test.other_table, run_date, test.run_label,
-        test.per_column, differences, test.test_name,
+        comparison, test.table_a, test.other_table, run_date, test.run_label,
+        test.per_column, differences, test.test_name, watched.totals(),
     )
     # A handful of rows: fixed on the driver so that the appended and returned rows agree.
     records = spark.createDataFrame(records.collect(), records.schema)

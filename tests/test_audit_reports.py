@@ -280,3 +280,22 @@ def test_conversion_edges(spark):
     assert tc.conversion_summary(exposures).count() == 3
     plan = tc.conversion_report(exposures)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+@pytest.mark.parametrize("per_column", [True, False])
+@pytest.mark.parametrize("rows", [True, False])
+def test_a_run_does_not_read_its_result(spark, schema, monkeypatch, per_column, rows):
+    """Counts come from the write; audit rows equal those counted over the written table."""
+    base = spark.range(0, 100 if rows else 0).selectExpr("id", "id % 3 AS v", "CAST(NULL AS STRING) AS w")
+    base.write.saveAsTable(f"{schema}.t")
+    base.withColumn("v", F.when(F.col("id") % 10 == 0, F.lit(9)).otherwise(F.col("v"))).write.saveAsTable(f"{schema}.t_b")
+    test = tc.ABTest(f"{schema}.t", f"{schema}.result", f"{schema}.audit", keys=["id"], per_column=per_column, run_label="l")
+    read = []
+    table = type(spark).table
+    monkeypatch.setattr(type(spark), "table", lambda self, name: read.append(name) or table(self, name))
+    tc.run_ab_test(spark, test, "2024-01-01")
+    assert f"{schema}.result" not in read
+    monkeypatch.undo()
+    counted = tc.audit_records(
+        spark.table(f"{schema}.result"), f"{schema}.t", f"{schema}.t_b", "2024-01-01", "l", per_column)
+    assert sorted(map(tuple, spark.table(f"{schema}.audit").collect())) == sorted(map(tuple, counted.collect()))
