@@ -2,6 +2,7 @@
 
 from tablecheck.operators.audit import (
     AUDIT_SCHEMA,
+    WatchedComparison,
     as_audit,
     audit_append,
     audit_jdbc_append,
@@ -20,15 +21,17 @@ from tablecheck.operators.compare import (
     unmatched_rows,
 )
 from tablecheck.operators.experiment import conversion_daily, conversion_report, conversion_summary
-from tablecheck.operators.fingerprint import checksum_equal, row_checksum, table_checksum
+from tablecheck.operators.fingerprint import checksum_equal, file_checksums, row_checksum, table_checksum
 from tablecheck.operators.graph import graph_nodes, upsert_nodes
 from tablecheck.operators.manifest import (
+    file_contents_equal,
     file_stats,
     files_equal,
     manifest_added,
     manifest_diff,
     manifest_live,
 )
+from tablecheck.operators.order import with_position
 from tablecheck.operators.report import (
     audit_dashboard,
     audit_mismatches,

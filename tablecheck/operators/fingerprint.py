@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecheck.functions.names import column
@@ -66,6 +66,21 @@ def table_checksum(df: DataFrame, algo: str = "crc32", form: str = "canonical")
     return totals.select(F.lit(algo).alias("algo"), "row_count", _checksum(len(words), "t").alias("checksum"))
 
 
+def file_checksums(
+    spark: SparkSession, path: str, algo: str = "md5", form: str = "canonical", fmt: str = "parquet"
+) -> DataFrame:
+    """``file_path, row_count, checksum`` of every data file below ``path`` that has rows.
+
+    Spark knows the file of every row, so one combined aggregate reads each file once.
+    Partition columns are part of the rows.
+    """
+    rows = spark.read.format(fmt).load(path)
+    words = _words_of(rows, algo, form)
+    marked = rows.select(F.col("_metadata.file_path").alias("file_path"), *words)
+    totals = marked.groupBy("file_path").agg(F.count(F.lit(1)).alias("row_count"), *_word_sums(len(words), "t"))
+    return totals.select("file_path", "row_count", _checksum(len(words), "t").alias("checksum"))
+
+
 def checksum_equal(
     a: DataFrame, b: DataFrame, algo: str = "crc32", form: str = "canonical"
 ) -> DataFrame:

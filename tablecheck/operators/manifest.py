@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablecheck.operators.fingerprint import file_checksums
 from tablecheck.sources.listing import data_files
 
 
@@ -51,7 +52,8 @@ def file_stats(spark: SparkSession, path: str, pattern: str = "*.parquet") -> Da
 def files_equal(spark: SparkSession, path_a: str, path_b: str, pattern: str = "*.parquet") -> DataFrame:
     """One row saying whether the file statistics of two tables agree.
 
-    A cheap hint for deciding on a re-clone: equal statistics do not prove equal data.
+    A cheap hint for deciding on a re-clone: equal statistics do not prove equal data;
+    ``file_contents_equal`` looks into the files.
     """
     both = file_stats(spark, path_a, pattern).withColumn("side", F.lit("a")).unionByName(
         file_stats(spark, path_b, pattern).withColumn("side", F.lit("b"))
@@ -62,3 +64,29 @@ def files_equal(spark: SparkSession, path_a: str, path_b: str, pattern: str = "*
         F.max(F.when(F.col("side") == "b", stats)).alias("stats_b"),
     )
     return sides.withColumn("files_equal", F.col("stats_a") == F.col("stats_b"))
+
+
+def file_contents_equal(
+    spark: SparkSession, path_a: str, path_b: str, algo: str = "md5", fmt: str = "parquet"
+) -> DataFrame:
+    """One row: files with rows on each side, those whose contents the other side lacks, and
+    whether there are none.
+
+    Files are told by their rows alone, in any order: number of rows and checksum, as
+    multisets, so names do not count. Tables cut into other files differ here even if they
+    hold the same rows; ``checksum_equal`` compares those.
+    """
+    marked = [
+        file_checksums(spark, path, algo, fmt=fmt).select("row_count", "checksum", F.lit(side).alias("side"))
+        for path, side in ((path_a, 1), (path_b, -1))
+    ]
+    same = marked[0].unionAll(marked[1]).groupBy("row_count", "checksum").agg(
+        F.count_if(F.col("side") > 0).alias("in_a"), F.count_if(F.col("side") < 0).alias("in_b")
+    )
+    zero = F.lit(0).cast("bigint")
+    more = lambda x, y: F.coalesce(F.sum(F.greatest(F.col(x) - F.col(y), zero)), zero)
+    totals = same.agg(
+        F.coalesce(F.sum("in_a"), zero).alias("files_a"), F.coalesce(F.sum("in_b"), zero).alias("files_b"),
+        more("in_a", "in_b").alias("only_in_a"), more("in_b", "in_a").alias("only_in_b"),
+    )
+    return totals.withColumn("contents_equal", (F.col("only_in_a") == 0) & (F.col("only_in_b") == 0))

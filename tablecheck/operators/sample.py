@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.functions.flags import all_of, any_null
 from tablecheck.functions.names import column, trimmed_names
+from tablecheck.operators.order import COPIES, RANGE, before_in_range, expanded, folded, ranged
 from tablecheck.sources.scratch import staged
 
 # A range that has to be cut in two is first split until it holds about this many rows.
 RANGE_ROWS = 1_000_000
-_SPLITS = 4
 
 
 class SampledPair(NamedTuple):
@@ -31,36 +32,45 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 def sample_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
     """The first ``limit`` distinct keys in key order. NULL keys match nothing: left out."""
     by_key = [column(k) for k in keys]
-    return first_rows(df.where(~any_null(keys)).select(*by_key).distinct(), by_key, limit)
+    return first_rows(df.where(~any_null(keys)).select(*by_key), by_key, limit, distinct=True)
 
 
-def first_rows(df: DataFrame, by: list[Column], limit: int) -> DataFrame:
-    """The first ``limit`` rows in order, without bringing them to one task.
+def first_rows(df: DataFrame, by: list[Column], limit: int, distinct: bool = False) -> DataFrame:
+    """The first ``limit`` rows in the order of ``by``, which has all columns.
 
-    The rows are range-partitioned and written once. Whole ranges are taken as they are;
-    only the one range that holds the last row is cut, after being split further while it
-    is large. What reaches the driver is one count per range.
+    Equal rows are folded into one with a count first (``distinct`` makes that count one).
+    The folded rows are range-partitioned and written once. Whole ranges are taken as they
+    are; only the one range that holds the last row is cut, after being split further while
+    it is large, which it can be, as no two of its rows are equal. The limit is taken on
+    running counts, and the copies are dealt out again at the end. What reaches the driver
+    is one count per range.
     """
-    part, place = "__range", "__place"
     taken: list[DataFrame] = []
-    rest, left = df, limit
-    for _ in range(_SPLITS):
-        ranged = staged(rest.repartitionByRange(*by).withColumn(part, F.spark_partition_id()), "ranges")
-        sizes = dict(ranged.groupBy(part).count().collect())
-        if sum(sizes.values()) <= left:
-            taken.append(ranged.drop(part))
-            return reduce(DataFrame.unionByName, taken)
+    rest, left, parts = folded(df), limit, None
+    if distinct:
+        rest = rest.withColumn(COPIES, F.lit(1).cast("bigint"))
+    while True:
+        cut = ranged(rest, by, "ranges", parts)
+        counted = cut.groupBy(RANGE).agg(F.sum(COPIES).alias("copies"), F.count(F.lit(1)).alias("rows"))
+        sizes = {r[RANGE]: (r["copies"], r["rows"]) for r in counted.collect()}
+        whole = sum(rows for _, rows in sizes.values())
+        if sum(copies for copies, _ in sizes.values()) <= left:
+            taken.append(cut.drop(RANGE))
+            break
         for last in sorted(sizes):
-            if sizes[last] > left:
+            if sizes[last][0] > left:
                 break
-            left -= sizes[last]
-        taken.append(ranged.where(F.col(part) < last).drop(part))
-        rest = ranged.where(F.col(part) == last)
-        if sizes[last] <= RANGE_ROWS:
+            left -= sizes[last][0]
+        taken.append(cut.where(F.col(RANGE) < last).drop(RANGE))
+        rest = cut.where(F.col(RANGE) == last)
+        _, rows = sizes[last]
+        if rows <= RANGE_ROWS or (parts and rows == whole):
+            fits = F.least(F.col(COPIES), F.lit(left).cast("bigint") - before_in_range(by))
+            rest = rest.withColumn("__fits", fits).where("__fits > 0")
+            taken.append(rest.withColumn(COPIES, F.col("__fits")).drop("__fits", RANGE))
             break
-    numbered = rest.withColumn(place, F.row_number().over(Window.partitionBy(part).orderBy(*by)))
-    taken.append(numbered.where(F.col(place) <= left).drop(part, place))
-    return reduce(DataFrame.unionByName, taken)
+        rest, parts = rest.drop(RANGE), max(2, math.ceil(rows / RANGE_ROWS))
+    return expanded(reduce(DataFrame.unionByName, taken), F.col(COPIES))
 
 
 def lowest_rows(df: DataFrame, keys: list[str], limit: int) -> DataFrame:

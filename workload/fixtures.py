@@ -6,7 +6,9 @@ checking SQL alike, so both sides start from the same rows.
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -168,66 +170,101 @@ LOG_VERSION = "YEAR(o_orderdate) * 12 + MONTH(o_orderdate)"
 LOG_PATH = "'part-' || CAST(o_custkey AS STRING) || '.parquet'"
 LOG_IS_ADD = "o_orderstatus <> 'F'"
 LOG_B = "o_orderkey % 7 <> 0"
-LOG_SQL = f"""
-log AS (SELECT {LOG_VERSION} AS version, {LOG_IS_ADD} AS is_add, {LOG_PATH} AS file_path,
+ODD_PATH = "'part ' || CAST(o_custkey AS STRING) || '+50%.parquet'"
+#: Files of a checkpoint, written by as many tasks.
+CHECKPOINT_FILES = 4
+
+
+def log_sql(path: str = LOG_PATH) -> str:
+    return f"""
+log AS (SELECT {LOG_VERSION} AS version, {LOG_IS_ADD} AS is_add, {path} AS file_path,
   CASE WHEN {LOG_IS_ADD} THEN o_orderkey END AS size, {LOG_B} AS in_b FROM orders)"""
 
 
-def log_records(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
-    """Log records as the JSON commits hold them: ``version, add, remove``."""
+LOG_SQL = log_sql()
+
+
+def log_records(spark: SparkSession, sf_dir: str, where: str = "true", path: str = LOG_PATH) -> DataFrame:
+    """Log records as the JSON commits hold them: ``version, add, remove``, paths as URIs."""
     orders = table(spark, sf_dir, "orders").where(where)
-    path, is_add = F.expr(LOG_PATH), F.expr(LOG_IS_ADD)
+    is_add = F.expr(LOG_IS_ADD)
+    uri = F.replace(F.replace(F.expr(path), F.lit("%"), F.lit("%25")), F.lit(" "), F.lit("%20"))
     return orders.select(
         F.expr(LOG_VERSION).alias("version"),
-        F.when(is_add, F.struct(path.alias("path"), F.col("o_orderkey").alias("size"))).alias("add"),
-        F.when(~is_add, F.struct(path.alias("path"))).alias("remove"),
+        F.when(is_add, F.struct(uri.alias("path"), F.col("o_orderkey").alias("size"))).alias("add"),
+        F.when(~is_add, F.struct(uri.alias("path"))).alias("remove"),
     )
 
 
-def _renamed(spark: SparkSession, folder: str, name: str, target: str) -> None:
-    """Give the one data file of a written folder its name in the log."""
+def _moved(spark: SparkSession, folder: str, target: str, name: Callable[[int, int], str]) -> list[str]:
+    """Give the data files of a written folder their names in the log, by number and count."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    [part] = [f.getPath() for f in files.listStatus(path(folder)) if f.getPath().getName().startswith("part-")]
+    parts = sorted(
+        (f.getPath() for f in files.listStatus(path(folder)) if f.getPath().getName().startswith("part-")),
+        key=lambda part: part.getName(),
+    )
     files.mkdirs(path(target))
-    if not files.rename(part, path(f"{target}/{name}")):
-        raise OSError(f"{part.toString()} cannot be renamed")
+    names = [name(i, len(parts)) for i in range(1, len(parts) + 1)]
+    for part, own in zip(parts, names):
+        if not files.rename(part, path(f"{target}/{own}")):
+            raise OSError(f"{part.toString()} cannot be renamed")
+    return names
 
 
-_LOGS: dict[tuple[str, str, str], str] = {}
+_LOGS: dict[tuple[str, str, str, bool], str] = {}
 
 
-def written_log(spark: SparkSession, sf_dir: str, where: str = "true") -> str:
+def written_log(spark: SparkSession, sf_dir: str, where: str = "true", pointed: bool = False) -> str:
     """A table folder with the same records as commit files, and a checkpoint half way.
 
-    The checkpoint holds what its version's replay leaves; the commits before it are kept.
-    A session writes each log once.
+    The checkpoint holds what its version's replay leaves. It is written by several tasks, as
+    numbered parts, and the commits before it are kept. A ``pointed`` log has odd file names, a
+    JSON checkpoint with side files that a pointer file names, no commits before it, and a
+    part of a later checkpoint that was never finished. A session writes each log once.
     """
-    known = (spark.sparkContext.applicationId, sf_dir, where)
+    known = (spark.sparkContext.applicationId, sf_dir, where, pointed)
     if known not in _LOGS:
-        _LOGS[known] = _write_log(spark, sf_dir, where)
+        _LOGS[known] = _write_log(spark, sf_dir, where, pointed)
     return _LOGS[known]
 
 
-def _write_log(spark: SparkSession, sf_dir: str, where: str) -> str:
+def _write_log(spark: SparkSession, sf_dir: str, where: str, pointed: bool) -> str:
     table_path = fresh_path(spark, "logged-table")
-    log, records = f"{table_path}/_delta_log", log_records(spark, sf_dir, where)
-    lines = records.select("version", F.to_json(F.struct("add", "remove")).alias("value"))
+    log = f"{table_path}/_delta_log"
+    records = log_records(spark, sf_dir, where, ODD_PATH if pointed else LOG_PATH)
+    versions = [r[0] for r in records.select("version").distinct().orderBy("version").collect()]
+    half = versions[len(versions) // 2]
+    kept = records.where(F.col("version") > half) if pointed else records
+    lines = kept.select("version", F.to_json(F.struct("add", "remove")).alias("value"))
     staging = fresh_path(spark, "commits")
     # a version's records are one file, as in any such log
     lines.repartition("version").write.partitionBy("version").text(staging)
-    versions = [r[0] for r in records.select("version").distinct().orderBy("version").collect()]
     for version in versions:
-        _renamed(spark, f"{staging}/version={version}", f"{version:020d}.json", log)
-    half = versions[len(versions) // 2]
+        if not pointed or version > half:
+            _moved(spark, f"{staging}/version={version}", log, lambda i, n: f"{version:020d}.json")
     last = F.max_by(F.struct("add", "remove"), F.struct("version", F.col("add").isNotNull(), "add.size"))
-    state = records.where(F.col("version") <= half).groupBy(F.coalesce("add.path", "remove.path")).agg(last.alias("r"))
+    own_path = F.coalesce("add.path", "remove.path").alias("path")
+    state = records.where(F.col("version") <= half).groupBy(own_path).agg(last.alias("r"))
     checkpoint = fresh_path(spark, "checkpoint")
-    state.select("r.add", "r.remove").coalesce(1).write.parquet(checkpoint)
-    _renamed(spark, checkpoint, f"{half:020d}.checkpoint.parquet", log)
+    state.repartition(CHECKPOINT_FILES, "path").select("r.add", "r.remove").write.parquet(checkpoint)
+    if not pointed:
+        _moved(spark, checkpoint, log, lambda i, n: f"{half:020d}.checkpoint.{i:010d}.{n:010d}.parquet")
+        return table_path
+    sides = _moved(spark, checkpoint, f"{log}/_sidecars", lambda i, n: f"side-{i}.parquet")
+    named = f"{half:020d}.checkpoint.{uuid.uuid4()}.json"
+    _put_lines(spark, log, named, [json.dumps({"sidecar": {"path": side}}) for side in sides])
+    _put_lines(spark, log, "_last_checkpoint", [json.dumps({"version": half, "v2Checkpoint": {"path": named}})])
+    _put_lines(spark, log, f"{half + 1:020d}.checkpoint.{1:010d}.{2:010d}.parquet", ["not finished"])
     return table_path
 
 
+def _put_lines(spark: SparkSession, folder: str, name: str, lines: list[str]) -> None:
+    staging = fresh_path(spark, "lines")
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(staging)
+    _moved(spark, staging, folder, lambda i, n: name)
+
+
 # -- SQL templates, one per document; the whole text is part of the template -------------
 
 TEMPLATES = [

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from workload import fixtures as fx
-from workload.queries import LABEL, LINE_KEY, ROW_LIMIT, RUN_DATE, SAMPLE_KEYS
+from workload.queries import LABEL, LINE_KEY, ROW_LIMIT, RUN_DATE, SAMPLE_KEYS, VERSIONS
 
 _ORDER_TEXT_COLUMNS = {"o_orderdate"}
 _LINE_TEXT_COLUMNS = {"l_quantity", "l_extendedprice", "l_shipdate", "l_discount", "l_tax"}
@@ -219,6 +219,22 @@ _WORD_SUMS = ", ".join(
 _SUMMED = f"concat_ws('-', {_WORD_SUMS})"
 
 
+_FILE_TEXT = _canonical([*fx.ORDERS, "status"], {"o_orderstatus", "o_orderpriority", "status"})
+_FILE_SUMMED = _SUMMED.replace(_ORDER_TEXT, _FILE_TEXT)
+
+
+def _version(name: str, kept: str, customer: str) -> str:
+    """Files are statuses here: which of them hold other rows than in the original."""
+    return f"""SELECT '{name}' AS version, count(a.n) AS files_a, count(b.n) AS files_b,
+    count(a.n) FILTER (WHERE NOT coalesce(same, false)) AS only_in_a,
+    count(b.n) FILTER (WHERE NOT coalesce(same, false)) AS only_in_b, bool_and(coalesce(same, false)) AS contents_equal,
+    bool_and(coalesce(a.n = b.n, false)) AS files_equal
+    FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY ALL) a
+    FULL JOIN (SELECT o_orderstatus, count(*) AS n FROM orders WHERE {kept} GROUP BY ALL) b USING (o_orderstatus)
+    LEFT JOIN (SELECT o_orderstatus, bool_and(coalesce({kept}, false) AND o_custkey = {customer}) AS same
+    FROM orders GROUP BY ALL) c USING (o_orderstatus)"""
+
+
 def _crc32(text: str) -> str:
     """The checksum bit by bit, over the bytes of the UTF-8 text."""
     digits = f"hex(encode({text}))"
@@ -271,6 +287,10 @@ _KEYS = """keys AS (SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS domain_cd, lang
 UNION SELECT 'doc_' || CAST(doc_id AS VARCHAR), source FROM documents)"""
 _LINE_COLUMNS = ", ".join(_shown(c, c, c in _LINE_TEXT_COLUMNS) for c in fx.LINEITEM_NAMES)
 
+_UNMATCHED = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS unmatched_count FROM cmp WHERE {c}_result = 'unmatch'" for c in fx.ORDERS
+)
+
 ORACLES: dict[str, str] = {
     "compare_by_key": f"{_KEYED} SELECT {_LAYOUT} FROM cmp",
     "compare_by_key_nullsafe": f"{_NULLSAFE} SELECT {_LAYOUT} FROM cmp",
@@ -303,10 +323,7 @@ ORACLES: dict[str, str] = {
     "result_overwrite": f"{_KEYED} SELECT {_LAYOUT} FROM cmp",
     "ab_test": f"{_KEYED} {_audit_all('orders_run', 'orders_run_b')}",
     "ab_test_all_columns": f"{_BY_ALL} {_audit_all('orders_all', 'orders_all_b')}",
-    "unmatched_counts": f"{_KEYED} " + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count(*) AS unmatched_count FROM cmp WHERE {c}_result = 'unmatch'"
-        for c in fx.ORDERS
-    ),
+    "unmatched_counts": f"{_KEYED} {_UNMATCHED}",
     "audit_dashboard": f"""{_with(fx.AUDIT_SQL)} SELECT CASE WHEN test_name LIKE '%dev%' THEN 'Dev'
         WHEN test_name LIKE '%test%' THEN 'Test' WHEN test_name LIKE '%prod%' THEN 'Prod' ELSE 'Unknown' END
         AS "Workspace", table_a AS "Base_Table", table_b AS "Test_Table", schema_mismatch,
@@ -331,16 +348,28 @@ ORACLES: dict[str, str] = {
         ta AS (SELECT count(*) AS n, {_SUMMED} AS s FROM a), tb AS (SELECT count(*) AS n, {_SUMMED} AS s FROM b)
         SELECT ta.n AS rows_a, tb.n AS rows_b, ta.s AS checksum_a, tb.s AS checksum_b,
         ta.n = tb.n AND ta.s = tb.s AS checksums_equal FROM ta, tb""",
-    "file_stats": "SELECT 'by status' AS place, true AS files_right, true AS bytes_right, "
-                  "'o_orderstatus' AS partition_columns UNION ALL SELECT 'orders', true, true, '' "
-                  "UNION ALL SELECT 'lineitem', true, true, ''",
-    "files_equal": "SELECT 'copy' AS version, count(*) = count(*) AS files_equal FROM orders UNION ALL "
-                   "SELECT 'cut', count(*) = count(*) FILTER (WHERE o_orderkey % 101 <> 0) FROM orders",
+    "file_stats": """SELECT 'by status' AS place, count(DISTINCT o_orderstatus) AS num_files, count(*) AS rows,
+        'o_orderstatus' AS partition_columns FROM orders
+        UNION ALL SELECT 'by priority', count(DISTINCT o_orderpriority), count(*), 'o_orderpriority' FROM orders""",
+    "file_checksums": f"""SELECT status, count(*) AS row_count, {_FILE_SUMMED} AS checksum
+        FROM (SELECT *, o_orderstatus AS status FROM ({_ORDERS_TEXT}) t) rows GROUP BY status""",
+    "files_equal": " UNION ALL ".join(_version(name, *version) for name, version in VERSIONS.items()),
     "manifest_added": f"{_with(fx.LOG_SQL)} SELECT DISTINCT file_path FROM log WHERE is_add",
     "manifest_live": f"{_with(fx.LOG_SQL, _live('live', 'true'))} SELECT file_path, size FROM live",
     "manifest_diff": f"""{_with(fx.LOG_SQL, _live('la', 'true'), _live('lb', 'in_b'))}
         SELECT file_path, 'a' AS side FROM la WHERE file_path NOT IN (SELECT file_path FROM lb)
         UNION ALL SELECT file_path, 'b' FROM lb WHERE file_path NOT IN (SELECT file_path FROM la)""",
+    "manifest_live_pointed": f"{_with(fx.log_sql(fx.ODD_PATH), _live('live', 'true'))} SELECT file_path, size FROM live",
+    "unmatched_counts_in_order": f"{_KEYED} SELECT *, row_number() OVER (ORDER BY unmatched_count DESC, column_name) "
+                                 f"AS position FROM ({_UNMATCHED}) u",
+    "audit_summary_in_order": f"SELECT *, row_number() OVER (ORDER BY test_name NULLS FIRST, table_a NULLS FIRST, "
+                              f"table_b NULLS FIRST, column_name NULLS FIRST) AS position FROM ({_summary()}) s",
+    "conversion_report_in_order": f"SELECT *, row_number() OVER (ORDER BY experiment_id, variation, date) AS position "
+                                  f"FROM ({_report()}) r",
+    "lineitem_in_order": "SELECT l_partkey, l_returnflag, l_linenumber, row_number() OVER (ORDER BY l_partkey DESC, "
+                         "l_returnflag, l_linenumber) AS position FROM lineitem",
+    "sample_rows_capped": "SELECT l_linenumber, l_returnflag, l_linestatus FROM lineitem ORDER BY ALL "
+                          "LIMIT (SELECT count(*) // 2 FROM lineitem)",
     "sample_pair": f"{_with(fx.ORDERS_PAIR_SQL, _SAMPLED)} {_sampled({'a': 'a', 'b': 'b'})}",
     "sample_pair_capped": f"{_with(fx.ORDERS_PAIR_SQL, _SAMPLED)} {_sampled({'a': 'a', 'b': 'b'}, ROW_LIMIT)}",
     "prepare_pair": f"{_with(fx.ORDERS_PAIR_SQL, _SAMPLED)} {_sampled({'main': 'a', 'clone': 'a'})}",

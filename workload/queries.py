@@ -226,6 +226,27 @@ def conversion_report(spark, sf_dir):
     return _rounded(tc.conversion_report(fx.exposures(spark, sf_dir)))
 
 
+# The order of a report, as a column: a row check cannot see the order of rows.
+
+
+def unmatched_counts_in_order(spark, sf_dir):
+    return tc.with_position(unmatched_counts(spark, sf_dir), [F.desc("unmatched_count"), "column_name"])
+
+
+def audit_summary_in_order(spark, sf_dir):
+    return tc.with_position(audit_summary(spark, sf_dir), ["test_name", "table_a", "table_b", "column_name"])
+
+
+def conversion_report_in_order(spark, sf_dir):
+    return tc.with_position(conversion_report(spark, sf_dir), ["experiment_id", "variation", "date"])
+
+
+def lineitem_in_order(spark, sf_dir):
+    """All lines by part, repeated rows included, each with its place."""
+    lines = fx.table(spark, sf_dir, "lineitem").selectExpr("l_partkey", "l_returnflag", "l_linenumber")
+    return tc.with_position(lines, [F.desc("l_partkey")])
+
+
 # -- fingerprints and files ------------------------------------------------------------------
 
 
@@ -264,41 +285,61 @@ def checksum_equal(spark, sf_dir):
     return fx.presentable(tc.checksum_equal(a, b, algo="md5"))
 
 
-def _measured(spark, path: str) -> tuple[int, int]:
-    """Files and bytes behind the rows of a folder: Spark knows the file of every row."""
-    rows = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size")
-    files = rows.groupBy("file_path").agg(F.max("file_size").alias("size"))
-    return tuple(files.agg(F.count(F.lit(1)), F.sum("size")).first())
+_BY = {"by status": "o_orderstatus", "by priority": "o_orderpriority"}
 
 
 def file_stats(spark, sf_dir):
-    """File statistics of the given tables, as they lie, and of orders laid out by status,
-    each held against the files its rows come from."""
-    laid_out = fresh_path(spark, "orders-by-status")
-    fx.table(spark, sf_dir, "orders").write.partitionBy("o_orderstatus").parquet(laid_out)
-    places = {"by status": laid_out, **{name: f"{sf_dir}/{name}.parquet" for name in ("orders", "lineitem")}}
-    checks = []
-    for place, path in places.items():
-        files, size = _measured(spark, path)
-        checks.append(tc.file_stats(spark, path).select(
-            F.lit(place).alias("place"), (F.col("num_files") == files).alias("files_right"),
-            (F.col("size_in_bytes") == size).alias("bytes_right"),
+    """Files, rows and partition columns of orders laid out one file a status, and one a priority."""
+    orders, checks = fx.table(spark, sf_dir, "orders"), []
+    for place, by in _BY.items():
+        path = fresh_path(spark, f"orders-{by}")
+        orders.repartition(by).write.partitionBy(by).parquet(path)
+        held = tc.file_checksums(spark, path).agg(F.sum("row_count")).first()[0]
+        checks.append(tc.file_stats(spark, path).where("size_in_bytes > 0").select(
+            F.lit(place).alias("place"), "num_files", F.lit(held).alias("rows"),
             F.array_join("partition_columns", ",").alias("partition_columns"),
         ))
     return reduce(DataFrame.unionAll, checks)
 
 
+def file_checksums(spark, sf_dir):
+    """Rows and checksum of every file of orders laid out one file a status."""
+    path = fresh_path(spark, "orders-files")
+    rows = _orders_text(spark, sf_dir).select("*", F.col("o_orderstatus").alias("status"))
+    rows.repartition("status").write.partitionBy("status").parquet(path)
+    found = tc.file_checksums(spark, path)
+    status = F.regexp_extract("file_path", "/status=([^/]*)/", 1)
+    return found.select(status.alias("status"), "row_count", "checksum")
+
+
+#: Versions of orders: the same rows, one value changed, some rows fewer.
+VERSIONS = {
+    "copy": ("true", "o_custkey"),
+    "changed": ("true", "CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN o_custkey + 1 ELSE o_custkey END"),
+    "cut": ("o_orderkey % 101 <> 0", "o_custkey"),
+}
+
+
 def files_equal(spark, sf_dir):
-    """A copy has the files of its original; a copy with fewer rows has not."""
+    """Versions of orders, one file a status, against the original: by number of files and bytes,
+    and by what is in the files. Plain pages keep the size of a file when a number changes."""
     orders = fx.table(spark, sf_dir, "orders")
-    versions = {"original": "true", "copy": "true", "cut": "o_orderkey % 101 <> 0"}
-    paths = {name: fresh_path(spark, f"orders-{name}") for name in versions}
-    for name, condition in versions.items():
-        orders.where(condition).write.parquet(paths[name])
-    checks = [
-        tc.files_equal(spark, paths["original"], paths[name]).select(F.lit(name).alias("version"), "files_equal")
-        for name in ("copy", "cut")
-    ]
+    orders.createOrReplaceTempView("orders")
+
+    def written(name: str, kept: str, customer: str) -> str:
+        path = fresh_path(spark, f"orders-{name}")
+        rows = spark.sql(f"SELECT o_orderkey, {customer} AS o_custkey, o_orderstatus FROM orders WHERE {kept}")
+        rows = rows.repartition("o_orderstatus").sortWithinPartitions("o_orderkey")
+        rows.write.options(**{"compression": "none", "parquet.enable.dictionary": "false"}).partitionBy(
+            "o_orderstatus").parquet(path)
+        return path
+
+    original, checks = written("original", *VERSIONS["copy"]), []
+    for name, version in VERSIONS.items():
+        path = written(name, *version)
+        hint = tc.files_equal(spark, original, path).first()["files_equal"]
+        contents = tc.file_contents_equal(spark, original, path)
+        checks.append(contents.select(F.lit(name).alias("version"), "*", F.lit(hint).alias("files_equal")))
     return reduce(DataFrame.unionAll, checks)
 
 
@@ -315,6 +356,11 @@ def manifest_diff(spark, sf_dir):
     return tc.manifest_diff(*[tc.manifest_live(log) for log in logs])
 
 
+def manifest_live_pointed(spark, sf_dir):
+    """The same log with odd file names, behind a pointer to a JSON checkpoint with side files."""
+    return tc.manifest_live(tc.read_log(spark, fx.written_log(spark, sf_dir, pointed=True)))
+
+
 # -- samples and clones ----------------------------------------------------------------------
 
 
@@ -331,6 +377,13 @@ def sample_pair_capped(spark, sf_dir):
     return fx.presentable(reduce(DataFrame.unionAll, sides))
 
 
+def sample_rows_capped(spark, sf_dir):
+    """A cap that falls among equal rows: flags of all lines, half of the table kept."""
+    lines = fx.table(spark, sf_dir, "lineitem").selectExpr("l_linenumber", "l_returnflag", "l_linestatus")
+    pair = tc.sample_pair(lines, lines, ["l_linenumber"], SAMPLE_KEYS, row_limit=lines.count() // 2)
+    return pair.a
+
+
 def prepare_pair(spark, sf_dir):
     """Clone a stale copy again, then write both samples as tables."""
     schema = fx.scratch_schema(spark)
@@ -473,5 +526,7 @@ QUERIES: dict[str, Query] = {
         normalize_columns, ab_test_all_columns, clone_from_spec_file, schema_diffs,
         clone_full, clone_filtered, clone_tables, template_table_keys, resolve_table_keys,
         unresolved_keys, render_templates, run_reference_query, graph_nodes, upsert_nodes,
+        manifest_live_pointed, file_checksums, unmatched_counts_in_order, audit_summary_in_order,
+        conversion_report_in_order, lineitem_in_order, sample_rows_capped,
     )
 }
