@@ -10,9 +10,10 @@ When a task ends, or more than ``max_open`` windows are open, the emptiest windo
 up to fill the fullest ones. The last window of a task is cut into sequences whose lengths
 are powers of two, so nothing is padded.
 
-Tokens come from a public tokenizer file. Words are looked up in a bounded store of words
-already seen, and only new ones go through the tokenizer; the ids are those of the whole
-text, because this vocabulary drops white space and never joins tokens across it.
+Tokens come from a public tokenizer file, found and opened where they are made. Words are
+looked up in a bounded store of words already seen, which a worker process keeps from task
+to task, and only new ones go through the tokenizer; the ids are those of the whole text,
+because this vocabulary drops white space and never joins tokens across it.
 
 Defined cases: a null or empty text is the end token alone; a document id may be null or
 repeated, each row is packed on its own; an empty table gives no pieces; other columns are
@@ -21,6 +22,7 @@ not read.
 
 from __future__ import annotations
 
+import functools
 import string
 import unicodedata
 from collections.abc import Iterator
@@ -31,11 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablecheck.llm.vocabularies import byte_letters, halved, located
+
 WINDOW = 4096
 END_TOKEN = 2
 MAX_OPEN = 4096
-#: Words and chunks kept in a task's store before it is emptied; bounds its memory.
-MAX_STORED = 250_000
+#: Words, and as many chunks of words, that a worker process keeps (some 200 bytes each); of a
+#: full store the older half goes.
+MAX_STORED = 400_000
 SEQUENCES_PER_TASK = 1 << 33
 
 _PIECES = (
@@ -47,13 +52,6 @@ _SCHEMA = pa.schema([
 ])
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letters a byte-level vocabulary writes its bytes with."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-
 class WordTokens(dict):
     """Ids, as little-endian bytes, of a stretch of text without white space."""
 
@@ -61,9 +59,9 @@ class WordTokens(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(located(path))
         self.model = self.tokenizer.model
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.words: dict[str, bytes] = {}
         self.max_stored = max_stored
 
@@ -77,7 +75,7 @@ class WordTokens(dict):
             spelled = word.encode().decode("latin-1").translate(self.letters)
             ids = np.array([token.id for token in self.model.tokenize(spelled)], "<u4").tobytes()
             if len(self.words) >= self.max_stored:
-                self.words.clear()
+                halved(self.words)
             self.words[word] = ids
         return ids
 
@@ -86,9 +84,9 @@ class WordTokens(dict):
         letters = text.rstrip(string.punctuation)
         lowered = letters.lower()
         # letters that stay letters; a sigma's lower case depends on its place in Python alone
-        simple = (
-            letters.isalpha() and lowered.isalpha() and "Σ" not in letters and unicodedata.is_normalized("NFC", letters)
-        )
+        simple = letters.isalpha() and (letters.isascii() or (
+            lowered.isalpha() and "Σ" not in letters and unicodedata.is_normalized("NFC", letters)
+        ))
         if simple:
             tail = text[len(letters):]
             ids = self._word(lowered) + (self[tail.encode()] if tail else b"")
@@ -96,7 +94,7 @@ class WordTokens(dict):
             ids = self._encoded(text)
         if len(chunk) <= 64:
             if len(self) >= self.max_stored:
-                self.clear()
+                halved(self)
             self[chunk] = ids
         return ids
 
@@ -104,6 +102,12 @@ class WordTokens(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
+@functools.cache
+def _worker_tokens(path: str, max_stored: int) -> WordTokens:
+    """One store for each worker process, whatever tasks it runs."""
+    return WordTokens(path, max_stored)
+
+
 class SumOfSquares:
     """Open windows by fill level; ``closed`` gets finished windows as lists of pieces."""
 
@@ -229,11 +233,14 @@ def pack_documents(
     docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", window: int = WINDOW,
     end_token: int = END_TOKEN, max_open: int = MAX_OPEN, max_stored: int = MAX_STORED,
 ) -> DataFrame:
-    """One row per piece: where it comes from, its ids, and its place in a sequence."""
+    """One row per piece: where it comes from, its ids, and its place in a sequence.
+
+    ``tokenizer`` is a path that every executor has, or the name of a public tokenizer file.
+    """
     ending = np.array([end_token], "<u4").tobytes()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(tokenizer, max_stored)
+        tokens = _worker_tokens(tokenizer, max_stored)
         packer = SumOfSquares(window, max_open)
         number = TaskContext.get().partitionId() * SEQUENCES_PER_TASK
         for batch in batches:

@@ -82,15 +82,12 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
+TOKENIZER = "word_bpe_49k.json"
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 4096 tokens."""
-    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from tablecheck.llm import language, neardup, queries
+from tablecheck.llm.vocabularies import located
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -63,7 +64,7 @@ def test_license_scan(spark, docs):
 
 
 def check_packed(rows, texts):
-    plainly = Tokenizer.from_file(queries.tokenizer_path())
+    plainly = Tokenizer.from_file(located(queries.TOKENIZER))
     pieces, sequences = {}, {}
     for r in rows:
         pieces.setdefault(r["doc_id"], []).append(r)
