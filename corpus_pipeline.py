@@ -91,7 +91,7 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 4096 tokens, one row a piece."""
-    return packing.pack_documents(docs, queries.tokenizer_path())
+    return packing.pack_documents(docs, queries.TOKENIZER)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
