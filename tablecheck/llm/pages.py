@@ -1,25 +1,29 @@
-"""HTML extraction: flat text blocks, kept or dropped by a small decision tree.
+"""HTML extraction: flat text blocks, kept or dropped by a decision tree.
 
 A page is cut into blocks at block-level tags. For each block the tree sees its word count
-and link density, those of its neighbours, and three marks of its surroundings: whether it
-stands inside an article, inside page furniture (navigation, side bars, forms, notices,
-adverts, comments), and whether it is a heading. The tree is grown (Gini impurity) from
-``LABELLED_BLOCKS`` when the operator is called and travels with the job.
+and link density, those of its neighbours, the longest text without links close by, whether
+it is a heading, and whether its tags mark it as page furniture (navigation, side bars,
+forms, notices, adverts, comments). It does not see whether a page marks its article: pages
+without such a tag are read like any other. The tree is grown (Gini impurity) from
+``LABELLED_PAGES``, a small table, when the operator is called and travels with the job.
 
 Scripts, styles and other unseen content never become blocks. Character references are
 decoded, white space inside a block becomes one space, kept blocks are joined by one line
 end in page order.
 
 Defined cases: null or empty html gives an empty text; tags that are never closed end with
-the page; an unclosed comment or script runs to the end of the page; repeated rows get equal
-answers; other columns are not read. Each page is decided from itself alone, so nothing is
-shuffled.
+the page; an unclosed comment or script runs to the end of the page; a ``<`` that no tag
+follows is text; repeated rows get equal answers; other columns are not read. A page of any
+length is read in time proportional to it. Each page is decided from itself alone, so
+nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import functools
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -42,17 +46,27 @@ FURNITURE_TAGS = frozenset("aside dialog fieldset footer form menu nav search".s
 HEADING_TAGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SELF_CLOSING_TAGS = frozenset("dd dt li option p td th tr".split())  # each ends where its next of kind begins
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Words in class, id or role that mark page furniture.
+# Words in class, id or role that mark page furniture wherever they stand.
 FURNITURE_WORDS = frozenset(
-    "ad ads adv advert advertisement adverts alert aside banner breadcrumb breadcrumbs comment comments consent cookie "
-    "cookies copyright disclaimer disqus footer gdpr login menu modal nav navbar navigation newsletter notice outbrain "
-    "overlay pager pagination paywall popup promo promoted related recommended replies reply respond share sharing "
-    "sidebar signup skip social sponsor sponsored subscribe taboola toolbar topbar widget complementary contentinfo "
-    "search".split()
+    "ad ads adv advert advertisement adverts breadcrumb breadcrumbs comments consent cookie cookies disqus footer gdpr "
+    "menu modal nav navbar navigation newsletter outbrain paywall popup sidebar signup sponsor sponsored subscribe "
+    "taboola toolbar topbar complementary contentinfo".split()
+)
+# Those that do so only with each other, with the words above, or with words for a place on a page.
+FURNITURE_IF_ALONE = frozenset(
+    "alert aside banner comment copyright disclaimer login notice overlay pager pagination promo promoted recommended "
+    "related replies reply respond search share sharing skip social widget".split()
+)
+PLACE_WORDS = frozenset(
+    "area articles bar block bottom box buttons container content footer form group header heading inner item items left "
+    "link links list media module news outer page panel post posts right row section side stories title top wrap wrapper".split()
 )
 
+# A tag ends at the first > outside quotes; a quoted value longer than this is none, so that a
+# quote that is never closed cannot be looked for again and again.
+_QUOTED = r"\"[^\"]{0,4096}+\"|'[^']{0,4096}+'"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.DOTALL
+    rf"<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']|{_QUOTED})*+|[^<>]*)>", re.DOTALL
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _TELLING = re.compile("class|id|role|hidden|style", re.IGNORECASE)
@@ -60,97 +74,85 @@ _WORD_CUT = re.compile(r"[^a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 FEATURES = (
-    "words", "link_density", "words_before", "links_before", "words_after", "links_after", "article", "furniture",
-    "heading",
+    "words", "link_density", "words_before", "links_before", "words_after", "links_after", "near", "heading", "furniture",
 )
-
-# A small labelled table: the features above, then 1 for main text and 0 for the rest.
-LABELLED_BLOCKS = (
-    # paragraphs and headings of marked articles, short ones too
-    (120, 0.00, 80, 0.00, 95, 0.00, 1, 0, 0, 1),
-    (64, 0.05, 9, 0.00, 70, 0.00, 1, 0, 0, 1),
-    (9, 0.00, 6, 1.00, 64, 0.05, 1, 0, 1, 1),
-    (7, 0.00, 5, 0.80, 33, 0.00, 1, 0, 1, 1),
-    (1, 0.00, 75, 0.00, 40, 0.00, 1, 0, 0, 1),
-    (2, 0.00, 14, 0.00, 0, 0.00, 1, 0, 0, 1),
-    (3, 0.00, 0, 0.00, 3, 0.00, 1, 0, 0, 1),
-    (4, 0.00, 4, 1.00, 12, 0.00, 1, 0, 0, 1),
-    (22, 0.40, 31, 0.00, 18, 0.10, 1, 0, 0, 1),
-    (5, 1.00, 31, 0.00, 18, 0.00, 1, 0, 0, 1),
-    (12, 0.60, 40, 0.00, 0, 0.00, 1, 0, 0, 1),
-    (1, 1.00, 60, 0.00, 52, 0.00, 1, 0, 0, 1),
-    (6, 0.00, 3, 0.00, 0, 0.00, 1, 0, 0, 1),
-    (5, 0.00, 0, 0.00, 4, 1.00, 1, 0, 0, 1),
-    (2, 0.00, 3, 1.00, 3, 1.00, 1, 0, 1, 1),
-    (14, 0.90, 2, 1.00, 6, 1.00, 1, 0, 0, 1),
-    (30, 0.80, 50, 0.00, 3, 1.00, 1, 0, 0, 1),
-    (4, 0.00, 2, 1.00, 2, 1.00, 1, 0, 0, 1),
-    (3, 0.00, 4, 0.50, 3, 0.30, 1, 0, 0, 1),
-    (9, 0.70, 1, 1.00, 9, 0.60, 1, 0, 0, 1),
-    (3, 1.00, 60, 0.00, 0, 0.00, 1, 0, 0, 1),
-    # the same inside furniture
-    (60, 0.00, 90, 0.00, 30, 0.00, 1, 1, 0, 0),
-    (25, 0.00, 60, 0.00, 41, 0.00, 1, 1, 0, 0),
-    (4, 0.00, 60, 0.00, 3, 1.00, 1, 1, 1, 0),
-    (3, 1.00, 4, 1.00, 3, 1.00, 1, 1, 0, 0),
-    (9, 0.00, 0, 0.00, 8, 0.00, 1, 1, 0, 0),
-    (70, 0.00, 9, 0.00, 3, 1.00, 0, 1, 0, 0),
-    (33, 0.00, 4, 1.00, 8, 0.00, 0, 1, 0, 0),
-    (11, 0.00, 2, 1.00, 40, 0.00, 0, 1, 0, 0),
-    (1, 1.00, 1, 1.00, 1, 1.00, 0, 1, 0, 0),
-    (2, 1.00, 0, 0.00, 2, 1.00, 0, 1, 0, 0),
-    (14, 0.07, 120, 0.00, 0, 0.00, 0, 1, 0, 0),
-    (5, 0.00, 20, 0.00, 20, 0.00, 0, 1, 1, 0),
-    (18, 0.00, 120, 0.00, 0, 0.00, 0, 1, 0, 0),
-    (20, 0.10, 64, 0.00, 3, 1.00, 0, 1, 0, 0),
-    (16, 0.00, 40, 0.00, 5, 0.00, 0, 1, 0, 0),
-    (45, 0.00, 30, 0.00, 50, 0.00, 0, 1, 0, 0),
-    (80, 0.00, 84, 0.00, 77, 0.00, 0, 1, 0, 0),
-    (130, 0.02, 12, 0.00, 20, 0.00, 0, 1, 0, 0),
-    (20, 0.00, 24, 0.00, 25, 0.00, 1, 1, 0, 0),
-    (100, 0.00, 4, 0.00, 66, 0.00, 1, 1, 0, 0),
-    (30, 0.00, 12, 0.00, 0, 0.00, 1, 1, 0, 0),
-    (8, 0.00, 0, 0.00, 90, 0.00, 1, 1, 1, 0),
-    # pages without an article tag
-    (85, 0.02, 40, 0.00, 60, 0.00, 0, 0, 0, 1),
-    (40, 0.00, 7, 0.00, 52, 0.10, 0, 0, 0, 1),
-    (18, 0.00, 66, 0.00, 48, 0.00, 0, 0, 0, 1),
-    (12, 0.10, 30, 0.00, 25, 0.00, 0, 0, 0, 1),
-    (8, 0.00, 2, 1.00, 55, 0.00, 0, 0, 1, 1),
-    (3, 0.00, 48, 0.00, 61, 0.00, 0, 0, 1, 1),
-    (26, 0.25, 44, 0.00, 12, 0.00, 0, 0, 0, 1),
-    (15, 0.00, 19, 0.00, 2, 1.00, 0, 0, 0, 1),
-    (12, 0.00, 12, 0.00, 2, 1.00, 0, 0, 0, 1),
-    (10, 0.00, 25, 0.00, 4, 1.00, 0, 0, 0, 1),
-    (13, 0.00, 30, 0.00, 0, 0.00, 0, 0, 0, 1),
-    (11, 0.00, 18, 0.00, 5, 0.00, 0, 0, 0, 1),
-    (28, 0.00, 35, 0.00, 3, 1.00, 0, 0, 0, 1),
-    (34, 0.05, 41, 0.00, 0, 0.00, 0, 0, 0, 1),
-    (5, 0.00, 38, 0.00, 42, 0.00, 0, 0, 0, 1),
-    (6, 0.00, 22, 0.00, 31, 0.00, 0, 0, 0, 1),
-    (2, 1.00, 3, 1.00, 2, 1.00, 0, 0, 0, 0),
-    (1, 1.00, 0, 0.00, 1, 1.00, 0, 0, 0, 0),
-    (14, 0.90, 2, 1.00, 6, 1.00, 0, 0, 0, 0),
-    (30, 0.80, 50, 0.00, 3, 1.00, 0, 0, 0, 0),
-    (9, 0.70, 1, 1.00, 9, 0.60, 0, 0, 0, 0),
-    (4, 0.00, 2, 1.00, 2, 1.00, 0, 0, 0, 0),
-    (3, 0.00, 4, 0.50, 3, 0.30, 0, 0, 0, 0),
-    (5, 0.00, 0, 0.00, 4, 1.00, 0, 0, 0, 0),
-    (6, 0.00, 3, 0.00, 0, 0.00, 0, 0, 0, 0),
-    (4, 1.00, 40, 0.00, 35, 0.00, 0, 0, 0, 0),
-    (3, 1.00, 60, 0.00, 0, 0.00, 0, 0, 0, 0),
-    (2, 0.00, 3, 1.00, 3, 1.00, 0, 0, 1, 0),
+#: How many blocks before and after count as near.
+NEAR = 3
+
+# A small labelled table: pages as the blocks they are cut into. Each is its number of words,
+# with /n if n of them are linked, h for a heading, f for furniture, + for main text.
+LABELLED_PAGES = (
+    # everything marked
+    "1/1f 1/1f 2/2f 6f 7h+ 5+ 20+ 60+ 3+ 45+ 1+ 70+ 4f",
+    "1/1f 1/1f 9f 8h+ 120+ 2+ 1+ 95+ 33+ 6f 4/4f",
+    "30f 1f 9h+ 45+ 3+ 52+ 12f 2f",
+    "8h+ 60+ 50+ 3hf 30f 25f 40f 60f 2f",
+    "2hf 5/5f 6/6f 90f 7h+ 80+ 25/3+ 64+ 10/2+ 14f",
+    "6h+ 40+ 18f 55+ 2hf 5/5f 7/7f 38+ 4+ 80f 120f",
+    "1/1f 1f 3+ 1+ 2+ 5f",
+    "2/2f 7f 5h+ 1+ 9f",
+    "6f 4h+ 3+ 4+ 8f",
+    "1/1f 8f 12+ 10f",
+    # nothing marked: menus before and after
+    "1/1 1/1 2/2 1/1 8h+ 40+ 25/2+ 60+ 4+ 33+ 3/3 2/2 4/4 6",
+    "2 5 1/1 1/1 1/1 6h+ 40+ 35+ 70+ 1/1 1/1 9",
+    "1/1 2/2 1/1 3h+ 9+ 12+ 1/1 1/1",
+    "1/1 1/1 4h+ 12+ 12+ 2/2",
+    "3/3 2/2 1/1 5h+ 30+ 11+ 8+ 2/2 4/3 3/3 2 7",
+    "50+ 60+ 1/1 1/1 1/1 9",
+    "4/4 16+ 22+ 15+ 3/3",
+    "6h+ 55+ 48+ 70+ 3h 7/7 6/6 8/8 5/5",
+    "9h+ 66+ 30/2+ 2h 4/4 6/6 5/5 3h 6/6 9/9 1/1",
+    "1/1 1/1 7h+ 35+ 5h+ 41+ 6h+ 28+ 4 1/1 1/1 1/1",
+    "12/10 14/13 5h+ 44+ 38+ 20/18 30/24",
+    "3 1/1 1/1 6 2/2 3h+ 26+ 19+ 3 2/2 5",
+    # no menus
+    "2h+ 4+ 4+",
+    "3h+ 5+ 4+ 6+ 2+",
+    "12+",
+    "3+",
+    "1+ 2+",
+    "5h+ 30+ 3+ 4+ 2+ 5+ 40+",
+    "8h+ 3+ 2+ 60+ 44+ 1+",
+    "40+ 1+ 2+ 1+ 70+ 3+ 2+",
+    "7h+ 50+ 5/5+ 60+ 22/9+ 35+",
+    "90+ 4/4+ 75+ 3+ 110/6+",
+    # link pages
+    "1/1 2/2 1/1 3/3 2/2 2 1/1 4/4",
+    "2h 5/5 6/6 4/4 2h 7/7 5/5 3 1/1",
 )
 
 
+def _features(blocks: Sequence[tuple[int, int, bool, bool]]) -> list[tuple]:
+    """``FEATURES`` of each block of a page, from its words, linked words and two marks."""
+    sizes = [(0, 0.0), *((words, linked / words) for words, linked, *_ in blocks), (0, 0.0)]
+    plain = [words if 3 * linked < words and not furniture else 0 for words, linked, _, furniture in blocks]
+    return [
+        (*sizes[i + 1], *sizes[i], *sizes[i + 2], max([0, *plain[max(0, i - NEAR): i], *plain[i + 1: i + 1 + NEAR]]), heading, furniture)
+        for i, (_, _, heading, furniture) in enumerate(blocks)
+    ]
+
+
+def _labelled(pages: Sequence[str]) -> list[tuple]:
+    """The features of every block of the written pages, and whether it is main text."""
+    rows = []
+    for page in pages:
+        read = [re.fullmatch(r"(\d+)(?:/(\d+))?(h?)(f?)(\+?)", block).groups() for block in page.split()]
+        blocks = [(int(words), int(linked or 0), bool(h), bool(f)) for words, linked, h, f, _ in read]
+        rows += [(*row, int(bool(main))) for row, (*_, main) in zip(_features(blocks), read, strict=True)]
+    return rows
+
+
+LABELLED_BLOCKS = tuple(_labelled(LABELLED_PAGES))
+
+
 @dataclass(frozen=True)
 class Block:
     text: str
     words: int
     linked: int
-    article: bool
-    furniture: bool
     heading: bool
+    furniture: bool
 
 
 @dataclass(frozen=True)
@@ -168,7 +170,7 @@ def _gini(rows: Sequence[tuple]) -> float:
     return len(rows) * 2 * share * (1 - share)
 
 
-def grow_tree(rows: Sequence[tuple], depth: int = 6) -> Split | bool:
+def grow_tree(rows: Sequence[tuple], depth: int = 10) -> Split | bool:
     """A tree of the splits that lower Gini impurity most; the first such split on ties."""
     wanted = 2 * sum(r[-1] for r in rows) >= len(rows)
     if not depth or _gini(rows) == 0:
@@ -210,25 +212,60 @@ def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
         if lowered == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
         if lowered in ("class", "id", "role"):
-            words = set(_WORD_CUT.split(_CAMEL.sub(" ", value).lower()))
-            if tag not in ("article", "body", "html", "main") and words & FURNITURE_WORDS:
+            if tag not in ("article", "body", "html", "main") and any(map(_names_furniture, value.split())):
                 return True
     return False
 
 
+def _names_furniture(name: str) -> bool:
+    """``related-posts`` does, ``related-work`` does not."""
+    words = set(filter(None, _WORD_CUT.split(_CAMEL.sub(" ", name).lower())))
+    if words & FURNITURE_WORDS:
+        return True
+    return bool(words & FURNITURE_IF_ALONE) and words <= FURNITURE_IF_ALONE | PLACE_WORDS
+
+
+@functools.cache
+def _closing(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^<>]*>", re.IGNORECASE)
+
+
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, empty ones left out."""
     blocks: list[Block] = []
     parts: list[str] = []
     linked_parts: list[str] = []
     open_tags: list[tuple[str, bool, bool]] = []  # name, article, furniture
+    opened: Counter[str] = Counter()  # how many of each name are open
     inline_open: set[str] = set()
+    never_closed: set[str] = set()  # tags that no closing tag follows any more
     in_link = 0
     heading = False
 
     def surroundings() -> tuple[bool, bool]:
         return open_tags[-1][1:] if open_tags else (False, False)
 
+    def enter(name: str, article: bool, furniture: bool) -> None:
+        open_tags.append((name, article, furniture))
+        opened[name] += 1
+
+    def leave(name: str) -> None:
+        """Close the innermost tag of a name and all that is open inside it."""
+        while True:
+            last = open_tags.pop()[0]
+            opened[last] -= 1
+            if last == name:
+                return
+
+    def after_closing(name: str, start: int) -> int | None:
+        """Where the text behind the closing tag begins."""
+        if name in never_closed:
+            return None
+        close = _closing(name).search(page, start)
+        if close is None:
+            never_closed.add(name)
+        return close.end() if close else None
+
     def flush() -> None:
         if not parts:
             return
@@ -236,7 +273,7 @@ def blocks_of(page: str) -> list[Block]:
         words = (html.unescape(text) if "&" in text else text).split()
         if words:
             linked = len(html.unescape(" ".join(linked_parts)).split()) if linked_parts else 0
-            blocks.append(Block(" ".join(words), len(words), linked, *surroundings(), heading))
+            blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), heading, surroundings()[1]))
         parts.clear()
         linked_parts.clear()
 
@@ -255,15 +292,14 @@ def blocks_of(page: str) -> list[Block]:
         if not tag:
             continue
         if tag in RAW_TAGS and not closing:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
-            at = close.end() if close else end
+            behind = after_closing(tag, at)
+            at = end if behind is None else behind
             if tag == "title":
                 flush()
             continue
         if tag in UNSEEN_TAGS and not closing:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
-            if close and not attributes.rstrip().endswith("/"):
-                at = close.end()
+            behind = None if attributes.rstrip().endswith("/") else after_closing(tag, at)
+            at = at if behind is None else behind
             continue
         if tag == "a":
             in_link = 0 if closing else 1
@@ -273,43 +309,35 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag not in BLOCK_TAGS:
             # an inline tag matters only where its class makes it furniture
-            if closing and tag in inline_open and any(name == tag for name, *_ in open_tags):
+            if closing and tag in inline_open and opened[tag]:
                 flush()
-                while open_tags.pop()[0] != tag:
-                    pass
+                leave(tag)
             elif not closing and attributes and tag not in VOID_TAGS and _is_furniture(tag, attributes, False):
                 flush()
-                open_tags.append((tag, surroundings()[0], True))
+                enter(tag, surroundings()[0], True)
                 inline_open.add(tag)
             continue
         flush()
         heading = tag in HEADING_TAGS and not closing
         in_link = 0
         if closing:
-            if any(name == tag for name, *_ in open_tags):
-                while open_tags.pop()[0] != tag:
-                    pass
+            if opened[tag]:
+                leave(tag)
             continue
         if tag in SELF_CLOSING_TAGS:
             while open_tags and open_tags[-1][0] == tag:
-                open_tags.pop()
+                leave(tag)
         if tag not in VOID_TAGS:
             article, furniture = surroundings()
-            furniture = furniture or _is_furniture(tag, attributes, article)
-            open_tags.append((tag, article or tag in ("article", "main"), furniture))
+            enter(tag, article or tag in ("article", "main"), furniture or _is_furniture(tag, attributes, article))
     flush()
     return blocks
 
 
 def main_text(page: str, tree: Split | bool) -> str:
     blocks = blocks_of(page)
-    sizes = [(0, 0.0), *((b.words, b.linked / b.words) for b in blocks), (0, 0.0)]
-    kept = []
-    for i, block in enumerate(blocks, 1):
-        row = (*sizes[i], *sizes[i - 1], *sizes[i + 1], block.article, block.furniture, block.heading)
-        if decide(tree, row):
-            kept.append(block.text)
-    return "\n".join(kept)
+    rows = _features([(b.words, b.linked, b.heading, b.furniture) for b in blocks])
+    return "\n".join(block.text for block, row in zip(blocks, rows, strict=True) if decide(tree, row))
 
 
 def extract_main_text(
