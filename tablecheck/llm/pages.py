@@ -106,6 +106,18 @@ LABELLED_PAGES = (
     "1/1 1/1 7h+ 35+ 5h+ 41+ 6h+ 28+ 4 1/1 1/1 1/1",
     "12/10 14/13 5h+ 44+ 38+ 20/18 30/24",
     "3 1/1 1/1 6 2/2 3h+ 26+ 19+ 3 2/2 5",
+    "1/1 1/1 2h+ 24+ 1/1 2/2",
+    "1/1 2/2 1h+ 40+ 30+ 1/1",
+    "1/1f 1h+ 14+ 4+ 7f",
+    "1/1f 2/2f 3h+ 12+ 20+ 2f",
+    "2/2 1/1 2h+ 11+ 5+ 30+ 3/3",
+    "1/1f 6f 4h+ 2+ 7+ 1+ 8+ 2+ 4f",
+    "1/1f 9f 7h+ 2+ 9+ 2+ 6f",
+    "2/2f 8f 5h+ 1+ 6+ 1+ 5+ 4f",
+    "1/1f 5f 6h+ 10+ 1+ 2+ 9+ 2+ 3f",
+    "1/1f 8f 2h+ 2+ 3+ 2+ 5+ 42+ 4f",
+    "1/1f 12f 2h+ 2+ 6+ 8f",
+    "2/2f 5f 1h+ 2+ 2+ 5+ 6f",
     # no menus
     "2h+ 4+ 4+",
     "3h+ 5+ 4+ 6+ 2+",
