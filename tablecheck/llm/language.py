@@ -8,8 +8,8 @@ languages are labelled piece by piece. A document gets the language with the lar
 probability over all its words.
 
 Training: ``fit_language_model`` takes a bounded sample, about ``docs_per_language``
-labelled documents of each language, chosen by a hash of the id, and at most
-``sample_chars`` characters of each. Sequences that switch language are made by joining
+labelled documents of each language, chosen by a hash of the id, and of each a stretch of at
+most ``sample_chars`` characters, from a place chosen by that hash too. Sequences that switch language are made by joining
 stretches of different documents. The model is a few MB whatever the size of the table, and
 travels as a broadcast; labelling is one pass without a shuffle.
 
@@ -35,11 +35,15 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 DOCS_PER_LANGUAGE = 400
 SAMPLE_CHARS = 6_000
+#: Labels of more than so many kinds are no languages.
+MAX_LANGUAGES = 256
 N_BUCKETS = 1 << 17
 LONGEST_WORD = 24
 STRETCH, MARGIN = 480, 16
 #: Words whose scores a task remembers, and words labelled at once; both bound its memory.
-MAX_STORED, WORDS_AT_ONCE = 300_000, 400_000
+MAX_STORED, WORDS_AT_ONCE = 250_000, 150_000
+#: Stretches labelled side by side.
+SIDE_BY_SIDE = 512
 
 _WORDS = re.compile(r"[^\W\d_]{1,%d}" % LONGEST_WORD)
 
@@ -123,13 +127,17 @@ class LanguageModel:
     labels: tuple[str, ...]
     weights: np.ndarray  # (bucket, label); the last row is zero
     moves: np.ndarray  # (label, label)
+    seen: np.ndarray  # of each bucket, whether a word of the sample has it; the last has not
 
     def word_scores(self, words: Sequence[str]) -> np.ndarray:
-        scores = np.zeros((len(words), len(self.labels)), np.float32)
+        """The score of each label, and last the share of a word's features that were learned."""
+        scores = np.zeros((len(words), len(self.labels) + 1), np.float32)
         for at in range(0, len(words), 8_192):
             buckets = feature_buckets(words[at: at + 8_192], len(self.weights) - 1)
+            own = scores[at: at + 8_192]
             for column in range(buckets.shape[1]):
-                scores[at: at + 8_192] += self.weights[buckets[:, column]]
+                own[:, :-1] += self.weights[buckets[:, column]]
+            own[:, -1] = self.seen[buckets].sum(axis=1) / (buckets < len(self.weights) - 1).sum(axis=1)
         return scores
 
 
@@ -146,7 +154,7 @@ def train(
             by_label[number[label]].append(words)
     usable = [i for i, docs in enumerate(by_label) if docs]
     if not usable:
-        return LanguageModel((), np.zeros((1, 0), np.float32), np.zeros((0, 0), np.float32))
+        return LanguageModel((), np.zeros((1, 0), np.float32), np.zeros((0, 0), np.float32), np.zeros(1, bool))
     n_labels = len(labels)
     vocabulary: dict[str, int] = {}
     for docs in by_label:
@@ -195,7 +203,10 @@ def train(
         step = observed - expected
         seen_moves += step * step
         moves += 0.2 * step / np.sqrt(seen_moves)
-    return LanguageModel(labels, weights.astype(np.float32), moves.astype(np.float32))
+    learned = np.zeros(N_BUCKETS + 1, bool)
+    learned[buckets] = True
+    learned[-1] = False
+    return LanguageModel(labels, weights.astype(np.float32), moves.astype(np.float32), learned)
 
 
 def fit_language_model(
@@ -205,21 +216,25 @@ def fit_language_model(
     """Learn from a bounded sample of the labelled rows of ``docs``.
 
     Languages are counted first (ids and labels only); a row joins the sample when a hash of
-    its id falls below twice its language's share of ``docs_per_language``, so the driver
-    gets about that many texts of each language whatever the table holds.
+    its id falls below ``docs_per_language`` in the rows of its language, so the driver gets
+    about that many texts of each language whatever the table holds.
     """
     rows = docs.select(
         F.col(f"`{key}`").cast("string").alias("k"), F.col(f"`{text}`").cast("string").alias("t"),
         F.col(f"`{label}`").cast("string").alias("g"),
     ).where("g IS NOT NULL AND k IS NOT NULL")
-    sizes = rows.where("t IS NOT NULL").groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = rows.where("t IS NOT NULL").groupBy("g").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
     if not sizes:
         return train([])
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in column {label!r}")
     wanted = F.element_at(
         F.create_map(*[x for r in sizes for x in (F.lit(r["g"]), F.lit(min(1.0, docs_per_language / r["n"])))]), F.col("g")
     )
     chance = F.pmod(F.xxhash64(F.lit("language sample"), "k"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = rows.where("t IS NOT NULL").where(chance < wanted).select("k", F.substring("t", 1, sample_chars).alias("t"), "g")
+    starts = F.greatest(F.char_length("t") - F.lit(sample_chars), F.lit(0)) + 1
+    stretch = F.substr("t", 1 + F.pmod(F.xxhash64(F.lit("language stretch"), "k"), starts).cast("int"), F.lit(sample_chars))
+    sample = rows.where("t IS NOT NULL").where(chance < wanted).select("k", stretch.alias("t"), "g")
     taken = sorted(sample.toLocalIterator(), key=lambda r: (r["g"], r["k"], r["t"]))
     return train([(r["t"], r["g"]) for r in taken])
 
@@ -233,7 +248,7 @@ class Labeller:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.scores = np.zeros((0, len(self.model.labels)), np.float32)
+        self.scores = np.zeros((0, len(self.model.labels) + 1), np.float32)
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         place = self.place
@@ -246,7 +261,11 @@ class Labeller:
 
     def shares(self, texts: Sequence[str | None]) -> np.ndarray:
         """(text, label): mean probability over the words; zeros for texts without a letter."""
-        result = np.zeros((len(texts), len(self.model.labels)))
+        return self.described(texts)[:, :-1]
+
+    def described(self, texts: Sequence[str | None]) -> np.ndarray:
+        """The shares, and last the mean share of the words' features that were learned."""
+        result = np.zeros((len(texts), len(self.model.labels) + 1))
         if not self.model.labels:
             return result
         held: list[tuple[int, list[str]]] = []
@@ -262,7 +281,7 @@ class Labeller:
                     held, n_held = [], 0
         if held:
             self._label(held, result)
-        totals = result.sum(axis=1, keepdims=True)
+        totals = result[:, :-1].sum(axis=1, keepdims=True)
         return np.divide(result, totals, out=result, where=totals > 0)
 
     def _label(self, held: list[tuple[int, list[str]]], result: np.ndarray) -> None:
@@ -279,49 +298,55 @@ class Labeller:
         pieces.sort(key=lambda p: -p[0])
         shape = np.array(pieces, np.int64)
         lengths = shape[:, 0]
-        for group in range(0, len(pieces), 2_048):
-            own = shape[group: group + 2_048]
+        for group in range(0, len(pieces), SIDE_BY_SIDE):
+            own = shape[group: group + SIDE_BY_SIDE]
             longest = int(own[0, 0])
             times = np.arange(longest)
             active = np.searchsorted(-own[:, 0], -times, side="left")
             places = np.minimum(own[None, :, 1] + times[:, None], len(numbers) - 1)
             scores = self.scores[numbers[places]]
-            probabilities, _, _ = forward_backward(scores, self.model.moves, active)
+            probabilities, _, _ = forward_backward(scores[..., :-1], self.model.moves, active)
             inside = (times[:, None] >= own[None, :, 2]) & (times[:, None] < own[None, :, 2] + own[None, :, 3])
-            summed = np.einsum("tbl,tb->bl", probabilities, inside.astype(np.float32))
-            np.add.at(result, own[:, 4], summed)
+            counted = inside.astype(np.float32)
+            summed = np.einsum("tbl,tb->bl", probabilities, counted)
+            np.add.at(result, own[:, 4], np.hstack([summed, (scores[..., -1] * counted).sum(axis=0)[:, None]]))
 
 
 _ANSWER = pa.struct([
     ("language", pa.string()), ("score", pa.float64()), ("shares", pa.map_(pa.string(), pa.float64())),
+    ("familiar", pa.float64()),
 ])
 
 
 def language_column(model: LanguageModel, text: Column, docs: DataFrame) -> Column:
-    """A struct ``language, score, shares`` for a text column of ``docs``."""
+    """A struct ``language, score, shares, familiar`` for a text column of ``docs``.
+
+    ``familiar`` is the mean share of a word's features that the model has learned: near 1 in
+    the languages it knows, well below in others, whose labels are guesses.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("language string, score double, shares map<string,double>")
+    @F.arrow_udf("language string, score double, shares map<string,double>, familiar double")
     def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         labeller = Labeller(shipped.value)
         names = shipped.value.labels
         for batch in batches:
-            shares = labeller.shares(batch.to_pylist())
+            described = labeller.described(batch.to_pylist())
             rows = []
-            for row in shares:
+            for row, familiar in zip(described[:, :-1], described[:, -1].tolist(), strict=True):
                 if row.any():
                     best = int(row.argmax())
                     listed = [(names[i], float(row[i])) for i in np.flatnonzero(row > 0.005)]
-                    rows.append({"language": names[best], "score": min(1.0, float(row[best])), "shares": listed})
+                    rows.append({"language": names[best], "score": min(1.0, float(row[best])), "shares": listed, "familiar": familiar})
                 else:
-                    rows.append({"language": UNDETERMINED, "score": 0.0, "shares": []})
+                    rows.append({"language": UNDETERMINED, "score": 0.0, "shares": [], "familiar": 0.0})
             yield pa.array(rows, type=_ANSWER)
 
     return label(text.cast("string"))
 
 
 def identify_language(model: LanguageModel, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, language, score, shares`` for every row."""
+    """``key, language, score, shares, familiar`` for every row."""
     picked = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     labelled = picked.select("k", language_column(model, F.col("t"), docs).alias("a"))
-    return labelled.select(F.col("k").alias(key), "a.language", "a.score", "a.shares")
+    return labelled.select(F.col("k").alias(key), "a.language", "a.score", "a.shares", "a.familiar")

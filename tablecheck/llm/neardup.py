@@ -8,20 +8,28 @@ Every document gets the smallest id it can reach over links.
    scatters the shingles over a circle, the second, read at every shift of the circle,
    gives one coordinate a shift. Coordinates are cut into bands. Two texts at the threshold
    meet in some band but for 4 in a million such pairs (32 bands of 7, 0.85).
-2. Equal texts become one node. In every band bucket the other nodes are paired with the
-   smallest one: as many pairs as rows, never all pairs. They are confirmed on full sets.
+2. Equal texts become one node, whatever their ids. In every band bucket the other nodes are
+   paired with the smallest one: as many pairs as rows, never all pairs. They are confirmed
+   on full sets.
 3. Buckets whose nodes fell into one component are done; that is where groups of copies
    go, however large. In the others, nodes outside the bucket's largest component are
    compared with the rest of the bucket, in blocks of bounded size: within a task a sketch
    rules out far pairs, exact sets decide the near ones, and only links come out.
 
-So no link between different texts that share a bucket is lost, and no group is collected
-into one task. What several jobs read is written to the shared folder.
+So no link between different texts that share a bucket is lost, but for pairs whose sketches
+lie ``SKETCH_DEVIATIONS`` deviations below the threshold (3 of 10 million at it), and no group
+is collected into one task. Both sides of a join on a frequent key are plain reads, so that
+adaptive execution can split it. What several jobs read is written to the shared folder.
+
+A circle holds a text well while most of its places stay free. Texts of more than
+``WIDE_SHINGLES`` shingles are signed on a circle of 2 ** 64 places instead, where the second
+permutation is calculated; those near the limit are signed on both, so that any two texts
+that could be linked are signed on the same one.
 
 Defined cases: null, empty and blank texts have an empty set and are linked with nothing
-(their own component); a null id joins the component of its text, or has none and stays;
-rows that repeat an id count as one node; other columns are not read; an empty table gives
-an empty one.
+(their own component); a null id gets the smallest id of its component, or null where no
+member has one; rows that repeat an id with other texts are other nodes, each row with the
+component of its own text; other columns are not read; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -44,6 +52,7 @@ SHINGLE_WORDS = 5
 PERCENT = 85
 BANDS, ROWS_PER_BAND = 32, 7
 CIRCLE = 1 << 21
+WIDE_SHINGLES = CIRCLE // 64
 #: Blocks of a bucket hold about this many nodes and shingles at most.
 BLOCK_NODES, BLOCK_SHINGLES = 256, 200_000
 #: Pairs whose sketches agree in a share so many deviations below the threshold are not
@@ -69,6 +78,35 @@ def signature(shingles: np.ndarray, length: int) -> np.ndarray:
     return lowest
 
 
+def wide_signature(shingles: np.ndarray, length: int) -> np.ndarray:
+    """The same on a circle of 2 ** 64 places, whose second permutation is calculated."""
+    places = mixed(shingles ^ np.uint64(0x2545F4914F6CDD1D))
+    shifts = np.arange(length, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
+    lowest = np.full(length, np.iinfo(np.uint64).max)
+    for at in range(0, len(places), 1_024):
+        part = mixed(places[at: at + 1_024, None] + shifts[None, :])
+        np.minimum(lowest, part.min(axis=0), out=lowest)
+    return (lowest >> np.uint64(16)).astype(np.int64)
+
+
+def sketch_of(shingles: np.ndarray, length: int) -> bytes:
+    """A byte of every coordinate, on the circle that a text of this size belongs to."""
+    if not len(shingles):
+        return b""
+    sign = wide_signature if len(shingles) > WIDE_SHINGLES else signature
+    return sign(shingles, length).astype(np.uint8).tobytes()
+
+
+def all_bands(shingles: np.ndarray, percent: int, bands: int, rows: int) -> np.ndarray:
+    """Band keys on every circle on which a text that it may be linked with is signed."""
+    keys = []
+    if len(shingles) * percent <= WIDE_SHINGLES * 100:
+        keys.append(band_keys(signature(shingles, bands * rows), bands, rows))
+    if len(shingles) * 100 > WIDE_SHINGLES * percent:
+        keys.append(~band_keys(wide_signature(shingles, bands * rows), bands, rows))
+    return np.concatenate(keys)
+
+
 def band_keys(signed: np.ndarray, bands: int, rows: int) -> np.ndarray:
     value = np.arange(bands, dtype=np.uint64) + np.uint64(1)
     for row in signed.reshape(bands, rows).T:
@@ -80,10 +118,14 @@ def _words(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
+def _same(words: list[bytes]) -> bytes:
+    return hashlib.md5(b" ".join(words), usedforsecurity=False).digest()
+
+
 _SIGNED = pa.struct([("n", pa.int64()), ("same", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
-def _signed(text: Column, size: int, bands: int, rows: int) -> Column:
+def _signed(text: Column, percent: int, size: int, bands: int, rows: int) -> Column:
     @F.arrow_udf("n long, same binary, bands array<long>")
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
@@ -93,8 +135,8 @@ def _signed(text: Column, size: int, bands: int, rows: int) -> Column:
                 shingles = shingle_hashes(words, size)
                 counts.append(len(shingles))
                 if words:
-                    same.append(hashlib.md5(b" ".join(words), usedforsecurity=False).digest())
-                    keys.append(band_keys(signature(shingles, bands * rows), bands, rows))
+                    same.append(_same(words))
+                    keys.append(all_bands(shingles, percent, bands, rows))
                 else:
                     same.append(None)
                     keys.append(None)
@@ -107,20 +149,22 @@ def _signed(text: Column, size: int, bands: int, rows: int) -> Column:
 
 
 def _sets(text: Column, size: int, bands: int, rows: int) -> Column:
-    @F.arrow_udf("shingles array<long>, sketch binary")
+    @F.arrow_udf("node binary, shingles array<long>, sketch binary")
     def collect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            sets = [shingle_hashes(_words(x.as_py()), size) for x in batch]
-            sketches = [signature(s, bands * rows).astype(np.uint8).tobytes() if len(s) else b"" for s in sets]
+            split = [_words(x.as_py()) for x in batch]
+            sets = [shingle_hashes(words, size) for words in split]
+            sketches = [sketch_of(s, bands * rows) for s in sets]
             yield pa.StructArray.from_arrays(
-                [list_array([s.view(np.int64) for s in sets], pa.int64()), pa.array(sketches, pa.binary())],
-                names=["shingles", "sketch"],
+                [pa.array([_same(words) for words in split], pa.binary()),
+                 list_array([s.view(np.int64) for s in sets], pa.int64()), pa.array(sketches, pa.binary())],
+                names=["node", "shingles", "sketch"],
             )
 
     return collect(text)
 
 
-def _node_sets(block: pa.Scalar) -> tuple[list[int], list[int], list[np.ndarray], np.ndarray]:
+def _node_sets(block: pa.Scalar) -> tuple[list[bytes], list[bytes], list[np.ndarray], np.ndarray]:
     entries = block.values
     lists = entries.field("shingles")
     offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
@@ -136,13 +180,16 @@ def least_agreement(percent: int, length: int) -> float:
     return max(0.0, expected - SKETCH_DEVIATIONS * spread)
 
 
-def links_between(one: tuple, other: tuple, percent: int) -> list[dict[str, int]]:
-    """Links that join different components of two blocks; one link joins two components."""
+def links_between(one: tuple, other: tuple, percent: int) -> list[dict[str, bytes]]:
+    """Links that join different components of two blocks; one link joins two components.
+
+    Sketches made on different circles say nothing about each other.
+    """
     nodes, components, sets, sketches = one
     nodes_b, components_b, sets_b, sketches_b = other
     parent = {c: c for c in [*components, *components_b]}
 
-    def root(c: int) -> int:
+    def root(c: bytes) -> bytes:
         while parent[c] != c:
             parent[c] = parent[parent[c]]
             c = parent[c]
@@ -154,7 +201,8 @@ def links_between(one: tuple, other: tuple, percent: int) -> list[dict[str, int]
     for i, own in enumerate(sets):
         agree = (sketches_b == sketches[i]).sum(axis=1)
         close = 100 * np.minimum(sizes_b, len(own)) >= percent * np.maximum(sizes_b, len(own))
-        for j in np.flatnonzero((agree >= least) & close):
+        unlike = (sizes_b > WIDE_SHINGLES) != (len(own) > WIDE_SHINGLES)
+        for j in np.flatnonzero(((agree >= least) | unlike) & close):
             a, b = root(components[i]), root(components_b[j])
             if a == b:
                 continue
@@ -166,9 +214,9 @@ def links_between(one: tuple, other: tuple, percent: int) -> list[dict[str, int]
 
 
 def _block_links(one: Column, other: Column, percent: int) -> Column:
-    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+    kind = pa.list_(pa.struct([("a", pa.binary()), ("b", pa.binary())]))
 
-    @F.arrow_udf("array<struct<a:long,b:long>>")
+    @F.arrow_udf("array<struct<a:binary,b:binary>>")
     def compare(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for ones, others in batches:
             yield pa.array(
@@ -230,39 +278,55 @@ def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT,
     shingle_words: int = SHINGLE_WORDS, bands: int = BANDS, rows_per_band: int = ROWS_PER_BAND,
 ) -> DataFrame:
-    """``key, n_shingles, component_id`` for every row of ``docs``."""
+    """``key, n_shingles, component_id, text_md5, stands`` for every row of ``docs``.
+
+    ``stands`` marks the rows that stand for their component: those of its smallest id, or of
+    one of its texts if it has no id; where that id has several texts of the component, of one.
+    ``text_md5`` tells the texts of a repeated id.
+    """
     space = Workspace(docs.sparkSession, "near-duplicates")
     picked = docs.select(
         F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("t")
     )
+    text_md5 = F.md5(F.coalesce("t", F.lit(b""))).alias("text_md5")
     signs = space.staged(
-        picked.select("id", _signed(F.col("t"), shingle_words, bands, rows_per_band).alias("s"))
-        .select("id", "s.n", "s.same", "s.bands"), "signed",
+        picked.select("id", text_md5, _signed(F.col("t"), percent, shingle_words, bands, rows_per_band).alias("s"))
+        .select("id", "text_md5", "s.n", "s.same", "s.bands"), "signed",
     )
-    nodes = signs.where("same IS NOT NULL").groupBy("same").agg(
-        F.min("id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")
-    ).where("node IS NOT NULL")
+    nodes = space.staged(signs.where("same IS NOT NULL").groupBy(F.col("same").alias("node")).agg(
+        F.min("id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")
+    ), "nodes")
     keyed = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    leaders = keyed.groupBy("bucket").agg(
+    leaders = space.staged(keyed.groupBy("bucket").agg(
         F.min(F.struct("node", "n")).alias("first"), F.max("node").alias("last")
-    ).where("first.node <> last")
+    ).where("first.node <> last"), "leaders")
     members = space.staged(keyed.join(leaders, "bucket").select(
         "bucket", "node", "n", F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n")
     ), "members")
-    wanted = members.select("node").distinct()
+    wanted = space.staged(
+        nodes.select("node", "least").join(members.select("node").distinct(), "node", "left_semi"), "wanted"
+    )
+    # a text is found by the smallest id that has it; that id may have other texts too
+    texts = picked.join(wanted.select("least").distinct(), F.col("id").eqNullSafe(F.col("least")), "left_semi")
+    collected = texts.select(_sets(F.col("t"), shingle_words, bands, rows_per_band).alias("s")).select("s.*")
     sets = space.staged(
-        picked.join(wanted, F.col("id") == F.col("node"), "left_semi").dropDuplicates(["id"])
-        .select(F.col("id").alias("node"), _sets(F.col("t"), shingle_words, bands, rows_per_band).alias("s"))
-        .select("node", "s.shingles", "s.sketch"), "sets",
+        collected.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets"
     )
     links = space.staged(_leader_links(members, sets, percent), "links")
     components = connected_components(links, space)
     rest = space.staged(_rest_links(members, components, sets, percent, space), "links")
     if not rest.isEmpty():
         components = connected_components(links.unionAll(rest), space)
-    reached = nodes.select("same", "node").join(components, "node", "left").select(
-        "same", F.coalesce("component", "node").alias("reached")
-    )
-    return space.finished(signs.join(reached, "same", "left").select(
-        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("reached", "id").alias("component_id")
+    placed = space.staged(nodes.select("node", "least").join(components, "node", "left").select(
+        "node", "least", F.coalesce("component", "node").alias("component")
+    ), "placed")
+    order = F.struct(F.col("least").isNull().alias("unknown"), "least", "node")
+    smallest = space.staged(placed.groupBy("component").agg(F.min(order).alias("first")), "smallest")
+    reached = space.staged(placed.join(smallest, "component").select(
+        F.col("node").alias("same"), F.col("first.least").alias("reached"), (F.col("node") == F.col("first.node")).alias("main")
+    ), "reached")
+    component = F.coalesce("reached", "id")
+    return space.finished(signs.select("id", "text_md5", "n", "same").join(reached, "same", "left").select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), "text_md5",
+        (F.col("same").isNull() | (F.col("main") & F.col("id").eqNullSafe(component))).alias("stands"),
     ))

@@ -178,7 +178,8 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under links of 85 percent or more."""
     found = neardup.near_duplicates(_table(spark, sf_dir, "documents"))
-    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

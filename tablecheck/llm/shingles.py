@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -9,8 +11,8 @@ import xxhash
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words, repeat(seed)), np.uint64, len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

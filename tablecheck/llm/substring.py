@@ -11,7 +11,7 @@ input.
 2. Anchors are counted, combined before the shuffle; those seen twice are joined back to
    their places. Nothing is kept but places around shared anchors.
 3. From each shared anchor the match is extended to the windows that contain it: these are
-   hashed with 128 bits and counted; windows seen at two places are the repeated ones.
+   hashed with 128 bits, from two hashes of every word, and counted; windows seen at two places are the repeated ones.
 4. The texts of the documents concerned are cut and hashed again; all others pass as they
    were read.
 
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.llm.shingles import list_array, mixed, window_hashes, word_hashes
+from tablecheck.llm.shingles import list_array, window_hashes, word_hashes
 from tablecheck.llm.upkeep import Workspace, release
 
 WINDOW = 35
@@ -106,7 +106,7 @@ def _extended(text: Column, ordinals: Column, window: int) -> Column:
                 sizes.append(len(starts))
                 columns.append((
                     starts, window_hashes(hashes, window, starts).view(np.int64),
-                    window_hashes(mixed(hashes), window, starts, 0xA0761D6478BD642F).view(np.int64),
+                    window_hashes(word_hashes(words, 1), window, starts, 0xA0761D6478BD642F).view(np.int64),
                 ))
             values = [np.concatenate(c) if columns else np.zeros(0, np.int64) for c in zip(*columns)] or [[]] * 3
             flat = pa.StructArray.from_arrays([pa.array(v, pa.int64()) for v in values], fields=list(kind))
@@ -142,16 +142,19 @@ def _in_rounds(
 ) -> DataFrame:
     """``row, listed``: the places of every row whose hashes occur more than once.
 
-    Equal hashes meet in the same round. Counts are combined before the shuffle, and the
-    join back is one that adaptive execution may split where a hash is frequent.
+    Equal hashes meet in the same round. Counts are combined before the shuffle. They are
+    written before they are joined back: between two plain reads adaptive execution can
+    split a frequent hash, which it cannot above an aggregate.
     """
     spark = places.sparkSession
     found = []
     for turn in range(ROUNDS):
         own = places.where(F.pmod(F.col(hashes[0]), F.lit(ROUNDS)) == turn)
-        shared = own.groupBy(*hashes).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*hashes)
+        counted = own.groupBy(*hashes).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*hashes)
+        shared = space.staged(counted, "shared")
         held = own.join(shared, hashes).groupBy("row").agg(F.collect_set(place).alias(listed))
         found.append(space.staged(held, listed))
+        space.drop("shared")
         release(spark)
     return reduce(DataFrame.unionAll, found).groupBy("row").agg(F.flatten(F.collect_list(listed)).alias(listed))
 

@@ -156,8 +156,11 @@ def test_pipeline(spark, docs):
     """Every stage on its own input, in plain Python where a stage is not learned."""
     table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     model = language.fit_language_model(table.where(~queries.held_out()))
-    shares = language.Labeller(model).shares([t for _, t in docs])
-    left = [d for d, s in zip(docs, shares, strict=True) if s.any() and s.max() >= corpus_pipeline.LEAST_LANGUAGE_SCORE]
+    told = language.Labeller(model).described([t for _, t in docs])
+    left = [
+        d for d, row in zip(docs, told, strict=True) if row[:-1].any() and row[-1] >= corpus_pipeline.LEAST_FAMILIAR
+        and row[:-1].max() * len(model.labels) >= corpus_pipeline.LEAST_LANGUAGE_LIFT
+    ]
     assert len(left) >= 0.97 * len(docs)
     left = [d for d, c in zip(left, plain.components(left, percent=corpus_pipeline.NEAR_PERCENT), strict=True) if c == d[0]]
     split, kept = plain.without_repeats([t for _, t in left])
@@ -185,6 +188,38 @@ def test_stages_keep_columns_and_odd_rows(spark):
         assert stage(spark, empty, SF_DIR).count() == 0
 
 
+def test_language_stage_rejects_what_it_cannot_read(spark):
+    """Other scripts and mashed keys go, short clean texts stay, and lang is what was told."""
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    odd = {
+        -1: "Привет мир это обычный русский текст о погоде", -2: "Γεια σου κόσμε αυτό είναι κείμενο", -3: "日本語の文章です これは",
+        -4: "xkcd qwrtzp vbnmq jklw zxcvp qqwx", -5: "12 !! 99", -6: "the of and", -7: "das ist ein",
+    }
+    rows = spark.createDataFrame([(i, t, "fr", "s", len(t)) for i, t in odd.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    table = given.unionByName(rows.select([F.col(c).cast(t) for c, t in given.dtypes]))
+    out = corpus_pipeline.identify_language(spark, table, SF_DIR)
+    assert out.columns == table.columns
+    found = {r["doc_id"]: r["lang"] for r in out.collect()}
+    assert {i: found[i] for i in odd if i in found} == {-6: "en", -7: "de"}
+    truth = dict(plain.table(SF_DIR, "documents", "doc_id, lang"))
+    known = [i for i in found if i >= 0]
+    assert sum(found[i] == truth[i] for i in known) >= 0.98 * len(known)
+    german = corpus_pipeline.identify_language(spark, table, SF_DIR, wanted=("de",))
+    assert {r["lang"] for r in german.collect()} == {"de"}
+
+
+def test_near_dedup_stage_without_ids(spark):
+    """Near copies without an id, and an id with two texts."""
+    own = " ".join(f"a{i}" for i in range(100))
+    other = " ".join(f"b{i}" for i in range(100))
+    rows = [(None, own), (None, own + " end"), (1, own), (1, other), (3, other + " end"), (None, "alone " + " ".join(f"c{i}" for i in range(20)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(map(tuple, corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect()), key=repr)
+    assert found == sorted([(1, own), (1, other), rows[5]], key=repr)
+    lone = spark.createDataFrame(rows[:2], docs.schema)
+    assert corpus_pipeline.near_dedup(spark, lone, SF_DIR).count() == 1
+
+
 def test_near_dedup_stage_links_at_80_percent(spark):
     """Families whose members differ from the first by 80 to 85 percent, and by less than 80."""
     rows = []

@@ -293,6 +293,75 @@ def test_near_duplicates_on_odd_rows(odd, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_repeated_ids_keep_the_links_of_all_their_texts(spark):
+    other = prose(31, 200)
+    rows = [(1, COPY), (1, other), (3, other + " end"), (5, None), (None, "lonely " + prose(32, 50)), (None, "lonely " + prose(32, 50) + " end")]
+    found = neardup.near_duplicates(frame(spark, rows)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in found} == {(1, 1), (3, 1), (5, 5), (None, None)}
+    assert sum(r["stands"] for r in found if r["doc_id"] is None) == 1
+    assert sum(r["stands"] for r in found if r["doc_id"] == 1) == 2
+
+
+def test_very_long_texts_meet_only_their_copies(monkeypatch):
+    """On a circle that they fill, unrelated long texts would agree in most coordinates."""
+    rng = np.random.default_rng(3)
+    one, other = (np.unique(rng.integers(0, 1 << 63, 400_000, dtype=np.uint64)) for _ in range(2))
+    near = np.unique(np.concatenate([one[:390_000], other[:10_000]]))
+    keys = [set(neardup.all_bands(x, 85, 32, 7).tolist()) for x in (one, other, near)]
+    assert not keys[0] & keys[1] and len(keys[0] & keys[2]) > 10
+    # sizes on both sides of the limit share a circle
+    limit = neardup.WIDE_SHINGLES
+    small, large = one[: int(limit * 0.95)], one[: int(limit * 1.05)]
+    assert set(neardup.all_bands(small, 85, 32, 7).tolist()) & set(neardup.all_bands(large, 85, 32, 7).tolist())
+
+
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "40",
+}
+
+
+@pytest.fixture
+def plans(spark, monkeypatch):
+    """Final plans of all that is written, with the cluster's thresholds scaled down."""
+    from tablecheck.llm import upkeep
+
+    seen = {}
+
+    def watched(self, df, name, write=upkeep.Workspace.staged):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        seen[name] = seen.get(name, "") + plan
+        return write(self, df, name)
+
+    monkeypatch.setattr(upkeep.Workspace, "staged", watched)
+    for name, value in SPLIT.items():
+        spark.conf.set(name, value)
+    yield seen
+    for name in SPLIT:
+        spark.conf.unset(name)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_a_frequent_window_is_split(spark, plans):
+    """A third of all places hold one passage: the join back to its places is split."""
+    passage = prose(41, 60)
+    rows = [(i, f"{passage} own{i} {passage} again{i} {passage}" if i % 3 == 0 else prose(i, 120)) for i in range(240)]
+    substring.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(12))
+    assert "skew=true" in plans["starts"]
+
+
+def test_a_bucket_of_very_many_texts_is_split(spark, plans):
+    """Near copies of one text share their bands: the join with a bucket's leader is split."""
+    base = prose(42, 400).split()
+    rows = [(i, " ".join([*base, f"end{i}"])) for i in range(600)]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(12), bands=4)
+    assert found.where("component_id = 0").count() == 600
+    assert "skew=true" in plans["members"]
+
+
 def test_near_duplicates_against_brute_force(spark):
     rng = random.Random(8)
     rows = []
@@ -470,6 +539,64 @@ PAGES = [
 ]
 
 
+def plain_article(source):
+    """The blocks of a generated page's article, by cutting at its tags."""
+    import html
+    import re
+
+    article = re.search("<article>(.*?)</article>", source, re.DOTALL).group(1).replace("<br>", " ")
+    blocks = re.split(r"</?(?:p|h[1-6]|ul|li|div|table|tr|td|blockquote|pre)\b[^>]*>", article)
+    return [t for t in (" ".join(html.unescape(re.sub("<[^>]+>", "", b)).split()) for b in blocks) if t]
+
+
+@pytest.mark.parametrize("bare, precision", [(False, 1.0), (True, 0.94)])
+def test_pages_whose_article_is_not_marked(bare, precision):
+    """Given pages with their article tag, or all telling tags and classes, turned into plain divs."""
+    import re
+    from collections import Counter
+
+    tree = pages.grow_tree(pages.LABELLED_BLOCKS)
+    right = given = wanted = 0
+    for (source,) in plain.table("/root/testdata/sf0.01", "pages", "html"):
+        renamed = re.sub(r"<(/?)(article%s)\b[^>]*>" % ("|nav|footer" if bare else ""), r"<\1div>", source)
+        if bare:
+            renamed = renamed.replace(' class="ad"', "")
+        want, got = Counter(plain_article(source)), Counter(filter(None, pages.main_text(renamed, tree).split("\n")))
+        sizes = [sum(n * len(t.split()) for t, n in c.items()) for c in (want & got, got, want)]
+        right, given, wanted = right + sizes[0], given + sizes[1], wanted + sizes[2]
+    assert right / given >= precision and right / wanted >= 0.999
+
+
+def test_density_decides():
+    """The first cut is by link density, and neighbours count: no tag tells these apart."""
+    tree = pages.grow_tree(pages.LABELLED_BLOCKS)
+    assert pages.FEATURES[tree.feature] == "link_density"
+    story = "<h1>My story</h1><p>I went out today.</p><p>It rained a lot.</p>"
+    assert pages.main_text(story, tree) == "My story\nI went out today.\nIt rained a lot."
+    assert pages.main_text(f"<p>{ARTICLE}</p>", tree) == ARTICLE
+    menu = "<div><a href=x>Home</a></div><div><a href=y>News</a></div>"
+    assert pages.main_text(f"{menu}<div><h2>A heading</h2><div>{ARTICLE} {ARTICLE}</div></div>{menu}", tree) == f"A heading\n{ARTICLE} {ARTICLE}"
+
+
+def test_class_words_of_an_article():
+    tree = pages.grow_tree(pages.LABELLED_BLOCKS)
+    for name, stays in (("related-work", True), ("search-algorithms", True), ("related-posts", False), ("comment-list", False), ("sidebar-x", False)):
+        page = f"<article><p>{ARTICLE}</p><section class='{name}'><p>{ARTICLE} more</p></section><p>{ARTICLE}</p></article>"
+        assert (f"{ARTICLE} more" in pages.main_text(page, tree)) == stays, name
+
+
+@pytest.mark.parametrize("unit, n", [("<a '", 250_000), ('<a "x', 200_000), ("<button>", 125_000), ("<div>", 200_000), ("<!", 500_000),
+                                     ("<", 1_000_000), ("<a href='", 110_000), ("&", 1_000_000), ("<p class='a b'>", 70_000)])
+def test_long_broken_pages_take_no_square_of_their_length(unit, n):
+    import time
+
+    tree = pages.grow_tree(pages.LABELLED_BLOCKS)
+    page = unit * n + "</p>" * 50_000
+    began = time.process_time()
+    pages.main_text(page, tree)
+    assert time.process_time() - began < 15  # a square would take many minutes
+
+
 def test_pages_on_odd_rows(spark):
     rows = [(i, None if i == 3 else f"u{i}", source) for i, (source, _) in enumerate(PAGES)]
     df = frame(spark, rows, "page_id long, url string, html string").withColumn("text", F.lit("own"))
