@@ -6,8 +6,8 @@ columns of ``documents``, whatever further columns there are.
 
 Defined cases, beside those of the operators: texts without a letter go in the first stage
 (null and empty ones with them); where no language can be learned nothing else goes; of rows
-that repeat id and text one stays; rows with a null id are kept like others, one for each
-text; a text that is cut to nothing goes; an empty table gives no pieces.
+that repeat id and text one stays; of near copies without any id one stays; of an id with
+several texts each is decided by itself; a text that is cut to nothing goes; an empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -20,9 +20,15 @@ from pyspark.sql import functions as F
 from tablecheck.llm import decontaminate, language, neardup, packing, queries, substring
 from tablecheck.sources.scratch import staged
 
-#: A document stays when its language has this mean probability over its words. Short clean
-#: texts of few telling words reach 0.4; without any telling word the score is 1 / languages.
-LEAST_LANGUAGE_SCORE = 0.3
+#: A document stays when its language has this many times the mean probability that it would
+#: have by chance. Short clean texts of few telling words reach 1.6; without any telling word,
+#: as in an unknown script, the probability is that of chance.
+LEAST_LANGUAGE_LIFT = 1.2
+#: And when so many of its words' features are ones the model has learned: 0.8 and more in
+#: clean texts, however short; half by chance in scripts it never saw, 0.65 in mashed keys.
+LEAST_FAMILIAR = 0.7
+#: Languages to keep; None keeps all that can be learned.
+WANTED_LANGUAGES: tuple[str, ...] | None = None
 
 #: Texts are near copies when their word shingles overlap in this percentage of their union
 #: or more. Of pairs at 80 percent, 40 bands of 6 miss 5 in a million.
@@ -30,13 +36,20 @@ NEAR_PERCENT = 80
 NEAR_BANDS, NEAR_ROWS_PER_BAND = 40, 6
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with enough confidence."""
+def identify_language(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, wanted: tuple[str, ...] | None = WANTED_LANGUAGES
+) -> DataFrame:
+    """Documents whose language is told with enough confidence, and is wanted; the prediction
+    becomes their ``lang``."""
     model = language.fit_language_model(docs.where(~queries.held_out()))
     if not model.labels:
         return docs.where(F.col("text").rlike("\\p{L}"))
-    answer = language.language_column(model, F.col("text"), docs)
-    return docs.where(answer["score"] >= LEAST_LANGUAGE_SCORE)
+    [own] = _unused(docs, "told")
+    told = docs.withColumn(own, language.language_column(model, F.col("text"), docs))
+    sure = F.col(own)["score"] * len(model.labels) >= (LEAST_LANGUAGE_LIFT if len(model.labels) > 1 else 1.0)
+    right = F.col(own)["language"].isin(list(wanted)) if wanted is not None else F.lit(True)
+    stays = told.where((F.col(own)["score"] > 0) & sure & right & (F.col(own)["familiar"] >= LEAST_FAMILIAR))
+    return stays.withColumn("lang", F.col(own)["language"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _same_text() -> Column:
@@ -56,13 +69,15 @@ def _unused(docs: DataFrame, *names: str) -> list[str]:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near copies."""
-    own, same = _unused(docs, "kept_id", "same_text")
+    own, own_same, same = _unused(docs, "kept_id", "kept_same", "same_text")
     found = neardup.near_duplicates(
         docs.select("doc_id", "text"), percent=NEAR_PERCENT, bands=NEAR_BANDS, rows_per_band=NEAR_ROWS_PER_BAND
     )
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(own)).distinct()
-    stays = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")
-    return stays.withColumn(same, _same_text()).dropDuplicates(["doc_id", same]).drop(same)
+    kept = found.where("stands").select(F.col("doc_id").alias(own), F.col("text_md5").alias(own_same)).distinct()
+    stays = docs.withColumn(same, _same_text()).join(
+        kept, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(same) == F.col(own_same)), "left_semi"
+    )
+    return stays.dropDuplicates(["doc_id", same]).drop(same)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
