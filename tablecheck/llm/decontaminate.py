@@ -2,12 +2,14 @@
 
 The index holds the test items; the passages of the training texts are the queries, cut as
 overlapping windows wide enough to hold any item whole. An item's score for a passage is
-BM25 over their common words, divided by the item's score for itself, so one threshold
-serves items of any length. All items at or above it are retrieved:
-
-1. Each item's rarest words, together more than ``1 - threshold`` of its score, have their
-   own essential posting lists. A passage can reach the threshold only if what it finds
-   there plus the item's whole remainder does; this is summed for all passages at once.
+BM25 over their common words, divided by the least score with which the item can still count
+as a leak: its score for itself without the best words of the shingles that may be missing
+(``least_share``). So one threshold, 1, serves all items, and no leak lies below it. All items
+at or above it are retrieved:
+
+1. Each item's rarest words, together more than what may be missing of its score, have
+   their own essential posting lists. A passage can reach the threshold only if what it
+   finds there plus the item's whole remainder does; this is summed for all passages at once.
 2. Passages that pass are run through block-max WAND over the full lists: the pivot rule
    on list maxima, then on block maxima, then the exact score.
 
@@ -40,7 +42,10 @@ from pyspark.sql import functions as F
 from tablecheck.llm.shingles import plain_words, shingle_hashes, shingle_sequence
 from tablecheck.sources.scratch import staged
 
-THRESHOLD = 0.6
+#: In shares of the least score of a leak.
+THRESHOLD = 1.0
+#: Items that could lose nearly all their score are asked for from this share of it on.
+LEAST_SHARE = 0.02
 SHINGLE_WORDS = 5
 OVERLAP, PART_OVERLAP = 0.8, 0.5
 K1, B = 1.2, 0.75
@@ -122,17 +127,33 @@ class ItemIndex:
     items: np.ndarray
     shares: np.ndarray
     remainder: np.ndarray
+    kept: np.ndarray  # the share of its score that is 1 here
     stride: int
 
 
+def least_share(words: Sequence[bytes], shares: dict[bytes, float], overlap: float, size: int = SHINGLE_WORDS) -> float:
+    """A share of its score that an item keeps as long as ``overlap`` of its shingles stand.
+
+    Whatever words go, at least as many of its shingles go with them; so no more is lost than
+    the best words in as many places as shingles may be missing, a word's share being spread
+    over its places.
+    """
+    places = max(1, len(words) - size + 1)
+    distinct = len({tuple(words[i: i + size]) for i in range(places)})
+    missing = places - math.ceil(overlap * distinct - 1e-9)
+    often = Counter(words)
+    lost = sum(sorted((shares[w] / often[w] for w in words), reverse=True)[:missing])
+    return max(LEAST_SHARE, 1 - lost)
+
+
 def build_index(
     items: Sequence[tuple[int, list[bytes], int]], frequency: dict[bytes, int], n_items: int, mean_words: float,
-    threshold: float = THRESHOLD,
+    overlap: float = OVERLAP,
 ) -> ItemIndex:
     """Index of ``(id, words, words in the question)`` under the statistics of all items."""
     postings: dict[bytes, list[tuple[int, float]]] = {}
     essential: dict[bytes, list[tuple[int, float]]] = {}
-    remainder = np.ones(len(items))
+    remainder, kept = np.ones(len(items)), np.ones(len(items))
     parts = []
     for number, (_, words, n_question) in enumerate(items):
         damping = K1 * (1 - B + B * len(words) / mean_words)
@@ -141,14 +162,16 @@ def build_index(
             rarity = math.log(1 + (n_items - frequency[word] + 0.5) / (frequency[word] + 0.5))
             shares[word] = rarity * n * (K1 + 1) / (n + damping)
         whole = sum(shares.values())
+        shares = {word: share / whole for word, share in shares.items()}
+        least = kept[number] = least_share(words, shares, overlap)
         own = 0.0
         for word in sorted(shares, key=lambda w: (frequency[w], -shares[w], w)):
-            share = shares[word] / whole
-            postings.setdefault(word, []).append((number, share))
-            if own < max(ESSENTIAL_SHARE, 1 - threshold + 0.05):
-                essential.setdefault(word, []).append((number, share))
+            share = shares[word]
+            postings.setdefault(word, []).append((number, share / least))
+            if own < max(ESSENTIAL_SHARE, 1 - least + 0.05):
+                essential.setdefault(word, []).append((number, share / least))
                 own += share
-        remainder[number] = 1 - own
+        remainder[number] = (1 - own) / least
         size = min(SHINGLE_WORDS, len(words))
         runs = shingle_sequence(words, size)
         parts.append((size, *map(np.unique, (runs, runs[:n_question], runs[max(0, n_question - size + 1):]))))
@@ -159,7 +182,7 @@ def build_index(
         lists={w: Postings([i for i, _ in p], [s for _, s in p]) for w, p in postings.items()},
         essential=numbers, starts=np.cumsum([0, *(len(essential[w]) for w in numbers)]),
         items=np.array([i for i, _ in flat], np.int64), shares=np.array([s for _, s in flat]),
-        remainder=remainder, stride=max([8, *(math.ceil(1.25 * len(w)) for _, w, _ in items)]),
+        remainder=remainder, kept=kept, stride=max([8, *(math.ceil(1.25 * len(w)) for _, w, _ in items)]),
     )
 
 
@@ -205,6 +228,7 @@ def find_leaks(
         lists = [index.lists[w] for w in set(words[first: first + 2 * index.stride]) if w in index.lists]
         for number, score in block_max_wand(lists, threshold):
             known = best[text].get(number)
+            score *= index.kept[number]
             if known and known["score"] >= score:
                 continue
             size, *own = index.parts[number]
@@ -213,7 +237,7 @@ def find_leaks(
             whole, question, answer = (_share(part, there) for part in own)
             if whole >= overlap and min(question, answer) >= part_overlap:
                 best[text][number] = {
-                    "item_id": index.ids[number], "start": first, "score": score, "overlap": whole,
+                    "item_id": index.ids[number], "start": first, "score": float(score), "overlap": whole,
                     "question": question, "answer": answer,
                 }
     return [[found[n] for n in sorted(found)] for found in best]
@@ -237,7 +261,7 @@ def _words(text: Column) -> Column:
 
 def leak_indexes(
     items: DataFrame, key: str = "item_id", text: str = "text", answer: str | None = None,
-    threshold: float = THRESHOLD, part_bytes: int = PART_BYTES,
+    overlap: float = OVERLAP, part_bytes: int = PART_BYTES,
 ) -> Iterator[ItemIndex]:
     """The index of the test items, in parts of bounded size."""
     asked = F.col(f"`{text}`")
@@ -267,13 +291,12 @@ def leak_indexes(
         counts = {bytes(r["word"]): r["n"] for r in frequency.join(wanted, "word").collect()}
         yield build_index(
             [(None if gone else i, words, n if answer else (len(words) + 1) // 2) for gone, i, words, n in held],
-            counts, facts["n"], facts["mean"], threshold,
+            counts, facts["n"], facts["mean"], overlap,
         )
 
 
 def leaks_column(
-    index: ItemIndex, text: Column, docs: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP,
-    part_overlap: float = PART_OVERLAP,
+    index: ItemIndex, text: Column, docs: DataFrame, overlap: float = OVERLAP, part_overlap: float = PART_OVERLAP,
 ) -> Column:
     """The items of one index part that a text column of ``docs`` leaks, as an array."""
     shipped = docs.sparkSession.sparkContext.broadcast(index)
@@ -286,9 +309,9 @@ def leaks_column(
                 held.append(plain_words(content.as_py()))
                 n_held += len(held[-1])
                 if n_held >= WORDS_AT_ONCE:
-                    found += find_leaks(shipped.value, held, threshold, overlap, part_overlap)
+                    found += find_leaks(shipped.value, held, THRESHOLD, overlap, part_overlap)
                     held, n_held = [], 0
-            found += find_leaks(shipped.value, held, threshold, overlap, part_overlap) if held else []
+            found += find_leaks(shipped.value, held, THRESHOLD, overlap, part_overlap) if held else []
             yield pa.array(found, type=pa.list_(_LEAK))
 
     return scan(text.cast("string").cast("binary"))
@@ -296,15 +319,15 @@ def leaks_column(
 
 def benchmark_leaks(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
-    item_text: str = "text", item_answer: str | None = None, threshold: float = THRESHOLD,
-    overlap: float = OVERLAP, part_overlap: float = PART_OVERLAP,
+    item_text: str = "text", item_answer: str | None = None, overlap: float = OVERLAP,
+    part_overlap: float = PART_OVERLAP,
 ) -> DataFrame:
     """``key, item_id, start, score, overlap, question, answer``: one row for each item a row of
     ``docs`` leaks, with the word its best passage starts at."""
     picked = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     found = None
-    for index in leak_indexes(items, item_key, item_text, item_answer, threshold):
-        leaks = leaks_column(index, F.col("t"), docs, threshold, overlap, part_overlap)
+    for index in leak_indexes(items, item_key, item_text, item_answer, overlap):
+        leaks = leaks_column(index, F.col("t"), docs, overlap, part_overlap)
         part = picked.select("k", F.explode(leaks).alias("leak")).select(F.col("k").alias(key), "leak.*")
         found = part if found is None else found.unionAll(part)
     if found is not None:

@@ -440,6 +440,27 @@ def test_leaks_do_not_depend_on_index_parts(spark):
     assert sorted(pairs) == sorted(plain.leaks(docs, items))
 
 
+def test_edited_leaks_of_items_that_share_a_template(spark):
+    """30 words in common, 10 of their own, of which up to 7 changed: every leak that keeps 0.8
+    of an item's shingles is found, wherever its words were changed, and nothing else."""
+    rng = random.Random(12)
+    template = [f"t{i}" for i in range(30)]
+    items = [(i, " ".join([*template, *(f"i{i}x{k}" for k in range(10))])) for i in range(300)]
+    rows = []
+    for i, text in items:
+        words = text.split()
+        changed = rng.randint(0, 9)
+        places = range(40 - changed, 40) if i % 2 else rng.sample(range(40), min(changed, 2))
+        for at in places:
+            words[at] = f"other{i}x{at}"
+        rows.append((i, " ".join(["before it", prose(i, 30), *words, prose(i + 1, 30)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.benchmark_leaks(docs, bench, part_overlap=0.0).collect()}
+    expected = plain.leaks(rows, items)
+    assert len(expected) > 150 and found == expected
+
+
 def test_block_max_wand_returns_all_above_the_threshold(monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK", 4)
     rng = random.Random(6)
