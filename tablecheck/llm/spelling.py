@@ -41,15 +41,22 @@ LEAST_LENGTH, LEAST_COUNT = 7, 2
 RATIO = 10
 #: One run in so many, told by its checksum, loses a letter.
 SLIP_EVERY = 31
-BLOCK_WORDS = 512
-MAX_CLASSES = 12
+BLOCK_WORDS = 1_024
+#: Words for which one class of letters will do; each further class will do for three times as many.
+CLASS_WORDS = 6_000
+MAX_CLASSES = 16
 #: Words a task counts before it hands them over.
 MAX_COUNTED = 400_000
 
 #: Letters by falling frequency in European prose; dealt out to classes in turn.
 LETTERS = "etaoinsrhldcumfpgwybvkxjqz"
 _FIRST, _LAST = 0xC0, 0xFF
-DIMENSIONS = 26 + _LAST - _FIRST + 1
+#: A letter's code is its place in here; codes fit a byte.
+ALPHABET = np.array([*range(97, 123), *range(_FIRST, _LAST + 1)], "<u4")
+#: Counted apart: the 26 plain letters, and the accented ones in six groups. An edit moves such
+#: counts no further than it moves those of single letters.
+DIMENSIONS = 32
+_DIMENSION = np.array([*range(26), *(26 + i % 6 for i in range(_LAST - _FIRST + 1))], np.int64)
 
 
 def slipped(run: str, start: int, every: int = SLIP_EVERY) -> str:
@@ -90,7 +97,7 @@ def _counted(docs: DataFrame, least_length: int, every: int) -> DataFrame:
 def classes_for(n_words: int) -> int:
     """More classes for more words: each multiplies the blocks by about three."""
     classes = 1
-    while classes < MAX_CLASSES and n_words > 8 * BLOCK_WORDS * 3 ** (classes - 1):
+    while classes < MAX_CLASSES and n_words > CLASS_WORDS * 3 ** (classes - 1):
         classes += 1
     return classes
 
@@ -120,30 +127,43 @@ def _adjacent(classes: int) -> list[list[int]]:
     return [list(map(int, x)) for x in sorted(longer) + sorted(s for s in same if s >= (0,) * classes)]
 
 
-_WORDS = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+def _packed(words: Column) -> Column:
+    """The words of a slot, all of one length, as letter codes, and their counts: two byte strings."""
+    code = np.zeros(_LAST + 1, np.uint8)
+    code[ALPHABET] = np.arange(len(ALPHABET))
 
+    @F.arrow_udf("codes binary, counts binary")
+    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            codes, counts = [], []
+            for slot in batch:
+                text = "".join(slot.values.field("word").to_pylist())
+                codes.append(code[np.frombuffer(text.encode("utf-32-le"), "<u4")].tobytes())
+                counts.append(slot.values.field("n").to_numpy().astype("<i8").tobytes())
+            yield pa.StructArray.from_arrays(
+                [pa.array(codes, pa.binary()), pa.array(counts, pa.binary())], names=["codes", "counts"]
+            )
 
-def _letters(words: list[str]) -> np.ndarray:
-    """Code points, one row a word; all words have one length."""
-    return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1)
+    return pack(words)
 
 
-def _counts(letters: np.ndarray) -> np.ndarray:
+def _counts(codes: np.ndarray) -> np.ndarray:
     """Letter counts, one row a word."""
-    index = np.where(letters < 128, letters - 97, letters - _FIRST + 26).astype(np.int64)
-    rows = np.arange(len(letters))[:, None] * DIMENSIONS
-    counted = np.bincount((rows + index).ravel(), minlength=len(letters) * DIMENSIONS)
-    return counted.reshape(len(letters), DIMENSIONS).astype(np.float32)
-
-
-def near_pairs(one: list[str], other: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the near words of two lists; words of a list have one length, ``other``'s
-    are as long or one letter longer."""
-    a, b = _letters(one), _letters(other)
-    x, y = _counts(a), _counts(b)
-    squared = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2 * (x @ y.T)
-    i, j = np.nonzero(squared < 2.5)
-    a, b = a[i], b[j]
+    rows = np.arange(len(codes))[:, None] * DIMENSIONS
+    counted = np.bincount((rows + _DIMENSION[codes]).ravel(), minlength=len(codes) * DIMENSIONS)
+    # squares and products stay exact: below 2 ** 24 in single precision, 2 ** 53 in double
+    return counted.reshape(len(codes), DIMENSIONS).astype(np.float32 if codes.shape[1] < 1_000 else np.float64)
+
+
+def near_pairs(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the near words of two blocks of letter codes, one row a word; words of
+    ``other`` are as long as those of ``one`` or one letter longer."""
+    x, y = _counts(one), _counts(other)
+    # the product of the widened rows is |x|^2 + |y|^2 - 2 x.y; all are small whole numbers
+    wide_x = np.hstack([-2 * x, (x * x).sum(axis=1)[:, None], np.ones((len(x), 1), x.dtype)])
+    wide_y = np.hstack([y, np.ones((len(y), 1), y.dtype), (y * y).sum(axis=1)[:, None]])
+    i, j = np.divmod(np.flatnonzero(wide_x @ wide_y.T < 2.5), len(y))
+    a, b = one[i], other[j]
     if a.shape[1] == b.shape[1]:
         edited = (a != b).sum(axis=1) == 1
     else:
@@ -154,25 +174,26 @@ def near_pairs(one: list[str], other: list[str]) -> tuple[np.ndarray, np.ndarray
     return i[edited], j[edited]
 
 
-_PAIRS = pa.list_(pa.struct([("a", pa.string()), ("na", pa.int64()), ("b", pa.string()), ("nb", pa.int64())]))
-
+def _spelled(codes: np.ndarray) -> list[str]:
+    text, length = ALPHABET[codes].tobytes().decode("utf-32-le"), codes.shape[1]
+    return [text[at: at + length] for at in range(0, len(text), length)]
 
-def _met(one: Column, other: Column, itself: Column) -> Column:
-    @F.arrow_udf("array<struct<a:string,na:long,b:string,nb:long>>")
-    def compare(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for ones, others, same in batches:
-            found = []
-            for x, y, twice in zip(ones, others, same):
-                words, counts = (x.values.field(f).to_pylist() for f in ("word", "n"))
-                words_b, counts_b = (y.values.field(f).to_pylist() for f in ("word", "n"))
-                pairs = zip(*(side.tolist() for side in near_pairs(words, words_b)))
-                found.append([
-                    {"a": words[i], "na": counts[i], "b": words_b[j], "nb": counts_b[j]}
-                    for i, j in pairs if not twice.as_py() or i < j
-                ])
-            yield pa.array(found, type=_PAIRS)
 
-    return compare(one, other, itself)
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The near words of each two slots that meet."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            length, longer, itself, codes, counts, codes_b, counts_b = (c[at].as_py() for c in batch.columns)
+            one = np.frombuffer(codes, np.uint8).reshape(-1, length)
+            other = np.frombuffer(codes_b, np.uint8).reshape(-1, longer)
+            i, j = near_pairs(one, other)
+            if itself:
+                i, j = i[i < j], j[i < j]
+            if len(i):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(_spelled(one[i]), pa.string()), pa.array(np.frombuffer(counts, "<i8")[i]),
+                    pa.array(_spelled(other[j]), pa.string()), pa.array(np.frombuffer(counts_b, "<i8")[j]),
+                ], names=["a", "na", "b", "nb"])
 
 
 def _pairs(words: DataFrame, n_words: int, space: Workspace) -> DataFrame:
@@ -183,7 +204,9 @@ def _pairs(words: DataFrame, n_words: int, space: Workspace) -> DataFrame:
     ), "sizes")
     slots = space.staged(
         keyed.join(sizes, "block").withColumn("slot", F.pmod(F.xxhash64("word"), F.col("slots")).cast("int"))
-        .groupBy("block", "slot").agg(F.collect_list(F.struct("word", "n")).alias("held")), "slots",
+        .groupBy("block", "slot").agg(F.collect_list(F.struct("word", "n")).alias("held"))
+        .select("block", "slot", _packed(F.col("held")).alias("p")).select("block", "slot", "p.codes", "p.counts"),
+        "slots",
     )
     steps = F.explode(F.array(*[F.array(*map(F.lit, step)) for step in _adjacent(classes)]))
     meets = (
@@ -194,12 +217,13 @@ def _pairs(words: DataFrame, n_words: int, space: Workspace) -> DataFrame:
         .select("block", "other", "slot", F.explode(F.sequence(F.lit(0), F.col("other_slots") - 1)).alias("other_slot"))
         .where("block <> other OR slot <= other_slot")
     )
-    held = slots.select("block", "slot", F.col("held").alias("own"))
-    meeting = meets.join(held, ["block", "slot"]).join(
-        slots.select(F.col("block").alias("other"), F.col("slot").alias("other_slot"), "held"), ["other", "other_slot"]
-    )
+    other = slots.select(*[F.col(c).alias(f"other_{c}" if c != "block" else "other") for c in slots.columns])
     itself = (F.col("block") == F.col("other")) & (F.col("slot") == F.col("other_slot"))
-    return meeting.select(F.explode(_met(F.col("own"), F.col("held"), itself)).alias("p")).select("p.*")
+    meeting = meets.join(slots, ["block", "slot"]).join(other, ["other", "other_slot"]).select(
+        F.col("block")[0].alias("length"), F.col("other")[0].alias("longer"), itself.alias("itself"),
+        "codes", "counts", "other_codes", "other_counts",
+    )
+    return meeting.mapInArrow(_met, "a string, na long, b string, nb long")
 
 
 def _followed(forms: DataFrame, space: Workspace) -> DataFrame:
