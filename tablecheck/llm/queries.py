@@ -234,6 +234,42 @@ reached AS (SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, l.b FRO
 SELECT doc_id, n AS n_shingles, c AS component_id, doc_id = c AS kept
 FROM sizes JOIN (SELECT a, min(b) AS c FROM reached GROUP BY a) least ON least.a = doc_id"""
 
+# The checksum bit by bit, over the bytes of the UTF-8 text.
+_CRC_BYTES = "list_transform(range(0, length(hex(t)) // 2), lambda i: CAST('0x' || substr(hex(t), 2 * i + 1, 2) AS BIGINT))"
+_CRC_STEP = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+_CRC = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {_CRC_BYTES}), lambda c, b: {_CRC_STEP}), 4294967295)"
+
+_OP13 = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-zÀ-ÿ]{{{spelling.LEAST_LENGTH},}}')) AS run FROM documents),
+counted AS (SELECT run, id || ':' || run AS t, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (SELECT run, n, {_CRC} AS h FROM counted),
+slips AS (
+  SELECT n, CASE WHEN h % {spelling.SLIP_EVERY} <> 0 THEN run
+    ELSE substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) END AS word FROM hashed),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slips WHERE length(word) >= {spelling.LEAST_LENGTH}
+  GROUP BY word HAVING sum(n) >= {spelling.LEAST_COUNT}),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+cuts AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM words a JOIN cuts b ON a.word = b.rest
+  UNION SELECT b.word, a.word, a.n FROM words a JOIN cuts b ON a.word = b.rest),
+first AS (
+  SELECT word, other, m, count(*) OVER (PARTITION BY word) AS n_near FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY m DESC, other) = 1),
+known AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= {spelling.RATIO} * n THEN other END AS form,
+    CASE WHEN m >= {spelling.RATIO} * n THEN m END AS form_n FROM words LEFT JOIN first USING (word)),
+followed AS (
+  SELECT word, form AS root FROM known WHERE form IS NOT NULL
+  UNION SELECT f.word, k.form FROM followed f JOIN known k ON f.root = k.word WHERE k.form IS NOT NULL),
+ends AS (SELECT f.word, f.root FROM followed f JOIN known k ON f.root = k.word WHERE k.form IS NULL)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM known LEFT JOIN ends USING (word)"""
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_balanced_sharding": op2_balanced_sharding,
@@ -254,4 +290,5 @@ ORACLES = {
     "op5_substring_dedup": _OP5,
     "op6_quality_rules": _OP6,
     "op10_minhash_near_dedup": _OP10,
+    "op13_spelling_variants": _OP13,
 }

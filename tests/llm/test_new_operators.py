@@ -8,7 +8,6 @@ import re
 import zlib
 from collections import Counter
 
-import duckdb
 import numpy as np
 import plain
 import public_tokenizers
@@ -306,12 +305,11 @@ def test_near_words_meet_in_adjacent_blocks(spark, monkeypatch, classes):
     assert {(r["word"], r["n_near"]) for r in found} == {(w, len(edits(w, "abté") & words)) for w in words}
 
 
-def test_spelling_sql(spark):
-    if "op13_spelling_variants" not in queries.ORACLES:
-        pytest.skip("no SQL")
-    connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
-    result = connection.execute(queries.ORACLES["op13_spelling_variants"])
-    frame = queries.QUERIES["op13_spelling_variants"](spark, SF_DIR)
-    order = [[d[0] for d in result.description].index(c) for c in frame.columns]
-    assert sorted(map(tuple, frame.collect()), key=repr) == sorted((tuple(r[i] for i in order) for r in result.fetchall()), key=repr)
+@pytest.mark.parametrize("length", [7, 999, 30_000])
+def test_very_long_words_are_counted_exactly(length):
+    whole = np.zeros((3, length), np.uint8)
+    whole[1, length // 2], whole[2, :2] = 5, 7
+    longer = np.zeros((2, length + 1), np.uint8)
+    longer[1, 3] = 5
+    assert list(zip(*spelling.near_pairs(whole, whole))) == [(0, 1), (1, 0)]
+    assert set(zip(*spelling.near_pairs(whole, longer))) == {(0, 0), (0, 1), *([(1, 1)] if length // 2 in (2, 3) else [])}
