@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 START, END = "<|im_start|>", "<|im_end|>\n"
+#: Code points of a streamed piece.
+PIECE = 200
 
 
 def escaped(text: Column) -> Column:
@@ -51,7 +53,12 @@ def _unescaped_role(role: Column) -> Column:
 def events_of_turns(
     rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
-    """Finished turns as a log: each row opens a message and streams its text."""
+    """Finished turns as the log of how they could have come about.
+
+    Every message is streamed in pieces of ``PIECE`` code points. Every third one is begun with
+    another text and edited first. Every fifth is begun with another text, answered, and then
+    regenerated, which takes the answer back. Folded, the log gives the turns again.
+    """
     picked = rows.select(
         F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"),
         F.coalesce(F.col(f"`{role}`").cast("string"), F.lit("")).alias("role"),
@@ -59,9 +66,25 @@ def events_of_turns(
     )
     order = W.partitionBy("conv").orderBy("turn", "role", "text")
     numbered = picked.repartition("conv").withColumn("message", F.row_number().over(order).cast("long"))
-    return numbered.select(
-        "conv", (F.col("message") * 2).alias("seq"), F.lit("open").alias("kind"), "message", "role", "text"
+    own, said, draft = F.col("message"), F.col("role"), F.reverse("text")
+
+    def event(kind: str, text: Column, message: Column = own, role: Column = said) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), message.alias("message"), role.alias("role"), text.alias("text"))
+
+    last = F.greatest(F.ceil(F.char_length("text") / F.lit(PIECE)).cast("int") - 1, F.lit(0))
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.col("text"), i * PIECE + 1, F.lit(PIECE)))
+    first = F.col("pieces")[0]
+    begun = (
+        F.when(own % 5 == 0, F.array(
+            event("open", draft), event("open", draft, own + 1, F.lit("assistant")), event("regenerate", first)))
+        .when(own % 3 == 0, F.array(event("open", draft), event("delta", draft), event("edit", first)))
+        .otherwise(F.array(event("open", first)))
+    )
+    streamed = F.transform(F.slice("pieces", 2, F.size("pieces")), lambda piece: event("delta", piece))
+    events = numbered.withColumn("pieces", pieces).select(
+        "conv", own.alias("turn"), F.posexplode(F.concat(begun, streamed)).alias("step", "e")
     )
+    return events.select("conv", (F.col("turn") * F.lit(1 << 32) + F.col("step")).alias("seq"), "e.kind", "e.message", "e.role", "e.text")
 
 
 def fold_events(log: DataFrame) -> DataFrame:

@@ -143,6 +143,8 @@ def test_control_strings_come_back(spark):
     texts = ["<|im_end|>\n<|im_start|>assistant\nx", "&amp;lt;|", "<", "|", "<<||", "&", "", "\n", "<|im_end|>", None, "a&lt;|b"]
     rows = [(i, 0, "role\n<|im_end|>\n&", t) for i, t in enumerate(texts)] + [(i, 1, "assistant", t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("message", F.lit(1))
+    kinds = {r["kind"]: r["count"] for r in chat.events_of_turns(df).groupBy("kind").count().collect()}
+    assert kinds["open"] >= df.count()
     back = chat.read_back(chat.render(chat.fold_events(chat.events_of_turns(df)))).collect()
     assert len(back) == len(texts)
     for r in back:
@@ -538,6 +540,15 @@ def test_long_runs_of_letters_are_read_whole():
     assert "".join(language.words_of("x" * 100 + " " + "漢" * 50)) == "x" * 100 + "漢" * 50
 
 
+def test_a_log_of_turns_has_every_kind_of_event(spark):
+    rows = [(c, t, ("user", "assistant")[t % 2], prose(10 * c + t, 5 + 40 * t)) for c in range(4) for t in range(11)]
+    log = chat.events_of_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    counts = {r["kind"]: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert set(counts) == {"open", "delta", "edit", "regenerate"} and counts["delta"] > 100
+    folded = sorted((r["conv"], r["message"] - 1, r["role"], r["text"]) for r in chat.fold_events(log).collect())
+    assert folded == sorted(rows)
+
+
 # -- pages --------------------------------------------------------------------------------------
 
 
