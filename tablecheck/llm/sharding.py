@@ -12,8 +12,8 @@ than its even share at most; documents larger than that are the exception.
    the shard that holds most of it and has room.
 3. Moves obey quotas: what a shard holds and takes, less what leaves it, stays within its
    capacity. Moves are decided by hash buckets of whole groups, other ones each round; a
-   bucket that does not fit is skipped. Rounds are written to the shared folder and end when
-   nothing moves, or after ``ROUNDS``.
+   bucket that does not fit is skipped. A move makes its groups whole, so each moves once at
+   most; rounds are written to the shared folder and end when nothing moves.
 4. Groups that are cut even then go whole where room is left, and so do documents without
    links. Those larger than ``1 / FINE`` of a shard are dealt out largest first; the others
    by running sums of their bytes, summed by hash bucket first.
@@ -30,7 +30,7 @@ an empty one; other columns are not read.
 from __future__ import annotations
 
 import heapq
-from itertools import accumulate
+from itertools import accumulate, count
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -40,14 +40,19 @@ from pyspark.sql.window import Window as W
 from tablecheck.sources.scratch import staged
 
 SHARDS = 24
-ROUNDS = 8
 FINE = 64
-BUCKETS = 1024
+#: Hash buckets in which rows are numbered: so many at least, and more so that a bucket has
+#: about ``BUCKET_ROWS`` at most.
+BUCKETS, BUCKET_ROWS = 1024, 1_000_000
 #: Hash buckets of the groups that want to one shard.
 TURNS = 128
 
 
-def _bucket(value: Column, salt: str, buckets: int = BUCKETS) -> Column:
+def buckets_for(rows: int) -> int:
+    return max(BUCKETS, -(-rows // BUCKET_ROWS))
+
+
+def _bucket(value: Column, salt: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(salt), value), F.lit(buckets)).cast("int")
 
 
@@ -76,29 +81,29 @@ def homes(groups: list[tuple[str, int, int]], shards: int, capacity: float) -> d
     return found
 
 
-def _placed_groups(hot: DataFrame, found: dict[str, list[tuple[int, int]]]) -> DataFrame:
+def _placed_groups(hot: DataFrame, found: dict[str, list[tuple[int, int]]], buckets: int) -> DataFrame:
     """Documents of large groups on the shards that ``homes`` gave them."""
     spark = hot.sparkSession
     whole = spark.createDataFrame([(g, p[0][0]) for g, p in found.items() if len(p) == 1], "group string, shard int")
-    placed = hot.join(F.broadcast(whole), "group")
+    placed = hot.join(whole, "group")
     split = {g: p for g, p in found.items() if len(p) > 1}
     if not split:
         return placed
     names = spark.createDataFrame([(g,) for g in split], "group string")
     cut = staged(
-        hot.join(F.broadcast(names), "group").withColumn("bucket", _bucket(F.col("row"), "piece")), "split"
+        hot.join(names, "group").withColumn("bucket", _bucket(F.col("row"), "piece", buckets)), "split"
     )
     counts = {(r["group"], r["bucket"]): r["n"] for r in
               cut.groupBy("group", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets = []
     for g, pieces in split.items():
-        before = [0, *accumulate(counts.get((g, b), 0) for b in range(BUCKETS))][:-1]
+        before = [0, *accumulate(counts.get((g, b), 0) for b in range(buckets))][:-1]
         ends, targets = list(accumulate(k for _, k in pieces)), [s for s, _ in pieces]
         offsets += [(g, b, n, ends, targets) for b, n in enumerate(before) if (g, b) in counts]
     # a hash bucket of a group that no shard can hold; there are few such groups
     held = spark.createDataFrame(offsets, "group string, bucket int, before long, ends array<long>, targets array<int>")
     order = W.partitionBy("group", "bucket").orderBy("order", "row")
-    numbered = cut.withColumn("place", F.row_number().over(order)).join(F.broadcast(held), ["group", "bucket"])
+    numbered = cut.withColumn("place", F.row_number().over(order)).join(held, ["group", "bucket"])
     passed = F.size(F.filter("ends", lambda end: end < F.col("before") + F.col("place")))
     return placed.unionByName(
         numbered.withColumn("shard", F.element_at("targets", passed + 1))
@@ -127,10 +132,10 @@ def admitted(wishes: np.ndarray, loads: np.ndarray, capacity: float) -> np.ndarr
                 room -= sizes[turn] * taken[s, turn]
 
 
-def _propagated(linked: DataFrame, shards: int, capacity: float, rounds: int, fixed: list[int]) -> DataFrame:
+def _propagated(linked: DataFrame, shards: int, capacity: float, fixed: list[int]) -> DataFrame:
     """``linked`` (``row, group, size, shard, ...``) after propagation; ``fixed`` bytes are there before."""
     linked = staged(linked, "linked")
-    for number in range(rounds):
+    for number in count():
         cells = staged(linked.groupBy("group", "shard").agg(F.sum("size").alias("held")), "cells")
         loads = np.array(fixed, np.int64)
         for r in cells.groupBy("shard").agg(F.sum("held").alias("held")).collect():
@@ -169,7 +174,7 @@ def _loads(placed: DataFrame, shards: int) -> list[int]:
     return [held.get(s, 0) for s in range(shards)]
 
 
-def _gathered(linked: DataFrame, fixed: list[int], total: int) -> DataFrame:
+def _gathered(linked: DataFrame, fixed: list[int], total: int, buckets: int) -> DataFrame:
     """``linked`` with every group that is still cut placed whole where room is left."""
     cut = staged(linked.groupBy("group").agg(
         F.min("shard").alias("first"), F.max("shard").alias("last"), F.sum("size").alias("size"),
@@ -178,14 +183,14 @@ def _gathered(linked: DataFrame, fixed: list[int], total: int) -> DataFrame:
     if cut.isEmpty():
         return linked
     whole = _loads(linked.join(cut.select("group"), "group", "left_anti"), len(fixed))
-    settled = _filled(cut, [a + b for a, b in zip(fixed, whole, strict=True)], total)
+    settled = _filled(cut, [a + b for a, b in zip(fixed, whole, strict=True)], total, buckets)
     return staged(
         linked.join(settled.select("group", F.col("shard").alias("settled")), "group", "left")
         .withColumn("shard", F.coalesce("settled", "shard")).drop("settled"), "linked",
     )
 
 
-def _filled(singles: DataFrame, loads: list[int], total: int) -> DataFrame:
+def _filled(singles: DataFrame, loads: list[int], total: int, buckets: int) -> DataFrame:
     """Documents without links (or whole groups), placed so that all shards come out even."""
     shards = len(loads)
     level = total / shards
@@ -200,8 +205,8 @@ def _filled(singles: DataFrame, loads: list[int], total: int) -> DataFrame:
     loads = [load for load, _ in sorted(heap, key=lambda x: x[1])]
     spark = singles.sparkSession
     placed = spark.createDataFrame(list(dealt.items()), "row long, shard int")
-    small = singles.where(~large).withColumn("bucket", _bucket(F.col("row"), "fill"))
-    sums = [0] * BUCKETS
+    small = singles.where(~large).withColumn("bucket", _bucket(F.col("row"), "fill", buckets))
+    sums = [0] * buckets
     for r in small.groupBy("bucket").agg(F.sum("size").alias("n")).collect():
         sums[r["bucket"]] = r["n"]
     free = [max(0.0, level - load) for load in loads]
@@ -216,29 +221,26 @@ def _filled(singles: DataFrame, loads: list[int], total: int) -> DataFrame:
     )
 
 
-def _slots(placed: DataFrame, shards: int) -> DataFrame:
+def _slots(placed: DataFrame, shards: int, buckets: int) -> DataFrame:
     """Places without gaps within every shard."""
-    cut = staged(placed.withColumn("bucket", _bucket(F.col("row"), "slot")), "placed")
+    cut = staged(placed.withColumn("bucket", _bucket(F.col("row"), "slot", buckets)), "placed")
     counts = {(r["shard"], r["bucket"]): r["n"] for r in
               cut.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
     before = [
         n for s in range(shards)
-        for n in [0, *accumulate(counts.get((s, b), 0) for b in range(BUCKETS))][:-1]
+        for n in [0, *accumulate(counts.get((s, b), 0) for b in range(buckets))][:-1]
     ]
     offsets = cut.sparkSession.createDataFrame(
-        [(i // BUCKETS, i % BUCKETS, n) for i, n in enumerate(before)], "shard int, bucket int, before long"
+        [(i // buckets, i % buckets, n) for i, n in enumerate(before)], "shard int, bucket int, before long"
     )
     order = W.partitionBy("shard", "bucket").orderBy("order", "row")
     numbered = cut.withColumn("place", F.row_number().over(order))
-    # shards times buckets rows, whatever the input
-    return numbered.join(F.broadcast(offsets), ["shard", "bucket"]).withColumn(
+    return numbered.join(offsets, ["shard", "bucket"]).withColumn(
         "slot", (F.col("before") + F.col("place") - 1).cast("long")
     )
 
 
-def balanced_shards(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS, rounds: int = ROUNDS
-) -> DataFrame:
+def balanced_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS) -> DataFrame:
     """``key, size, text_crc32, group, shard, slot`` for every row; ``size`` is the text's UTF-8
     bytes plus 8, ``group`` tells equal texts (null for null texts)."""
     body = F.col("t").cast("binary")
@@ -250,21 +252,23 @@ def balanced_shards(
             F.xxhash64(F.col("id").cast("string"), F.md5(body)).alias("order"),
         ), "nodes",
     )
-    total = nodes.agg(F.sum("size")).first()[0] or 0
-    groups = nodes.where("group IS NOT NULL").groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    total, rows = nodes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    buckets = buckets_for(rows)
+    counted = nodes.where("group IS NOT NULL").groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    groups = staged(counted, "groups")  # read plainly, so that the join below can be split
     marked = staged(nodes.join(groups, "group", "left"), "marked")
     level = max(1.0, total / shards)
     capacity = level * (1 + 1 / FINE)
     large = F.col("n") * F.col("size") > level / FINE
     hot = marked.where("n > 1").where(large)
     found = homes([tuple(r) for r in hot.groupBy("group").agg(F.first("n"), F.first("size")).collect()], shards, capacity)
-    placed = staged(_placed_groups(hot, found).drop("n"), "placed-groups")
+    placed = staged(_placed_groups(hot, found, buckets).drop("n"), "placed-groups")
     fixed = _loads(placed, shards)
     linked = marked.where("n > 1").where(~large).drop("n").withColumn(
         "shard", F.pmod(F.xxhash64(F.lit("start"), "row"), F.lit(shards)).cast("int")
     )
-    linked = _gathered(_propagated(linked, shards, capacity, rounds, fixed), fixed, total)
+    linked = _gathered(_propagated(linked, shards, capacity, fixed), fixed, total, buckets)
     loads = [a + b for a, b in zip(fixed, _loads(linked, shards), strict=True)]
     singles = marked.where("n IS NULL").drop("n")
-    placed = placed.unionByName(linked).unionByName(_filled(singles, loads, total))
-    return _slots(placed, shards).select(F.col("id").alias(key), "size", "text_crc32", "group", "shard", "slot")
+    placed = placed.unionByName(linked).unionByName(_filled(singles, loads, total, buckets))
+    return _slots(placed, shards, buckets).select(F.col("id").alias(key), "size", "text_crc32", "group", "shard", "slot")
