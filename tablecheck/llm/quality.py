@@ -43,18 +43,20 @@ class Rule:
 
 
 #: The threshold table. Metrics are SQL expressions over the counts of ``_counts``; ratios
-#: are compared as products of whole numbers, so that every engine decides alike.
+#: are compared as products of whole numbers, so that every engine decides alike. No rule has
+#: a step: three lines in ten may repeat and two more, and the distinct words of a text have
+#: to reach twice the root of its words, as vocabularies grow with the root of a text.
 RULES = (
     Rule("too_short", "n_words", least=50),
     Rule("word_length_low", "word_chars * 10 - n_words * 20", least=0),
     Rule("word_length_high", "CASE WHEN latin THEN n_words * 150 - word_chars * 10 ELSE 0 END", least=0),
     Rule("symbols", "n_words * 10 - n_symbols * 100", least=0),
-    Rule("repeated_lines", "CASE WHEN n_lines >= 10 THEN n_lines * 30 - n_dup_lines * 100 ELSE 0 END", least=0),
+    Rule("repeated_lines", "n_lines * 30 + 200 - n_dup_lines * 100", least=0),
     Rule("repeated_words", "n_words * 50 - n_repeat_words * 100", least=0),
     Rule("shouting", "n_letters * 50 - n_capitals * 100", least=0),
     Rule("exclamations", "n_words * 20 - n_exclamations * 100", least=0),
     Rule("stop_words", "CASE WHEN latin THEN n_stop_words * 100 - n_words ELSE 0 END", least=0),
-    Rule("distinct_words", "n_distinct_words * 100 - least(n_words, 1000) * 10", least=0),
+    Rule("distinct_words", "n_distinct_words * n_distinct_words - n_words * 4", least=0),
 )
 
 
