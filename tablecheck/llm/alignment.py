@@ -32,6 +32,7 @@ import functools
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.llm.upkeep import Workspace
-from tablecheck.llm.vocabularies import byte_letters, halved, located
+from tablecheck.llm.vocabularies import byte_letters, located
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK_BYTES = 6 << 20
-#: Stretches a worker process keeps the tokens of.
+BLOCK_BYTES = 3 << 18
+#: Stretches a worker process keeps, some 300 bytes each; of a full store the half
+#: stays that was asked for last.
 MAX_STORED = 150_000
 BLOCKS_PER_TASK = 1 << 32
 
@@ -68,8 +70,12 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Aligner(dict):
-    """What is known of a stretch: tokens of A and B, groups, its pairs with how often each
-    is linked, and the groups written out; None where the bytes do not come back."""
+    """Numbers the stretches it knows.
+
+    By number: how many tokens of A and B, groups and distinct pairs a stretch has (``totals``,
+    -1 where the bytes do not come back), and its groups written out. ``pairs`` and ``times``,
+    how often each is linked, follow one another for all stretches.
+    """
 
     def __init__(self, byte_level: str, pieces: str, max_stored: int):
         import sentencepiece
@@ -80,6 +86,7 @@ class Aligner(dict):
         self.a = Tokenizer.from_file(located(byte_level))
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=located(pieces))
+        self.model = self.a.model
         self.letters = byte_letters()
         spelled = {letter: byte for byte, letter in self.letters.items()}
         self.bytes_a: list[bytes] = [b""] * self.a.get_vocab_size()
@@ -108,75 +115,113 @@ class Aligner(dict):
         self.lead = self.b.encode("\n")
         self.names_a = [str(i) for i in range(len(self.bytes_a))]
         self.names_b = [str(i) for i in range(len(self.bytes_b))]
+        self.turn, self.asked = 0, np.zeros(0, np.int64)
+        self.totals = np.zeros((0, 4), np.int64)
+        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.written: list[str] = []
 
     def _ids_a(self, stretch: str) -> list[int]:
-        if _WORD.fullmatch(stretch):
+        if not _WORD.fullmatch(stretch):
+            return self.a.encode(stretch, add_special_tokens=False).ids
+        if stretch.isascii():
+            spelled = "Ġ" + stretch[1:] if stretch[0] == " " else stretch
+        else:
             spelled = stretch.encode().decode("latin-1").translate(self.letters)
-            return [token.id for token in self.a.model.tokenize(spelled)]
-        return self.a.encode(stretch, add_special_tokens=False).ids
+        return [token.id for token in self.model.tokenize(spelled)]
 
     def _ids_b(self, stretches: list[str]) -> list[list[int]]:
         prefixed = [s[0] == " " and len(s) > 1 for s in stretches]
         found = self.b.encode([s[1:] if own else "\n" + s for s, own in zip(stretches, prefixed)], num_threads=1)
         return [ids if own else ids[len(self.lead):] for ids, own in zip(found, prefixed)]
 
-    def learn(self, stretches: list[str]) -> None:
-        """Tokenize stretches that are not known yet, all at once."""
-        if len(self) + len(stretches) > self.max_stored:
-            halved(self)
+    def numbers(self, stretches: list[str]) -> np.ndarray:
+        """The numbers of distinct stretches; those that are new are tokenized all at once."""
+        missing = [s for s in stretches if s not in self]
+        if len(self) + len(missing) > self.max_stored:
+            self._forget()
+            missing = [s for s in stretches if s not in self]
+        for at in range(0, len(missing), 20_000):
+            self._learn(missing[at: at + 20_000])
+        known = np.fromiter(map(self.__getitem__, stretches), np.int64, len(stretches))
+        self.turn += 1
+        self.asked[known] = self.turn
+        return known
+
+    def _forget(self) -> None:
+        """Keep the half that was asked for last."""
+        left = np.sort(np.argsort(-self.asked, kind="stable")[: self.max_stored // 2])
+        names = list(self)
+        names = [names[i] for i in left.tolist()]
+        self.clear()
+        self.update(zip(names, range(len(names))))
+        sizes = self.totals[:, 3].clip(0)
+        held = _ragged((np.cumsum(sizes) - sizes)[left], sizes[left])
+        self.pairs, self.times = self.pairs[held], self.times[held]
+        self.totals, self.asked = self.totals[left], self.asked[left]
+        self.written = [self.written[i] for i in left.tolist()]
+
+    def _learn(self, stretches: list[str]) -> None:
         tokens_a, tokens_b = [self._ids_a(s) for s in stretches], self._ids_b(stretches)
-        whole = []
-        for i, stretch in enumerate(stretches):
-            own = stretch.encode()
-            same = (
-                b"".join(map(self.bytes_a.__getitem__, tokens_a[i])) == own
-                == b"".join(map(self.bytes_b.__getitem__, tokens_b[i]))
-            )
-            if same:
-                whole.append(i)
-            else:
-                self[stretch] = None
-        if not whole:
-            return
-        sizes_a = np.array([len(tokens_a[i]) for i in whole])
-        sizes_b = np.array([len(tokens_b[i]) for i in whole])
-        flat_a = np.concatenate([tokens_a[i] for i in whole]).astype(np.int64)
-        flat_b = np.concatenate([tokens_b[i] for i in whole]).astype(np.int64)
-        ends_a, ends_b = np.cumsum(self.sizes_a[flat_a]), np.cumsum(self.sizes_b[flat_b])
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        last_a = np.searchsorted(ends_a, cuts)  # position of the last token of each group
-        last_b = np.searchsorted(ends_b, cuts)
-        n_a, n_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
-        group_a = np.repeat(np.arange(len(cuts)), n_a)
-        pairs_b = n_b[group_a]
-        first_b = last_b - n_b + 1
-        pair = (np.repeat(flat_a, pairs_b) << 16) | flat_b[_ragged(first_b[group_a], pairs_b)]
-        # stretches end where groups end
-        stretch_ends = np.searchsorted(cuts, ends_a[np.cumsum(sizes_a) - 1]) + 1
-        n_groups = np.diff(stretch_ends, prepend=0)
-        n_pairs = np.add.reduceat(n_a * n_b, stretch_ends - n_groups)
-        owner = np.repeat(np.arange(len(whole)), n_pairs)
-        order = np.lexsort((pair, owner))
-        owner, pair = owner[order], pair[order]
-        new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])])
-        at = np.flatnonzero(new)
-        times = np.diff(at, append=len(pair))
-        keys = pair[at]
-        edges = np.searchsorted(owner[at], np.arange(len(whole) + 1))
-        names_a = [self.names_a[x] for x in flat_a.tolist()]
-        names_b = [self.names_b[x] for x in flat_b.tolist()]
-        groups = [
-            f"{names_a[i]}|{names_b[k]}" if i == j and k == m else
-            f"{','.join(names_a[i: j + 1])}|{','.join(names_b[k: m + 1])}"
-            for i, j, k, m in zip((last_a - n_a + 1).tolist(), last_a.tolist(), first_b.tolist(), last_b.tolist())
-        ]
-        ends, counts = stretch_ends.tolist(), n_groups.tolist()
-        for w, i in enumerate(whole):
-            low, high = edges[w], edges[w + 1]
-            self[stretches[i]] = (
-                len(tokens_a[i]), len(tokens_b[i]), counts[w], keys[low:high].copy(), times[low:high].copy(),
-                ";".join(groups[ends[w] - counts[w]: ends[w]]),
-            )
+        whole = self._whole(stretches, tokens_a, tokens_b)
+        totals = np.full((len(stretches), 4), -1, np.int64)
+        written = [""] * len(stretches)
+        self.update(zip(stretches, range(len(self), len(self) + len(stretches))))
+        if len(whole):
+            kept = whole.tolist()
+            sizes_a = np.fromiter((len(tokens_a[i]) for i in kept), np.int64, len(kept))
+            sizes_b = np.fromiter((len(tokens_b[i]) for i in kept), np.int64, len(kept))
+            flat_a = np.fromiter(chain.from_iterable(tokens_a[i] for i in kept), np.int64, int(sizes_a.sum()))
+            flat_b = np.fromiter(chain.from_iterable(tokens_b[i] for i in kept), np.int64, int(sizes_b.sum()))
+            ends_a, ends_b = np.cumsum(self.sizes_a[flat_a]), np.cumsum(self.sizes_b[flat_b])
+            cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+            last_a = np.searchsorted(ends_a, cuts)  # position of the last token of each group
+            last_b = np.searchsorted(ends_b, cuts)
+            n_a, n_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+            pairs_b = np.repeat(n_b, n_a)
+            first_b = last_b - n_b + 1
+            pair = (np.repeat(flat_a, pairs_b) << 16) | flat_b[_ragged(np.repeat(first_b, n_a), pairs_b)]
+            # stretches end where groups end
+            group_ends = np.searchsorted(cuts, ends_a[np.cumsum(sizes_a) - 1]) + 1
+            n_groups = np.diff(group_ends, prepend=0)
+            owner = np.repeat(np.arange(len(kept)), np.add.reduceat(n_a * n_b, group_ends - n_groups))
+            order = np.lexsort((pair, owner))
+            owner, pair = owner[order], pair[order]
+            new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])])
+            at = np.flatnonzero(new)
+            self.pairs = np.concatenate([self.pairs, pair[at]])
+            self.times = np.concatenate([self.times, np.diff(at, append=len(pair))])
+            n_pairs = np.bincount(owner[at], minlength=len(kept))
+            totals[whole] = np.stack([sizes_a, sizes_b, n_groups, n_pairs], axis=1)
+            names_a = list(map(self.names_a.__getitem__, flat_a.tolist()))
+            names_b = list(map(self.names_b.__getitem__, flat_b.tolist()))
+            groups = [
+                f"{names_a[i]}|{names_b[k]}" if i == j and k == m else
+                f"{','.join(names_a[i: j + 1])}|{','.join(names_b[k: m + 1])}"
+                for i, j, k, m in zip((last_a - n_a + 1).tolist(), last_a.tolist(), first_b.tolist(), last_b.tolist())
+            ]
+            for i, end, n in zip(kept, group_ends.tolist(), n_groups.tolist()):
+                written[i] = ";".join(groups[end - n: end])
+        self.totals = np.concatenate([self.totals, totals])
+        self.asked = np.concatenate([self.asked, np.zeros(len(stretches), np.int64)])
+        self.written += written
+
+    def _whole(self, stretches: list[str], tokens_a: list[list[int]], tokens_b: list[list[int]]) -> np.ndarray:
+        """Positions of the stretches whose bytes both tokenizers give back."""
+        own = [s.encode() for s in stretches]
+        sides = ((tokens_a, self.bytes_a, self.sizes_a), (tokens_b, self.bytes_b, self.sizes_b))
+        lengths = np.fromiter(map(len, own), np.int64, len(own))
+        for tokens, held, sizes in sides:
+            counts = np.fromiter(map(len, tokens), np.int64, len(tokens))
+            ids = list(chain.from_iterable(tokens))
+            ends = np.concatenate([[0], np.cumsum(sizes[ids])]) if ids else np.zeros(1, np.int64)
+            last = np.cumsum(counts)
+            # all at once: equal lengths everywhere, and equal bytes altogether
+            if (ends[last] - ends[last - counts] != lengths).any() or b"".join(map(held.__getitem__, ids)) != b"".join(own):
+                break
+        else:
+            return np.arange(len(own))
+        back = [[b"".join(map(held.__getitem__, ids)) for ids in tokens] for tokens, held, _ in sides]
+        return np.flatnonzero(np.fromiter((x == y == z for x, y, z in zip(own, *back)), bool, len(own)))
 
 
 @functools.cache
@@ -193,24 +238,26 @@ class Numbered(dict):
         return number
 
 
-_LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
+_LONGS = pa.list_(pa.int64())
+#: Arrays of a block kept as bytes: a reader that holds the rows of a file side by side then
+#: needs no more for them than they have bytes.
+_KEPT = {
+    "ids": "<i8", "known": "?", "n_a": "<i8", "n_b": "<i8", "n_groups": "<i8", "doc_sizes": "<i4", "doc_stretches": "<i4",
+    "doc_times": "<i4", "stretch_sizes": "<i4", "stretch_pairs": "<i4", "stretch_times": "<i4",
+}
 _BLOCK = pa.schema([
-    ("block", pa.int64()), ("ids", _LONGS), ("n_a", _LONGS), ("n_b", _LONGS), ("n_groups", _LONGS),
-    ("digests", pa.list_(pa.string())), ("doc_sizes", _INTS), ("doc_stretches", _INTS), ("doc_times", _INTS),
-    ("stretch_sizes", _INTS), ("stretch_pairs", _INTS), ("stretch_times", _INTS), ("pairs", _LONGS),
-    ("pair_docs", _LONGS), ("identities", _LONGS),
+    ("block", pa.int64()), *((name, pa.binary()) for name in _KEPT), ("digests", pa.string()),
+    ("pairs", _LONGS), ("pair_docs", _LONGS), ("identities", _LONGS),
 ])
 _BLOCK_SQL = (
-    "block long, ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, digests array<string>, "
-    "doc_sizes array<int>, doc_stretches array<int>, doc_times array<int>, stretch_sizes array<int>, "
-    "stretch_pairs array<int>, stretch_times array<int>, pairs array<long>, pair_docs array<long>, "
-    "identities array<long>"
+    f"block long, {', '.join(f'{name} binary' for name in _KEPT)}, digests string, pairs array<long>, "
+    "pair_docs array<long>, identities array<long>"
 )
 
 
 def _row(values: dict) -> pa.RecordBatch:
-    small = {f.name: np.asarray(values[f.name], np.int32) for f in _BLOCK if f.type == _INTS and f.name in values}
-    values = values | small
+    kept = {name: np.asarray(values[name], kind).tobytes() for name, kind in _KEPT.items() if name in values}
+    values = values | kept
     return pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in _BLOCK], schema=_BLOCK)
 
 
@@ -229,27 +276,24 @@ def aligned_block(aligner: Aligner, texts: list[str | None], identities: np.ndar
         else:
             per_text.append(list(map(coarse.__getitem__, text.split(" "))))
     fine = Numbered()
-    cut = [list(map(fine.__getitem__, _CUT.split(" " + part))) for part in coarse]
-    missing = [s for s in fine if s not in aligner]
-    held = {s: aligner[s] for s in fine if s in aligner}
-    for at in range(0, len(missing), 20_000):
-        some = missing[at: at + 20_000]
-        aligner.learn(some)
-        held.update((s, aligner[s]) for s in some)
-    known = [held[s] for s in fine]
-    broken = np.array([k is None for k in known], bool)
-    empty = (0, 0, 0, np.zeros(0, np.int64), np.zeros(0, np.int64), "")
-    known = [empty if k is None else k for k in known]
-    written = [k[5] for k in known]
-    cut_sizes = np.array([len(c) for c in cut], np.int64)
-    cut_flat = np.array([s for c in cut for s in c], np.int64)
+    # a part of letters alone holds no place to cut
+    cut = [
+        [fine[" " + part]] if part.isalpha() else list(map(fine.__getitem__, _CUT.split(" " + part))) for part in coarse
+    ]
+    known = aligner.numbers(list(fine))
+    totals = aligner.totals[known]
+    broken = totals[:, 2] < 0
+    totals[broken] = 0
+    written = list(map(aligner.written.__getitem__, known.tolist()))
+    cut_sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+    cut_flat = np.fromiter(chain.from_iterable(cut), np.int64, int(cut_sizes.sum()))
     cut_starts = np.cumsum(cut_sizes) - cut_sizes
-    totals = np.array([k[:3] for k in known], np.int64).reshape(-1, 3)
 
-    keys = np.concatenate([k[3] for k in known]) if known else np.zeros(0, np.int64)
-    times = np.concatenate([k[4] for k in known]) if known else np.zeros(0, np.int64)
-    sizes = np.array([len(k[3]) for k in known], np.int64)
+    sizes = totals[:, 3]
     starts = np.cumsum(sizes) - sizes
+    stored = aligner.totals[:, 3].clip(0)
+    held = _ragged((np.cumsum(stored) - stored)[known], sizes)
+    keys, times = aligner.pairs[held], aligner.times[held]
     plain = aligner.identity[keys >> 16] == (keys & 0xFFFF)
     pairs, number = np.unique(keys[~plain], return_inverse=True)
     numbered = np.empty(len(keys), np.int64)
@@ -268,7 +312,7 @@ def aligned_block(aligner: Aligner, texts: list[str | None], identities: np.ndar
             continue
         own, often = np.unique(stretches, return_counts=True)
         docs.append((own, often))
-        counts.append(totals[own].T @ often)
+        counts.append(often @ totals[own, :3])
         digests.append(hashlib.sha256(";".join([written[s] for s in stretches.tolist()]).encode()).hexdigest())
         seen[np.unique(numbered[_ragged(starts[own], sizes[own])])] += 1
     identities += seen[len(pairs):]
@@ -278,7 +322,7 @@ def aligned_block(aligner: Aligner, texts: list[str | None], identities: np.ndar
         return np.concatenate([d[side] for d in docs]) if docs else np.zeros(0, np.int64)
 
     return {
-        "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "digests": digests, "doc_sizes": [len(d[0]) for d in docs],
+        "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "digests": " ".join(digests), "doc_sizes": [len(d[0]) for d in docs],
         "doc_stretches": joined(0), "doc_times": joined(1), "stretch_sizes": sizes, "stretch_pairs": numbered,
         "stretch_times": times, "pairs": pairs, "pair_docs": seen[: len(pairs)],
     }
@@ -294,7 +338,8 @@ def _blocks(docs: DataFrame, byte_level: str, pieces: str, block_bytes: int, max
         held = 0
 
         def block() -> pa.RecordBatch:
-            return _row({"block": number, "ids": ids} | aligned_block(aligner, texts, identities))
+            own = {"block": number, "ids": [i or 0 for i in ids], "known": [i is not None for i in ids]}
+            return _row(own | aligned_block(aligner, texts, identities))
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
@@ -331,20 +376,25 @@ def _summed(blocks: DataFrame, byte_level: str, pieces: str, identities: np.ndar
         edges = np.concatenate([np.zeros((3, 1), np.int64), np.cumsum(own, axis=1)], axis=1)
         ends = np.cumsum(row["doc_sizes"], dtype=np.int64)
         n_links, n_best, count_sum = edges[:, ends] - edges[:, ends - row["doc_sizes"]]
-        columns = [row["ids"], row["n_a"], row["n_b"], row["n_groups"], n_links, n_best, count_sum]
-        return pa.RecordBatch.from_arrays(
-            [c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns] + [row["digests"]], names=names
-        )
+        columns = [
+            pa.array(row["ids"], pa.int64(), mask=~row["known"]),
+            *(pa.array(c, pa.int64()) for c in (row["n_a"], row["n_b"], row["n_groups"], n_links, n_best, count_sum)),
+            pa.array(row["digests"].split(" "), pa.string()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 row = {}
                 for name, column in zip(batch.schema.names, batch.columns):
-                    values = column[at].values if name != "block" else None
-                    if values is None:
-                        values = pa.array([], pa.int64())
-                    row[name] = values if name in ("ids", "digests", "block") else values.to_numpy()
+                    if name in _KEPT:
+                        row[name] = np.frombuffer(column[at].as_buffer(), _KEPT[name])
+                    elif name == "digests":
+                        row[name] = column[at].as_py()
+                    elif name in ("pairs", "found"):
+                        values = column[at].values
+                        row[name] = np.zeros(0, np.int64) if values is None else values.to_numpy()
                 yield per_document(row)
 
     return blocks.mapInArrow(

@@ -135,7 +135,7 @@ def test_stretches_give_the_tokens_of_whole_texts(texts):
     block = alignment.aligned_block(aligner, texts, np.zeros(len(aligner.identity), np.int64))
     groups = [plainly.groups(t) for t in texts]
     written = [";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in g) for g in groups]
-    assert block["digests"] == [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in written]
+    assert block["digests"].split(" ") == [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in written]
     assert block["n_groups"].tolist() == [len(g) for g in groups]
 
 
