@@ -40,7 +40,9 @@ def identify_language(
     spark: SparkSession, docs: DataFrame, sf_dir: str, wanted: tuple[str, ...] | None = WANTED_LANGUAGES
 ) -> DataFrame:
     """Documents whose language is told with enough confidence, and is wanted; the prediction
-    becomes their ``lang``."""
+    becomes their ``lang``. Null, empty and letterless texts go; repeated rows fare alike; a
+    null id is never held out. Where no language can be learned all texts with a letter stay
+    as they are."""
     model = language.fit_language_model(docs.where(~queries.held_out()))
     if not model.labels:
         return docs.where(F.col("text").rlike("\\p{L}"))
@@ -68,7 +70,9 @@ def _unused(docs: DataFrame, *names: str) -> list[str]:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near copies."""
+    """The smallest id of each group of near copies. Null, empty and blank texts are copies of
+    nothing and stay, once for each id and text; of a group without any id one document stays;
+    an id with several texts is decided text by text."""
     own, own_same, same = _unused(docs, "kept_id", "kept_same", "same_text")
     found = neardup.near_duplicates(
         docs.select("doc_id", "text"), percent=NEAR_PERCENT, bands=NEAR_BANDS, rows_per_band=NEAR_ROWS_PER_BAND
@@ -81,7 +85,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the runs of words that occur elsewhere."""
+    """Texts without the runs of words that occur elsewhere, ``n_chars`` counted anew where a
+    text was cut. Null and empty texts stay as they are; a text cut to nothing goes; rows that
+    repeat id and text are copies of each other, so both lose their long runs."""
     cut_id, cut_same, left_text, same = _unused(docs, "cut_id", "cut_same", "left_text", "same_text")
     found = substring.substring_dedup(docs.select("doc_id", "text"))
     cut = found.where("kept IS NOT NULL").select(
@@ -99,13 +105,15 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that give no benchmark item away."""
+    """Documents that give no benchmark item away. Null and wordless texts give none away and
+    stay; repeated rows fare alike; without items all stay."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.without_leaks(docs, items)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 4096 tokens, one row a piece."""
+    """Sequences of 4096 tokens, one row a piece. A null or empty text is its end token; ids may
+    be null or repeat; no documents give no pieces."""
     return packing.pack_documents(docs, queries.TOKENIZER)
 
 
