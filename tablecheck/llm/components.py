@@ -15,6 +15,10 @@ def connected_components(links: DataFrame, space: Workspace | None = None) -> Da
     its neighbours (combined before the shuffle, so a node with very many links is no more
     than one row a task) and then follows labels to the labels of their labels, which halves
     distances. Rounds are written to the shared folder; they end when no label changes.
+
+    Defined cases: a link of a node with itself, or one with a null end, links nothing and gives
+    no row; links may repeat; other columns are not read; no links give no rows. Nodes may be
+    of any type that can be ordered.
     """
     staged = (space or Workspace(links.sparkSession, "components")).staged
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b")
