@@ -31,7 +31,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -239,12 +239,27 @@ class Numbered(dict):
 
 
 _LONGS = pa.list_(pa.int64())
-#: Arrays of a block kept as bytes: a reader that holds the rows of a file side by side then
-#: needs no more for them than they have bytes.
-_KEPT = {
-    "ids": "<i8", "known": "?", "n_a": "<i8", "n_b": "<i8", "n_groups": "<i8", "doc_sizes": "<i4", "doc_stretches": "<i4",
-    "doc_times": "<i4", "stretch_sizes": "<i4", "stretch_pairs": "<i4", "stretch_times": "<i4",
-}
+#: Arrays of a block kept as bytes, each number in as few as the largest needs: a reader that
+#: holds the rows of a file side by side, and a shuffle of blocks, then need no more than these.
+_KEPT = (
+    "ids", "known", "n_a", "n_b", "n_groups", "doc_sizes", "doc_stretches", "doc_times", "stretch_sizes", "stretch_pairs",
+    "stretch_times",
+)
+
+
+def packed(values: Sequence[int] | np.ndarray) -> bytes:
+    """Whole numbers as bytes, the first of which says how many one takes."""
+    values = np.asarray(values, np.int64)
+    least, most = int(values.min(initial=0)), int(values.max(initial=0))
+    width = next((w for w in (1, 2, 4) if least >= 0 and most < 1 << 8 * w), 8)
+    return bytes([width]) + values.astype(f"<u{width}" if width < 8 else "<i8").tobytes()
+
+
+def unpacked(held: bytes) -> np.ndarray:
+    width = held[0]
+    return np.frombuffer(held[1:], f"<u{width}" if width < 8 else "<i8").astype(np.int64)
+
+
 _BLOCK = pa.schema([
     ("block", pa.int64()), *((name, pa.binary()) for name in _KEPT), ("digests", pa.string()),
     ("pairs", _LONGS), ("pair_docs", _LONGS), ("identities", _LONGS),
@@ -256,8 +271,7 @@ _BLOCK_SQL = (
 
 
 def _row(values: dict) -> pa.RecordBatch:
-    kept = {name: np.asarray(values[name], kind).tobytes() for name, kind in _KEPT.items() if name in values}
-    values = values | kept
+    values = values | {name: packed(values[name]) for name in _KEPT if name in values}
     return pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in _BLOCK], schema=_BLOCK)
 
 
@@ -367,7 +381,7 @@ def _summed(blocks: DataFrame, byte_level: str, pieces: str, identities: np.ndar
         counts, tops = np.zeros(n_pairs, np.int64), best[row["pairs"] >> 16]
         counts[row["found"] >> 40] = row["found"] & ((1 << 40) - 1)
         counts, tops = np.concatenate([counts, identities]), np.concatenate([tops, best])
-        links, sums = row["stretch_times"].astype(np.int64), row["stretch_pairs"]
+        links, sums = row["stretch_times"], row["stretch_pairs"]
         per_link = np.stack([links, links * (counts[sums] == tops[sums]), links * counts[sums]])
         edges = np.concatenate([np.zeros((3, 1), np.int64), np.cumsum(per_link, axis=1)], axis=1)
         ends = np.cumsum(row["stretch_sizes"], dtype=np.int64)
@@ -377,7 +391,7 @@ def _summed(blocks: DataFrame, byte_level: str, pieces: str, identities: np.ndar
         ends = np.cumsum(row["doc_sizes"], dtype=np.int64)
         n_links, n_best, count_sum = edges[:, ends] - edges[:, ends - row["doc_sizes"]]
         columns = [
-            pa.array(row["ids"], pa.int64(), mask=~row["known"]),
+            pa.array(row["ids"], pa.int64(), mask=row["known"] == 0),
             *(pa.array(c, pa.int64()) for c in (row["n_a"], row["n_b"], row["n_groups"], n_links, n_best, count_sum)),
             pa.array(row["digests"].split(" "), pa.string()),
         ]
@@ -389,7 +403,7 @@ def _summed(blocks: DataFrame, byte_level: str, pieces: str, identities: np.ndar
                 row = {}
                 for name, column in zip(batch.schema.names, batch.columns):
                     if name in _KEPT:
-                        row[name] = np.frombuffer(column[at].as_buffer(), _KEPT[name])
+                        row[name] = unpacked(column[at].as_py())
                     elif name == "digests":
                         row[name] = column[at].as_py()
                     elif name in ("pairs", "found"):

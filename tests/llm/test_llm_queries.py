@@ -195,7 +195,7 @@ def test_language_stage_rejects_what_it_cannot_read(spark):
         -1: "Привет мир это обычный русский текст о погоде", -2: "Γεια σου κόσμε αυτό είναι κείμενο", -3: "日本語の文章です これは",
         -4: "xkcd qwrtzp vbnmq jklw zxcvp qqwx", -5: "12 !! 99", -6: "the of and", -7: "das ist ein",
     }
-    rows = spark.createDataFrame([(i, t, "fr", "s", len(t)) for i, t in odd.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in odd.items()], "doc_id long, text string, lang string, source string, n_chars long")
     table = given.unionByName(rows.select([F.col(c).cast(t) for c, t in given.dtypes]))
     out = corpus_pipeline.identify_language(spark, table, SF_DIR)
     assert out.columns == table.columns

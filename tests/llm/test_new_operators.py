@@ -139,6 +139,13 @@ def test_stretches_give_the_tokens_of_whole_texts(texts):
     assert block["n_groups"].tolist() == [len(g) for g in groups]
 
 
+@given(st.lists(st.integers(-(1 << 63), (1 << 63) - 1)))
+def test_numbers_come_back_from_bytes(values):
+    assert alignment.unpacked(alignment.packed(values)).tolist() == values
+    small = [abs(v) % 300 for v in values]
+    assert alignment.unpacked(alignment.packed(small)).tolist() == small and len(alignment.packed(small)) <= 1 + 2 * len(small)
+
+
 # -- simhash ------------------------------------------------------------------------------
 
 
