@@ -41,7 +41,7 @@ N_BUCKETS = 1 << 17
 LONGEST_WORD = 24
 STRETCH, MARGIN = 480, 16
 #: Words whose scores a task remembers, and words labelled at once; both bound its memory.
-MAX_STORED, WORDS_AT_ONCE = 250_000, 150_000
+MAX_STORED, WORDS_AT_ONCE = 150_000, 100_000
 #: Stretches labelled side by side.
 SIDE_BY_SIDE = 512
 
