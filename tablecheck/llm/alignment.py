@@ -28,7 +28,6 @@ are read whole; other columns are not read; an empty table gives an empty one.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import re
 from collections.abc import Iterator, Sequence
@@ -41,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.llm.upkeep import Workspace
-from tablecheck.llm.vocabularies import byte_letters, located
+from tablecheck.llm.vocabularies import byte_letters, located, worker_store
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES = 3 << 18
@@ -224,12 +223,6 @@ class Aligner(dict):
         return np.flatnonzero(np.fromiter((x == y == z for x, y, z in zip(own, *back)), bool, len(own)))
 
 
-@functools.cache
-def _aligner(byte_level: str, pieces: str, max_stored: int) -> Aligner:
-    """One for each worker process, whatever tasks it runs."""
-    return Aligner(byte_level, pieces, max_stored)
-
-
 class Numbered(dict):
     """Numbers things in the order in which they are first asked for."""
 
@@ -344,7 +337,8 @@ def aligned_block(aligner: Aligner, texts: list[str | None], identities: np.ndar
 
 def _blocks(docs: DataFrame, byte_level: str, pieces: str, block_bytes: int, max_stored: int) -> DataFrame:
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(byte_level, pieces, max_stored)
+        kind = ("alignment", byte_level, pieces, max_stored)
+        aligner = worker_store(kind, lambda: Aligner(byte_level, pieces, max_stored))
         identities = np.zeros(len(aligner.identity), np.int64)
         number = TaskContext.get().partitionId() * BLOCKS_PER_TASK
         ids: list[int | None] = []

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablecheck.llm.vocabularies import let_go
+
 UNDETERMINED = "und"
 DOCS_PER_LANGUAGE = 400
 SAMPLE_CHARS = 6_000
@@ -328,6 +330,7 @@ def language_column(model: LanguageModel, text: Column, docs: DataFrame) -> Colu
 
     @F.arrow_udf("language string, score double, shares map<string,double>, familiar double")
     def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
         labeller = Labeller(shipped.value)
         names = shipped.value.labels
         for batch in batches:

@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from tablecheck.llm.components import connected_components
 from tablecheck.llm.shingles import list_array, mixed, shingle_hashes
 from tablecheck.llm.upkeep import Workspace
+from tablecheck.llm.vocabularies import let_go
 
 SHINGLE_WORDS = 5
 PERCENT = 85
@@ -128,6 +129,7 @@ _SIGNED = pa.struct([("n", pa.int64()), ("same", pa.binary()), ("bands", pa.list
 def _signed(text: Column, percent: int, size: int, bands: int, rows: int) -> Column:
     @F.arrow_udf("n long, same binary, bands array<long>")
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
         for batch in batches:
             counts, same, keys = [], [], []
             for content in batch:

@@ -22,7 +22,6 @@ not read.
 
 from __future__ import annotations
 
-import functools
 import string
 import unicodedata
 from collections.abc import Iterator
@@ -33,14 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.llm.vocabularies import byte_letters, halved, located
+from tablecheck.llm.vocabularies import byte_letters, halved, located, worker_store
 
 WINDOW = 4096
 END_TOKEN = 2
 MAX_OPEN = 4096
 #: Words, and as many chunks of words, that a worker process keeps (some 200 bytes each); of a
 #: full store the older half goes.
-MAX_STORED = 150_000
+MAX_STORED = 400_000
 SEQUENCES_PER_TASK = 1 << 33
 
 _PIECES = (
@@ -102,12 +101,6 @@ class WordTokens(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-@functools.cache
-def _worker_tokens(path: str, max_stored: int) -> WordTokens:
-    """One store for each worker process, whatever tasks it runs."""
-    return WordTokens(path, max_stored)
-
-
 class SumOfSquares:
     """Open windows by fill level; ``closed`` gets finished windows as lists of pieces."""
 
@@ -240,7 +233,7 @@ def pack_documents(
     ending = np.array([end_token], "<u4").tobytes()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _worker_tokens(tokenizer, max_stored)
+        tokens = worker_store(("packing", tokenizer, max_stored), lambda: WordTokens(tokenizer, max_stored))
         packer = SumOfSquares(window, max_open)
         number = TaskContext.get().partitionId() * SEQUENCES_PER_TASK
         for batch in batches:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Hashable
+from typing import Any
 
 
 def located(name: str) -> str:
@@ -25,3 +27,21 @@ def halved(store: dict) -> None:
     """Drop the older half of what a store holds."""
     for key in list(store)[: len(store) // 2]:
         del store[key]
+
+
+_STORES: dict[Hashable, Any] = {}
+
+
+def let_go(but: Hashable = None) -> None:
+    """Free the stores that tasks of other kinds have left in this worker process."""
+    for key in [k for k in _STORES if k != but]:
+        del _STORES[key]
+
+
+def worker_store(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What tasks of one kind keep for the next of their kind in the same worker process; only
+    one kind's is kept at a time."""
+    let_go(but=key)
+    if key not in _STORES:
+        _STORES[key] = make()
+    return _STORES[key]
