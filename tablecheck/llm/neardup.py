@@ -153,13 +153,17 @@ def _signed(text: Column, percent: int, size: int, bands: int, rows: int) -> Col
 def _sets(text: Column, size: int, bands: int, rows: int) -> Column:
     @F.arrow_udf("node binary, shingles array<long>, sketch binary")
     def collect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
         for batch in batches:
-            split = [_words(x.as_py()) for x in batch]
-            sets = [shingle_hashes(words, size) for words in split]
-            sketches = [sketch_of(s, bands * rows) for s in sets]
+            nodes, sets, sketches = [], [], []
+            for content in batch:
+                words = _words(content.as_py())
+                nodes.append(_same(words))
+                sets.append(shingle_hashes(words, size))
+                sketches.append(sketch_of(sets[-1], bands * rows))
             yield pa.StructArray.from_arrays(
-                [pa.array([_same(words) for words in split], pa.binary()),
-                 list_array([s.view(np.int64) for s in sets], pa.int64()), pa.array(sketches, pa.binary())],
+                [pa.array(nodes, pa.binary()), list_array([s.view(np.int64) for s in sets], pa.int64()),
+                 pa.array(sketches, pa.binary())],
                 names=["node", "shingles", "sketch"],
             )
 
@@ -290,14 +294,15 @@ def near_duplicates(
     picked = docs.select(
         F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("t")
     )
-    text_md5 = F.md5(F.coalesce("t", F.lit(b""))).alias("text_md5")
+    text_md5 = F.md5(F.coalesce("t", F.lit(b"")))
     signs = space.staged(
-        picked.select("id", text_md5, _signed(F.col("t"), percent, shingle_words, bands, rows_per_band).alias("s"))
+        picked.select("id", text_md5.alias("text_md5"), _signed(F.col("t"), percent, shingle_words, bands, rows_per_band).alias("s"))
         .select("id", "text_md5", "s.n", "s.same", "s.bands"), "signed",
     )
     nodes = space.staged(signs.where("same IS NOT NULL").groupBy(F.col("same").alias("node")).agg(
-        F.min("id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")
-    ), "nodes")
+        F.min(F.struct(F.col("id").isNull(), "id", "text_md5")).alias("held"), F.first("n").alias("n"),
+        F.first("bands").alias("bands"),
+    ).select("node", F.col("held.id").alias("least"), "held.text_md5", "n", "bands"), "nodes")
     keyed = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     leaders = space.staged(keyed.groupBy("bucket").agg(
         F.min(F.struct("node", "n")).alias("first"), F.max("node").alias("last")
@@ -305,15 +310,16 @@ def near_duplicates(
     members = space.staged(keyed.join(leaders, "bucket").select(
         "bucket", "node", "n", F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n")
     ), "members")
-    wanted = space.staged(
-        nodes.select("node", "least").join(members.select("node").distinct(), "node", "left_semi"), "wanted"
+    wanted = space.staged(nodes.join(members.select("node").distinct(), "node", "left_semi").select(
+        "least", F.col("text_md5").alias("held")
+    ), "wanted")
+    # a text is found by the smallest id that has it and its md5, as that id may have other texts
+    # too. A join on the node would be pushed below the function and have it read every text.
+    texts = picked.withColumn("own", text_md5).join(
+        wanted, F.col("id").eqNullSafe(F.col("least")) & (F.col("own") == F.col("held")), "left_semi"
     )
-    # a text is found by the smallest id that has it; that id may have other texts too
-    texts = picked.join(wanted.select("least").distinct(), F.col("id").eqNullSafe(F.col("least")), "left_semi")
     collected = texts.select(_sets(F.col("t"), shingle_words, bands, rows_per_band).alias("s")).select("s.*")
-    sets = space.staged(
-        collected.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets"
-    )
+    sets = space.staged(collected.dropDuplicates(["node"]), "sets")
     links = space.staged(_leader_links(members, sets, percent), "links")
     components = connected_components(links, space)
     rest = space.staged(_rest_links(members, components, sets, percent, space), "links")

@@ -364,6 +364,16 @@ def test_a_bucket_of_very_many_texts_is_split(spark, plans):
     assert "skew=true" in plans["members"]
 
 
+def test_sets_are_made_of_the_texts_that_meet_another(spark, plans):
+    """One pass of the function behind the join with the texts wanted, none over the whole table."""
+    own = [(i, prose(5_000 + i, 60, 100_000)) for i in range(30)]
+    rows = [*own, (100, COPY), (101, NEAR), (101, "another text of that id"), (102, None), (None, COPY)]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in found if r["component_id"] == 100} == {100, 101, None}
+    assert plans["sets"].count("ArrowEvalPython") == 1
+    assert plans["sets"].index("ArrowEvalPython") < plans["sets"].index("LeftSemi")
+
+
 def test_near_duplicates_against_brute_force(spark):
     rng = random.Random(8)
     rows = []
