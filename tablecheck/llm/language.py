@@ -324,7 +324,9 @@ def language_column(model: LanguageModel, text: Column, docs: DataFrame) -> Colu
     """A struct ``language, score, shares, familiar`` for a text column of ``docs``.
 
     ``familiar`` is the mean share of a word's features that the model has learned: near 1 in
-    the languages it knows, well below in others, whose labels are guesses.
+    the languages it knows, well below in others, whose labels are guesses. The function is
+    not declared deterministic: a filter on its answer would be pushed below the projection and
+    have every text labelled twice, in two worker processes a task.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -345,7 +347,7 @@ def language_column(model: LanguageModel, text: Column, docs: DataFrame) -> Colu
                     rows.append({"language": UNDETERMINED, "score": 0.0, "shares": [], "familiar": 0.0})
             yield pa.array(rows, type=_ANSWER)
 
-    return label(text.cast("string"))
+    return label.asNondeterministic()(text.cast("string"))
 
 
 def identify_language(model: LanguageModel, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

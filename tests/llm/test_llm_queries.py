@@ -208,6 +208,11 @@ def test_language_stage_rejects_what_it_cannot_read(spark):
     assert {r["lang"] for r in german.collect()} == {"de"}
 
 
+def test_language_stage_labels_every_text_once(spark):
+    out = corpus_pipeline.identify_language(spark, spark.read.parquet(f"{SF_DIR}/documents.parquet"), SF_DIR)
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_near_dedup_stage_without_ids(spark):
     """Near copies without an id, and an id with two texts."""
     own = " ".join(f"a{i}" for i in range(100))
