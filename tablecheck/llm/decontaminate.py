@@ -265,12 +265,13 @@ def leak_indexes(
 ) -> Iterator[ItemIndex]:
     """The index of the test items, in parts of bounded size."""
     asked = F.col(f"`{text}`")
-    answered = F.col(f"`{answer}`") if answer else F.lit(None)
+    answered = _words(F.col(f"`{answer}`")) if answer else F.array().cast("array<binary>")
+    # the filter is for what was written: pushed below the function it would have it run twice, in
+    # two worker processes a task, which stay and serve later stages
     rows = staged(
-        items.select(F.col(f"`{key}`").cast("long").alias("id"), _words(asked).alias("asked"), _words(answered).alias("answered"))
-        .select("id", F.concat("asked", "answered").alias("words"), F.size("asked").alias("n_asked"))
-        .where(F.size("words") > 0), "items",
-    )
+        items.select(F.col(f"`{key}`").cast("long").alias("id"), _words(asked).alias("asked"), answered.alias("answered"))
+        .select("id", F.concat("asked", "answered").alias("words"), F.size("asked").alias("n_asked")), "items",
+    ).where(F.size("words") > 0)
     facts = rows.agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.size("words")).alias("mean"),
         F.sum(F.aggregate("words", F.lit(0).cast("long"), lambda n, w: n + F.octet_length(w) + 8)).alias("bytes"),

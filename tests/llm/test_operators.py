@@ -439,6 +439,19 @@ def test_leaks_on_odd_rows(spark, odd, empty):
     assert decontaminate.benchmark_leaks(odd, items.limit(0)).count() == 0
 
 
+def test_items_are_cut_into_words_once(spark, monkeypatch):
+    plans, write = [], decontaminate.staged
+
+    def watched(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, purpose)
+
+    monkeypatch.setattr(decontaminate, "staged", watched)
+    items = spark.createDataFrame([(1, COPY), (2, None)], "item_id long, text string")
+    assert [index.ids for index in decontaminate.leak_indexes(items)] == [[1]]
+    assert plans[0].count("ArrowEvalPython") == 1, plans[0]
+
+
 def test_leaks_do_not_depend_on_index_parts(spark):
     items = [(i, prose(300 + i, 30 + i)) for i in range(30)]
     docs = [(i, f"{prose(400 + i, 50 * i)} {items[i][1]} {prose(500 + i, 90)}") for i in range(30)]
