@@ -59,6 +59,9 @@ BLOCK_NODES, BLOCK_SHINGLES = 256, 200_000
 #: Pairs whose sketches agree in a share so many deviations below the threshold are not
 #: compared in full.
 SKETCH_DEVIATIONS = 5
+#: The filter before the join with the texts wanted has so many bits a text, and at most so many
+#: in all (16 MB). With more texts it lets more others through; the join decides all the same.
+FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 27
 
 
 @functools.cache
@@ -170,6 +173,26 @@ def _sets(text: Column, size: int, bands: int, rows: int) -> Column:
     return collect(text)
 
 
+def _likely_in(rows: DataFrame, keys: list[str], wanted: DataFrame, wanted_keys: list[str]) -> DataFrame:
+    """The rows whose keys are among those wanted, and a few others (one in ``FILTER_BITS`` or so).
+
+    Hashes of the keys are bits of a table of bitmaps, which is of bounded size and broadcast,
+    so that rows are left out where they are read and only the others take part in a shuffle.
+    """
+    bits = min(MOST_FILTER_BITS, max(1 << 15, 1 << (FILTER_BITS * wanted.count()).bit_length()))
+
+    def place(names: list[str]) -> Column:
+        return F.pmod(F.xxhash64(*names), F.lit(bits)) + 1
+
+    maps = wanted.select(place(wanted_keys).alias("place")).groupBy(
+        F.bitmap_bucket_number("place").alias("map")
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("map_bits"))
+    at = F.bitmap_bit_position(place(keys)).cast("int")
+    byte = F.conv(F.hex(F.substring("map_bits", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.getbit(byte, F.pmod(at, F.lit(8))) == 1
+    return rows.join(F.broadcast(maps), (F.bitmap_bucket_number(place(keys)) == F.col("map")) & held, "left_semi")
+
+
 def _node_sets(block: pa.Scalar) -> tuple[list[bytes], list[bytes], list[np.ndarray], np.ndarray]:
     entries = block.values
     lists = entries.field("shingles")
@@ -315,7 +338,7 @@ def near_duplicates(
     ), "wanted")
     # a text is found by the smallest id that has it and its md5, as that id may have other texts
     # too. A join on the node would be pushed below the function and have it read every text.
-    texts = picked.withColumn("own", text_md5).join(
+    texts = _likely_in(picked.withColumn("own", text_md5), ["id", "own"], wanted, ["least", "held"]).join(
         wanted, F.col("id").eqNullSafe(F.col("least")) & (F.col("own") == F.col("held")), "left_semi"
     )
     collected = texts.select(_sets(F.col("t"), shingle_words, bands, rows_per_band).alias("s")).select("s.*")

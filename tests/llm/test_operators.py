@@ -374,6 +374,20 @@ def test_sets_are_made_of_the_texts_that_meet_another(spark, plans):
     assert plans["sets"].index("ArrowEvalPython") < plans["sets"].index("LeftSemi")
 
 
+def test_texts_that_meet_no_other_are_not_shuffled(spark, plans):
+    """A filter of bounded size stands before the join with the texts wanted, and loses none."""
+    rows = spark.range(40_000).selectExpr("if(id % 1000 = 0, NULL, id) AS id", "md5(string(id)) AS own")
+    wanted = rows.where("id % 10 = 3 OR id IS NULL").selectExpr("id AS least", "own AS held")
+    kept = neardup._likely_in(rows, ["id", "own"], wanted, ["least", "held"])
+    found = {(r["id"], r["own"]) for r in kept.collect()}
+    assert found >= {(r["least"], r["held"]) for r in wanted.collect()}
+    assert kept.count() < wanted.count() + 40_000 // 8
+    assert neardup._likely_in(rows, ["id", "own"], wanted.limit(0), ["least", "held"]).count() == 0
+    neardup.near_duplicates(spark.createDataFrame([(1, COPY), (2, NEAR), (3, "another")], "doc_id long, text string"))
+    below = plans["sets"].split("SortMergeJoin", 1)[1]
+    assert below.index("Exchange") < below.index("BroadcastHashJoin") < below.index("Scan")
+
+
 def test_near_duplicates_against_brute_force(spark):
     rng = random.Random(8)
     rows = []
